@@ -13,10 +13,9 @@ _DECIMAL_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 def _exact(text: Column, target) -> Column:
     """Cast text to ``target`` only when that loses nothing; NULL otherwise."""
-    wide = F.trim(text).try_cast(WIDE)
-    narrow = F.trim(text).try_cast(target)
-    ok = text.rlike(_DECIMAL_TEXT) & wide.isNotNull() & narrow.isNotNull() & (wide == narrow)
-    return F.when(ok, narrow)
+    wide = F.when(text.rlike(_DECIMAL_TEXT), F.trim(text).try_cast(WIDE))
+    narrow = wide.try_cast(target)
+    return F.when(narrow == wide, narrow)
 
 
 def comma_decimal(text: Column, target=PRICE) -> Column:
@@ -27,9 +26,9 @@ def comma_decimal(text: Column, target=PRICE) -> Column:
 def comma_decimal_is_lossy(text: Column, target=PRICE) -> Column:
     """True when the text is a valid number whose scale does not fit ``target``."""
     t = F.trim(F.replace(text, F.lit(","), F.lit(".")))
-    wide = t.try_cast(WIDE)
-    narrow = t.try_cast(target)
-    return t.rlike(_DECIMAL_TEXT) & wide.isNotNull() & (narrow.isNull() | (wide != narrow))
+    wide = F.when(t.rlike(_DECIMAL_TEXT), t.try_cast(WIDE))
+    narrow = wide.try_cast(target)
+    return wide.isNotNull() & F.coalesce(narrow != wide, F.lit(True))
 
 
 def ptbr_decimal(text: Column, target=RATE) -> Column:

@@ -16,13 +16,13 @@ from ticklake.schemas import MARKET_ZONE, WINDOW_END, WINDOW_START
 
 def iso_date(text: Column) -> Column:
     """ISO calendar date: 'YYYY-MM-DD' or compact 'YYYYMMDD'; anything else is NULL."""
-    return (F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, F.lit("yyyy-MM-dd")))
-             .when(text.rlike(r"^\d{8}$"), F.try_to_date(text, F.lit("yyyyMMdd"))))
+    return (F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
+             .when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd")))
 
 
 def br_date(text: Column) -> Column:
     """'dd/mm/yyyy' with one- or two-digit day and month; invalid dates are NULL."""
-    return F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(text, F.lit("d/M/yyyy")))
+    return F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(text, "d/M/yyyy"))
 
 
 def br_payment_date(text: Column, sentinel: str) -> Column:
@@ -35,12 +35,13 @@ def local_clock_to_utc(trade_date: Column, hhmmssmmm: Column, zone: str = MARKET
 
     NULL unless the text is exactly nine digits with hour < 24, minute < 60, second < 60.
     """
-    hh = F.substring(hhmmssmmm, 1, 2).cast("int")
-    mi = F.substring(hhmmssmmm, 3, 2).cast("int")
-    ss = F.substring(hhmmssmmm, 5, 2).cast("int")
-    ms = F.substring(hhmmssmmm, 7, 3).cast("int")
+    hh = F.substring(hhmmssmmm, 1, 2).try_cast("int")
+    mi = F.substring(hhmmssmmm, 3, 2).try_cast("int")
+    ss = F.substring(hhmmssmmm, 5, 2).try_cast("int")
+    ms = F.substring(hhmmssmmm, 7, 3).try_cast("int")
     valid = hhmmssmmm.rlike(r"^\d{9}$") & (hh < 24) & (mi < 60) & (ss < 60) & trade_date.isNotNull()
-    secs = (ss.cast("decimal(8,6)") + ms.cast("decimal(8,6)") / F.lit(1000)).cast("decimal(8,6)")
+    millis = (ss * 1000 + ms).cast("decimal(12,0)")
+    secs = (millis / F.lit(1000)).cast("decimal(8,6)")
     local = F.try_make_timestamp_ntz(F.year(trade_date), F.month(trade_date),
                                      F.dayofmonth(trade_date), hh, mi, secs)
     return F.when(valid, F.convert_timezone(F.lit(zone), F.lit("UTC"), local))

@@ -15,16 +15,14 @@ from ticklake.schemas import (
 _INT_TEXT = r"^\s*[+-]?\d+\s*$"
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
-
 def _integer(text: Column, type_name: str) -> Column:
-    return F.when(text.rlike(_INT_TEXT), _strip(text).try_cast(type_name))
+    # The cast itself trims blanks; the pattern only rejects forms the cast would accept
+    # but an integer literal must not have (fractions).
+    return F.when(text.rlike(_INT_TEXT), text.try_cast(type_name))
 
 
 def parse_lines(lines: DataFrame, line_col: str = "raw_line") -> DataFrame:
-    """Add the nine typed trade columns and ``error`` (NULL for a good line).
+    """Add the nine typed trade columns, ``parsed_ok`` and ``error`` (NULL for a good line).
 
     Field order on the line: 0 reference date, 1 ticker, 2 action, 3 price (comma
     decimal), 4 quantity, 5 HHMMSSmmm market clock, 6 trade id, 7 session type,
@@ -32,60 +30,78 @@ def parse_lines(lines: DataFrame, line_col: str = "raw_line") -> DataFrame:
     The first failing field, in the order trade date, id, action, price, quantity, time,
     reference date, session type, names the error.
     """
-    fields = lines.withColumn("_f", F.split(F.col(line_col), ";", -1))
-    f = F.col("_f")
-    n = F.size(f)
+    line = F.col(line_col)
+    c = F.col
+    base = [x for x in lines.columns
+            if x not in TRADE_COLUMNS and x not in ("error", "parsed_ok", "_n", "_price_lossy")]
+    # Staged so that each step references columns produced below it. The single-row
+    # generators are evaluation barriers: the split is computed once per line, and a
+    # filter on ``parsed_ok`` stays above the parse instead of being pushed below it by
+    # re-inlining every parse expression into the predicate.
+    split = lines.select(*base, F.explode(F.array(F.split(line, ";", -1))).alias("_f"))
+    f = c("_f")
 
     def g(i: int) -> Column:
         return f.getItem(i)
 
-    trade_date = iso_date(g(8))
-    typed = fields.select(
-        "*",
-        g(1).alias("_ticker"),
-        trade_date.alias("_trade_date"),
-        _integer(g(6), "bigint").alias("_trade_id"),
-        _integer(g(2), "int").alias("_action"),
-        comma_decimal(g(3), PRICE).alias("_price"),
+    dated = split.select(*base, "_f", iso_date(g(8)).alias("_trade_date"))
+    typed = dated.select(
+        *base,
+        g(1).alias("ticker"),
+        _integer(g(6), "bigint").alias("trade_id"),
+        _integer(g(2), "int").alias("action"),
+        comma_decimal(g(3), PRICE).alias("price"),
+        _integer(g(4), "bigint").alias("quantity"),
+        local_clock_to_utc(c("_trade_date"), g(5)).alias("traded_at"),
+        c("_trade_date").alias("trade_date"),
+        iso_date(g(0)).alias("reference_date"),
+        _integer(g(7), "int").alias("session_type"),
+        F.size(f).alias("_n"),
         comma_decimal_is_lossy(g(3), PRICE).alias("_price_lossy"),
-        _integer(g(4), "bigint").alias("_quantity"),
-        local_clock_to_utc(trade_date, g(5)).alias("_traded_at"),
-        iso_date(g(0)).alias("_reference_date"),
-        _integer(g(7), "int").alias("_session_type"),
     )
+    ok = (c("_n") == TRADE_LINE_FIELDS) & line.isNotNull()
+    for name in TRADE_COLUMNS:
+        ok = ok & c(name).isNotNull()
+    row = F.struct(*TRADE_COLUMNS, "_n", "_price_lossy", ok.alias("parsed_ok"))
+    keep = base
+    parsed = typed.select(*base, F.inline(F.array(row)))
     c = F.col
-    reason = (F.when(c("_trade_date").isNull(), F.lit("bad_trade_date"))
-               .when(c("_trade_id").isNull(), F.lit("bad_trade_id"))
-               .when(c("_action").isNull(), F.lit("bad_action"))
-               .when(c("_price").isNull() & c("_price_lossy"), F.lit("price_scale"))
-               .when(c("_price").isNull(), F.lit("bad_price"))
-               .when(c("_quantity").isNull(), F.lit("bad_quantity"))
-               .when(c("_traded_at").isNull(), F.lit("bad_time"))
-               .when(c("_reference_date").isNull(), F.lit("bad_reference_date"))
-               .when(c("_session_type").isNull(), F.lit("bad_session_type")))
-    line = c(line_col)
+    reason = (F.when(c("trade_date").isNull(), F.lit("bad_trade_date"))
+               .when(c("trade_id").isNull(), F.lit("bad_trade_id"))
+               .when(c("action").isNull(), F.lit("bad_action"))
+               .when(c("price").isNull() & c("_price_lossy"), F.lit("price_scale"))
+               .when(c("price").isNull(), F.lit("bad_price"))
+               .when(c("quantity").isNull(), F.lit("bad_quantity"))
+               .when(c("traded_at").isNull(), F.lit("bad_time"))
+               .when(c("reference_date").isNull(), F.lit("bad_reference_date"))
+               .when(c("session_type").isNull(), F.lit("bad_session_type")))
     error = (F.when(line.isNull(), F.lit("null line"))
-              .when(n != TRADE_LINE_FIELDS, field_count_error(line, n, TRADE_LINE_FIELDS))
+              .when(c("_n") != TRADE_LINE_FIELDS, field_count_error(line, c("_n"), TRADE_LINE_FIELDS))
               .otherwise(F.when(reason.isNotNull(), reason_error(reason, line))))
-    keep = [x for x in lines.columns if x not in TRADE_COLUMNS and x != "error"]
-    return typed.select(
-        *keep,
-        *[c(f"_{name}").alias(name) for name in TRADE_COLUMNS],
-        error.alias("error"),
-    )
+    return parsed.select(*keep, *TRADE_COLUMNS, "parsed_ok", error.alias("error"))
 
 
 def parse_trades(lines: DataFrame, line_col: str = "raw_line") -> tuple[DataFrame, DataFrame]:
     """(good trades, malformed lines with their error) from one parse."""
     parsed = parse_lines(lines, line_col)
-    return parsed.filter(F.col("error").isNull()), parsed.filter(F.col("error").isNotNull())
+    return good_rows(parsed), bad_rows(parsed)
+
+
+def good_rows(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("parsed_ok")).drop("parsed_ok", "error")
+
+
+def bad_rows(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(~F.col("parsed_ok")).drop("parsed_ok")
 
 
 def dead_letters(malformed: DataFrame) -> DataFrame:
-    """Dead-letter envelope: enough context to inspect and reprocess a line."""
+    """Dead-letter envelope: enough context to inspect and reprocess a line. ``ticker``
+    is the tracked ticker whose file held the line, not whatever field 1 says."""
     return malformed.select(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
-        "ticker", "session_date", "filename", "source", "error", "raw_line",
+        F.col("file_ticker").alias("ticker"),
+        "session_date", "filename", "source", "error", "raw_line",
     ).select(*DEAD_LETTER_COLUMNS)
 
 

@@ -43,3 +43,38 @@ QUERIES: dict[str, Query] = {
     "last_price": q_last_price,
     "session_summary": q_session_summary,
 }
+
+
+def _parsed(spark, sf_dir):
+    from ticklake.operators import parse
+    return parse.parse_lines(derived.trade_lines(spark, sf_dir))
+
+
+def q_parse_trade_lines(spark, sf_dir):
+    from ticklake.schemas import TRADE_COLUMNS
+    from ticklake.operators import parse
+    return parse.good_rows(_parsed(spark, sf_dir)).select("filename", *TRADE_COLUMNS)
+
+
+def q_dead_letters(spark, sf_dir):
+    from ticklake.operators import parse
+    return parse.dead_letters(parse.bad_rows(_parsed(spark, sf_dir)))
+
+
+def q_trade_events_json(spark, sf_dir):
+    from ticklake.operators import parse
+    return parse.trade_event_json(parse.good_rows(_parsed(spark, sf_dir)), "eod_file")
+
+
+def q_decode_events(spark, sf_dir):
+    from ticklake.sources import events
+    return events.decode_values(derived.raw_event_values(spark, sf_dir), "k BIGINT") \
+        .select("event_id", "k")
+
+
+QUERIES.update({
+    "parse_trade_lines": q_parse_trade_lines,
+    "dead_letters": q_dead_letters,
+    "trade_events_json": q_trade_events_json,
+    "decode_events": q_decode_events,
+})

@@ -84,3 +84,149 @@ SELECT ticker, trade_date, count(*) AS events FROM trades_raw GROUP BY ticker, t
     "session_summary": with_ctes(TRADES_RAW, TRADES_CLEAN, SESSION_SUMMARY,
                                  body="SELECT * FROM session_summary"),
 }
+
+
+def py_repr(x: str) -> str:
+    """DuckDB expression for Python's repr of a printable string."""
+    esc = f"replace({x}, '\\', '\\\\')"
+    return (f"CASE WHEN contains({x}, '''') AND NOT contains({x}, '\"') "
+            f"THEN '\"' || {esc} || '\"' "
+            f"ELSE '''' || replace({esc}, '''', '\\''') || '''' END")
+
+
+def iso_instant(x: str) -> str:
+    frac = f"((epoch_us({x}) % 1000000) + 1000000) % 1000000"
+    return (f"CASE WHEN {x} IS NOT NULL THEN strftime({x}, '%Y-%m-%dT%H:%M:%S') || "
+            f"CASE WHEN {frac} <> 0 THEN '.' || lpad(CAST({frac} AS VARCHAR), 6, '0') ELSE '' END"
+            f" || '+00:00' END")
+
+
+TRADE_LINES = f"""
+li AS (
+  SELECT *, {TK.format(k='l_suppkey')} AS ticker,
+         CAST(date_trunc('month', l_shipdate) AS DATE) AS trade_date,
+         CAST(date_trunc('month', l_shipdate) AS DATE) + CAST(l_linenumber % 2 AS INTEGER)
+           AS session_date
+  FROM lineitem
+),
+trade_lines AS (
+  SELECT ticker, session_date,
+         strftime(session_date, '%d-%m-%Y') || '_NEGOCIOSAVISTA_' || ticker || '.txt' AS filename,
+         'eod_file' AS source,
+         l_orderkey * 10 + l_linenumber AS line_no,
+         concat_ws(';',
+           CASE WHEN l_orderkey % 101 <> 0 THEN CAST(session_date AS VARCHAR) END,
+           ticker,
+           CASE WHEN l_returnflag = 'R' THEN '2' ELSE '0' END,
+           CASE WHEN l_orderkey % 103 = 0 THEN 'not-a-price'
+                ELSE replace(CAST(CAST(l_extendedprice AS DECIMAL(18,3)) AS VARCHAR), '.', ',') END,
+           CAST(CAST(l_quantity AS BIGINT) AS VARCHAR),
+           CASE WHEN l_orderkey % 107 = 0 THEN '1007'
+                ELSE lpad(CAST(l_linenumber + 10 AS VARCHAR), 2, '0')
+                  || lpad(CAST(l_orderkey % 60 AS VARCHAR), 2, '0')
+                  || lpad(CAST(l_partkey % 60 AS VARCHAR), 2, '0')
+                  || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') END,
+           CAST(l_orderkey * 10 + l_linenumber AS VARCHAR),
+           CASE WHEN l_linestatus = 'O' THEN '6' ELSE '1' END,
+           CAST(trade_date AS VARCHAR),
+           CAST(l_partkey % 100 AS VARCHAR),
+           CASE WHEN l_suppkey % 7 = 0 THEN '' ELSE CAST(l_suppkey % 1000 AS VARCHAR) END
+         ) AS raw_line
+  FROM li
+)"""
+
+
+def _iso_date(x: str) -> str:
+    return (f"CASE WHEN regexp_full_match({x}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN TRY_CAST({x} AS DATE) "
+            f"WHEN regexp_full_match({x}, '\\d{{8}}') THEN CAST(TRY_STRPTIME({x}, '%Y%m%d') AS DATE) END")
+
+
+def _int(x: str, t: str) -> str:
+    return f"CASE WHEN regexp_full_match({x}, '\\s*[+-]?\\d+\\s*') THEN TRY_CAST(trim({x}) AS {t}) END"
+
+
+PARSED_LINES = f"""
+split_lines AS (
+  SELECT *, string_split(raw_line, ';') AS f FROM trade_lines
+),
+fields AS (
+  SELECT *, len(f) AS n,
+         {_iso_date('f[9]')} AS p_trade_date,
+         {_int('f[7]', 'BIGINT')} AS p_trade_id,
+         {_int('f[3]', 'INTEGER')} AS p_action,
+         replace(f[4], ',', '.') AS price_txt,
+         {_int('f[5]', 'BIGINT')} AS p_quantity,
+         f[6] AS clock,
+         {_iso_date('f[1]')} AS p_reference_date,
+         {_int('f[8]', 'INTEGER')} AS p_session_type
+  FROM split_lines
+),
+typed AS (
+  SELECT *,
+    CASE WHEN regexp_full_match(price_txt, '\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*')
+          AND TRY_CAST(trim(price_txt) AS DECIMAL(38,18)) = TRY_CAST(trim(price_txt) AS DECIMAL(18,3))
+         THEN TRY_CAST(trim(price_txt) AS DECIMAL(18,3)) END AS p_price,
+    CASE WHEN regexp_full_match(clock, '\\d{{9}}')
+          AND CAST(substr(clock, 1, 2) AS INT) < 24 AND CAST(substr(clock, 3, 2) AS INT) < 60
+          AND CAST(substr(clock, 5, 2) AS INT) < 60 AND p_trade_date IS NOT NULL
+         THEN timezone('UTC', timezone('America/Sao_Paulo',
+                CAST(p_trade_date AS TIMESTAMP) + to_microseconds(
+                  CAST(substr(clock, 1, 2) AS BIGINT) * 3600000000
+                + CAST(substr(clock, 3, 2) AS BIGINT) * 60000000
+                + CAST(substr(clock, 5, 2) AS BIGINT) * 1000000
+                + CAST(substr(clock, 7, 3) AS BIGINT) * 1000)))
+    END AS p_traded_at
+  FROM fields
+),
+parsed AS (
+  SELECT ticker AS file_ticker, session_date, filename, source, line_no, raw_line,
+         f[2] AS ticker, p_trade_id AS trade_id, p_action AS "action", p_price AS price,
+         p_quantity AS quantity, p_traded_at AS traded_at, p_trade_date AS trade_date,
+         p_reference_date AS reference_date, p_session_type AS session_type,
+         CASE WHEN n <> 11 THEN 'expected 11 fields, got ' || CAST(n AS VARCHAR) || ': ' || {py_repr('raw_line')}
+              ELSE CASE WHEN p_trade_date IS NULL THEN 'bad_trade_date'
+                        WHEN p_trade_id IS NULL THEN 'bad_trade_id'
+                        WHEN p_action IS NULL THEN 'bad_action'
+                        WHEN p_price IS NULL AND TRY_CAST(trim(price_txt) AS DECIMAL(38,18)) IS NOT NULL
+                             AND regexp_full_match(price_txt, '\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*')
+                          THEN 'price_scale'
+                        WHEN p_price IS NULL THEN 'bad_price'
+                        WHEN p_quantity IS NULL THEN 'bad_quantity'
+                        WHEN p_traded_at IS NULL THEN 'bad_time'
+                        WHEN p_reference_date IS NULL THEN 'bad_reference_date'
+                        WHEN p_session_type IS NULL THEN 'bad_session_type'
+                   END || ': ' || {py_repr('raw_line')}
+         END AS error
+  FROM typed
+)"""
+
+ORACLE["parse_trade_lines"] = with_ctes(TRADE_LINES, PARSED_LINES, body="""
+SELECT filename, ticker, trade_id, "action", price, quantity, traded_at, trade_date,
+       reference_date, session_type
+FROM parsed WHERE error IS NULL""")
+
+ORACLE["dead_letters"] = with_ctes(TRADE_LINES, PARSED_LINES, body="""
+SELECT 1 AS schema_version, file_ticker AS ticker, session_date, filename, source, error, raw_line
+FROM parsed WHERE error IS NOT NULL""")
+
+ORACLE["trade_events_json"] = with_ctes(TRADE_LINES, PARSED_LINES, body=f"""
+SELECT ticker AS "key",
+       CAST(json_object('schema_version', 1, 'ticker', ticker, 'trade_id', trade_id,
+                   'action', "action", 'price', CAST(price AS VARCHAR), 'quantity', quantity,
+                   'traded_at', {iso_instant('traded_at')},
+                   'trade_date', CAST(trade_date AS VARCHAR),
+                   'reference_date', CAST(reference_date AS VARCHAR),
+                   'session_type', session_type, 'source', 'eod_file') AS VARCHAR) AS "value"
+FROM parsed WHERE error IS NULL""")
+
+ORACLE["decode_events"] = """
+WITH v AS (
+  SELECT event_id,
+         CASE event_id % 50 WHEN 0 THEN 'not json' WHEN 1 THEN '[1,2]' WHEN 2 THEN '{"k":"abc"}'
+              WHEN 3 THEN '{"foo":1}' ELSE props END AS value
+  FROM events
+)
+SELECT event_id,
+       CASE WHEN json_valid(value) AND json_type(CAST(value AS JSON)) = 'OBJECT'
+            THEN TRY_CAST(json_extract_string(value, '$.k') AS BIGINT) END AS k
+FROM v"""

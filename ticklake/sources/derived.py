@@ -83,7 +83,7 @@ def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(sk % 7 == 0, F.lit("")).otherwise((sk % 1000).cast("string")),
     ]
     return li.select(
-        ticker.alias("ticker"),
+        ticker.alias("file_ticker"),
         session_date.alias("session_date"),
         F.concat(F.date_format(session_date, "dd-MM-yyyy"), F.lit("_NEGOCIOSAVISTA_"), ticker,
                  F.lit(".txt")).alias("filename"),
@@ -272,7 +272,7 @@ def download_manifest(lines: DataFrame) -> DataFrame:
     403; TK13 in December -> 503; TK05 on day 1 of quarter-end months -> 200 without a
     content-disposition; TK11 in January and February -> 200 with an empty body.
     """
-    files = lines.groupBy("ticker", "session_date").agg(
+    files = lines.groupBy(F.col("file_ticker").alias("ticker"), "session_date").agg(
         F.sum(F.length("raw_line") + 1).cast("bigint").alias("body_bytes"))
     day = F.dayofmonth("session_date")
     month = F.month("session_date")

@@ -23,3 +23,15 @@ def gold(spark: SparkSession, path: str, live_only: bool = True) -> DataFrame:
     if live_only and "is_marker" in df.columns:
         df = df.filter("NOT is_marker").drop("is_marker")
     return df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over the cluster when it arrived in fewer splits than there are
+    cores (a few large single-row-group files), so CPU-heavy per-row work (line parsing)
+    runs in parallel. A scan of many files already has enough splits and is returned
+    untouched: no extra shuffle at scale."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
