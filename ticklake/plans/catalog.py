@@ -78,3 +78,65 @@ QUERIES.update({
     "trade_events_json": q_trade_events_json,
     "decode_events": q_decode_events,
 })
+
+
+def _good_trades(spark, sf_dir):
+    from ticklake.operators import parse
+    from ticklake.sources.tables import spread
+    return parse.good_rows(parse.parse_lines(spread(derived.trade_lines(spark, sf_dir))))
+
+
+def _cursor0(spark, sf_dir):
+    """Cursor left by an earlier poll that published line numbers 1-3 of every order."""
+    from pyspark.sql import functions as F
+    from ticklake.operators import cursor
+    first = derived.trade_events(spark, sf_dir).filter(F.col("trade_id") % 10 <= 3)
+    return cursor.updates(first)
+
+
+def q_cursor_filter(spark, sf_dir):
+    from ticklake.operators import cursor
+    from ticklake.schemas import TRADE_COLUMNS
+    return cursor.filter_new(_good_trades(spark, sf_dir), _cursor0(spark, sf_dir)) \
+        .select("filename", *TRADE_COLUMNS)
+
+
+def q_cursor_updates(spark, sf_dir):
+    from ticklake.operators import cursor
+    published = cursor.filter_new(_good_trades(spark, sf_dir), _cursor0(spark, sf_dir))
+    return cursor.updates(published)
+
+
+def q_cursor_fold(spark, sf_dir):
+    from ticklake.operators import cursor
+    return cursor.fold_log(derived.cursor_log(spark, sf_dir))
+
+
+def q_replay_counts(spark, sf_dir):
+    """Apply the cursor twice to the same files. The second pass publishes no new
+    trade, only the cancellations (which always pass and are deduplicated downstream)."""
+    from pyspark.sql import functions as F
+    from ticklake.operators import cursor
+    trades = _good_trades(spark, sf_dir)
+    c0 = _cursor0(spark, sf_dir)
+    first = cursor.filter_new(trades, c0)
+    c1 = cursor.advance(c0, cursor.updates(first))
+    second = cursor.filter_new(trades, c1)
+
+    def counts(df, prefix):
+        return df.groupBy("ticker", "trade_date").agg(
+            F.count_if(F.col("action") != 2).alias(f"{prefix}_new"),
+            F.count_if(F.col("action") == 2).alias(f"{prefix}_cancels"))
+
+    return (counts(first, "first").join(counts(second, "replay"), ["ticker", "trade_date"], "full")
+            .select("ticker", "trade_date",
+                    *[F.coalesce(c, F.lit(0)).alias(c) for c in
+                      ("first_new", "first_cancels", "replay_new", "replay_cancels")]))
+
+
+QUERIES.update({
+    "cursor_filter": q_cursor_filter,
+    "cursor_updates": q_cursor_updates,
+    "cursor_fold": q_cursor_fold,
+    "replay_counts": q_replay_counts,
+})

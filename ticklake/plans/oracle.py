@@ -230,3 +230,63 @@ SELECT event_id,
        CASE WHEN json_valid(value) AND json_type(CAST(value AS JSON)) = 'OBJECT'
             THEN TRY_CAST(json_extract_string(value, '$.k') AS BIGINT) END AS k
 FROM v"""
+
+CURSOR0 = """
+cursor0 AS (
+  SELECT ticker, trade_date, greatest(max(trade_id), 0) AS max_trade_id
+  FROM trades_raw WHERE trade_id % 10 <= 3 AND "action" <> 2
+  GROUP BY ticker, trade_date
+),
+good AS (SELECT * FROM parsed WHERE error IS NULL),
+published AS (
+  SELECT g.* FROM good g LEFT JOIN cursor0 c USING (ticker, trade_date)
+  WHERE g."action" = 2 OR g.trade_id > coalesce(c.max_trade_id, 0)
+)"""
+
+ORACLE["cursor_filter"] = with_ctes(TRADES_RAW, TRADE_LINES, PARSED_LINES, CURSOR0, body="""
+SELECT filename, ticker, trade_id, "action", price, quantity, traded_at, trade_date,
+       reference_date, session_type FROM published""")
+
+ORACLE["cursor_updates"] = with_ctes(TRADES_RAW, TRADE_LINES, PARSED_LINES, CURSOR0, body="""
+SELECT ticker || ':' || CAST(trade_date AS VARCHAR) AS "key", ticker, trade_date,
+       CAST(greatest(max(trade_id), 0) AS BIGINT) AS max_trade_id
+FROM published WHERE "action" <> 2 GROUP BY ticker, trade_date""")
+
+ORACLE["cursor_fold"] = """
+WITH log AS (
+  SELECT 'U' || CAST(user_id AS VARCHAR) AS "key",
+         CASE WHEN event_type = 'error' THEN NULL
+              ELSE '{"max_trade_id": ' || json_extract_string(props, '$.k') || '}' END AS "value",
+         CAST(user_id % 12 AS INTEGER) AS "partition", event_id AS "offset"
+  FROM events
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY "key" ORDER BY "partition" DESC, "offset" DESC) AS rn
+  FROM log
+)
+SELECT "key", CAST(json_extract("value", '$.max_trade_id') AS BIGINT) AS max_trade_id
+FROM ranked WHERE rn = 1 AND "value" IS NOT NULL"""
+
+ORACLE["replay_counts"] = with_ctes(TRADES_RAW, TRADE_LINES, PARSED_LINES, CURSOR0, body="""
+, upd AS (
+  SELECT ticker, trade_date, greatest(max(trade_id), 0) AS max_trade_id
+  FROM published WHERE "action" <> 2 GROUP BY ticker, trade_date
+),
+cursor1 AS (
+  SELECT ticker, trade_date, greatest(c.max_trade_id, u.max_trade_id) AS max_trade_id
+  FROM cursor0 c FULL JOIN upd u USING (ticker, trade_date)
+),
+second AS (
+  SELECT g.* FROM good g LEFT JOIN cursor1 c USING (ticker, trade_date)
+  WHERE g."action" = 2 OR g.trade_id > coalesce(c.max_trade_id, 0)
+),
+a AS (SELECT ticker, trade_date, count(*) FILTER (WHERE "action" <> 2) AS first_new,
+             count(*) FILTER (WHERE "action" = 2) AS first_cancels
+      FROM published GROUP BY ALL),
+b AS (SELECT ticker, trade_date, count(*) FILTER (WHERE "action" <> 2) AS replay_new,
+             count(*) FILTER (WHERE "action" = 2) AS replay_cancels
+      FROM second GROUP BY ALL)
+SELECT ticker, trade_date, coalesce(first_new, 0) AS first_new,
+       coalesce(first_cancels, 0) AS first_cancels, coalesce(replay_new, 0) AS replay_new,
+       coalesce(replay_cancels, 0) AS replay_cancels
+FROM a FULL JOIN b USING (ticker, trade_date)""")
