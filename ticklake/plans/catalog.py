@@ -140,3 +140,58 @@ QUERIES.update({
     "cursor_fold": q_cursor_fold,
     "replay_counts": q_replay_counts,
 })
+
+
+def _unwrapped(spark, sf_dir):
+    from ticklake.operators import dividends
+    return dividends.unwrap_supplement(derived.supplement_documents(spark, sf_dir))
+
+
+def q_parse_cash_dividends(spark, sf_dir):
+    from ticklake.operators import dividends as dv
+    rows = dv.parse_cash_rows(_unwrapped(spark, sf_dir))
+    return dv.for_tracked(rows, derived.tracked_tickers(spark, sf_dir), dv.CASH_COLUMNS)
+
+
+def q_parse_stock_dividends(spark, sf_dir):
+    from ticklake.operators import dividends as dv
+    rows = dv.parse_stock_rows(_unwrapped(spark, sf_dir))
+    return dv.for_tracked(rows, derived.tracked_tickers(spark, sf_dir), dv.STOCK_COLUMNS)
+
+
+def q_supplement_errors(spark, sf_dir):
+    from ticklake.operators import dividends as dv
+    return dv.supplement_errors(_unwrapped(spark, sf_dir)).select("doc_id", "row_no", "error")
+
+
+def _cash(spark, sf_dir):
+    return derived.cash_dividends(spark, sf_dir, SYNCED_AT)
+
+
+def _last_price(spark, sf_dir):
+    return views.last_price(_clean(spark, sf_dir))
+
+
+def q_dividend_status(spark, sf_dir):
+    from ticklake.operators import dividends as dv
+    return dv.statuses(_cash(spark, sf_dir), AS_OF)
+
+
+def q_pending_dividends(spark, sf_dir):
+    from ticklake.operators import dividends as dv
+    return dv.pending(_cash(spark, sf_dir), _last_price(spark, sf_dir), AS_OF)
+
+
+def q_pending_dividends_one(spark, sf_dir):
+    from ticklake.operators import dividends as dv
+    return dv.pending(_cash(spark, sf_dir), _last_price(spark, sf_dir), AS_OF, ticker=" tk04 ")
+
+
+QUERIES.update({
+    "parse_cash_dividends": q_parse_cash_dividends,
+    "parse_stock_dividends": q_parse_stock_dividends,
+    "supplement_errors": q_supplement_errors,
+    "dividend_status": q_dividend_status,
+    "pending_dividends": q_pending_dividends,
+    "pending_dividends_one": q_pending_dividends_one,
+})

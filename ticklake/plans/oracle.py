@@ -290,3 +290,87 @@ SELECT ticker, trade_date, coalesce(first_new, 0) AS first_new,
        coalesce(first_cancels, 0) AS first_cancels, coalesce(replay_new, 0) AS replay_new,
        coalesce(replay_cancels, 0) AS replay_cancels
 FROM a FULL JOIN b USING (ticker, trade_date)""")
+
+TODAY = f"CAST(timezone('America/Sao_Paulo', timezone('UTC', TIMESTAMP '{AS_OF}')) AS DATE)"
+
+ORDERS_DIV = f"""
+ord AS (
+  SELECT *, {TK.format(k='o_custkey')} AS ticker, CAST(o_orderdate AS DATE) AS d,
+         'BR' || substr({TK.format(k='o_custkey')}, 1, 3)
+           || CASE WHEN o_orderkey % 2 = 0 THEN 'ACNOR' ELSE 'ACNPR' END
+           || CAST(o_orderkey % 10 AS VARCHAR) AS isin,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'JRS CAP PROPRIO' WHEN '2-HIGH' THEN 'RENDIMENTO'
+              ELSE 'DIVIDENDO' END AS label,
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.01 AS DECIMAL(20,11)) AS rate,
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.1 AS DECIMAL(20,11)) AS factor,
+         CASE o_orderkey % 3 WHEN 0 THEN 'DESDOBRAMENTO' WHEN 1 THEN 'GRUPAMENTO'
+              ELSE 'BONIFICACAO' END AS stock_label
+  FROM orders
+),
+cash_dividends AS (
+  SELECT ticker, isin, label, rate, d AS approved_on, d + 10 AS last_date_prior,
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE d + 60 END AS payment_date,
+         'Anual/' || CAST(year(d) AS VARCHAR) AS related_to,
+         TIMESTAMP '{SYNCED_AT}' AS synced_at
+  FROM ord
+),
+stock_dividends AS (
+  SELECT ticker, isin, stock_label AS label, factor, d AS approved_on, d + 10 AS last_date_prior,
+         TIMESTAMP '{SYNCED_AT}' AS synced_at
+  FROM ord WHERE o_orderpriority = '5-LOW'
+)"""
+
+# Share class kept: ticker digit 3 with ACNOR, digit 4 with ACNPR.
+CLASS_MATCH = """(isin LIKE 'BR' || substr(ticker, 1, 3)
+       || CASE substr(ticker, 4, 1) WHEN '3' THEN 'ACNOR' WHEN '4' THEN 'ACNPR' END || '%')"""
+
+ORACLE["parse_cash_dividends"] = with_ctes(ORDERS_DIV, body=f"""
+SELECT DISTINCT ticker, isin, label, rate, approved_on, last_date_prior, payment_date, related_to
+FROM cash_dividends WHERE coalesce({CLASS_MATCH}, false)""")
+
+ORACLE["parse_stock_dividends"] = with_ctes(ORDERS_DIV, body=f"""
+SELECT DISTINCT ticker, isin, label, factor, approved_on, last_date_prior
+FROM stock_dividends WHERE coalesce({CLASS_MATCH}, false)""")
+
+ORACLE["supplement_errors"] = """
+SELECT o_orderkey AS doc_id, 1 AS row_no,
+       'bad cash dividend row: missing isinCode,label,rate,approvedOn,lastDatePrior,paymentDate'
+         AS error
+FROM orders WHERE o_orderkey % 13 = 0"""
+
+ORACLE["dividend_status"] = with_ctes(ORDERS_DIV, body=f"""
+SELECT ticker, isin, label, approved_on, last_date_prior, payment_date,
+       (payment_date IS NULL OR payment_date > {TODAY}) AS pending,
+       CASE WHEN {TODAY} <= last_date_prior THEN 'with_rights' ELSE 'pending_payment' END
+         AS status_sql,
+       CASE WHEN {TODAY} <= last_date_prior THEN 'with_rights'
+            WHEN payment_date IS NULL OR payment_date > {TODAY} THEN 'pending_payment'
+            ELSE 'paid' END AS status
+FROM cash_dividends""")
+
+PENDING_BODY = f"""
+SELECT d.ticker, d.label AS "type",
+       CASE WHEN {TODAY} <= d.last_date_prior THEN 'with_rights' ELSE 'pending_payment' END
+         AS status,
+       CAST(d.rate AS VARCHAR) AS gross_per_share,
+       CASE WHEN d.label = 'JRS CAP PROPRIO' THEN CAST(d.rate * 0.85 AS VARCHAR)
+            ELSE CAST(d.rate AS VARCHAR) END AS net_per_share,
+       CASE WHEN d.label = 'JRS CAP PROPRIO'
+            THEN 'JCP: 15% IRRF withheld at source; published rate is gross'
+            ELSE 'dividends currently exempt from IRRF for individuals' END AS tax_note,
+       CAST(d.approved_on AS VARCHAR) AS approved_on,
+       CAST(d.last_date_prior AS VARCHAR) AS buy_by,
+       CAST(d.payment_date AS VARCHAR) AS payment_date,
+       d.payment_date IS NULL AS payment_tbd,
+       round(CAST(d.rate AS DOUBLE) / CAST(p.price AS DOUBLE), 6) AS yield_on_last_price,
+       CAST(p.price AS VARCHAR) AS last_price,
+       {iso_instant('p.traded_at')} AS price_as_of
+FROM cash_dividends d JOIN last_price p USING (ticker)
+WHERE (d.payment_date IS NULL OR d.payment_date > {TODAY}) {{extra}}
+ORDER BY d.ticker, d.payment_date NULLS LAST"""
+
+ORACLE["pending_dividends"] = with_ctes(
+    TRADES_RAW, TRADES_CLEAN, LAST_PRICE, ORDERS_DIV, body=PENDING_BODY.format(extra=""))
+ORACLE["pending_dividends_one"] = with_ctes(
+    TRADES_RAW, TRADES_CLEAN, LAST_PRICE, ORDERS_DIV,
+    body=PENDING_BODY.format(extra="AND d.ticker = upper(trim(' tk04 '))"))
