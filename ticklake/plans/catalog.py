@@ -195,3 +195,142 @@ QUERIES.update({
     "pending_dividends": q_pending_dividends,
     "pending_dividends_one": q_pending_dividends_one,
 })
+
+
+def _summary(spark, sf_dir):
+    return views.session_summary(_clean(spark, sf_dir))
+
+
+def q_latest_session(spark, sf_dir):
+    return views.latest_session(_summary(spark, sf_dir))
+
+
+def _documents(spark, sf_dir, as_of):
+    from ticklake.operators import serving
+    return serving.ticker_documents(_last_price(spark, sf_dir), _summary(spark, sf_dir),
+                                    _cash(spark, sf_dir), as_of)
+
+
+def q_ticker_documents(spark, sf_dir):
+    return _documents(spark, sf_dir, AS_OF)
+
+
+def q_changed_documents(spark, sf_dir):
+    from ticklake.operators import serving
+    before = serving.document_etags(_documents(spark, sf_dir, PREV_AS_OF))
+    now = serving.document_etags(_documents(spark, sf_dir, AS_OF))
+    return serving.changed_documents(before, now)
+
+
+def q_unknown_tickers(spark, sf_dir):
+    from ticklake.operators import serving
+    return serving.unknown_tickers(derived.ticker_requests(spark, sf_dir), _last_price(spark, sf_dir))
+
+
+def q_health_report(spark, sf_dir):
+    from ticklake.operators import serving
+    return serving.health(spark, _last_price(spark, sf_dir), _cash(spark, sf_dir),
+                          _summary(spark, sf_dir), AS_OF)
+
+
+def q_dividend_radar(spark, sf_dir):
+    from ticklake.operators import radar
+    return radar.radar(_cash(spark, sf_dir), _last_price(spark, sf_dir), AS_OF)
+
+
+def q_radar_headline(spark, sf_dir):
+    from ticklake.operators import radar
+    cash, lp = _cash(spark, sf_dir), _last_price(spark, sf_dir)
+    return radar.headline(radar.radar(cash, lp, AS_OF), cash, lp, AS_OF)
+
+
+def q_radar_events(spark, sf_dir):
+    from ticklake.operators import radar
+    return radar.event_rows(_cash(spark, sf_dir), _last_price(spark, sf_dir), AS_OF)
+
+
+def q_day_change(spark, sf_dir):
+    from ticklake.operators import radar
+    return radar.day_change(views.latest_session(_summary(spark, sf_dir)))
+
+
+def q_range_position(spark, sf_dir):
+    from ticklake.operators import radar
+    return radar.range_position(views.latest_session(_summary(spark, sf_dir)),
+                                _last_price(spark, sf_dir))
+
+
+def q_trading_calendar(spark, sf_dir):
+    from ticklake.operators import audit
+    runs = derived.trade_events(spark, sf_dir).select(
+        F_col("reference_date").alias("run_date")).distinct()
+    return audit.trading_calendar(runs)
+
+
+def _published(spark, sf_dir):
+    from ticklake.operators import cursor
+    return cursor.filter_new(_good_trades(spark, sf_dir), _cursor0(spark, sf_dir))
+
+
+def q_publish_audit(spark, sf_dir):
+    from ticklake.operators import audit
+    return audit.publish_audit(_good_trades(spark, sf_dir), _published(spark, sf_dir))
+
+
+def q_backfill_progress(spark, sf_dir):
+    from ticklake.operators import audit
+    rows = audit.publish_audit(_good_trades(spark, sf_dir), _published(spark, sf_dir))
+    return audit.backfill_progress(rows, derived.trade_lines(spark, sf_dir))
+
+
+def _stock(spark, sf_dir):
+    return derived.stock_dividends(spark, sf_dir, SYNCED_AT)
+
+
+def q_action_audit(spark, sf_dir):
+    from ticklake.operators import audit
+    return audit.action_audit(_cash(spark, sf_dir), _stock(spark, sf_dir), AS_OF)
+
+
+def q_constraint_violations(spark, sf_dir):
+    from ticklake.operators import audit
+    tables = {
+        "last_price": _last_price(spark, sf_dir),
+        "session_summary": _summary(spark, sf_dir),
+        "cash_dividends": _cash(spark, sf_dir),
+        "stock_dividends": _stock(spark, sf_dir),
+        "tracked_tickers": derived.tracked_tickers(spark, sf_dir),
+    }
+    from ticklake.schemas import KEYS, NOT_NULL
+    not_null, keys = NOT_NULL, KEYS
+    return audit.constraint_violations(tables, not_null, keys)
+
+
+def q_download_classes(spark, sf_dir):
+    from ticklake.operators import audit
+    return audit.classify_downloads(derived.download_manifest(derived.trade_lines(spark, sf_dir)))
+
+
+def F_col(name):
+    from pyspark.sql import functions as F
+    return F.col(name)
+
+
+QUERIES.update({
+    "latest_session": q_latest_session,
+    "ticker_documents": q_ticker_documents,
+    "changed_documents": q_changed_documents,
+    "unknown_tickers": q_unknown_tickers,
+    "health_report": q_health_report,
+    "dividend_radar": q_dividend_radar,
+    "radar_headline": q_radar_headline,
+    "radar_events": q_radar_events,
+    "day_change": q_day_change,
+    "range_position": q_range_position,
+    "trading_calendar": q_trading_calendar,
+    "publish_audit": q_publish_audit,
+    "backfill_progress": q_backfill_progress,
+    "action_audit": q_action_audit,
+    "constraint_violations": q_constraint_violations,
+    "download_classes": q_download_classes,
+})

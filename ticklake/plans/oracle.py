@@ -374,3 +374,289 @@ ORACLE["pending_dividends"] = with_ctes(
 ORACLE["pending_dividends_one"] = with_ctes(
     TRADES_RAW, TRADES_CLEAN, LAST_PRICE, ORDERS_DIV,
     body=PENDING_BODY.format(extra="AND d.ticker = upper(trim(' tk04 '))"))
+
+
+def today_sql(as_of: str) -> str:
+    return f"CAST(timezone('America/Sao_Paulo', timezone('UTC', TIMESTAMP '{as_of}')) AS DATE)"
+
+
+def pending_rows_sql(as_of: str) -> str:
+    t = today_sql(as_of)
+    return f"""
+SELECT d.ticker, d.label AS "type",
+       CASE WHEN {t} <= d.last_date_prior THEN 'with_rights' ELSE 'pending_payment' END AS status,
+       CAST(d.rate AS VARCHAR) AS gross_per_share,
+       CASE WHEN d.label = 'JRS CAP PROPRIO' THEN CAST(d.rate * 0.85 AS VARCHAR)
+            ELSE CAST(d.rate AS VARCHAR) END AS net_per_share,
+       CASE WHEN d.label = 'JRS CAP PROPRIO'
+            THEN 'JCP: 15% IRRF withheld at source; published rate is gross'
+            ELSE 'dividends currently exempt from IRRF for individuals' END AS tax_note,
+       CAST(d.approved_on AS VARCHAR) AS approved_on,
+       CAST(d.last_date_prior AS VARCHAR) AS buy_by,
+       CAST(d.payment_date AS VARCHAR) AS payment_date,
+       d.payment_date IS NULL AS payment_tbd,
+       round(CAST(d.rate AS DOUBLE) / CAST(p.price AS DOUBLE), 6) AS yield_on_last_price
+FROM cash_dividends d JOIN last_price p USING (ticker)
+WHERE d.payment_date IS NULL OR d.payment_date > {t}"""
+
+
+LATEST_SESSION = """
+latest_session AS (
+  SELECT ticker, trade_date, "open", high, low, "close", quantity, financial_volume, trades
+  FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY trade_date DESC) AS rn
+        FROM session_summary) WHERE rn = 1
+)"""
+
+
+def documents_sql(as_of: str) -> str:
+    return f"""
+SELECT p.ticker, CAST(p.price AS VARCHAR) AS last_price, {iso_instant('p.traded_at')} AS price_as_of,
+       CAST(s.trade_date AS VARCHAR) AS session_date, CAST(s."open" AS VARCHAR) AS session_open,
+       CAST(s.high AS VARCHAR) AS session_high, CAST(s.low AS VARCHAR) AS session_low,
+       CAST(s."close" AS VARCHAR) AS session_close, s.quantity AS session_quantity,
+       CAST(s.financial_volume AS VARCHAR) AS session_financial_volume,
+       s.trades AS session_trades,
+       i."type", i.status, i.gross_per_share, i.net_per_share, i.tax_note, i.approved_on,
+       i.buy_by, i.payment_date, i.payment_tbd, i.yield_on_last_price
+FROM last_price p LEFT JOIN latest_session s USING (ticker)
+     LEFT JOIN ({pending_rows_sql(as_of)}) i USING (ticker)"""
+
+
+SERVING = (TRADES_RAW, TRADES_CLEAN, LAST_PRICE, SESSION_SUMMARY, LATEST_SESSION, ORDERS_DIV)
+
+ORACLE["latest_session"] = with_ctes(TRADES_RAW, TRADES_CLEAN, SESSION_SUMMARY, LATEST_SESSION,
+                                     body="SELECT * FROM latest_session")
+ORACLE["ticker_documents"] = with_ctes(*SERVING, body=documents_sql(AS_OF))
+
+
+def _etags(as_of: str) -> str:
+    hdr = ["last_price", "price_as_of", "session_date", "session_open", "session_high",
+           "session_low", "session_close", "CAST(session_quantity AS VARCHAR)",
+           "session_financial_volume", "CAST(session_trades AS VARCHAR)"]
+    items = ['"type"', "status", "gross_per_share", "net_per_share", "tax_note", "approved_on",
+             "buy_by", "payment_date", "CAST(payment_tbd AS VARCHAR)"]
+    cat = lambda cols: "concat_ws('|', " + ", ".join(f"coalesce({c}, '')" for c in cols) + ")"
+    item = (f"concat_ws('|', {cat(items)}, "
+            f"CAST(CAST(round(yield_on_last_price * 1000000.0) AS BIGINT) AS VARCHAR))")
+    return f"""
+SELECT ticker, pending_count,
+       '"' || substr(sha256(concat_ws('|', ticker, header, CAST(pending_count AS VARCHAR),
+                                      CAST(digest AS VARCHAR))), 1, 16) || '"' AS etag
+FROM (
+  SELECT ticker, first({cat(hdr)}) AS header,
+         count(*) FILTER (WHERE "type" IS NOT NULL) AS pending_count,
+         CAST(coalesce(sum(CAST(('0x' || substr(sha256({item}), 1, 15)) AS BIGINT))
+                FILTER (WHERE "type" IS NOT NULL), 0) AS DECIMAL(38,0)) AS digest
+  FROM ({documents_sql(as_of)}) GROUP BY ticker
+)"""
+
+
+ORACLE["changed_documents"] = with_ctes(*SERVING, body=f"""
+SELECT ticker, b.etag AS etag_before, n.etag AS etag_now,
+       NOT (b.etag IS NOT DISTINCT FROM n.etag) AS changed
+FROM ({_etags(PREV_AS_OF)}) b FULL JOIN ({_etags(AS_OF)}) n USING (ticker)""")
+
+ORACLE["unknown_tickers"] = with_ctes(TRADES_RAW, TRADES_CLEAN, LAST_PRICE, body="""
+, req AS (
+  SELECT DISTINCT upper(trim(CASE WHEN c_custkey % 3 = 0 THEN ' ' || lower(raw) || ' ' ELSE raw END))
+           AS ticker
+  FROM (SELECT c_custkey, 'TK' || lpad(CAST(c_custkey % 25 AS VARCHAR), 2, '0') AS raw FROM customer)
+)
+SELECT ticker AS requested, 'ticker ' || ticker || ' is not tracked' AS error,
+       (SELECT CAST(to_json(list(ticker ORDER BY ticker)) AS VARCHAR) FROM last_price)
+         AS available_tickers
+FROM req WHERE ticker NOT IN (SELECT ticker FROM last_price)""")
+
+
+def _age(now: str, then: str) -> str:
+    return (f"CASE WHEN {then} IS NOT NULL THEN CAST(trunc((epoch_us({now}) - epoch_us({then}))"
+            f" / 1000000.0) AS BIGINT) END")
+
+
+ORACLE["health_report"] = with_ctes(*SERVING, body=f"""
+, h AS (
+  SELECT (SELECT max(traded_at) FROM last_price) AS lt,
+         (SELECT max(synced_at) FROM cash_dividends) AS sy,
+         (SELECT max(trade_date) FROM session_summary) AS ls,
+         (SELECT count(*) FROM session_summary) AS sc,
+         TIMESTAMP '{AS_OF}' AS now
+),
+w AS (
+  SELECT *, timezone('America/Sao_Paulo', timezone('UTC', now)) AS lnow FROM h
+),
+f AS (
+  SELECT *,
+    (isodow(lnow) <= 5 AND CAST(lnow AS TIME) >= TIME '09:55:00'
+       AND CAST(lnow AS TIME) <= TIME '18:35:00') AS win,
+    coalesce(lt IS NOT NULL AND (NOT (isodow(lnow) <= 5 AND CAST(lnow AS TIME) >= TIME '09:55:00'
+       AND CAST(lnow AS TIME) <= TIME '18:35:00')
+       OR epoch_us(now) - epoch_us(lt) <= 1800000000), false) AS tf,
+    coalesce(sy IS NOT NULL AND epoch_us(now) - epoch_us(sy) <= 25200000000, false) AS af
+  FROM w
+)
+SELECT CASE WHEN tf AND af THEN 'ok' ELSE 'degraded' END AS status,
+       {iso_instant('now')} AS checked_at, win AS market_window_open,
+       {iso_instant('lt')} AS trades_latest_traded_at, {_age('now', 'lt')} AS trades_age_seconds,
+       tf AS trades_fresh,
+       'freshness here proves the whole chain: landed files -> event log -> gold tables' AS trades_note,
+       {iso_instant('sy')} AS actions_last_synced_at, {_age('now', 'sy')} AS actions_age_seconds,
+       af AS actions_fresh, CAST(ls AS VARCHAR) AS sessions_latest, sc AS sessions_count
+FROM f""")
+
+PENDING_NUM = f"""
+pending_num AS (
+  SELECT d.ticker, d.label, d.rate,
+         CASE WHEN d.label = 'JRS CAP PROPRIO' THEN d.rate * 0.85 ELSE d.rate END AS net,
+         d.payment_date, p.price, p.traded_at
+  FROM cash_dividends d JOIN last_price p USING (ticker)
+  WHERE d.payment_date IS NULL OR d.payment_date > {today_sql(AS_OF)}
+),
+radar_y AS (
+  SELECT *, CAST(gross AS DOUBLE) / CAST(price AS DOUBLE) AS total_yield FROM (
+    SELECT ticker, count(*) AS events, CAST(sum(rate) AS DECIMAL(38,11)) AS gross,
+           CAST(sum(net) AS DECIMAL(38,13)) AS net, first(price) AS price,
+           min(payment_date) AS next_payment,
+           count(*) FILTER (WHERE label = 'JRS CAP PROPRIO') AS jcp_events
+    FROM pending_num GROUP BY ticker)
+)"""
+
+ORACLE["dividend_radar"] = with_ctes(*SERVING, PENDING_NUM, body="""
+SELECT *, greatest(2.0, 100.0 * total_yield / (SELECT greatest(max(total_yield), 1e-9) FROM radar_y))
+         AS bar_width
+FROM radar_y ORDER BY total_yield DESC, ticker""")
+
+ORACLE["radar_headline"] = with_ctes(*SERVING, PENDING_NUM, body=f"""
+, best AS (SELECT ticker, total_yield, events FROM radar_y ORDER BY total_yield DESC, ticker LIMIT 1)
+SELECT (SELECT CAST(sum(events) AS BIGINT) FROM radar_y) AS pending_events,
+       (SELECT count(*) FROM radar_y) AS tickers,
+       best.ticker AS best_ticker, best.total_yield AS best_yield, best.events AS best_events,
+       (SELECT count(*) FROM pending_num WHERE payment_date IS NULL) AS undated_events,
+       {_age(f"TIMESTAMP '{AS_OF}'", '(SELECT max(traded_at) FROM last_price)')}
+         AS newest_trade_age_seconds
+FROM best""")
+
+ORACLE["radar_events"] = with_ctes(*SERVING, body=f"""
+SELECT ticker,
+       CASE "type" WHEN 'JRS CAP PROPRIO' THEN 'JCP' WHEN 'DIVIDENDO' THEN 'Dividendo'
+                   WHEN 'RENDIMENTO' THEN 'Rendimento' ELSE "type" END AS type_short,
+       status, payment_date, payment_tbd, yield_on_last_price
+FROM ({pending_rows_sql(AS_OF)}) ORDER BY ticker, payment_date NULLS LAST""")
+
+ORACLE["day_change"] = with_ctes(TRADES_RAW, TRADES_CLEAN, SESSION_SUMMARY, LATEST_SESSION, body="""
+SELECT ticker, trade_date,
+       (CAST("close" AS DOUBLE) - CAST("open" AS DOUBLE)) / CAST("open" AS DOUBLE) AS day_change,
+       CASE WHEN (CAST("close" AS DOUBLE) - CAST("open" AS DOUBLE)) / CAST("open" AS DOUBLE) >= 0
+            THEN 'up' ELSE 'down' END AS direction
+FROM latest_session WHERE "open" IS NOT NULL AND "close" IS NOT NULL""")
+
+ORACLE["range_position"] = with_ctes(*SERVING, body="""
+, s AS (
+  SELECT ticker, trade_date, CAST("open" AS DOUBLE) AS o, CAST(low AS DOUBLE) AS lo,
+         CAST(high AS DOUBLE) AS hi,
+         CASE WHEN CAST(high AS DOUBLE) - CAST(low AS DOUBLE) = 0 THEN 1.0
+              ELSE CAST(high AS DOUBLE) - CAST(low AS DOUBLE) END AS span
+  FROM latest_session WHERE low IS NOT NULL AND high IS NOT NULL
+)
+SELECT s.ticker, s.trade_date, 100.0 * (o - lo) / span AS open_position,
+       100.0 * (CAST(p.price AS DOUBLE) - lo) / span AS last_position
+FROM s JOIN last_price p USING (ticker)""")
+
+ORACLE["trading_calendar"] = with_ctes(TRADES_RAW, body="""
+, runs AS (SELECT DISTINCT reference_date AS run_date FROM trades_raw),
+days AS (
+  SELECT run_date, CAST(unnest(generate_series(CAST(run_date - 28 AS TIMESTAMP),
+                                               CAST(run_date - 1 AS TIMESTAMP),
+                                               INTERVAL 1 DAY)) AS DATE) AS session_date
+  FROM runs
+)
+SELECT run_date, session_date FROM days WHERE isodow(session_date) <= 5""")
+
+PUBLISH_AUDIT = """
+, totals AS (SELECT file_ticker, session_date, filename, count(*) AS total FROM good GROUP BY ALL),
+news AS (SELECT file_ticker, session_date, filename, count(*) AS published FROM published GROUP BY ALL),
+lasts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_ticker, session_date, filename
+                                              ORDER BY line_no DESC, raw_line DESC) AS rn
+                 FROM published) WHERE rn = 1
+),
+audit AS (
+  SELECT t.file_ticker AS ticker, t.session_date, t.filename, t.total,
+         coalesce(n.published, 0) AS published, l.price AS last_price, l.traded_at AS last_traded_at
+  FROM totals t LEFT JOIN news n USING (file_ticker, session_date, filename)
+       LEFT JOIN lasts l USING (file_ticker, session_date, filename)
+)"""
+
+ORACLE["publish_audit"] = with_ctes(TRADES_RAW, TRADE_LINES, PARSED_LINES, CURSOR0,
+                                    body=PUBLISH_AUDIT + "\nSELECT * FROM audit")
+ORACLE["backfill_progress"] = with_ctes(TRADES_RAW, TRADE_LINES, PARSED_LINES, CURSOR0, body=PUBLISH_AUDIT + """
+SELECT session_date, count(*) AS files, CAST(sum(total) AS BIGINT) AS parsed,
+       CAST(sum(published) AS BIGINT) AS published,
+       (SELECT count(DISTINCT session_date) FROM trade_lines) AS sessions_total
+FROM audit GROUP BY session_date""")
+
+ORACLE["action_audit"] = with_ctes(ORDERS_DIV, body=f"""
+, c AS (
+  SELECT ticker, count(*) AS cash,
+         count(*) FILTER (WHERE CASE WHEN {today_sql(AS_OF)} <= last_date_prior THEN 'with_rights'
+                                     WHEN payment_date IS NULL OR payment_date > {today_sql(AS_OF)}
+                                       THEN 'pending_payment' ELSE 'paid' END <> 'paid') AS pending
+  FROM cash_dividends GROUP BY ticker
+),
+s AS (SELECT ticker, count(*) AS stock FROM stock_dividends GROUP BY ticker)
+SELECT ticker, coalesce(cash, 0) AS cash, coalesce(stock, 0) AS stock,
+       coalesce(pending, 0) AS pending
+FROM c FULL JOIN s USING (ticker)""")
+
+
+def _constraints() -> str:
+    from ticklake.schemas import KEYS, NOT_NULL
+    parts = []
+    for table in ("last_price", "session_summary", "cash_dividends", "stock_dividends",
+                  "tracked_tickers"):
+        for col in NOT_NULL.get(table, []):
+            parts.append(f"SELECT '{table}' AS table_name, 'not null {col}' AS rule, "
+                         f"count(*) FILTER (WHERE {col} IS NULL) AS violations FROM {table}")
+        if table in KEYS:
+            k = ", ".join(KEYS[table])
+            parts.append(f"SELECT '{table}' AS table_name, 'duplicate key ({','.join(KEYS[table])})' "
+                         f"AS rule, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS violations "
+                         f"FROM (SELECT {k}, count(*) AS n FROM {table} GROUP BY {k} HAVING count(*) > 1)")
+    return "\nUNION ALL\n".join(parts)
+
+
+TRACKED = """
+tracked_tickers AS (
+  SELECT DISTINCT 'TK' || lpad(CAST(s_suppkey % 20 AS VARCHAR), 2, '0') AS ticker FROM supplier
+)"""
+
+ORACLE["constraint_violations"] = with_ctes(*SERVING, TRACKED, body=_constraints())
+
+ORACLE["download_classes"] = with_ctes(TRADE_LINES, body="""
+, files AS (
+  SELECT ticker, session_date, CAST(sum(length(raw_line) + 1) AS BIGINT) AS body_bytes
+  FROM trade_lines GROUP BY ticker, session_date
+),
+m AS (
+  SELECT ticker, session_date,
+         CASE WHEN month(session_date) % 4 = 0 AND day(session_date) = 2 THEN 404
+              WHEN ticker = 'TK07' AND month(session_date) % 2 = 1 THEN 403
+              WHEN ticker = 'TK13' AND month(session_date) = 12 THEN 503
+              ELSE 200 END AS http_status,
+         NOT (ticker = 'TK05' AND day(session_date) = 1 AND month(session_date) % 3 = 0)
+           AS has_cd,
+         (ticker = 'TK11' AND month(session_date) <= 2) AS empty,
+         body_bytes
+  FROM files
+),
+c AS (
+  SELECT *, CASE WHEN http_status = 200 AND NOT empty THEN body_bytes ELSE 0 END AS content_length
+  FROM m
+)
+SELECT ticker, session_date, http_status,
+       CASE WHEN http_status = 404 THEN 'unavailable' WHEN http_status <> 200 THEN 'fetch_error'
+            WHEN content_length = 0 OR NOT has_cd THEN 'unavailable' ELSE 'ok' END AS class,
+       CASE WHEN http_status = 404 THEN 'not published (404)'
+            WHEN http_status <> 200 THEN 'unexpected HTTP ' || CAST(http_status AS VARCHAR)
+            WHEN content_length = 0 OR NOT has_cd THEN 'empty body / missing content-disposition'
+       END AS reason
+FROM c""")

@@ -163,3 +163,15 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("has_content_disposition", T.BooleanType()),
     T.StructField("content_length", T.LongType()),
 ])
+
+# Storage contract checked by the constraint operator: NOT NULL columns and keys.
+NOT_NULL = {
+    "last_price": ["ticker", "price", "traded_at"],
+    "session_summary": ["ticker", "trade_date"],
+    "cash_dividends": ["ticker", "isin", "label", "rate", "approved_on", "last_date_prior",
+                       "related_to", "synced_at"],
+    "stock_dividends": ["ticker", "isin", "label", "factor", "approved_on", "last_date_prior",
+                        "synced_at"],
+}
+KEYS = {"last_price": ["ticker"], "session_summary": ["ticker", "trade_date"],
+        "tracked_tickers": ["ticker"]}
