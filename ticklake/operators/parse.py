@@ -137,3 +137,13 @@ def trade_event_json(trades: DataFrame, source: Column | str = "eod_file") -> Da
     """Publishable (key, value): key = ticker so one instrument stays in one log partition."""
     return trades.select(F.col("ticker").alias("key"),
                          F.to_json(trade_event_struct(trades, source)).alias("value"))
+
+
+def event_log_json(events: DataFrame) -> DataFrame:
+    """Events whose price is already text (the decoded log) back to their JSON line."""
+    return events.select(F.to_json(F.struct(
+        "schema_version", "ticker", "trade_id", "action", "price", "quantity",
+        iso_instant(F.col("traded_at")).alias("traded_at"),
+        F.col("trade_date").cast("string").alias("trade_date"),
+        F.col("reference_date").cast("string").alias("reference_date"),
+        "session_type", "source")).alias("value"))

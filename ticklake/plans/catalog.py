@@ -334,3 +334,32 @@ QUERIES.update({
     "constraint_violations": q_constraint_violations,
     "download_classes": q_download_classes,
 })
+
+
+def _stream_paths(spark, sf_dir):
+    """The lineitem events split into 4 drops by order key, each drop served by
+    an availableNow run of the streaming job; gold must equal the batch views."""
+    from pyspark.sql import functions as F
+    from ticklake.streaming.replay import run_serve_over_drops
+    events = derived.trade_events(spark, sf_dir)
+    return run_serve_over_drops(spark, events, (F.col("trade_id") / 10).cast("bigint") % 4, 4)
+
+
+def q_stream_session_summary(spark, sf_dir):
+    from ticklake.sources.tables import gold
+    paths = _stream_paths(spark, sf_dir)
+    return gold(spark, paths.summary).select(
+        "ticker", "trade_date", "open", "high", "low", "close", "quantity", "financial_volume",
+        "trades")
+
+
+def q_stream_last_price(spark, sf_dir):
+    from ticklake.sources.tables import gold
+    paths = _stream_paths(spark, sf_dir)
+    return gold(spark, paths.last_price).select("ticker", "price", "traded_at")
+
+
+QUERIES.update({
+    "stream_session_summary": q_stream_session_summary,
+    "stream_last_price": q_stream_last_price,
+})

@@ -660,3 +660,6 @@ SELECT ticker, session_date, http_status,
             WHEN content_length = 0 OR NOT has_cd THEN 'empty body / missing content-disposition'
        END AS reason
 FROM c""")
+
+ORACLE["stream_session_summary"] = ORACLE["session_summary"]
+ORACLE["stream_last_price"] = ORACLE["last_price"]
