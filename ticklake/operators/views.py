@@ -17,13 +17,25 @@ SESSION_KEYS = ["ticker", "trade_date"]
 TRADE_KEYS = ["ticker", "trade_date", "trade_id"]
 
 
+_EPOCH = "1970-01-01 00:00:00"
+_NULL_TIME = 4 * 10**17      # above every shifted instant of years 0001-9999
+_TIME_SHIFT = 10**17         # makes shifted micros of years 0001-9999 non-negative
+_ID_SHIFT = 2**63            # makes every bigint trade id non-negative, < 10**20
+
+
 def trade_order(traded_at: Column, trade_id: Column) -> Column:
-    """Ascending trade order (traded_at NULLS LAST, trade_id) as one comparable value.
+    """Ascending trade order (traded_at NULLS LAST, trade_id) encoded as one DECIMAL(38,0).
 
-    Spark orders NULL struct fields first, so the NULL flag leads: an unknown time sorts
-    after every known one, the way the source SQL's ascending order does.
+    key = m * 10^20 + (trade_id + 2^63), with m = micros since epoch + 10^17, or 4*10^17
+    for an unknown time (so it sorts after every known time, as the source SQL's ascending
+    order does). Both parts are non-negative and the id part is < 10^20, so numeric order
+    equals the lexicographic order, and the largest key is < 10^38. A decimal key keeps
+    min_by/max_by in a HashAggregate (a struct key forces a sort-based aggregate).
     """
-    return F.struct(traded_at.isNull().alias("t_null"), traded_at.alias("t"), trade_id.alias("id"))
+    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), traded_at)
+    m = F.when(traded_at.isNull(), F.lit(_NULL_TIME)).otherwise(micros + F.lit(_TIME_SHIFT))
+    big = lambda n: F.lit(str(n)).cast("decimal(38,0)")
+    return m.cast("decimal(38,0)") * big(10**20) + (trade_id.cast("decimal(38,0)") + big(_ID_SHIFT))
 
 
 def session_event_counts(events: DataFrame) -> DataFrame:
@@ -75,44 +87,40 @@ def session_summary(clean: DataFrame) -> DataFrame:
     return live_trades(clean).groupBy(*SESSION_KEYS).agg(*session_aggregates())
 
 
-def _latest_key() -> Column:
-    # Latest first: traded_at DESC NULLS FIRST, trade_id DESC, then trade_date for ties.
-    return F.struct(F.col("traded_at").isNull().alias("t_null"), F.col("traded_at").alias("t"),
-                    F.col("trade_id").alias("id"), F.col("trade_date").alias("d"))
-
-
-def last_price(clean: DataFrame) -> DataFrame:
-    """The latest live trade per ticker.
+def session_last(live: DataFrame) -> DataFrame:
+    """Latest live trade per (ticker, trade_date) and its order key.
 
-    Written as an arg-max aggregate instead of ``row_number() OVER (PARTITION BY ticker)``:
-    the window would sort every trade of a ticker in one task; the aggregate is combined
-    map-side, so a hot ticker costs one partial row per task.
+    "Latest" is the source's ``ORDER BY traded_at DESC NULLS FIRST, trade_id DESC``: the
+    maximum of ``trade_order`` (an unknown time counts as the latest).
     """
-    latest = F.max_by(F.struct("price", "traded_at"), _latest_key())
-    return (live_trades(clean).groupBy("ticker")
-            .agg(latest.alias("_p"))
-            .select("ticker", F.col("_p.price").alias("price"),
-                    F.col("_p.traded_at").alias("traded_at")))
-
-
-def session_last(live: DataFrame) -> DataFrame:
-    """Latest live trade per (ticker, trade_date), with its order key. ``last_price`` is the
-    arg-max of these rows per ticker, so a streaming job only recomputes touched sessions."""
+    key = trade_order(F.col("traded_at"), F.col("trade_id"))
     return (live.groupBy(*SESSION_KEYS)
-            .agg(F.max_by(F.struct("price", "traded_at"), _latest_key()).alias("_p"),
-                 F.max(_latest_key()).alias("latest_key"))
+            .agg(F.max_by(F.struct("price", "traded_at"), key).alias("_p"),
+                 F.max(key).alias("latest_key"))
             .select(*SESSION_KEYS, F.col("_p.price").alias("price"),
                     F.col("_p.traded_at").alias("traded_at"), "latest_key"))
 
 
 def last_price_from_sessions(sessions_last: DataFrame) -> DataFrame:
-    """A3 composed from per-session latest rows."""
+    """A3 from per-session latest rows; a tie between sessions goes to the later session."""
+    order = F.struct("latest_key", "trade_date")
     return (sessions_last.groupBy("ticker")
-            .agg(F.max_by(F.struct("price", "traded_at"), F.col("latest_key")).alias("_p"))
+            .agg(F.max_by(F.struct("price", "traded_at"), order).alias("_p"))
             .select("ticker", F.col("_p.price").alias("price"),
                     F.col("_p.traded_at").alias("traded_at")))
 
 
+def last_price(clean: DataFrame) -> DataFrame:
+    """The latest live trade per ticker.
+
+    Not ``row_number() OVER (PARTITION BY ticker ...)``: that window sorts every trade of
+    a ticker in one task. Instead an arg-max per (ticker, session) - hash-aggregated and
+    combined map-side, so a hot ticker costs one partial row per task - then an arg-max
+    per ticker over those few rows.
+    """
+    return last_price_from_sessions(session_last(live_trades(clean)))
+
+
 def latest_session(summary: DataFrame) -> DataFrame:
     """O2: most recent session row per ticker (arg-max of trade_date, no window)."""
     cols = [c for c in summary.columns if c != "ticker"]

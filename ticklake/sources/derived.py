@@ -19,6 +19,10 @@ from ticklake.schemas import PRICE, RATE, SCHEMA_VERSION, SOURCE_EOD
 from ticklake.sources.tables import table
 
 N_TICKERS = 20
+_TRADE_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+               "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
+_ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+               "o_orderpriority")
 
 
 def tk(key: Column) -> Column:
@@ -35,7 +39,7 @@ def trade_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     (l_orderkey, l_linenumber) repeats, so re-deliveries with different values exist.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", *_TRADE_COLS, parallel=True)
     trade_date = _month_start(F.col("l_shipdate"))
     return li.select(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
@@ -59,7 +63,7 @@ def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Injected faults: l_orderkey % 101 = 0 drops field 0, % 103 = 0 garbles the price,
     % 107 = 0 truncates the time field.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", *_TRADE_COLS, parallel=True)
     ok, pk, sk, ln = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     trade_date = _month_start(F.col("l_shipdate"))
     session_date = F.date_add(trade_date, ln % 2)
@@ -173,7 +177,7 @@ def supplement_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     an extra malformed cash row; pending orders use the 'to be defined' payment date;
     low-priority orders also carry a stock dividend whose factor uses thousands dots.
     """
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", *_ORDER_COLS, parallel=True)
     d = F.to_date(F.col("o_orderdate"))
     ticker = _dividend_ticker()
     cash = F.struct(

@@ -9,11 +9,15 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read one driver table. Selecting columns here only documents intent: Catalyst prunes
-    the parquet ReadSchema to whatever the plan above actually uses."""
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str,
+          parallel: bool = False) -> DataFrame:
+    """Read one driver table (Catalyst prunes the parquet ReadSchema to the columns the
+    plan uses). ``parallel`` spreads a scan that arrived in too few splits, see ``spread``;
+    pass the needed ``columns`` with it so only those are redistributed."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return spread(df) if parallel else df
 
 
 def gold(spark: SparkSession, path: str, live_only: bool = True) -> DataFrame:
