@@ -42,7 +42,7 @@ def unwrap_supplement(docs: DataFrame, body_col: str = "body") -> DataFrame:
     list_len = F.json_array_length(body)       # NULL unless a valid JSON array
     object_keys = F.json_object_keys(body)     # NULL unless a valid JSON object
     is_list = list_len.isNotNull()
-    doc = F.when(is_list, F.from_json(body, T.ArrayType(SUPPLEMENT_JSON)).getItem(0)) \
+    doc = F.when(is_list, F.get(F.from_json(body, T.ArrayType(SUPPLEMENT_JSON)), 0)) \
            .otherwise(F.from_json(body, SUPPLEMENT_JSON))
     error = (F.when(body.isNull() | (F.length(body) == 0), F.lit("empty body"))
               .when(~is_list & object_keys.isNull(), F.lit("non-JSON body"))

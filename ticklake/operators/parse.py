@@ -42,7 +42,7 @@ def parse_lines(lines: DataFrame, line_col: str = "raw_line") -> DataFrame:
     f = c("_f")
 
     def g(i: int) -> Column:
-        return f.getItem(i)
+        return F.get(f, i)
 
     dated = split.select(*base, "_f", iso_date(g(8)).alias("_trade_date"))
     typed = dated.select(

@@ -51,10 +51,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     The deployment names it in ``spark.checkpoint.dir``. Only when that is unset (local
     tests) do we create one and register it with the session.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="ticklake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     base = base.rstrip("/")
     path = f"{base}/{name}"
