@@ -141,7 +141,7 @@ def trade_event_json(trades: DataFrame, source: Column | str = "eod_file") -> Da
 
 def event_log_json(events: DataFrame) -> DataFrame:
     """Events whose price is already text (the decoded log) back to their JSON line."""
-    return events.select(F.to_json(F.struct(
+    return events.select(F.col("ticker").alias("key"), F.to_json(F.struct(
         "schema_version", "ticker", "trade_id", "action", "price", "quantity",
         iso_instant(F.col("traded_at")).alias("traded_at"),
         F.col("trade_date").cast("string").alias("trade_date"),

@@ -36,15 +36,19 @@ def decode_trade_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    """Batch scan of an event log landed as JSON-lines text (one event per line)."""
-    return decode_trade_events(spark.read.text(path))
+    """Batch scan of an event log: parquet records (key, value JSON), like a topic's
+    records; extra columns (e.g. the ``batch_id`` partition) are kept."""
+    return decode_trade_events(spark.read.parquet(path).drop("key"))
 
 
-def stream_event_log(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def stream_event_log(spark: SparkSession, path: str, partition_col: str = "batch_id",
+                     max_files: int | None = None) -> DataFrame:
     """Streaming scan of the same log from the earliest file; the file source keeps its
-    own offsets in the query checkpoint. A Kafka source plugs in the same way when the
+    offsets in the query checkpoint. A Kafka source plugs in the same way when the
     connector is on the classpath: ``readStream.format('kafka')...select(value cast string)``."""
-    reader = spark.readStream.format("text")
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
+                           T.StructField(partition_col, T.IntegerType())])
+    reader = spark.readStream.schema(schema).format("parquet")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return decode_trade_events(reader.load(path))
+    return decode_trade_events(reader.load(path).drop("key", partition_col))

@@ -25,9 +25,10 @@ def run_serve_over_drops(spark: SparkSession, events: DataFrame, drop_of, n_drop
     log_dir = f"{run_dir}/event_log"
     tagged = events.withColumn("_drop", drop_of)
     for k in range(n_drops):
-        event_log_json(tagged.filter(F.col("_drop") == k)).write.mode("overwrite") \
-            .text(f"{log_dir}/drop={k:04d}")
-        stream = stream_event_log(spark, f"{log_dir}/*")
-        q = serve.start(spark, stream.drop("drop"), paths, available_now=True)
+        drop = tagged.filter(F.col("_drop") == k)
+        event_log_json(drop).withColumn("drop", F.lit(k)).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("drop").parquet(log_dir)
+        stream = stream_event_log(spark, log_dir, partition_col="drop")
+        q = serve.start(spark, stream, paths, available_now=True)
         q.awaitTermination()
     return paths
