@@ -363,3 +363,20 @@ QUERIES.update({
     "stream_session_summary": q_stream_session_summary,
     "stream_last_price": q_stream_last_price,
 })
+
+
+def q_stream_cursor(spark, sf_dir):
+    """T3 streaming: an early snapshot (line numbers 1-3 of every order) then the full file;
+    the cursor lives in transformWithState value state."""
+    from pyspark.sql import functions as F
+    from ticklake.schemas import TRADE_COLUMNS
+    from ticklake.streaming.replay import run_cursor_over_drops
+    good = _good_trades(spark, sf_dir).select(*TRADE_COLUMNS)
+    early = good.filter(F.col("trade_id") % 10 <= 3).withColumn("_d", F.lit(0))
+    full = good.withColumn("_d", F.lit(1))
+    both = early.unionByName(full)
+    out = run_cursor_over_drops(spark, both, F.col("_d"), 2)
+    return spark.read.parquet(out).select("drop", *TRADE_COLUMNS)
+
+
+QUERIES["stream_cursor"] = q_stream_cursor

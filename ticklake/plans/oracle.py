@@ -663,3 +663,17 @@ FROM c""")
 
 ORACLE["stream_session_summary"] = ORACLE["session_summary"]
 ORACLE["stream_last_price"] = ORACLE["last_price"]
+
+ORACLE["stream_cursor"] = with_ctes(TRADE_LINES, PARSED_LINES, body="""
+, good AS (SELECT * FROM parsed WHERE error IS NULL),
+d0 AS (SELECT * FROM good WHERE trade_id % 10 <= 3),
+c0 AS (SELECT ticker, trade_date, greatest(max(trade_id), 0) AS m FROM d0
+       WHERE "action" <> 2 GROUP BY ticker, trade_date),
+pub AS (
+  SELECT 0 AS "drop", * FROM d0 WHERE "action" = 2 OR trade_id > 0
+  UNION ALL
+  SELECT 1 AS "drop", g.* FROM good g LEFT JOIN c0 USING (ticker, trade_date)
+  WHERE g."action" = 2 OR g.trade_id > coalesce(c0.m, 0)
+)
+SELECT "drop", ticker, trade_id, "action", price, quantity, traded_at, trade_date,
+       reference_date, session_type FROM pub""")
