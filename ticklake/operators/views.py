@@ -94,11 +94,13 @@ def session_last(live: DataFrame) -> DataFrame:
     maximum of ``trade_order`` (an unknown time counts as the latest).
     """
     key = trade_order(F.col("traded_at"), F.col("trade_id"))
+    # Two scalar arg-maxes over the same key (unique within a session: it ends in the
+    # trade id) pick the same row and keep the aggregate hash-based; an arg-max of a
+    # struct would need a sort-based aggregate.
     return (live.groupBy(*SESSION_KEYS)
-            .agg(F.max_by(F.struct("price", "traded_at"), key).alias("_p"),
-                 F.max(key).alias("latest_key"))
-            .select(*SESSION_KEYS, F.col("_p.price").alias("price"),
-                    F.col("_p.traded_at").alias("traded_at"), "latest_key"))
+            .agg(F.max_by("price", key).alias("price"),
+                 F.max_by("traded_at", key).alias("traded_at"),
+                 F.max(key).alias("latest_key")))
 
 
 def last_price_from_sessions(sessions_last: DataFrame) -> DataFrame:

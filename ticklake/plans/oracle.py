@@ -324,13 +324,15 @@ stock_dividends AS (
 CLASS_MATCH = """(isin LIKE 'BR' || substr(ticker, 1, 3)
        || CASE substr(ticker, 4, 1) WHEN '3' THEN 'ACNOR' WHEN '4' THEN 'ACNPR' END || '%')"""
 
+WATCHED = "ticker IN (SELECT DISTINCT 'TK' || lpad(CAST(s_suppkey % 20 AS VARCHAR), 2, '0') FROM supplier)"
+
 ORACLE["parse_cash_dividends"] = with_ctes(ORDERS_DIV, body=f"""
 SELECT DISTINCT ticker, isin, label, rate, approved_on, last_date_prior, payment_date, related_to
-FROM cash_dividends WHERE coalesce({CLASS_MATCH}, false)""")
+FROM cash_dividends WHERE coalesce({CLASS_MATCH}, false) AND {WATCHED}""")
 
 ORACLE["parse_stock_dividends"] = with_ctes(ORDERS_DIV, body=f"""
 SELECT DISTINCT ticker, isin, label, factor, approved_on, last_date_prior
-FROM stock_dividends WHERE coalesce({CLASS_MATCH}, false)""")
+FROM stock_dividends WHERE coalesce({CLASS_MATCH}, false) AND {WATCHED}""")
 
 ORACLE["supplement_errors"] = """
 SELECT o_orderkey AS doc_id, 1 AS row_no,
