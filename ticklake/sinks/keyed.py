@@ -28,13 +28,13 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str],
                        cluster: bool = True) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition overwrite).
 
-    ``cluster`` shuffles rows by the partition columns first so each partition is one
-    file; use it for gold tables whose partitions are small by construction (one row per
-    key). Raw event partitions are written straight from the producing tasks instead, so a
-    hot day is never funnelled through one writer.
+    ``cluster`` groups rows by the partition columns before writing with AQE's rebalance
+    (few, reasonably sized files per partition) which, unlike a plain repartition, splits a
+    skewed partition over several writers, so a hot day is never funnelled through one
+    task. Without it every producing task writes its own file per partition.
     """
     if cluster:
-        df = df.repartition(*partition_by)
+        df = df.hint("rebalance", *partition_by)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by)

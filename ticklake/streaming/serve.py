@@ -51,6 +51,7 @@ class ServePaths:
 
 def process_batch(paths: ServePaths, events: DataFrame, batch_id: int) -> None:
     spark = events.sparkSession
+    # Bronze is written straight from the producing tasks (no shuffle of the raw events).
     replace_partitions(events.withColumn("batch_id", F.lit(batch_id)), paths.bronze,
                        ["trade_date", "batch_id"], cluster=False)
     days = [r[0] for r in events.select("trade_date").where(F.col("trade_date").isNotNull())
