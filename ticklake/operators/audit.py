@@ -12,17 +12,21 @@ from ticklake.operators import dividends as dv
 from ticklake.schemas import BACKFILL_CALENDAR_DAYS, STATUS_PAID
 
 
-def publish_audit(parsed_good: DataFrame, published: DataFrame) -> DataFrame:
+def publish_audit(marked: DataFrame) -> DataFrame:
     """Per landed file: trades parsed, trades newly published, and price/time of the
-    last published trade in file order (``line_no``, ties broken by the line text)."""
+    last published trade in file order (``line_no``, ties broken by the line text).
+
+    Input: parsed good trades flagged ``is_new`` (``cursor.mark_new``), so the file is
+    parsed and joined once and a single aggregation produces every figure.
+    """
     keys = ["file_ticker", "session_date", "filename"]
-    total = parsed_good.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
-    last = F.max_by(F.struct("price", "traded_at"), F.struct("line_no", "raw_line"))
-    new = published.groupBy(*keys).agg(F.count(F.lit(1)).alias("published"), last.alias("_l"))
-    return (total.join(new, keys, "left")
+    new = F.col("is_new")
+    last = F.max_by(F.struct("price", "traded_at"), F.when(new, F.struct("line_no", "raw_line")))
+    return (marked.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("total"), F.count_if(new).alias("published"),
+                 last.alias("_l"))
             .select(F.col("file_ticker").alias("ticker"), "session_date", "filename", "total",
-                    F.coalesce("published", F.lit(0)).alias("published"),
-                    F.col("_l.price").alias("last_price"),
+                    "published", F.col("_l.price").alias("last_price"),
                     F.col("_l.traded_at").alias("last_traded_at")))
 
 

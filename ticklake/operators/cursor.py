@@ -17,6 +17,14 @@ KEYS = ["ticker", "trade_date"]
 CURSOR_VALUE = T.StructType([T.StructField("max_trade_id", T.LongType())])
 
 
+def mark_new(trades: DataFrame, cursor: DataFrame) -> DataFrame:
+    """``filter_new`` as a flag: every trade with ``is_new`` (would be published)."""
+    c = cursor.select(*KEYS, F.col("max_trade_id").alias("_cursor"))
+    is_new = (F.col("action") == ACTION_CANCELLED) | (
+        F.col("trade_id") > F.coalesce(F.col("_cursor"), F.lit(0)))
+    return trades.join(c, KEYS, "left").withColumn("is_new", is_new).drop("_cursor")
+
+
 def filter_new(trades: DataFrame, cursor: DataFrame) -> DataFrame:
     """Keep trades above their session's cursor (strict ``>``, missing cursor = 0).
 

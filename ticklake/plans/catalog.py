@@ -267,19 +267,19 @@ def q_trading_calendar(spark, sf_dir):
     return audit.trading_calendar(runs)
 
 
-def _published(spark, sf_dir):
+def _marked(spark, sf_dir):
     from ticklake.operators import cursor
-    return cursor.filter_new(_good_trades(spark, sf_dir), _cursor0(spark, sf_dir))
+    return cursor.mark_new(_good_trades(spark, sf_dir), _cursor0(spark, sf_dir))
 
 
 def q_publish_audit(spark, sf_dir):
     from ticklake.operators import audit
-    return audit.publish_audit(_good_trades(spark, sf_dir), _published(spark, sf_dir))
+    return audit.publish_audit(_marked(spark, sf_dir))
 
 
 def q_backfill_progress(spark, sf_dir):
     from ticklake.operators import audit
-    rows = audit.publish_audit(_good_trades(spark, sf_dir), _published(spark, sf_dir))
+    rows = audit.publish_audit(_marked(spark, sf_dir))
     return audit.backfill_progress(rows, derived.trade_lines(spark, sf_dir))
 
 

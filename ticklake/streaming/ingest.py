@@ -88,12 +88,13 @@ def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
         # The pre-batch cursor is cut from its files: step 4 overwrites them, and Spark
         # refreshes any plan (even a cached one) that reads a path being overwritten.
         before = _cursor_for(spark, paths, days).checkpoint(eager=True)
-        published = cursor.filter_new(good, before).persist()
+        marked = cursor.mark_new(good, before).persist()
+        published = marked.filter("is_new").drop("is_new")
         events = parse.trade_event_json(published, F.col("source")).withColumn("batch_id", bid)
         replace_partitions(events, paths.event_log, ["batch_id"], cluster=False)
 
         # Per-file audit
-        rows = audit.publish_audit(good, published).withColumn("batch_id", bid)
+        rows = audit.publish_audit(marked).withColumn("batch_id", bid)
         replace_partitions(rows, paths.audit, ["batch_id"], cluster=False)
 
         # K3: the cursor moves only after the events are durable
@@ -101,7 +102,7 @@ def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
             after = cursor.advance(before, cursor.updates(published))
             replace_partitions(after.select("ticker", "trade_date", "max_trade_id"),
                                paths.cursor, ["trade_date"])
-        published.unpersist()
+        marked.unpersist()
     finally:
         parsed.unpersist()
 
