@@ -123,6 +123,32 @@ def last_price(clean: DataFrame) -> DataFrame:
     return last_price_from_sessions(session_last(live_trades(clean)))
 
 
+SUMMARY_COLUMNS = ["ticker", "trade_date", "open", "high", "low", "close", "quantity",
+                   "financial_volume", "trades"]
+
+
+def session_rollup(clean: DataFrame) -> DataFrame:
+    """One aggregation per (ticker, trade_date) giving both the session summary (A4) and
+    the session's latest live trade (input of A3). Serving reads that need both derive
+    them from this one pass instead of deduplicating the trades twice."""
+    key = trade_order(F.col("traded_at"), F.col("trade_id"))
+    return (live_trades(clean).groupBy(*SESSION_KEYS)
+            .agg(*session_aggregates(),
+                 F.max_by("price", key).alias("last_trade_price"),
+                 F.max_by("traded_at", key).alias("last_trade_at"),
+                 F.max(key).alias("latest_key")))
+
+
+def summary_of(rollup: DataFrame) -> DataFrame:
+    return rollup.select(*SUMMARY_COLUMNS)
+
+
+def last_price_of(rollup: DataFrame) -> DataFrame:
+    return last_price_from_sessions(rollup.select(
+        *SESSION_KEYS, F.col("last_trade_price").alias("price"),
+        F.col("last_trade_at").alias("traded_at"), "latest_key"))
+
+
 def latest_session(summary: DataFrame) -> DataFrame:
     """O2: most recent session row per ticker (arg-max of trade_date, no window)."""
     cols = [c for c in summary.columns if c != "ticker"]

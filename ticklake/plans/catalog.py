@@ -201,13 +201,23 @@ def _summary(spark, sf_dir):
     return views.session_summary(_clean(spark, sf_dir))
 
 
+def _rollup(spark, sf_dir):
+    """Per-session rollup (summary + latest trade) computed once and cut from its lineage
+    in the shared checkpoint folder: queries that need both the last price and the
+    sessions read it instead of deduplicating the trades once per branch."""
+    from ticklake.session import shared_dir
+    shared_dir(spark, "lineage")  # makes sure a checkpoint folder is configured
+    return views.session_rollup(_clean(spark, sf_dir)).checkpoint(eager=True)
+
+
 def q_latest_session(spark, sf_dir):
     return views.latest_session(_summary(spark, sf_dir))
 
 
-def _documents(spark, sf_dir, as_of):
+def _documents(spark, sf_dir, as_of, rollup=None):
     from ticklake.operators import serving
-    return serving.ticker_documents(_last_price(spark, sf_dir), _summary(spark, sf_dir),
+    r = rollup if rollup is not None else _rollup(spark, sf_dir)
+    return serving.ticker_documents(views.last_price_of(r), views.summary_of(r),
                                     _cash(spark, sf_dir), as_of)
 
 
@@ -217,8 +227,9 @@ def q_ticker_documents(spark, sf_dir):
 
 def q_changed_documents(spark, sf_dir):
     from ticklake.operators import serving
-    before = serving.document_etags(_documents(spark, sf_dir, PREV_AS_OF))
-    now = serving.document_etags(_documents(spark, sf_dir, AS_OF))
+    r = _rollup(spark, sf_dir)
+    before = serving.document_etags(_documents(spark, sf_dir, PREV_AS_OF, r))
+    now = serving.document_etags(_documents(spark, sf_dir, AS_OF, r))
     return serving.changed_documents(before, now)
 
 
@@ -229,8 +240,9 @@ def q_unknown_tickers(spark, sf_dir):
 
 def q_health_report(spark, sf_dir):
     from ticklake.operators import serving
-    return serving.health(spark, _last_price(spark, sf_dir), _cash(spark, sf_dir),
-                          _summary(spark, sf_dir), AS_OF)
+    r = _rollup(spark, sf_dir)
+    return serving.health(spark, views.last_price_of(r), _cash(spark, sf_dir),
+                          views.summary_of(r), AS_OF)
 
 
 def q_dividend_radar(spark, sf_dir):
@@ -240,7 +252,7 @@ def q_dividend_radar(spark, sf_dir):
 
 def q_radar_headline(spark, sf_dir):
     from ticklake.operators import radar
-    cash, lp = _cash(spark, sf_dir), _last_price(spark, sf_dir)
+    cash, lp = _cash(spark, sf_dir), views.last_price_of(_rollup(spark, sf_dir))
     return radar.headline(radar.radar(cash, lp, AS_OF), cash, lp, AS_OF)
 
 
@@ -256,8 +268,8 @@ def q_day_change(spark, sf_dir):
 
 def q_range_position(spark, sf_dir):
     from ticklake.operators import radar
-    return radar.range_position(views.latest_session(_summary(spark, sf_dir)),
-                                _last_price(spark, sf_dir))
+    r = _rollup(spark, sf_dir)
+    return radar.range_position(views.latest_session(views.summary_of(r)), views.last_price_of(r))
 
 
 def q_trading_calendar(spark, sf_dir):
@@ -294,9 +306,10 @@ def q_action_audit(spark, sf_dir):
 
 def q_constraint_violations(spark, sf_dir):
     from ticklake.operators import audit
+    r = _rollup(spark, sf_dir)
     tables = {
-        "last_price": _last_price(spark, sf_dir),
-        "session_summary": _summary(spark, sf_dir),
+        "last_price": views.last_price_of(r),
+        "session_summary": views.summary_of(r),
         "cash_dividends": _cash(spark, sf_dir),
         "stock_dividends": _stock(spark, sf_dir),
         "tracked_tickers": derived.tracked_tickers(spark, sf_dir),
