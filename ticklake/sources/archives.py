@@ -55,6 +55,23 @@ def archive_lines(archives: DataFrame, source: str = SOURCE_EOD) -> DataFrame:
     )
 
 
+def read_line_files(spark: SparkSession, root: str, source: str = SOURCE_EOD) -> DataFrame:
+    """S3: plain text trade files (no zip) under ``ticker=/session_date=`` folders, one
+    row per line with the file name from the scan's metadata. The first line of each file
+    is its header; it is recognised by its line text and dropped. (Line order within a
+    file is not observable through the text source: use the archive scan when the file
+    order matters.)"""
+    df = spark.read.format("text").load(root)
+    return df.select(
+        F.col("ticker").alias("file_ticker"),
+        F.col("session_date").cast("date").alias("session_date"),
+        F.col("_metadata.file_name").alias("filename"),
+        F.lit(source).alias("source"),
+        F.lit(None).cast("long").alias("line_no"),
+        F.col("value").alias("raw_line"),
+    ).filter(~F.startswith(F.col("raw_line"), F.lit("DataReferencia")))
+
+
 def read_archives(spark: SparkSession, root: str) -> DataFrame:
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
             .option("recursiveFileLookup", "false").load(root))
