@@ -235,7 +235,8 @@ def q_changed_documents(spark, sf_dir):
 
 def q_unknown_tickers(spark, sf_dir):
     from ticklake.operators import serving
-    return serving.unknown_tickers(derived.ticker_requests(spark, sf_dir), _last_price(spark, sf_dir))
+    lp = views.last_price_of(_rollup(spark, sf_dir))  # read twice: anti join + known list
+    return serving.unknown_tickers(derived.ticker_requests(spark, sf_dir), lp)
 
 
 def q_health_report(spark, sf_dir):
@@ -247,7 +248,8 @@ def q_health_report(spark, sf_dir):
 
 def q_dividend_radar(spark, sf_dir):
     from ticklake.operators import radar
-    return radar.radar(_cash(spark, sf_dir), _last_price(spark, sf_dir), AS_OF)
+    lp = views.last_price_of(_rollup(spark, sf_dir))  # read twice: rows + best-yield subquery
+    return radar.radar(_cash(spark, sf_dir), lp, AS_OF)
 
 
 def q_radar_headline(spark, sf_dir):
@@ -393,3 +395,21 @@ def q_stream_cursor(spark, sf_dir):
 
 
 QUERIES["stream_cursor"] = q_stream_cursor
+
+
+def q_ingest_events(spark, sf_dir):
+    """S1 + K1-K3 + T3/T4: the lines land as zip archives, the ingest stream runs once
+    (empty cursor: every good trade is published) and the event log is decoded back."""
+    import uuid
+    from ticklake.session import shared_dir
+    from ticklake.sources.archives import ARCHIVE_SCHEMA, land_archives
+    from ticklake.sources.events import read_event_log
+    from ticklake.streaming import ingest
+    paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:12]}"))
+    land_archives(derived.trade_lines(spark, sf_dir), paths.landing).count()
+    ingest.start(spark, paths, ARCHIVE_SCHEMA).awaitTermination()
+    from ticklake.schemas import TRADE_EVENT_COLUMNS
+    return read_event_log(spark, paths.event_log).select(*TRADE_EVENT_COLUMNS)
+
+
+QUERIES["ingest_events"] = q_ingest_events

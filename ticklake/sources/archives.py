@@ -16,8 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from pyspark.sql import types as T
+
 from ticklake.schemas import SOURCE_EOD
 
+ARCHIVE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType()),
+    T.StructField("ticker", T.StringType()), T.StructField("session_date", T.DateType()),
+])
+
 ARCHIVE_LINES = "member string, line_no int, raw_line string, archive_error string"
 
 
@@ -89,3 +97,39 @@ def zip_bytes(member: str, lines: list[str], header: str = "DataReferencia;Codig
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as archive:
         archive.writestr(member, "\n".join([header, *lines]))
     return buf.getvalue()
+
+
+def _uri(root: str) -> str:
+    return "file://" + root[len("file:"):] if root.startswith("file:") and not root.startswith("file://") else root
+
+
+def land_archives(lines: DataFrame, root: str, ids_per_archive: int = 1_000_000) -> DataFrame:
+    """Write trade lines as landed archives: one zip per (file, block of line numbers) under
+    ``root/ticker=/session_date=``. Each archive holds at most ``ids_per_archive`` line
+    numbers, so no single writer task ever holds a whole large file. Written through
+    pyarrow's filesystem layer, so ``root`` may be any shared filesystem URI.
+    Returns one row per archive written (path, lines)."""
+    import pandas as pd
+
+    uri = _uri(root)
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        import posixpath
+
+        import pyarrow.fs as pafs
+        fs, base = pafs.FileSystem.from_uri(uri)
+        pdf = pdf.sort_values(["line_no", "raw_line"])
+        first = pdf.iloc[0]
+        folder = posixpath.join(base, f"ticker={first.file_ticker}", f"session_date={first.session_date}")
+        fs.create_dir(folder, recursive=True)
+        name = f"{first.filename.rsplit('.', 1)[0]}_{int(first.block):06d}.zip"
+        path = posixpath.join(folder, name)
+        with fs.open_output_stream(path) as out:
+            out.write(zip_bytes(first.filename, list(pdf.raw_line)))
+        return pd.DataFrame({"path": [path], "lines": [len(pdf)]})
+
+    blocks = lines.select("file_ticker", F.col("session_date").cast("string").alias("session_date"),
+                          "filename", "line_no", "raw_line",
+                          F.floor(F.col("line_no") / ids_per_archive).alias("block"))
+    return blocks.groupBy("file_ticker", "session_date", "filename", "block").applyInPandas(
+        write, schema="path string, lines long")
