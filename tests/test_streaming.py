@@ -69,3 +69,13 @@ def test_bronze_replay_is_idempotent(spark):
     serve.process_batch(paths, events.drop("drop"), 0)   # the same batch delivered again
     assert spark.read.parquet(paths.bronze).count() == 1
     assert os.path.isdir(paths.checkpoint.removeprefix("file:"))
+
+
+def test_untouched_keys_of_a_touched_day_are_carried_over(spark):
+    rows = [ev(0, "PETR4", 1, 0, "41.000", 13), ev(0, "VALE3", 1, 0, "60.000", 13),
+            ev(1, "PETR4", 2, 0, "42.000", 14)]            # drop 1 touches PETR4 only
+    events, paths = _run(spark, rows)
+    summary = {r.ticker: r.trades for r in gold(spark, paths.summary).collect()}
+    assert summary == {"PETR4": 2, "VALE3": 1}
+    bronze = spark.read.parquet(paths.bronze)
+    assert bronze.count() == 3

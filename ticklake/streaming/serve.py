@@ -3,9 +3,12 @@
 One ``foreachBatch`` query. Each micro-batch
   1. lands its decoded events in bronze, partitioned by (trade_date, batch_id) with
      dynamic overwrite, so a replayed batch rewrites the same partitions (idempotent);
-  2. collects the touched session days (a handful of dates, never rows);
-  3. recomputes the views for those days only, reading bronze with partition pruning;
-  4. keyed-replaces the gold partitions of those days; emptied keys become marker rows;
+  2. takes the touched (ticker, trade_date) keys; only the touched days (a handful of
+     dates) reach the driver, the keys stay a DataFrame (checkpointed);
+  3. recomputes the views for the touched keys only: bronze of the touched days (partition
+     pruning) semi-joined with the keys;
+  4. rewrites the gold partitions of the touched days: recomputed keys (emptied keys become
+     marker rows) plus the unchanged rows of untouched keys carried over;
   5. recomputes ``last_price`` only for the tickers touched in the batch, from the
      per-session latest rows (no rescan of trade history).
 Retractions (late cancellations) therefore lower ``high``, move ``close`` or remove a
@@ -49,25 +52,40 @@ class ServePaths:
         return f"{self.base}/_checkpoints/serve"
 
 
+def _merge_day(spark: SparkSession, path: str, keys: DataFrame, days: list, fresh: DataFrame,
+               key_cols: list[str]) -> DataFrame:
+    """New content of the touched day partitions: recomputed rows (and markers) for the
+    touched keys plus the existing live rows of untouched keys of those days. Cut from its
+    lineage because it reads the partitions it is about to replace."""
+    out = with_markers(keys, fresh, key_cols)
+    if exists(spark, path):
+        kept = (gold(spark, path, live_only=False)
+                .filter(F.col("trade_date").isin(days) & ~F.col("is_marker"))
+                .join(keys, key_cols, "left_anti"))
+        out = out.unionByName(kept.select(*out.columns))
+    return out.checkpoint(eager=True)
+
+
 def process_batch(paths: ServePaths, events: DataFrame, batch_id: int) -> None:
     spark = events.sparkSession
     # Bronze is written straight from the producing tasks (no shuffle of the raw events).
-    replace_partitions(events.withColumn("batch_id", F.lit(batch_id)), paths.bronze,
-                       ["trade_date", "batch_id"], cluster=False)
-    days = [r[0] for r in events.select("trade_date").where(F.col("trade_date").isNotNull())
-            .distinct().collect()]
+    landed = events.withColumn("batch_id", F.lit(batch_id))
+    replace_partitions(landed, paths.bronze, ["trade_date", "batch_id"], cluster=False)
+    keys = (landed.filter(F.col("ticker").isNotNull() & F.col("trade_date").isNotNull())
+            .select("ticker", "trade_date").distinct().checkpoint(eager=True))
+    days = [r[0] for r in keys.select("trade_date").distinct().collect()]  # a few dates
     if not days:
         return
-    bronze = spark.read.parquet(paths.bronze).filter(F.col("trade_date").isin(days))
+    bronze = (spark.read.parquet(paths.bronze).filter(F.col("trade_date").isin(days))
+              .join(keys, ["ticker", "trade_date"], "left_semi"))
     clean = views.trades_clean(bronze).persist()
     try:
-        keys = clean.select("ticker", "trade_date").distinct()
-        summary = views.session_summary(clean)
-        replace_partitions(with_markers(keys, summary, ["ticker", "trade_date"]), paths.summary,
-                           ["trade_date"])
-        last = views.session_last(views.live_trades(clean))
-        replace_partitions(with_markers(keys, last, ["ticker", "trade_date"]), paths.session_last,
-                           ["trade_date"])
+        sk = ["ticker", "trade_date"]
+        summary = _merge_day(spark, paths.summary, keys, days, views.session_summary(clean), sk)
+        replace_partitions(summary, paths.summary, ["trade_date"])
+        last = _merge_day(spark, paths.session_last, keys, days,
+                          views.session_last(views.live_trades(clean)), sk)
+        replace_partitions(last, paths.session_last, ["trade_date"])
         tickers = keys.select("ticker").distinct()
         per_session = gold(spark, paths.session_last).join(tickers, "ticker", "left_semi")
         lp = views.last_price_from_sessions(per_session)
