@@ -39,15 +39,14 @@ def unwrap_supplement(docs: DataFrame, body_col: str = "body") -> DataFrame:
     # ``doc_error`` is not pushed below the decode by re-inlining it.
     trimmed = docs.select(*keep, F.explode(F.array(F.trim(F.col(body_col)))).alias("_body"))
     body = F.col("_body")
-    list_len = F.json_array_length(body)       # NULL unless a valid JSON array
-    object_keys = F.json_object_keys(body)     # NULL unless a valid JSON object
-    is_list = list_len.isNotNull()
-    doc = F.when(is_list, F.get(F.from_json(body, T.ArrayType(SUPPLEMENT_JSON)), 0)) \
-           .otherwise(F.from_json(body, SUPPLEMENT_JSON))
+    # One parse serves both shapes: with an array-of-struct schema Spark wraps a single
+    # object as a one-element array. Invalid JSON (or a non-object element) gives NULL.
+    docs_arr = F.from_json(body, T.ArrayType(SUPPLEMENT_JSON))
+    doc = F.get(docs_arr, 0)
+    tiny_empty = (F.length(body) < 16) & (F.regexp_replace(body, r"\s", "") == F.lit("{}"))
     error = (F.when(body.isNull() | (F.length(body) == 0), F.lit("empty body"))
-              .when(~is_list & object_keys.isNull(), F.lit("non-JSON body"))
-              .when(F.when(is_list, list_len == 0).otherwise(F.size(object_keys) == 0),
-                    F.lit("empty supplement")))
+              .when(docs_arr.isNull(), F.lit("non-JSON body"))
+              .when((F.size(docs_arr) == 0) | tiny_empty, F.lit("empty supplement")))
     decoded = F.struct(
         F.coalesce(doc["cashDividends"], F.array()).alias("cash"),
         F.coalesce(doc["stockDividends"], F.array()).alias("stock"),
