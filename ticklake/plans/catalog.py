@@ -6,13 +6,22 @@ nothing is collected to the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from ticklake.operators import views
-from ticklake.plans.oracle import AS_OF, PREV_AS_OF, SYNCED_AT  # noqa: F401
-from ticklake.sources import derived
+from pyspark.sql import functions as F
+
+from ticklake.operators import audit, cursor, dividends, parse, radar, serving, views
+from ticklake.plans.oracle import AS_OF, PREV_AS_OF, SYNCED_AT
+from ticklake.schemas import KEYS, NOT_NULL, TRADE_COLUMNS, TRADE_EVENT_COLUMNS
+from ticklake.session import shared_dir
+from ticklake.sources import derived, events
+from ticklake.sources.archives import ARCHIVE_SCHEMA, land_archives
+from ticklake.sources.events import read_event_log
+from ticklake.sources.tables import gold, spread
+from ticklake.streaming import ingest
+from ticklake.streaming.replay import run_cursor_over_drops, run_serve_over_drops
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,28 +55,22 @@ QUERIES: dict[str, Query] = {
 
 
 def _parsed(spark, sf_dir):
-    from ticklake.operators import parse
     return parse.parse_lines(derived.trade_lines(spark, sf_dir))
 
 
 def q_parse_trade_lines(spark, sf_dir):
-    from ticklake.schemas import TRADE_COLUMNS
-    from ticklake.operators import parse
     return parse.good_rows(_parsed(spark, sf_dir)).select("filename", *TRADE_COLUMNS)
 
 
 def q_dead_letters(spark, sf_dir):
-    from ticklake.operators import parse
     return parse.dead_letters(parse.bad_rows(_parsed(spark, sf_dir)))
 
 
 def q_trade_events_json(spark, sf_dir):
-    from ticklake.operators import parse
     return parse.trade_event_json(parse.good_rows(_parsed(spark, sf_dir)), "eod_file")
 
 
 def q_decode_events(spark, sf_dir):
-    from ticklake.sources import events
     return events.decode_values(derived.raw_event_values(spark, sf_dir), "k BIGINT") \
         .select("event_id", "k")
 
@@ -81,42 +84,32 @@ QUERIES.update({
 
 
 def _good_trades(spark, sf_dir):
-    from ticklake.operators import parse
-    from ticklake.sources.tables import spread
     return parse.good_rows(parse.parse_lines(spread(derived.trade_lines(spark, sf_dir))))
 
 
 def _cursor0(spark, sf_dir):
     """Cursor left by an earlier poll that published line numbers 1-3 of every order."""
-    from pyspark.sql import functions as F
-    from ticklake.operators import cursor
     first = derived.trade_events(spark, sf_dir).filter(F.col("trade_id") % 10 <= 3)
     return cursor.updates(first)
 
 
 def q_cursor_filter(spark, sf_dir):
-    from ticklake.operators import cursor
-    from ticklake.schemas import TRADE_COLUMNS
     return cursor.filter_new(_good_trades(spark, sf_dir), _cursor0(spark, sf_dir)) \
         .select("filename", *TRADE_COLUMNS)
 
 
 def q_cursor_updates(spark, sf_dir):
-    from ticklake.operators import cursor
     published = cursor.filter_new(_good_trades(spark, sf_dir), _cursor0(spark, sf_dir))
     return cursor.updates(published)
 
 
 def q_cursor_fold(spark, sf_dir):
-    from ticklake.operators import cursor
     return cursor.fold_log(derived.cursor_log(spark, sf_dir))
 
 
 def q_replay_counts(spark, sf_dir):
     """Apply the cursor twice to the same files. The second pass publishes no new
     trade, only the cancellations (which always pass and are deduplicated downstream)."""
-    from pyspark.sql import functions as F
-    from ticklake.operators import cursor
     trades = _good_trades(spark, sf_dir)
     c0 = _cursor0(spark, sf_dir)
     first = cursor.filter_new(trades, c0)
@@ -143,25 +136,21 @@ QUERIES.update({
 
 
 def _unwrapped(spark, sf_dir):
-    from ticklake.operators import dividends
     return dividends.unwrap_supplement(derived.supplement_documents(spark, sf_dir))
 
 
 def q_parse_cash_dividends(spark, sf_dir):
-    from ticklake.operators import dividends as dv
-    rows = dv.parse_cash_rows(_unwrapped(spark, sf_dir))
-    return dv.for_tracked(rows, derived.tracked_tickers(spark, sf_dir), dv.CASH_COLUMNS)
+    rows = dividends.parse_cash_rows(_unwrapped(spark, sf_dir))
+    return dividends.for_tracked(rows, derived.tracked_tickers(spark, sf_dir), dividends.CASH_COLUMNS)
 
 
 def q_parse_stock_dividends(spark, sf_dir):
-    from ticklake.operators import dividends as dv
-    rows = dv.parse_stock_rows(_unwrapped(spark, sf_dir))
-    return dv.for_tracked(rows, derived.tracked_tickers(spark, sf_dir), dv.STOCK_COLUMNS)
+    rows = dividends.parse_stock_rows(_unwrapped(spark, sf_dir))
+    return dividends.for_tracked(rows, derived.tracked_tickers(spark, sf_dir), dividends.STOCK_COLUMNS)
 
 
 def q_supplement_errors(spark, sf_dir):
-    from ticklake.operators import dividends as dv
-    return dv.supplement_errors(_unwrapped(spark, sf_dir)).select("doc_id", "row_no", "error")
+    return dividends.supplement_errors(_unwrapped(spark, sf_dir)).select("doc_id", "row_no", "error")
 
 
 def _cash(spark, sf_dir):
@@ -173,18 +162,15 @@ def _last_price(spark, sf_dir):
 
 
 def q_dividend_status(spark, sf_dir):
-    from ticklake.operators import dividends as dv
-    return dv.statuses(_cash(spark, sf_dir), AS_OF)
+    return dividends.statuses(_cash(spark, sf_dir), AS_OF)
 
 
 def q_pending_dividends(spark, sf_dir):
-    from ticklake.operators import dividends as dv
-    return dv.pending(_cash(spark, sf_dir), _last_price(spark, sf_dir), AS_OF)
+    return dividends.pending(_cash(spark, sf_dir), _last_price(spark, sf_dir), AS_OF)
 
 
 def q_pending_dividends_one(spark, sf_dir):
-    from ticklake.operators import dividends as dv
-    return dv.pending(_cash(spark, sf_dir), _last_price(spark, sf_dir), AS_OF, ticker=" tk04 ")
+    return dividends.pending(_cash(spark, sf_dir), _last_price(spark, sf_dir), AS_OF, ticker=" tk04 ")
 
 
 QUERIES.update({
@@ -205,7 +191,6 @@ def _rollup(spark, sf_dir):
     """Per-session rollup (summary + latest trade) computed once and cut from its lineage
     in the shared checkpoint folder: queries that need both the last price and the
     sessions read it instead of deduplicating the trades once per branch."""
-    from ticklake.session import shared_dir
     shared_dir(spark, "lineage")  # makes sure a checkpoint folder is configured
     return views.session_rollup(_clean(spark, sf_dir)).checkpoint(eager=True)
 
@@ -215,7 +200,6 @@ def q_latest_session(spark, sf_dir):
 
 
 def _documents(spark, sf_dir, as_of, rollup=None):
-    from ticklake.operators import serving
     r = rollup if rollup is not None else _rollup(spark, sf_dir)
     return serving.ticker_documents(views.last_price_of(r), views.summary_of(r),
                                     _cash(spark, sf_dir), as_of)
@@ -226,7 +210,6 @@ def q_ticker_documents(spark, sf_dir):
 
 
 def q_changed_documents(spark, sf_dir):
-    from ticklake.operators import serving
     r = _rollup(spark, sf_dir)
     before = serving.document_etags(_documents(spark, sf_dir, PREV_AS_OF, r))
     now = serving.document_etags(_documents(spark, sf_dir, AS_OF, r))
@@ -234,65 +217,54 @@ def q_changed_documents(spark, sf_dir):
 
 
 def q_unknown_tickers(spark, sf_dir):
-    from ticklake.operators import serving
     lp = views.last_price_of(_rollup(spark, sf_dir))  # read twice: anti join + known list
     return serving.unknown_tickers(derived.ticker_requests(spark, sf_dir), lp)
 
 
 def q_health_report(spark, sf_dir):
-    from ticklake.operators import serving
     r = _rollup(spark, sf_dir)
     return serving.health(spark, views.last_price_of(r), _cash(spark, sf_dir),
                           views.summary_of(r), AS_OF)
 
 
 def q_dividend_radar(spark, sf_dir):
-    from ticklake.operators import radar
     lp = views.last_price_of(_rollup(spark, sf_dir))  # read twice: rows + best-yield subquery
     return radar.radar(_cash(spark, sf_dir), lp, AS_OF)
 
 
 def q_radar_headline(spark, sf_dir):
-    from ticklake.operators import radar
     cash, lp = _cash(spark, sf_dir), views.last_price_of(_rollup(spark, sf_dir))
     return radar.headline(radar.radar(cash, lp, AS_OF), cash, lp, AS_OF)
 
 
 def q_radar_events(spark, sf_dir):
-    from ticklake.operators import radar
     return radar.event_rows(_cash(spark, sf_dir), _last_price(spark, sf_dir), AS_OF)
 
 
 def q_day_change(spark, sf_dir):
-    from ticklake.operators import radar
     return radar.day_change(views.latest_session(_summary(spark, sf_dir)))
 
 
 def q_range_position(spark, sf_dir):
-    from ticklake.operators import radar
     r = _rollup(spark, sf_dir)
     return radar.range_position(views.latest_session(views.summary_of(r)), views.last_price_of(r))
 
 
 def q_trading_calendar(spark, sf_dir):
-    from ticklake.operators import audit
     runs = derived.trade_events(spark, sf_dir).select(
-        F_col("reference_date").alias("run_date")).distinct()
+        F.col("reference_date").alias("run_date")).distinct()
     return audit.trading_calendar(runs)
 
 
 def _marked(spark, sf_dir):
-    from ticklake.operators import cursor
     return cursor.mark_new(_good_trades(spark, sf_dir), _cursor0(spark, sf_dir))
 
 
 def q_publish_audit(spark, sf_dir):
-    from ticklake.operators import audit
     return audit.publish_audit(_marked(spark, sf_dir))
 
 
 def q_backfill_progress(spark, sf_dir):
-    from ticklake.operators import audit
     rows = audit.publish_audit(_marked(spark, sf_dir))
     return audit.backfill_progress(rows, derived.trade_lines(spark, sf_dir))
 
@@ -302,12 +274,10 @@ def _stock(spark, sf_dir):
 
 
 def q_action_audit(spark, sf_dir):
-    from ticklake.operators import audit
     return audit.action_audit(_cash(spark, sf_dir), _stock(spark, sf_dir), AS_OF)
 
 
 def q_constraint_violations(spark, sf_dir):
-    from ticklake.operators import audit
     r = _rollup(spark, sf_dir)
     tables = {
         "last_price": views.last_price_of(r),
@@ -316,18 +286,15 @@ def q_constraint_violations(spark, sf_dir):
         "stock_dividends": _stock(spark, sf_dir),
         "tracked_tickers": derived.tracked_tickers(spark, sf_dir),
     }
-    from ticklake.schemas import KEYS, NOT_NULL
     not_null, keys = NOT_NULL, KEYS
     return audit.constraint_violations(tables, not_null, keys)
 
 
 def q_download_classes(spark, sf_dir):
-    from ticklake.operators import audit
     return audit.classify_downloads(derived.download_manifest(derived.trade_lines(spark, sf_dir)))
 
 
 def F_col(name):
-    from pyspark.sql import functions as F
     return F.col(name)
 
 
@@ -354,14 +321,11 @@ QUERIES.update({
 def _stream_paths(spark, sf_dir):
     """The lineitem events split into 4 drops by order key, each drop served by
     an availableNow run of the streaming job; gold must equal the batch views."""
-    from pyspark.sql import functions as F
-    from ticklake.streaming.replay import run_serve_over_drops
-    events = derived.trade_events(spark, sf_dir)
-    return run_serve_over_drops(spark, events, (F.col("trade_id") / 10).cast("bigint") % 4, 4)
+    trade_events = derived.trade_events(spark, sf_dir)
+    return run_serve_over_drops(spark, trade_events, (F.col("trade_id") / 10).cast("bigint") % 4, 4)
 
 
 def q_stream_session_summary(spark, sf_dir):
-    from ticklake.sources.tables import gold
     paths = _stream_paths(spark, sf_dir)
     return gold(spark, paths.summary).select(
         "ticker", "trade_date", "open", "high", "low", "close", "quantity", "financial_volume",
@@ -369,7 +333,6 @@ def q_stream_session_summary(spark, sf_dir):
 
 
 def q_stream_last_price(spark, sf_dir):
-    from ticklake.sources.tables import gold
     paths = _stream_paths(spark, sf_dir)
     return gold(spark, paths.last_price).select("ticker", "price", "traded_at")
 
@@ -383,9 +346,6 @@ QUERIES.update({
 def q_stream_cursor(spark, sf_dir):
     """T3 streaming: an early snapshot (line numbers 1-3 of every order) then the full file;
     the cursor lives in transformWithState value state."""
-    from pyspark.sql import functions as F
-    from ticklake.schemas import TRADE_COLUMNS
-    from ticklake.streaming.replay import run_cursor_over_drops
     good = _good_trades(spark, sf_dir).select(*TRADE_COLUMNS)
     early = good.filter(F.col("trade_id") % 10 <= 3).withColumn("_d", F.lit(0))
     full = good.withColumn("_d", F.lit(1))
@@ -400,15 +360,9 @@ QUERIES["stream_cursor"] = q_stream_cursor
 def q_ingest_events(spark, sf_dir):
     """S1 + K1-K3 + T3/T4: the lines land as zip archives, the ingest stream runs once
     (empty cursor: every good trade is published) and the event log is decoded back."""
-    import uuid
-    from ticklake.session import shared_dir
-    from ticklake.sources.archives import ARCHIVE_SCHEMA, land_archives
-    from ticklake.sources.events import read_event_log
-    from ticklake.streaming import ingest
     paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:12]}"))
     land_archives(derived.trade_lines(spark, sf_dir), paths.landing).count()
     ingest.start(spark, paths, ARCHIVE_SCHEMA).awaitTermination()
-    from ticklake.schemas import TRADE_EVENT_COLUMNS
     return read_event_log(spark, paths.event_log).select(*TRADE_EVENT_COLUMNS)
 
 
