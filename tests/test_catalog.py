@@ -10,7 +10,8 @@ import __spark_entry__ as entry_mod
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-SLOW = {"stream_session_summary", "stream_last_price", "stream_cursor", "ingest_events"}
+SLOW = {"stream_session_summary", "stream_last_price", "stream_cursor", "ingest_events",
+        "stream_event_counts"}
 
 
 @pytest.fixture(scope="module")

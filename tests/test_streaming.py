@@ -79,3 +79,15 @@ def test_untouched_keys_of_a_touched_day_are_carried_over(spark):
     assert summary == {"PETR4": 2, "VALE3": 1}
     bronze = spark.read.parquet(paths.bronze)
     assert bronze.count() == 3
+
+
+def test_streaming_event_counts_include_null_keys_and_redeliveries(spark):
+    from ticklake.streaming.replay import run_counts_over_drops
+    rows = [ev(0, "PETR4", 1, 0, "41.000", 13), ev(0, "PETR4", 1, 0, "41.000", 13),
+            ev(1, "PETR4", 2, 0, "42.000", 14), ev(1, None, 3, 0, "1.000", 14),
+            ev(1, "VALE3", 1, 0, "60.000", 13)]
+    events = spark.createDataFrame(rows, SCHEMA)
+    out = run_counts_over_drops(spark, events, F.col("drop"), 2,
+                                shared_dir(spark, f"counts-{uuid.uuid4().hex[:8]}"))
+    got = {(r.ticker, r.trade_date): r.events for r in gold(spark, out).collect()}
+    assert got == {("PETR4", D): 3, (None, D): 1, ("VALE3", D): 1}

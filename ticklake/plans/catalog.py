@@ -367,3 +367,14 @@ def q_ingest_events(spark, sf_dir):
 
 
 QUERIES["ingest_events"] = q_ingest_events
+
+
+def q_stream_event_counts(spark, sf_dir):
+    """A1 streaming: native stateful count (update mode) over 4 drops of the event log."""
+    from ticklake.streaming.replay import run_counts_over_drops
+    out = run_counts_over_drops(spark, derived.trade_events(spark, sf_dir),
+                                (F.col("trade_id") / 10).cast("bigint") % 4, 4)
+    return gold(spark, out).select("ticker", "trade_date", "events")
+
+
+QUERIES["stream_event_counts"] = q_stream_event_counts

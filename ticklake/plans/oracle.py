@@ -684,3 +684,5 @@ ORACLE["ingest_events"] = with_ctes(TRADE_LINES, PARSED_LINES, body="""
 SELECT 1 AS schema_version, ticker, trade_id, "action", CAST(price AS VARCHAR) AS price, quantity,
        traded_at, trade_date, reference_date, session_type, 'eod_file' AS source
 FROM parsed WHERE error IS NULL""")
+
+ORACLE["stream_event_counts"] = ORACLE["session_event_counts"]

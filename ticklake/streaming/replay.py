@@ -52,3 +52,20 @@ def run_cursor_over_drops(spark: SparkSession, trades: DataFrame, drop_of, n_dro
              .trigger(availableNow=True).start())
         q.awaitTermination()
     return f"{run_dir}/published"
+
+
+def run_counts_over_drops(spark: SparkSession, events: DataFrame, drop_of, n_drops: int,
+                          run_dir: str | None = None) -> str:
+    """Land the event log in drops and run the streaming event-count aggregation after
+    each; returns the gold table path."""
+    from ticklake.streaming import counts
+    run_dir = run_dir or shared_dir(spark, f"counts-{uuid.uuid4().hex[:12]}")
+    log_dir, out = f"{run_dir}/event_log", f"{run_dir}/gold/session_event_counts"
+    tagged = events.withColumn("_drop", drop_of)
+    for k in range(n_drops):
+        event_log_json(tagged.filter(F.col("_drop") == k)).withColumn("drop", F.lit(k)) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("drop").parquet(log_dir)
+        stream = stream_event_log(spark, log_dir, partition_col="drop")
+        counts.start(spark, stream, out, f"{run_dir}/_checkpoints/counts").awaitTermination()
+    return out
