@@ -44,8 +44,17 @@ class CursorProcessor(StatefulProcessor):
         pass
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def publish_stream(trades: DataFrame) -> DataFrame:
-    """Streaming trades -> streaming published trades (same schema)."""
+    """Streaming trades -> streaming published trades (same schema).
+
+    transformWithState needs the RocksDB state store; the provider is a per-query setting
+    recorded in the checkpoint, so it is set here when the session uses another one."""
+    spark = trades.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return (trades.groupBy("ticker", "trade_date")
             .transformWithState(statefulProcessor=CursorProcessor(),
                                 outputStructType=trades.schema,
