@@ -91,3 +91,13 @@ def test_streaming_event_counts_include_null_keys_and_redeliveries(spark):
                                 shared_dir(spark, f"counts-{uuid.uuid4().hex[:8]}"))
     got = {(r.ticker, r.trade_date): r.events for r in gold(spark, out).collect()}
     assert got == {("PETR4", D): 3, (None, D): 1, ("VALE3", D): 1}
+
+
+def test_latest_trade_without_time_goes_to_violations(spark):
+    rows = [ev(0, "PETR4", 1, 0, "41.000", 13), ev(0, "VALE3", 1, 0, "60.000", 13)]
+    rows.append((1, "VALE3", 2, 0, "61.000", 10, None, D, D, 1, "intraday_poll", 0))
+    events, paths = _run(spark, rows)
+    lp = {r.ticker: r.price for r in gold(spark, paths.last_price).collect()}
+    assert lp == {"PETR4": Decimal("41.000")}
+    [v] = spark.read.parquet(paths.violations).collect()
+    assert (v.ticker, v.price, v.traded_at) == ("VALE3", Decimal("61.000"), None)

@@ -10,7 +10,8 @@ One ``foreachBatch`` query. Each micro-batch
   4. rewrites the gold partitions of the touched days: recomputed keys (emptied keys become
      marker rows) plus the unchanged rows of untouched keys carried over;
   5. recomputes ``last_price`` only for the tickers touched in the batch, from the
-     per-session latest rows (no rescan of trade history).
+     per-session latest rows (no rescan of trade history); a latest trade without a time
+     or price is routed to a violations output instead of the NOT NULL serving table.
 Retractions (late cancellations) therefore lower ``high``, move ``close`` or remove a
 session, exactly as the batch views would: gold always equals a rebuild from bronze.
 """
@@ -47,6 +48,10 @@ class ServePaths:
     def last_price(self) -> str:
         return f"{self.base}/gold/last_price"
 
+    @property
+    def violations(self) -> str:
+        return f"{self.base}/violations/last_price"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.base}/_checkpoints/serve"
@@ -88,8 +93,15 @@ def process_batch(paths: ServePaths, events: DataFrame, batch_id: int) -> None:
         replace_partitions(last, paths.session_last, ["trade_date"])
         tickers = keys.select("ticker").distinct()
         per_session = gold(spark, paths.session_last).join(tickers, "ticker", "left_semi")
-        lp = views.last_price_from_sessions(per_session)
-        replace_partitions(with_markers(tickers, lp, ["ticker"]), paths.last_price, ["ticker"])
+        lp = views.last_price_from_sessions(per_session).checkpoint(eager=True)
+        # The view may pick a trade with an unknown time (it sorts as the latest) or price,
+        # but the serving table declares both NOT NULL: such rows go to the violations
+        # output (K7) and the ticker's serving row is cleared, never written half-empty.
+        complete = F.col("price").isNotNull() & F.col("traded_at").isNotNull()
+        bad = lp.filter(~complete).withColumn("batch_id", F.lit(batch_id))
+        replace_partitions(bad, paths.violations, ["batch_id"], cluster=False)
+        replace_partitions(with_markers(tickers, lp.filter(complete), ["ticker"]),
+                           paths.last_price, ["ticker"])
     finally:
         clean.unpersist()
 
