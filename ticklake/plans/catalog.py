@@ -187,6 +187,13 @@ def _summary(spark, sf_dir):
     return views.session_summary(_clean(spark, sf_dir))
 
 
+def _last_price_cut(spark, sf_dir):
+    """Last price (one row per ticker) cut from its lineage, for queries that read it more
+    than once (a scalar subquery plus the main plan) and need nothing else of the trades."""
+    shared_dir(spark, "lineage")  # makes sure a checkpoint folder is configured
+    return _last_price(spark, sf_dir).checkpoint(eager=True)
+
+
 def _rollup(spark, sf_dir):
     """Per-session rollup (summary + latest trade) computed once and cut from its lineage
     in the shared checkpoint folder: queries that need both the last price and the
@@ -217,7 +224,7 @@ def q_changed_documents(spark, sf_dir):
 
 
 def q_unknown_tickers(spark, sf_dir):
-    lp = views.last_price_of(_rollup(spark, sf_dir))  # read twice: anti join + known list
+    lp = _last_price_cut(spark, sf_dir)  # read twice: anti join + known list
     return serving.unknown_tickers(derived.ticker_requests(spark, sf_dir), lp)
 
 
@@ -228,12 +235,12 @@ def q_health_report(spark, sf_dir):
 
 
 def q_dividend_radar(spark, sf_dir):
-    lp = views.last_price_of(_rollup(spark, sf_dir))  # read twice: rows + best-yield subquery
+    lp = _last_price_cut(spark, sf_dir)  # read twice: rows + best-yield subquery
     return radar.radar(_cash(spark, sf_dir), lp, AS_OF)
 
 
 def q_radar_headline(spark, sf_dir):
-    cash, lp = _cash(spark, sf_dir), views.last_price_of(_rollup(spark, sf_dir))
+    cash, lp = _cash(spark, sf_dir), _last_price_cut(spark, sf_dir)
     return radar.headline(radar.radar(cash, lp, AS_OF), cash, lp, AS_OF)
 
 
