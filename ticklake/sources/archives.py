@@ -103,7 +103,7 @@ def _uri(root: str) -> str:
     return "file://" + root[len("file:"):] if root.startswith("file:") and not root.startswith("file://") else root
 
 
-def land_archives(lines: DataFrame, root: str, ids_per_archive: int = 1_000_000) -> DataFrame:
+def land_archives(lines: DataFrame, root: str, ids_per_archive: int = 250_000) -> DataFrame:
     """Write trade lines as landed archives: one zip per (file, block of line numbers) under
     ``root/ticker=/session_date=``. Each archive holds at most ``ids_per_archive`` line
     numbers, so no single writer task ever holds a whole large file. Written through
