@@ -70,3 +70,13 @@ def test_decoded_event_types(spark, lines_df):
     r = decode_trade_events(df).first()
     assert (r.ticker, r.trade_id, r.action, r.price, r.quantity) == ("PETR4", 10, 0, "41.200", 5500)
     assert r.trade_date == dt.date(2026, 7, 14) and r.traded_at == dt.datetime(2026, 7, 14, 13, 7, 19, 126000)
+
+
+def test_numeric_json_price_keeps_its_decimal_value(spark):
+    from decimal import Decimal
+    from ticklake.operators import views
+    value = json.dumps(dict(EXPECTED, price=41.120))  # a number, not the published text
+    df = spark.createDataFrame([(value,)], "value string")
+    ev = decode_trade_events(df)
+    assert ev.first().price == "41.12"                  # text loses the trailing zero
+    assert views.trades_clean(ev).first().price == Decimal("41.120")
