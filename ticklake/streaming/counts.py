@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.operators import views
+from ticklake.session import shared_dir
 from ticklake.sinks.keyed import exists, replace_partitions
 from ticklake.sources.tables import gold
 
 
 def _apply(path: str, changed: DataFrame, batch_id: int) -> None:
     spark = changed.sparkSession
+    shared_dir(spark, "lineage")  # checkpoint() below needs the shared folder
     changed = changed.checkpoint(eager=True)
     days = [r[0] for r in changed.select("trade_date").distinct().collect()]  # a few dates
     out = changed.withColumn("is_marker", F.lit(False))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.operators import audit, cursor, parse
+from ticklake.session import shared_dir
 from ticklake.sinks.keyed import exists, replace_partitions
 from ticklake.sources.archives import archive_lines
 
@@ -68,6 +69,7 @@ def _cursor_for(spark: SparkSession, paths: IngestPaths, days: list) -> DataFram
 def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
                   source: str = "eod_file") -> None:
     spark = archives.sparkSession
+    shared_dir(spark, "lineage")  # checkpoint() below needs the shared folder
     lines = archive_lines(archives, source)
     parsed = parse.parse_lines(lines.filter(F.col("archive_error").isNull()).drop("archive_error"))
     parsed = parsed.persist()

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.operators import views
+from ticklake.session import shared_dir
 from ticklake.sinks.keyed import exists, replace_partitions, with_markers
 from ticklake.sources.tables import gold
 
@@ -73,6 +74,7 @@ def _merge_day(spark: SparkSession, path: str, keys: DataFrame, days: list, fres
 
 def process_batch(paths: ServePaths, events: DataFrame, batch_id: int) -> None:
     spark = events.sparkSession
+    shared_dir(spark, "lineage")  # checkpoint() below needs the shared folder
     # Bronze is written straight from the producing tasks (no shuffle of the raw events).
     landed = events.withColumn("batch_id", F.lit(batch_id))
     replace_partitions(landed, paths.bronze, ["trade_date", "batch_id"], cluster=False)
