@@ -41,13 +41,6 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str],
        .parquet(path))
 
 
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def exists(spark, path: str) -> bool:
     """True when a parquet table has been written at ``path`` (a directory listing through
     Hadoop's FileSystem of the path's own scheme, so it works on shared storage)."""

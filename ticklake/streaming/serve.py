@@ -116,11 +116,3 @@ def start(spark: SparkSession, events: DataFrame, paths: ServePaths, available_n
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()
-
-
-def read_summary(spark: SparkSession, paths: ServePaths) -> DataFrame:
-    return gold(spark, paths.summary) if exists(spark, paths.summary) else None
-
-
-def read_last_price(spark: SparkSession, paths: ServePaths) -> DataFrame:
-    return gold(spark, paths.last_price)
