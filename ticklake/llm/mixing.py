@@ -96,8 +96,10 @@ def flight(prob: list[float], size: list[float], rng: np.random.Generator, land:
 
 def _fly(land: bool):
     def run(key, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["h", "unit", "size"], kind="stable", na_position="last")
-        seed = abs(int(group["h"].iloc[0])) ^ len(group)
+        # large documents first: what stays undecided at the end is small
+        group = group.sort_values(["size", "h", "unit"], ascending=[False, True, True],
+                                  kind="stable", na_position="last")
+        seed = abs(int(group["h"].min())) ^ len(group)
         group["prob"] = flight(group["prob"].tolist(), group["size"].astype(float).tolist(),
                                np.random.default_rng(seed), land)
         return group

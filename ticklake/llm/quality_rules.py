@@ -19,8 +19,10 @@ from ticklake.llm.common import bucket_sample, let, words
 BUCKETS = 1 << 13
 #: Trusted documents, at most: one of each hash bucket.
 TRUSTED_ROWS = 20_000
-#: Mean log-likelihood ratio that a kept document reaches.
-THRESHOLD = -0.06
+#: Mean log-likelihood ratio that a kept document reaches, and how much the mean of a text
+#: of one word may stray by chance (less with the root of the number of words).
+THRESHOLD = -0.025
+STRAY = 0.2
 #: Words of a window, fixed by the rule on repetition.
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -110,12 +112,13 @@ def score_column(text: Column, weights: list[float]) -> Column:
 
 
 def judge(docs: DataFrame, weights: list[float], text_col: str = "text",
-          threshold: float = THRESHOLD, min_words: int = 10, most_repeat: int = 20) -> DataFrame:
+          threshold: float = THRESHOLD, stray: float = STRAY, min_words: int = 10,
+          most_repeat: int = 20) -> DataFrame:
     """``docs`` with the base columns, ``base_failed``, ``llr`` and ``kept``.
 
     ``base_failed``: fewer than ``min_words`` words, or over ``most_repeat`` percent of the
-    words in repeated windows. ``kept``: not base_failed and ``llr >= threshold``. Null,
-    empty and blank texts have no words, so they fail. Repeated rows get equal results. A
+    words in repeated windows. ``kept``: not base_failed and
+    ``llr >= threshold - stray / sqrt(n_words)``. Null, empty and blank texts have no words, so they fail. Repeated rows get equal results. A
     column of ``docs`` that is named like a result is replaced; others pass through.
     """
     text = F.col(text_col)
@@ -123,4 +126,4 @@ def judge(docs: DataFrame, weights: list[float], text_col: str = "text",
     out = out.withColumn("base_failed", (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > most_repeat * F.col("n_words")))
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(
-        F.round("llr", 9) >= threshold, F.lit(False)))
+        F.round("llr", 9) >= threshold - stray / F.sqrt("n_words"), F.lit(False)))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import language_id, minhash, mixing, packing, quality_rules
+from ticklake.llm import (
+    fingerprints, html_text, language_id, licenses, minhash, mixing, packing, quality_classifier,
+    quality_rules, warc)
 from ticklake.llm.common import remainder
 
 
@@ -33,10 +35,35 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def file_path():
+    """Documents as files: source, language, a directory of a hundred ids, name."""
+    return F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("und")),
+                       F.floor(F.col("doc_id") / 100).cast("string"),
+                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs.select("doc_id", file_path().alias("path"), "text"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id")) != 1)
+    model = quality_classifier.learn(docs, known)
+    return quality_classifier.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"),
+        "score", "predicted")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
@@ -46,11 +73,53 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "llr")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
-QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_mix_sources, op4_near_duplicates, op7_quality_rules, op9_packing)}
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long"))
 
-ORACLE: dict[str, str] = {}
+
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_mix_sources, op3_warc, op4_near_duplicates, op5_license_scan,
+    op6_quality_classifier, op7_quality_rules, op8_fingerprints, op9_packing, op10_main_text)}
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {1 + 5 * g}, 5))::BIGINT >> {s}) & 31)::INT, 1)"
+    for g in range(8) for s in (15, 10, 5, 0))
+
+ORACLE: dict[str, str] = {
+    "op3_warc": f"""
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+             q AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM p)
+        SELECT page_id, n::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM q""",
+    "op4_near_duplicates": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2
+                  THEN list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])
+                  WHEN len(w) = 1 THEN w ELSE [] END) AS g FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        x AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x FROM s a JOIN s b
+              ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        e AS (SELECT a, b FROM x JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+              WHERE 100 * x >= 80 * (na.n + nb.n - x)),
+        both_ways AS (SELECT a AS u, b AS v FROM e UNION ALL SELECT b, a FROM e),
+        reach(u, v) AS (SELECT doc_id, doc_id FROM documents
+                        UNION SELECT r.u, t.v FROM reach r JOIN both_ways t ON r.v = t.u)
+        SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.v) AS component_id,
+               d.doc_id = min(r.v) AS kept
+        FROM documents d JOIN reach r ON r.u = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+        GROUP BY d.doc_id, n.n""",
+}
