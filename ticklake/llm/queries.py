@@ -108,7 +108,7 @@ ORACLE: dict[str, str] = {
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                 '[^\x20\x09-\x0D]+') AS w FROM documents),
         s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2
-                  THEN list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])
+                  THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
                   WHEN len(w) = 1 THEN w ELSE [] END) AS g FROM w),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         x AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x FROM s a JOIN s b
