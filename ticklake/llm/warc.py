@@ -3,13 +3,15 @@
 A capture is three records: the request, the response (or a revisit, when an equal payload
 is already the response of another capture) and metadata; request and metadata name the
 response in WARC-Concurrent-To. Archives are written by Spark's text writer, whose line
-separator is the blank lines that end a record, and read as binary files whose records are
-cut by their Content-Length, so a payload may hold anything.
+separator is the blank lines that end a record, as gzip files, and read as binary files
+(plain or gzip) whose records are cut by their Content-Length, so a payload may hold
+anything.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -18,10 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import Scratch, scratch_path
+from ticklake.llm.common import Scratch, drop_path, scratch_path
 
-#: Bytes of payload of one archive file, about.
-FILE_BYTES = 24_000_000
+#: Fixed value: the archives' date, so that reruns write the same bytes.
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = ("record_id string, type string, concurrent_to string, refers_to string, target_uri string, "
@@ -93,7 +94,7 @@ def write_archives(captures: DataFrame, path: str, scratch: Scratch, min_bytes:
     told = rows.join(first, "sha", "left").withColumn("first_key", F.when(
         F.col("size") >= min_bytes, F.col("first_key")).otherwise(F.col("capture_key")))
     (told.select("capture_key", "first_key", "url", "html", "size", "sha")
-     .mapInArrow(_compose, "value string").write.option("lineSep", "\r\n\r\n").text(path))
+     .mapInArrow(_compose, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path))
 
 
 def records(content: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
@@ -136,7 +137,10 @@ def _parse(with_payload: bool):
         for batch in batches:
             for content in batch.column(0):
                 held, size = [], 0
-                for fields, block in records(content.as_py()):
+                content = content.as_py()
+                if content[:2] == b"\x1f\x8b":
+                    content = gzip.decompress(content)
+                for fields, block in records(content):
                     held.append(row(fields, block))
                     size += len(block) if with_payload else 200
                     if size > 4_000_000:
@@ -194,9 +198,10 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.col(url_col).alias("url"), F.col(html_col).alias("html")), "captures")
     path = scratch_path(spark, "warc")
     write_archives(base, path, scratch, min_bytes)
+    keys = scratch.keep(base.select("capture_key", F.col("order_key").alias("id")), "keys")
+    scratch.close(keys)
     flat = read_records(spark, path, with_payload=False)
     got = scratch.keep(assemble(scratch.keep(flat, "records")).drop("payload", "request", "metadata"), "got")
-    keys = base.select("capture_key", F.col("order_key").alias("id"))
     own = got.join(keys, "capture_key")
     # the responses that some revisit refers to
     cited = scratch.keep(got.where("refers_to is not null").select(F.col("refers_to").alias("record_id"))
@@ -210,7 +215,5 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.when(F.col("record_type") == "revisit", F.col("refers_id")).alias("refers_to"))
     out = scratch.keep(out, "captures-read")
     scratch.close(out)
-    from ticklake.llm.common import drop_path
-
     drop_path(spark, path)
     return out
