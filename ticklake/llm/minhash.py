@@ -5,10 +5,10 @@ whole text; documents with equal shingle sets are one class; classes meet in ban
 pairs pass a check of their signatures and then an exact one of their full shingle sets,
 and links become components by large-star and small-star.
 
-Within a bucket no pairs are listed at first: a member is checked against the bucket's
-smallest class (a star), once against the smallest of all its buckets and once against the
-others that are still in another component. What still lies in different components of one
-bucket is then compared in full, so a link is never lost to the star.
+Within a bucket no pairs are listed. A member is first checked against one class, the
+smallest that any of its buckets holds. Members that lie outside the component of their
+bucket's smallest class are then a query set, held in blocks against all members of the
+bucket; only links leave a block, so no link is lost and no list of pairs is made.
 """
 
 from __future__ import annotations
@@ -26,6 +26,9 @@ BANDS, ROWS = 25, 5
 #: standard deviations under the threshold.
 SLACK = 4.5
 SLICE_BYTES = 1 << 18
+#: Shingles of the members and of the queries of one block, about.
+BLOCK_SHINGLES = 1 << 16
+QUERY_SHINGLES = 1 << 18
 
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -100,18 +103,23 @@ def _sign(size: int):
     return run
 
 
+_BAND_WEIGHTS = np.random.default_rng(5).integers(0, 1 << 63, (BANDS, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """One 64-bit key per row and band."""
+    cut = (sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64) * _BAND_WEIGHTS).sum(2)
+    return mix(cut + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def _bands(batches):
-    weights = np.frombuffer(np.random.default_rng(5).bytes(8 * BANDS * ROWS), np.uint64) | np.uint64(1)
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        raw, _ = _fixed(batch.column(1))
-        rows = batch.num_rows
-        cut = (raw.reshape(rows, BANDS, ROWS).astype(np.uint64) * weights.reshape(BANDS, ROWS)).sum(2)
-        key = mix(cut + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)),
-             pa.array(key.ravel().view(np.int64))], ["id", "bucket"])
+        if batch.num_rows:
+            raw, rows = _fixed(batch.column(1))
+            key = band_keys(raw.reshape(rows, -1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)),
+                 pa.array(key.ravel().view(np.int64))], ["id", "bucket"])
 
 
 def _fixed(col: pa.Array) -> tuple[np.ndarray, int]:
@@ -134,6 +142,7 @@ def _agree(most_off: float):
 
 
 def _sets(size: int):
+    """Shingle sets as sorted hashes."""
     def run(batches):
         for batch in batches:
             data, offsets = utf8(batch.column(1))
@@ -147,6 +156,41 @@ def _sets(size: int):
     return run
 
 
+def _flat(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and row lengths of a list column."""
+    lens = np.concatenate([np.diff(c.offsets.to_numpy()) for c in col.chunks])
+    return np.concatenate([c.flatten().to_numpy() for c in col.chunks]), lens
+
+
+def _block_links(percent: int):
+    """Links between the queries and the members of one block of a bucket that lie in
+    different components."""
+    def run(table: pa.Table) -> pa.Table:
+        ids, comp = table.column("id").to_numpy(), table.column("c").to_numpy()
+        query = table.column("query").to_numpy()
+        values, lens = _flat(table.column("s"))
+        _, code = np.unique(values, return_inverse=True)
+        ends = np.cumsum(lens)
+        m = np.flatnonzero(~query)
+        u, v = [], []
+        if len(m):
+            member = np.concatenate([code[ends[k] - lens[k]:ends[k]] for k in m])
+            starts = np.cumsum(lens[m]) - lens[m]
+            has = np.zeros(int(code.max()) + 1, np.int32)
+            for q in np.flatnonzero(query):
+                may = (comp[m] != comp[q]) & (100 * np.minimum(lens[m], lens[q]) >= percent * np.maximum(lens[m], lens[q]))
+                if may.any():
+                    own = code[ends[q] - lens[q]:ends[q]]
+                    has[own] = 1
+                    common = np.add.reduceat(has[member], starts)
+                    has[own] = 0
+                    hit = m[may & (100 * common >= percent * (lens[m] + lens[q] - common))]
+                    u += [ids[q]] * len(hit)
+                    v += ids[hit].tolist()
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+    return run
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 5, percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id, kept) per row of ``docs``.
@@ -230,7 +274,8 @@ def _links(rows: DataFrame, node: DataFrame, scratch: Scratch, shingle: int, per
                  .select("u", "v", "su", "sv").mapInArrow(_agree(least), "u long, v long").distinct())
         close = scratch.keep(close, f"{name}-close")
         s = text_sets()
-        both = (close.join(s.toDF("u", "a"), "u").join(s.toDF("v", "b"), "v")
+        both = (close.join(s.select(F.col("id").alias("u"), F.col("s").alias("a")), "u")
+                .join(s.select(F.col("id").alias("v"), F.col("s").alias("b")), "v")
                 .select("u", "v", F.size(F.array_intersect("a", "b")).cast("long").alias("x"),
                         F.size("a").cast("long").alias("na"), F.size("b").cast("long").alias("nb"))
                 .where(F.expr(f"100 * x >= {percent} * (na + nb - x)")))
@@ -239,31 +284,34 @@ def _links(rows: DataFrame, node: DataFrame, scratch: Scratch, shingle: int, per
     # each member against the smallest class that any of its buckets holds
     nearest = scratch.keep(star.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "nearest")
     links = verified(nearest, "first")
-    labels = scratch.keep(components(links, scratch), "labels-1")
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs whose ends are not in one component yet."""
-        a, b = labels.toDF("u", "cu"), labels.toDF("v", "cv")
-        return (pairs.join(a, "u", "left").join(b, "v", "left")
-                .where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v"))
-
-    # each member against the other stars' centres, where that could still join two components
-    second = verified(apart(star.join(nearest, ["u", "v"], "left_anti")), "second")
-    links = scratch.keep(links.union(second), "links-2")
-    labels = scratch.keep(components(links, scratch), "labels-2")
-    # exact for the rest: members of one bucket that lie in different components
+    labels = scratch.keep(components(links, scratch), "labels")
+    # members of one bucket that lie in different components
+    c, d = labels.toDF("id", "c"), labels.toDF("hub", "d")
     tagged = scratch.keep(
-        met.select("bucket", "id", "hub").join(labels.toDF("id", "c"), "id", "left")
-        .select("bucket", "id", "hub", F.coalesce("c", "id").alias("c")), "tagged")
-    split = scratch.keep(
-        tagged.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-        .where("lo <> hi").select("bucket"), "split")
-    mixed = tagged.join(split, "bucket", "left_semi").where("id <> hub").join(
-        node.select("id", "n"), "id").select("bucket", "id", "c", "n")
-    mixed = scratch.keep(mixed, "mixed")
-    a = mixed.toDF("bucket", "u", "cu", "nu")
-    b = mixed.toDF("bucket", "v", "cv", "nv")
-    rest = a.join(b, "bucket").where("u < v and cu <> cv").where(F.expr(
-        f"100 * least(nu, nv) >= {percent} * greatest(nu, nv)")).select("u", "v").distinct()
-    third = verified(rest, "third")
-    return scratch.keep(links.union(third), "links")
+        met.join(c, "id", "left").join(d, "hub", "left").join(nearest.toDF("near", "id"), "id", "left")
+        .join(node.select("id", "n"), "id").select(
+            "bucket", "id", "n", F.coalesce("c", "id").alias("c"), F.coalesce("d", "hub").alias("d"),
+            (F.col("near") == F.col("hub")).alias("checked")), "tagged")
+    # buckets with the same members need one look; of a bucket of two, the pair may be checked already
+    open_ = F.when(F.col("c") != F.col("d"), F.col("n")).otherwise(0)
+    split = tagged.groupBy("bucket").agg(
+        F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum("id").alias("y"),
+        F.sum("n").alias("all"), F.sum(open_).alias("asked"),
+        F.sum(F.when(~F.coalesce("checked", F.lit(False)), open_).otherwise(0)).alias("unseen"))
+    split = split.where(F.when(F.col("m") == 2, F.col("unseen")).otherwise(F.col("asked")) > 0)
+    split = split.groupBy("m", "x", "y", "all", "asked").agg(F.min("bucket").alias("bucket")).select(
+        "bucket", F.ceil(F.col("all") / BLOCK_SHINGLES).alias("blocks"),
+        F.ceil(F.col("asked") / QUERY_SHINGLES).alias("parts"))  # blocks by the shingles they hold
+    split = scratch.keep(split, "split")
+    mixed = scratch.keep(tagged.join(split, "bucket").select(
+        "bucket", "id", "c", (F.col("c") != F.col("d")).alias("query"), "blocks", "parts"), "mixed")
+    mixed = mixed.join(text_sets(), "id")
+    deal = F.xxhash64("id")
+    members = mixed.withColumn("block", F.pmod(deal, "blocks")).withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    queries = mixed.where("query").withColumn("part", F.pmod(deal, "parts")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cols = ["bucket", "block", "part", "id", "c", "query", "s"]
+    blocks = members.withColumn("query", F.lit(False)).select(cols).union(queries.select(cols))
+    rest = blocks.groupBy("bucket", "block", "part").applyInArrow(_block_links(percent), "u long, v long")
+    return scratch.keep(links.union(rest.distinct()), "links")
