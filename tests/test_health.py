@@ -1,4 +1,4 @@
-"""Freshness, market window and trading calendar with explicit clocks."""
+"""The health report over a grid of clocks and ages; the market window minute by minute."""
 
 from __future__ import annotations
 
@@ -10,69 +10,71 @@ from pyspark.sql import functions as F
 from ticklake.functions.timefmt import market_window_open, utc_literal
 from ticklake.operators import audit, serving
 
-OPEN = dt.datetime(2026, 7, 21, 13, 0)     # Tuesday 10:00 Sao Paulo
-CLOSED = dt.datetime(2026, 7, 21, 1, 0)    # Monday 22:00 Sao Paulo
-
-
-def _health(spark, now, latest_trade, synced, sessions=((dt.date(2026, 7, 21),) * 1)):
-    lp = spark.createDataFrame([("PETR4", latest_trade)] if latest_trade else [],
-                               "ticker string, traded_at timestamp_ntz")
-    cash = spark.createDataFrame([(synced,)] if synced else [], "synced_at timestamp_ntz")
-    summ = spark.createDataFrame([(d,) for d in sessions], "trade_date date")
-    return serving.health(spark, lp, cash, summ, now).first()
-
-
-def test_everything_fresh_is_ok(spark):
-    r = _health(spark, OPEN, OPEN - dt.timedelta(minutes=5), OPEN - dt.timedelta(hours=1))
-    assert (r.status, r.market_window_open, r.trades_fresh) == ("ok", True, True)
-    assert r.trades_age_seconds == 300 and r.checked_at == "2026-07-21T13:00:00+00:00"
-
-
-def test_stale_trades_during_market_hours_degrade(spark):
-    r = _health(spark, OPEN, OPEN - dt.timedelta(hours=2), OPEN - dt.timedelta(hours=1))
-    assert (r.status, r.trades_fresh) == ("degraded", False)
-
-
-def test_old_trades_outside_market_hours_are_fine(spark):
-    r = _health(spark, CLOSED, CLOSED - dt.timedelta(hours=8), CLOSED - dt.timedelta(hours=1))
-    assert (r.status, r.market_window_open) == ("ok", False)
-
-
-def test_stale_corporate_actions_degrade_even_off_hours(spark):
-    r = _health(spark, CLOSED, CLOSED - dt.timedelta(hours=8), CLOSED - dt.timedelta(hours=10))
-    assert r.status == "degraded"
-
-
-def test_empty_store_is_degraded_not_crash(spark):
-    r = _health(spark, OPEN, None, None, sessions=())
-    assert r.status == "degraded" and r.trades_latest_traded_at is None and r.sessions_count == 0
+IN_HOURS = dt.datetime(2025, 9, 10, 15, 30)   # a Wednesday, half past noon in Sao Paulo
+AT_NIGHT = dt.datetime(2025, 9, 11, 4, 0)
+MINUTE, HOUR = dt.timedelta(minutes=1), dt.timedelta(hours=1)
+
+
+def report(spark, now, trade_age, sync_age, days=1):
+    trades = [] if trade_age is None else [("WEGE3", now - trade_age), ("RADL3", now - trade_age - 9 * HOUR)]
+    syncs = [] if sync_age is None else [(now - sync_age,), (now - sync_age - HOUR,)]
+    sessions = [(now.date() - dt.timedelta(days=k),) for k in range(days)]
+    return serving.health(
+        spark, spark.createDataFrame(trades, "ticker string, traded_at timestamp_ntz"),
+        spark.createDataFrame(syncs, "synced_at timestamp_ntz"),
+        spark.createDataFrame(sessions, "trade_date date"), now).first()
+
+
+@pytest.mark.parametrize("now, trade_age, sync_age, status", [
+    (IN_HOURS, 29 * MINUTE, 6 * HOUR, "ok"),
+    (IN_HOURS, 31 * MINUTE, 6 * HOUR, "degraded"),
+    (IN_HOURS, 29 * MINUTE, 8 * HOUR, "degraded"),
+    (AT_NIGHT, 12 * HOUR, 6 * HOUR, "ok"),           # nothing trades at night
+    (AT_NIGHT, 12 * HOUR, 8 * HOUR, "degraded"),     # but actions are synced around the clock
+    (IN_HOURS, None, 6 * HOUR, "degraded"),
+    (IN_HOURS, 29 * MINUTE, None, "degraded"),
+])
+def test_status(spark, now, trade_age, sync_age, status):
+    row = report(spark, now, trade_age, sync_age)
+    assert row.status == status
+    assert row.market_window_open == (now == IN_HOURS)
+    if trade_age is not None:
+        assert row.trades_age_seconds == trade_age.total_seconds()  # of the newest trade
 
 
-@pytest.mark.parametrize("utc, expected", [
-    (dt.datetime(2026, 7, 14, 13, 0), True),    # 10:00 SP
-    (dt.datetime(2026, 7, 14, 12, 30), False),  # 09:30 SP
-    (dt.datetime(2026, 7, 14, 22, 0), False),   # 19:00 SP
-    (dt.datetime(2026, 7, 14, 21, 0), True),    # 18:00 SP
-    (dt.datetime(2026, 7, 18, 13, 0), False),   # Saturday
-    (dt.datetime(2026, 7, 25, 13, 0), False),   # Saturday
-    (dt.datetime(2026, 7, 14, 21, 35), True),   # 18:35:00 inclusive
-])
-def test_market_window(spark, utc, expected):
-    assert spark.range(1).select(market_window_open(utc_literal(utc))).first()[0] is expected
+def test_an_empty_store_still_reports(spark):
+    row = report(spark, IN_HOURS, None, None, days=0)
+    assert (row.status, row.trades_latest_traded_at, row.sessions_count) == ("degraded", None, 0)
 
 
-def test_recent_weekdays_skip_weekends_oldest_first(spark):
-    runs = spark.createDataFrame([(dt.date(2026, 7, 15),)], "run_date date")
-    got = [r.session_date for r in audit.trading_calendar(runs, days=7).orderBy("session_date").collect()]
-    assert got == [dt.date(2026, 7, d) for d in (8, 9, 10, 13, 14)]
-    assert dt.date(2026, 7, 15) not in got
+def test_the_window_over_a_week(spark):
+    """Open on weekdays from 10:00 to 18:35 Sao Paulo time, both included."""
+    start = dt.datetime(2025, 9, 8, 0, 0)
+    clocks = [start + dt.timedelta(days=d, minutes=m) for d in range(7)
+              for m in (0, 779, 780, 900, 1295, 1296, 1439)]
+    got = spark.range(1).select(*[market_window_open(utc_literal(c)).alias(f"c{k}") for k, c in enumerate(clocks)]).first()
+    for k, c in enumerate(clocks):
+        local = c - 3 * HOUR
+        minute = local.hour * 60 + local.minute
+        assert got[k] == (local.weekday() < 5 and 600 <= minute <= 1115), c
 
 
-def test_window_is_independent_of_session_zone(spark):
+def test_the_window_does_not_follow_the_session_zone(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     try:
-        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-        assert spark.range(1).select(market_window_open(utc_literal(OPEN))).first()[0] is True
-        assert spark.range(1).select(F.lit(1)).first()[0] == 1
+        for zone in ("Pacific/Auckland", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            row = spark.range(1).select(market_window_open(utc_literal(IN_HOURS)), market_window_open(utc_literal(AT_NIGHT)))
+            assert tuple(row.first()) == (True, False)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_calendar_is_sorted_and_has_weekdays_only(spark):
+    runs = spark.createDataFrame([(dt.date(2025, 9, 15),), (dt.date(2025, 9, 10),)], "run_date date")
+    rows = [(r.run_date, r.session_date) for r in audit.trading_calendar(runs, days=9).collect()]
+    assert rows == sorted(rows)
+    for run, day in rows:
+        assert day.weekday() < 5 and 0 < (run - day).days <= 9
+    assert sum(run == dt.date(2025, 9, 15) for run, _ in rows) == 6
+    assert runs.select(F.count("*")).first()[0] == 2

@@ -58,7 +58,10 @@ def test_cumulative_snapshots_publish_only_new_trades(spark):
     second = {(r.trade_id, r.action) for r in events.filter("batch_id = 1").collect()}
     assert second == {(30, 0), (10, 2)}
 
-    cur = {(r.ticker, r.trade_date): r.max_trade_id for r in spark.read.parquet(paths.cursor).collect()}
+    from pyspark.sql import functions as F
+    days = spark.sql("SELECT explode(array(date'2026-07-13', date'2026-07-14')) AS trade_date")
+    cur = {(r.ticker, r.trade_date): r.max_trade_id
+           for r in ingest.cursor_before(spark, paths, 2, days).collect()}
     assert cur == {("PETR4", dt.date(2026, 7, 14)): 30, ("ITUB4", dt.date(2026, 7, 13)): 205660}
 
     [dl] = spark.read.parquet(paths.dead_letters).collect()
@@ -76,3 +79,61 @@ def test_cumulative_snapshots_publish_only_new_trades(spark):
     s = {r.ticker: r for r in gold(spark, serve_paths.summary).collect()}
     assert s["PETR4"].trades == 2 and s["PETR4"].open == Decimal("41.120")
     assert s["ITUB4"].trades == 1 and s["ITUB4"].open is None  # after-market only
+
+
+def _table(spark, path):
+    return sorted(map(str, (r.asDict() for r in spark.read.parquet(path).collect())))
+
+
+def test_a_batch_delivered_again_changes_nothing(spark):
+    paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
+    _land(paths.landing, "PETR4", "2026-07-14", "1046", [L10, L20, C10])
+    ingest.process_batch(paths, read_archives(spark, paths.landing), 0)
+    second = shared_dir(spark, f"second-{uuid.uuid4().hex[:8]}")
+    _land(second, "PETR4", "2026-07-14", "1106", [L10, L20, L30, C10])
+    for _ in range(2):  # the cursor of batch 1 is written when it is delivered again
+        ingest.process_batch(paths, read_archives(spark, second), 1)
+        state = [_table(spark, p) for p in (paths.event_log, paths.audit, paths.cursor)]
+        if _ == 0:
+            first = state
+    assert state == first
+    log = spark.read.parquet(paths.event_log)
+    assert {r.batch_id: r["count"] for r in log.groupBy("batch_id").count().collect()} == {0: 3, 1: 2}
+
+
+def test_cumulative_snapshots_in_one_batch_publish_a_trade_once(spark):
+    paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
+    for k, lines in enumerate(([L10], [L10, L20], [L10, L20, L30])):
+        _land(paths.landing, "PETR4", "2026-07-14", f"10{k}0", lines)
+    ingest.process_batch(paths, read_archives(spark, paths.landing), 0)
+    assert spark.read.parquet(paths.event_log).count() == 3
+
+
+def test_every_landed_file_has_an_audit_row_and_the_watchlist_decides(spark):
+    paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
+    _land(paths.landing, "PETR4", "2026-07-14", "good", [L10])
+    _land(paths.landing, "PETR4", "2026-07-14", "bad", ["x", "y;z"])
+    _land(paths.landing, "PETR4", "2026-07-14", "none", [])
+    _land(paths.landing, "ABCD3", "2026-07-14", "other", [L10])
+    tracked = spark.createDataFrame([("PETR4",)], "ticker string")
+    ingest.process_batch(paths, read_archives(spark, paths.landing), 0, tracked=tracked)
+    got = {r.filename.split("_")[-1]: (r.total, r.published) for r in spark.read.parquet(paths.audit).collect()}
+    assert got == {"good.txt": (1, 1), "bad.txt": (0, 0), "none.txt": (0, 0)}
+
+
+def test_damaged_archives_are_one_error_row_each(spark):
+    root = shared_dir(spark, f"arch-{uuid.uuid4().hex[:8]}")
+    body = zip_bytes("m.txt", [f"line number {k} with some text" for k in range(500)])
+    cut = bytearray(body)
+    cut[120:200] = bytes(80)
+    locked = bytearray(body)
+    locked[6] |= 1  # the encrypted flag, in both headers
+    locked[body.index(b"PK\x01\x02") + 8] |= 1
+    for k, raw in enumerate((bytes(cut), bytes(locked), zip_bytes("m.txt", ["caf\u00e9"]), body)):
+        folder = os.path.join(root.removeprefix("file:"), "ticker=VALE3", f"session_date=2026-07-{k + 1:02d}")
+        os.makedirs(folder)
+        with open(os.path.join(folder, "a.zip"), "wb") as f:
+            f.write(raw)
+    rows = archive_lines(read_archives(spark, root)).collect()
+    assert sum(r.archive_error is not None for r in rows) == 3
+    assert sum(r.raw_line is not None for r in rows) == 500

@@ -98,7 +98,7 @@ def test_latest_trade_without_time_goes_to_violations(spark):
     rows.append((1, "VALE3", 2, 0, "61.000", 10, None, D, D, 1, "intraday_poll", 0))
     events, paths = _run(spark, rows)
     lp = {r.ticker: r.price for r in gold(spark, paths.last_price).collect()}
-    assert lp == {"PETR4": Decimal("41.000")}
+    assert lp == {"PETR4": Decimal("41.000"), "VALE3": Decimal("60.000")}  # the newest complete trade
     [v] = spark.read.parquet(paths.violations).collect()
     assert (v.ticker, v.price, v.traded_at) == ("VALE3", Decimal("61.000"), None)
 

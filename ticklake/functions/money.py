@@ -11,11 +11,24 @@ from ticklake.schemas import JCP_LABEL, JCP_WITHHOLDING, PRICE, RATE, WIDE
 _DECIMAL_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+def _fits(text: Column, wide: Column, narrow: Column, target) -> Column:
+    """Whether a number's text loses nothing at the target's scale: its decimals less
+    trailing zeros are counted (a text with an exponent is compared by value)."""
+    decimals = F.length(F.regexp_extract(F.trim(text), r"\.(\d*?)0*$", 1))
+    return (narrow == wide) & (text.rlike("[eE]") | (decimals <= target.scale))
+
+
 def _exact(text: Column, target) -> Column:
     """Cast text to ``target`` only when that loses nothing; NULL otherwise."""
     wide = F.when(text.rlike(_DECIMAL_TEXT), F.trim(text).try_cast(WIDE))
     narrow = wide.try_cast(target)
-    return F.when(narrow == wide, narrow)
+    return F.when(_fits(text, wide, narrow, target), narrow)
+
+
+def exact_price(text: Column) -> Column:
+    """An event's price text as PRICE; NULL when that would round it, as the line parser
+    dead-letters the same text."""
+    return _exact(text, PRICE)
 
 
 def comma_decimal(text: Column, target=PRICE) -> Column:
@@ -28,7 +41,7 @@ def comma_decimal_is_lossy(text: Column, target=PRICE) -> Column:
     t = F.trim(F.replace(text, F.lit(","), F.lit(".")))
     wide = F.when(t.rlike(_DECIMAL_TEXT), t.try_cast(WIDE))
     narrow = wide.try_cast(target)
-    return wide.isNotNull() & F.coalesce(narrow != wide, F.lit(True))
+    return wide.isNotNull() & ~F.coalesce(_fits(t, wide, narrow, target), F.lit(False))
 
 
 def ptbr_decimal(text: Column, target=RATE) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.operators import dividends as dv
@@ -55,9 +55,12 @@ def action_audit(cash: DataFrame, stock: DataFrame, as_of) -> DataFrame:
                     F.coalesce("pending", F.lit(0)).alias("pending")))
 
 
-def _check(df: DataFrame, table: str, rule: str, bad: Column) -> DataFrame:
-    return df.agg(F.count_if(bad).alias("violations")).select(
-        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations")
+def _null_checks(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """All NOT NULL rules of a table in one aggregate, then one row per rule."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return counts.select(F.inline(F.array(*[F.struct(
+        F.lit(table).alias("table_name"), F.lit(f"not null {c}").alias("rule"), F.col(c).alias("violations"))
+        for c in columns])))
 
 
 def _dup_check(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
@@ -72,8 +75,8 @@ def constraint_violations(tables: dict[str, DataFrame], not_null: dict[str, list
     """K7: one row per (table, rule) with its violation count (zero included)."""
     parts = []
     for name, df in tables.items():
-        for col in not_null.get(name, []):
-            parts.append(_check(df, name, f"not null {col}", F.col(col).isNull()))
+        if not_null.get(name):
+            parts.append(_null_checks(df, name, not_null[name]))
         if name in keys:
             parts.append(_dup_check(df, name, keys[name]))
     return reduce(DataFrame.unionByName, parts)
@@ -103,4 +106,4 @@ def trading_calendar(run_dates: DataFrame, days: int = BACKFILL_CALENDAR_DAYS) -
     d = F.col("run_date")
     return (run_dates.select("run_date", F.explode(F.sequence(F.date_sub(d, days), F.date_sub(d, 1)))
                              .alias("session_date"))
-            .filter(F.weekday("session_date") < 5))
+            .filter(F.weekday("session_date") < 5).orderBy("run_date", "session_date"))

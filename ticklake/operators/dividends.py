@@ -43,10 +43,20 @@ def unwrap_supplement(docs: DataFrame, body_col: str = "body") -> DataFrame:
     # object as a one-element array. Invalid JSON (or a non-object element) gives NULL.
     docs_arr = F.from_json(body, T.ArrayType(SUPPLEMENT_JSON))
     doc = F.get(docs_arr, 0)
-    tiny_empty = (F.length(body) < 16) & (F.regexp_replace(body, r"\s", "") == F.lit("{}"))
+    # Decided by the parsed value: an object without keys is empty whatever its length, and
+    # text after the document or an array that is no array makes the whole document an error.
+    whole = body.rlike(r"(?s)^(\{.*\}|\[.*\])$") & F.try_parse_json(body).isNotNull()
+    first = F.when(F.startswith(body, F.lit("[")), F.get_json_object(body, "$[0]")).otherwise(body)
+    no_keys = F.coalesce(F.size(F.json_object_keys(first)) == 0, F.lit(False))
+
+    def no_list(name: str) -> Column:
+        value = F.get_json_object(first, f"$.{name}")
+        return F.coalesce(~F.startswith(value, F.lit("[")), F.lit(False))
+
     error = (F.when(body.isNull() | (F.length(body) == 0), F.lit("empty body"))
-              .when(docs_arr.isNull(), F.lit("non-JSON body"))
-              .when((F.size(docs_arr) == 0) | tiny_empty, F.lit("empty supplement")))
+              .when(docs_arr.isNull() | ~F.coalesce(whole, F.lit(False)), F.lit("non-JSON body"))
+              .when((F.size(docs_arr) == 0) | no_keys, F.lit("empty supplement"))
+              .when(no_list("cashDividends") | no_list("stockDividends"), F.lit("malformed supplement")))
     decoded = F.struct(
         F.coalesce(doc["cashDividends"], F.array()).alias("cash"),
         F.coalesce(doc["stockDividends"], F.array()).alias("stock"),

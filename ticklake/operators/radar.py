@@ -29,7 +29,7 @@ def radar(cash: DataFrame, last_price: DataFrame, as_of) -> DataFrame:
         F.min("payment_date").alias("next_payment"),
         F.count_if(F.col("label") == "JRS CAP PROPRIO").alias("jcp_events"),
     )
-    total_yield = F.col("gross").cast("double") / F.col("price").cast("double")
+    total_yield = F.try_divide(F.col("gross").cast("double"), F.col("price").cast("double"))
     per = per.withColumn("total_yield", total_yield)
     best = per.select(F.greatest(F.max("total_yield"), F.lit(1e-9))).scalar()
     return (per.withColumn("bar_width", F.greatest(F.lit(2.0), F.lit(100.0) * F.col("total_yield") / best))
@@ -73,10 +73,10 @@ def day_change(latest_sessions: DataFrame) -> DataFrame:
     """(close - open) / open and its direction, for sessions with both prices."""
     o = F.col("open").cast("double")
     c = F.col("close").cast("double")
-    chg = (c - o) / o
+    chg = F.try_divide(c - o, o)  # NULL where the open is 0
     return (latest_sessions.filter(F.col("open").isNotNull() & F.col("close").isNotNull())
             .select("ticker", "trade_date", chg.alias("day_change"),
-                    F.when(chg >= 0, F.lit("up")).otherwise(F.lit("down")).alias("direction")))
+                    F.when(chg >= 0, F.lit("up")).when(chg < 0, F.lit("down")).alias("direction")))
 
 
 def range_position(latest_sessions: DataFrame, last_price: DataFrame) -> DataFrame:

@@ -48,8 +48,12 @@ def ticker_documents(last_price: DataFrame, summary: DataFrame, cash: DataFrame,
     sess = latest_session(summary)
     sess = sess.select("ticker", *session_item(sess))
     items = dv.pending(cash, last_price, as_of, ordered=False).select("ticker", *PENDING_ITEM_COLUMNS)
-    return (header.join(sess, "ticker", "left")
-                  .join(items, "ticker", "left"))
+    header = header.join(sess, "ticker", "left")
+    # An inner join keeps the large side splittable (and the header broadcastable where its
+    # measured size allows); headers without an item are added from a narrow second pass.
+    full = header.join(items, "ticker")
+    alone = header.join(items.select("ticker").distinct(), "ticker", "left_anti")
+    return full.unionByName(alone, allowMissingColumns=True)
 
 
 def document_etags(docs: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.schemas import ACTION_CANCELLED, PRICE, SESSION_REGULAR, VOLUME
+from ticklake.functions.money import exact_price
+from ticklake.schemas import ACTION_CANCELLED, SESSION_REGULAR, VOLUME
 
 SESSION_KEYS = ["ticker", "trade_date"]
 TRADE_KEYS = ["ticker", "trade_date", "trade_id"]
@@ -54,7 +55,7 @@ def trades_clean(events: DataFrame) -> DataFrame:
             .filter(F.col("ticker").isNotNull() & F.col("trade_date").isNotNull()
                     & F.col("trade_id").isNotNull())
             .groupBy(*TRADE_KEYS)
-            .agg(F.max(F.col("price").try_cast(PRICE)).alias("price"),
+            .agg(F.max(exact_price(F.col("price"))).alias("price"),
                  F.max("quantity").alias("quantity"),
                  F.max("session_type").alias("session_type"),
                  F.max("traded_at").alias("traded_at"),

@@ -19,7 +19,7 @@ from ticklake.session import shared_dir
 from ticklake.sources import derived, events
 from ticklake.sources.archives import ARCHIVE_SCHEMA, land_archives
 from ticklake.sources.events import read_event_log
-from ticklake.sources.tables import gold, spread
+from ticklake.sources.tables import gold
 from ticklake.streaming import ingest
 from ticklake.streaming.replay import run_cursor_over_drops, run_serve_over_drops
 
@@ -84,7 +84,7 @@ QUERIES.update({
 
 
 def _good_trades(spark, sf_dir):
-    return parse.good_rows(parse.parse_lines(spread(derived.trade_lines(spark, sf_dir))))
+    return parse.good_rows(parse.parse_lines(derived.trade_lines(spark, sf_dir)))
 
 
 def _cursor0(spark, sf_dir):

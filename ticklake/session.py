@@ -32,15 +32,20 @@ LOCAL_DEFAULTS = {
 
 def get_session(master: str | None = None, app_name: str = "ticklake",
                 extra: dict[str, str] | None = None) -> SparkSession:
-    """Build (or reuse) a session with the defaults above."""
+    """Build (or reuse) a session; the defaults above fill in what is unset."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(LOCAL_DEFAULTS)
-    conf.update(extra or {})
-    for key, value in conf.items():
+    if master and master.startswith("local"):
+        builder = builder.config("spark.ui.enabled", "false")
+    for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in LOCAL_DEFAULTS.items():
+        # what the deployment or the caller has set stays
+        if key not in (extra or {}) and not given.contains(key) and key.startswith("spark.sql."):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -53,6 +58,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="ticklake-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     base = base.rstrip("/")

@@ -22,7 +22,7 @@ from ticklake.functions.timefmt import utc_literal
 def synced_tickers(unwrapped: DataFrame, watchlist: DataFrame) -> DataFrame:
     """Tickers whose supplement decoded (fetch succeeded), via the issuer lookup."""
     ok = unwrapped.filter(F.col("doc_error").isNull()).select("issuing_company").distinct()
-    return ok.join(F.broadcast(dv.issuer_tickers(watchlist)), "issuing_company").select("ticker")
+    return ok.join(dv.issuer_tickers(watchlist), "issuing_company").select("ticker")
 
 
 def sync(docs: DataFrame, watchlist: DataFrame, base: str, synced_at) -> None:

@@ -33,25 +33,34 @@ ARCHIVE_LINES = "member string, line_no int, raw_line string, archive_error stri
 class UnzipLines:
     """First member of a zip, decoded as ASCII, split into lines, header dropped.
 
-    A corrupt archive or non-ASCII text yields one row with ``archive_error`` instead of
-    failing the job, so one bad file never stops the other tickers.
+    An archive that cannot be read whole (damaged, encrypted, unsupported, not ASCII) yields
+    one row with ``archive_error`` and no line, so one bad file never stops the other
+    tickers. The member is read twice as a stream, once to be sure of it and once for its
+    lines, so no archive is held as text. A file without lines yields one row without text.
     """
 
     def eval(self, content: bytes):
         try:
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 name = archive.namelist()[0]
-                text = archive.read(name).decode("ascii")
-        except (zipfile.BadZipFile, IndexError, UnicodeDecodeError, ValueError) as exc:
+                with io.TextIOWrapper(archive.open(name), "ascii") as member:
+                    count = sum(1 for _ in member)
+        except Exception as exc:  # whatever the decoders raise concerns this archive alone
             yield None, None, None, f"bad archive: {type(exc).__name__}: {exc}"
             return
-        for i, line in enumerate(text.splitlines()[1:], start=1):
-            yield name, i, line, None
+        if count < 2:
+            yield name, None, None, None
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            with io.TextIOWrapper(archive.open(name), "ascii") as member:
+                for i, line in enumerate(member):
+                    if i:
+                        yield name, i, line.rstrip("\n"), None
 
 
 def archive_lines(archives: DataFrame, source: str = SOURCE_EOD) -> DataFrame:
     """binaryFile rows (with ``ticker``/``session_date`` partition columns) -> one row per
-    trade line with its file context, or one error row per unreadable archive."""
+    trade line with its file context (``landed_at`` and ``archive`` order the files), one
+    error row per unreadable archive, one row without text per file without lines."""
     out = archives.lateralJoin(UnzipLines(F.col("content").outer()))
     return out.select(
         F.col("ticker").alias("file_ticker"),
@@ -60,6 +69,7 @@ def archive_lines(archives: DataFrame, source: str = SOURCE_EOD) -> DataFrame:
         F.lit(source).alias("source"),
         F.col("line_no").cast("long").alias("line_no"),
         "raw_line", "archive_error",
+        F.col("modificationTime").alias("landed_at"), F.col("path").alias("archive"),
     )
 
 
@@ -85,9 +95,10 @@ def read_archives(spark: SparkSession, root: str) -> DataFrame:
             .option("recursiveFileLookup", "false").load(root))
 
 
-def stream_archives(spark: SparkSession, root: str, schema) -> DataFrame:
-    """Streaming scan of newly landed archives (file source keeps offsets in the checkpoint)."""
-    return (spark.readStream.format("binaryFile").schema(schema)
+def stream_archives(spark: SparkSession, root: str, schema, max_files: int = 10_000) -> DataFrame:
+    """Streaming scan of newly landed archives (file source keeps offsets in the checkpoint),
+    at most ``max_files`` of them in one micro-batch."""
+    return (spark.readStream.format("binaryFile").schema(schema).option("maxFilesPerTrigger", max_files)
             .option("pathGlobFilter", "*.zip").load(root))
 
 
@@ -103,12 +114,10 @@ def _uri(root: str) -> str:
     return "file://" + root[len("file:"):] if root.startswith("file:") and not root.startswith("file://") else root
 
 
-def land_archives(lines: DataFrame, root: str, ids_per_archive: int = 250_000) -> DataFrame:
-    """Write trade lines as landed archives: one zip per (file, block of line numbers) under
-    ``root/ticker=/session_date=``. Each archive holds at most ``ids_per_archive`` line
-    numbers, so no single writer task ever holds a whole large file. Written through
-    pyarrow's filesystem layer, so ``root`` may be any shared filesystem URI.
-    Returns one row per archive written (path, lines)."""
+def land_archives(lines: DataFrame, root: str) -> DataFrame:
+    """Write trade lines as landed archives: one zip per file, as the exchange serves them,
+    under ``root/ticker=/session_date=``. Written through pyarrow's filesystem layer, so
+    ``root`` may be any shared filesystem URI. Returns one row per archive (path, lines)."""
     import pandas as pd
 
     uri = _uri(root)
@@ -122,14 +131,13 @@ def land_archives(lines: DataFrame, root: str, ids_per_archive: int = 250_000) -
         first = pdf.iloc[0]
         folder = posixpath.join(base, f"ticker={first.file_ticker}", f"session_date={first.session_date}")
         fs.create_dir(folder, recursive=True)
-        name = f"{first.filename.rsplit('.', 1)[0]}_{int(first.block):06d}.zip"
+        name = f"{first.filename.rsplit('.', 1)[0]}.zip"
         path = posixpath.join(folder, name)
         with fs.open_output_stream(path) as out:
             out.write(zip_bytes(first.filename, list(pdf.raw_line)))
         return pd.DataFrame({"path": [path], "lines": [len(pdf)]})
 
-    blocks = lines.select("file_ticker", F.col("session_date").cast("string").alias("session_date"),
-                          "filename", "line_no", "raw_line",
-                          F.floor(F.col("line_no") / ids_per_archive).alias("block"))
-    return blocks.groupBy("file_ticker", "session_date", "filename", "block").applyInPandas(
+    files = lines.select("file_ticker", F.col("session_date").cast("string").alias("session_date"),
+                         "filename", "line_no", "raw_line")
+    return files.groupBy("file_ticker", "session_date", "filename").applyInPandas(
         write, schema="path string, lines long")

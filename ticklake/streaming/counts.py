@@ -30,8 +30,9 @@ def _apply(path: str, changed: DataFrame, batch_id: int) -> None:
         if None in days:  # events without a session are counted too (no key guard in A1)
             touched_day = touched_day | F.col("trade_date").isNull()
         old = gold(spark, path, live_only=False).filter(touched_day)
-        kept = old.join(changed.select("ticker", "trade_date"), ["ticker", "trade_date"],
-                        "left_anti")
+        new = changed.select(F.col("ticker").alias("_t"), F.col("trade_date").alias("_d"))
+        kept = old.join(new, old["ticker"].eqNullSafe(new["_t"])
+                        & old["trade_date"].eqNullSafe(new["_d"]), "left_anti")
         out = out.unionByName(kept.select(*out.columns))
     replace_partitions(out.checkpoint(eager=True), path, ["trade_date"])
 

@@ -1,29 +1,29 @@
 """Ingest job: landed archives -> parsed trades -> cursor filter -> event log.
 
 One ``foreachBatch`` query over newly landed zip archives. Per micro-batch:
-  1. unzip (UDTF) and parse every line once; the parsed batch is persisted because both
-     the good and the malformed branches read it;
+  1. unzip (UDTF) and parse every line once; both are persisted because the good, the
+     malformed and the unreadable branches read them;
   2. dead letters (and unreadable archives) go to the dead-letter log (K2);
   3. trades above their session's cursor (cancellations always) are published to the
-     event log as compact JSON keyed by ticker (K1/P9);
-  4. a per-file audit row is written (A13);
-  5. only after the events are written, the cursor advances (K3): the pre-batch cursor
-     of the touched sessions was cut from its files with ``checkpoint()`` (they are about
-     to be replaced), so the new cursor is computed from it and keyed-replaced by
-     trade_date.
-Every output is partitioned by ``batch_id`` and written with dynamic overwrite, so a
-replayed batch (after a failure between steps) rewrites instead of duplicating; the
-cursor is monotone, so replaying it is harmless as well.
+     event log as compact JSON keyed by ticker (K1/P9); the cursor moves after each file,
+     so cumulative snapshots of one session in one batch publish a trade once;
+  4. one audit row per landed file is written, also for files without a good line (A13);
+  5. only after the events are written, the batch's cursor records are (K3), as the
+     (key, JSON value) records of a compacted log.
+Every output is partitioned by ``batch_id`` and written with dynamic overwrite. Batch N
+reads only cursor records of batches below N, so a batch that is delivered again, at
+whatever step it broke off, sees the same cursor and rewrites the same rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticklake.operators import audit, cursor, parse
+from ticklake.schemas import ACTION_CANCELLED
 from ticklake.session import shared_dir
 from ticklake.sinks.keyed import exists, replace_partitions
 from ticklake.sources.archives import archive_lines
@@ -58,21 +58,43 @@ class IngestPaths:
         return f"{self.base}/_checkpoints/ingest"
 
 
-def _cursor_for(spark: SparkSession, paths: IngestPaths, days: list) -> DataFrame:
-    empty = spark.createDataFrame([], "ticker string, trade_date date, max_trade_id long")
-    if not days or not exists(spark, paths.cursor):
-        return empty
-    return (spark.read.parquet(paths.cursor).filter(F.col("trade_date").isin(days))
-            .select("ticker", "trade_date", "max_trade_id"))
+def cursor_before(spark: SparkSession, paths: IngestPaths, batch_id: int, days: DataFrame) -> DataFrame:
+    """The cursor of the sessions of ``days`` (one column ``trade_date``) before a batch."""
+    if not exists(spark, paths.cursor):
+        return spark.createDataFrame([], "ticker string, trade_date date, max_trade_id long")
+    log = (spark.read.parquet(paths.cursor).where(F.col("batch_id") < batch_id)
+           .join(days, "trade_date", "left_semi"))
+    folded = cursor.fold_log(log.withColumn("partition", F.lit(0)).withColumn("offset", F.col("batch_id")))
+    return folded.join(log.select("key", "ticker", "trade_date").distinct(), "key").select(
+        "ticker", "trade_date", "max_trade_id")
+
+
+def mark_new_by_file(trades: DataFrame, before: DataFrame) -> DataFrame:
+    """``cursor.mark_new`` with the cursor moved after each snapshot of the batch: a file's
+    trades are compared with the highest id that the cursor or an earlier file landed for
+    the same session holds. The running maximum is taken over one row per (session, file)."""
+    keys = [*cursor.KEYS, "session_date"]
+    files = trades.where(F.col("action") != ACTION_CANCELLED).groupBy(*keys, "landed_at", "archive").agg(
+        F.max("trade_id").alias("_top"))
+    earlier = Window.partitionBy(*keys).orderBy("landed_at", "archive").rowsBetween(
+        Window.unboundedPreceding, -1)
+    files = files.select(*keys, "archive", F.max("_top").over(earlier).alias("_earlier"))
+    c = before.select(*cursor.KEYS, F.col("max_trade_id").alias("_cursor"))
+    seen = F.greatest(F.coalesce("_cursor", F.lit(0)), F.coalesce("_earlier", F.lit(0)))
+    return (trades.join(c, cursor.KEYS, "left").join(files, [*keys, "archive"], "left")
+            .withColumn("is_new", (F.col("action") == ACTION_CANCELLED) | (F.col("trade_id") > seen))
+            .drop("_cursor", "_earlier"))
 
 
 def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
-                  source: str = "eod_file") -> None:
+                  source: str = "eod_file", tracked: DataFrame | None = None) -> None:
+    """``tracked``: the watchlist (J9); archives of other tickers are then left out."""
     spark = archives.sparkSession
     shared_dir(spark, "lineage")  # checkpoint() below needs the shared folder
-    lines = archive_lines(archives, source)
-    parsed = parse.parse_lines(lines.filter(F.col("archive_error").isNull()).drop("archive_error"))
-    parsed = parsed.persist()
+    if tracked is not None:
+        archives = archives.join(tracked.select("ticker").distinct(), "ticker", "left_semi")
+    lines = archive_lines(archives, source).persist()
+    parsed = parse.parse_lines(lines.filter(F.col("raw_line").isNotNull()).drop("archive_error")).persist()
     try:
         bid = F.lit(batch_id)
         # K2: malformed lines and unreadable archives
@@ -86,35 +108,37 @@ def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
 
         # P9 + K1: publish above the cursor as it was before this batch
         good = parse.good_rows(parsed)
-        days = [r[0] for r in good.select("trade_date").distinct().collect()]  # a few dates
-        # The pre-batch cursor is cut from its files: step 4 overwrites them, and Spark
-        # refreshes any plan (even a cached one) that reads a path being overwritten.
-        before = _cursor_for(spark, paths, days).checkpoint(eager=True)
-        marked = cursor.mark_new(good, before).persist()
-        published = marked.filter("is_new").drop("is_new")
+        days = good.select("trade_date").distinct()
+        before = cursor_before(spark, paths, batch_id, days)
+        marked = mark_new_by_file(good, before).persist()
+        published = marked.filter("is_new").drop("is_new", "landed_at", "archive")
         events = parse.trade_event_json(published, F.col("source")).withColumn("batch_id", bid)
         replace_partitions(events, paths.event_log, ["batch_id"], cluster=False)
 
-        # Per-file audit
-        rows = audit.publish_audit(marked).withColumn("batch_id", bid)
+        # One row per landed file of the batch, with zeros where it holds no good line
+        every = lines.filter(F.col("archive_error").isNull()).select(
+            F.col("file_ticker").alias("ticker"), "session_date", "filename").distinct()
+        rows = every.join(audit.publish_audit(marked), ["ticker", "session_date", "filename"], "left").fillna(
+            0, ["total", "published"]).withColumn("batch_id", bid)
         replace_partitions(rows, paths.audit, ["batch_id"], cluster=False)
 
         # K3: the cursor moves only after the events are durable
-        if days:
-            after = cursor.advance(before, cursor.updates(published))
-            replace_partitions(after.select("ticker", "trade_date", "max_trade_id"),
-                               paths.cursor, ["trade_date"])
+        after = cursor.updates(published)
+        record = cursor.value_json(after).join(after.select("key", *cursor.KEYS), "key")
+        record = record.withColumn("batch_id", bid)
+        replace_partitions(record, paths.cursor, ["trade_date", "batch_id"])
         marked.unpersist()
     finally:
         parsed.unpersist()
+        lines.unpersist()
 
 
 def start(spark: SparkSession, paths: IngestPaths, archive_schema, source: str = "eod_file",
-          available_now: bool = True):
+          available_now: bool = True, tracked: DataFrame | None = None):
     from ticklake.sources.archives import stream_archives
     stream = stream_archives(spark, paths.landing, archive_schema)
     writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: process_batch(paths, df, bid, source))
+              .foreachBatch(lambda df, bid: process_batch(paths, df, bid, source, tracked))
               .option("checkpointLocation", paths.checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="10 minutes")

@@ -3,15 +3,15 @@
 One ``foreachBatch`` query. Each micro-batch
   1. lands its decoded events in bronze, partitioned by (trade_date, batch_id) with
      dynamic overwrite, so a replayed batch rewrites the same partitions (idempotent);
-  2. takes the touched (ticker, trade_date) keys; only the touched days (a handful of
-     dates) reach the driver, the keys stay a DataFrame (checkpointed);
-  3. recomputes the views for the touched keys only: bronze of the touched days (partition
-     pruning) semi-joined with the keys;
-  4. rewrites the gold partitions of the touched days: recomputed keys (emptied keys become
-     marker rows) plus the unchanged rows of untouched keys carried over;
-  5. recomputes ``last_price`` only for the tickers touched in the batch, from the
-     per-session latest rows (no rescan of trade history); a latest trade without a time
-     or price is routed to a violations output instead of the NOT NULL serving table.
+  2. takes the touched (ticker, trade_date) keys from the bronze just written; they stay
+     a DataFrame (checkpointed) and touched days are found by a join, not on the driver;
+  3. recomputes the views of the touched days from their bronze (dynamic partition
+     pruning) and rewrites those days' gold partitions whole, so a lost or damaged gold
+     partition heals with the next batch of its day, and ``rebuild`` heals them all; keys
+     without live trades become marker rows;
+  4. recomputes ``last_price`` only for the tickers touched in the batch, from the
+     per-session latest complete trades; an incomplete trade (no time or price) that the
+     view would pick is routed to a violations output, which is replaced per batch.
 Retractions (late cancellations) therefore lower ``high``, move ``close`` or remove a
 session, exactly as the batch views would: gold always equals a rebuild from bronze.
 """
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ticklake.operators import views
 from ticklake.session import shared_dir
-from ticklake.sinks.keyed import exists, replace_partitions, with_markers
+from ticklake.sinks.keyed import replace_partitions, with_markers
 from ticklake.sources.tables import gold
 
 
@@ -58,52 +58,49 @@ class ServePaths:
         return f"{self.base}/_checkpoints/serve"
 
 
-def _merge_day(spark: SparkSession, path: str, keys: DataFrame, days: list, fresh: DataFrame,
-               key_cols: list[str]) -> DataFrame:
-    """New content of the touched day partitions: recomputed rows (and markers) for the
-    touched keys plus the existing live rows of untouched keys of those days. Cut from its
-    lineage because it reads the partitions it is about to replace."""
-    out = with_markers(keys, fresh, key_cols)
-    if exists(spark, path):
-        kept = (gold(spark, path, live_only=False)
-                .filter(F.col("trade_date").isin(days) & ~F.col("is_marker"))
-                .join(keys, key_cols, "left_anti"))
-        out = out.unionByName(kept.select(*out.columns))
-    return out.checkpoint(eager=True)
-
-
 def process_batch(paths: ServePaths, events: DataFrame, batch_id: int) -> None:
     spark = events.sparkSession
     shared_dir(spark, "lineage")  # checkpoint() below needs the shared folder
     # Bronze is written straight from the producing tasks (no shuffle of the raw events).
     landed = events.withColumn("batch_id", F.lit(batch_id))
     replace_partitions(landed, paths.bronze, ["trade_date", "batch_id"], cluster=False)
-    keys = (landed.filter(F.col("ticker").isNotNull() & F.col("trade_date").isNotNull())
-            .select("ticker", "trade_date").distinct().checkpoint(eager=True))
-    days = [r[0] for r in keys.select("trade_date").distinct().collect()]  # a few dates
-    if not days:
+    touched = (spark.read.parquet(paths.bronze).where(F.col("batch_id") == batch_id)
+               .where(F.col("ticker").isNotNull() & F.col("trade_date").isNotNull())
+               .select("ticker", "trade_date").distinct().checkpoint(eager=True))
+    if touched.isEmpty():
         return
-    bronze = (spark.read.parquet(paths.bronze).filter(F.col("trade_date").isin(days))
-              .join(keys, ["ticker", "trade_date"], "left_semi"))
+    _rebuild(spark, paths, touched.select("trade_date").distinct(), touched.select("ticker").distinct(), batch_id)
+
+
+def rebuild(spark: SparkSession, paths: ServePaths) -> None:
+    """Every gold table anew from bronze."""
+    bronze = spark.read.parquet(paths.bronze)
+    _rebuild(spark, paths, bronze.select("trade_date").where("trade_date is not null").distinct(),
+             bronze.select("ticker").where("ticker is not null").distinct(), -1)
+
+
+def _rebuild(spark: SparkSession, paths: ServePaths, days: DataFrame, tickers: DataFrame, batch_id: int) -> None:
+    """Gold of whole days from their bronze, then the last price of the given tickers."""
+    bronze = spark.read.parquet(paths.bronze).join(days, "trade_date", "left_semi")
+    sk = ["ticker", "trade_date"]
+    keys = bronze.where("ticker is not null").select(*sk).distinct()
     clean = views.trades_clean(bronze).persist()
     try:
-        sk = ["ticker", "trade_date"]
-        summary = _merge_day(spark, paths.summary, keys, days, views.session_summary(clean), sk)
-        replace_partitions(summary, paths.summary, ["trade_date"])
-        last = _merge_day(spark, paths.session_last, keys, days,
-                          views.session_last(views.live_trades(clean)), sk)
-        replace_partitions(last, paths.session_last, ["trade_date"])
-        tickers = keys.select("ticker").distinct()
+        replace_partitions(with_markers(keys, views.session_summary(clean), sk), paths.summary, ["trade_date"])
+        # The serving table declares price and time NOT NULL: it serves the newest complete
+        # trade, and an incomplete one that the view would pick goes to the violations (K7).
+        live = views.live_trades(clean)
+        complete = F.col("price").isNotNull() & F.col("traded_at").isNotNull()
+        last = views.session_last(live.where(complete))
+        replace_partitions(with_markers(keys, last, sk), paths.session_last, ["trade_date"])
+        picked = views.last_price_from_sessions(views.session_last(live))
+        bad = picked.where(~complete).withColumn("batch_id", F.lit(batch_id)).withColumn("is_marker", F.lit(False))
+        none = spark.createDataFrame([(batch_id, True)], "batch_id int, is_marker boolean")
+        replace_partitions(bad.unionByName(none, allowMissingColumns=True), paths.violations, ["batch_id"],
+                           cluster=False)
         per_session = gold(spark, paths.session_last).join(tickers, "ticker", "left_semi")
         lp = views.last_price_from_sessions(per_session).checkpoint(eager=True)
-        # The view may pick a trade with an unknown time (it sorts as the latest) or price,
-        # but the serving table declares both NOT NULL: such rows go to the violations
-        # output (K7) and the ticker's serving row is cleared, never written half-empty.
-        complete = F.col("price").isNotNull() & F.col("traded_at").isNotNull()
-        bad = lp.filter(~complete).withColumn("batch_id", F.lit(batch_id))
-        replace_partitions(bad, paths.violations, ["batch_id"], cluster=False)
-        replace_partitions(with_markers(tickers, lp.filter(complete), ["ticker"]),
-                           paths.last_price, ["ticker"])
+        replace_partitions(with_markers(tickers, lp, ["ticker"]), paths.last_price, ["ticker"])
     finally:
         clean.unpersist()
 
