@@ -3,8 +3,9 @@
 Each five-word shingle is hashed once. The hash's top bits deal it to one of BINS bins and
 the smallest hash of a bin stands for it. An empty bin borrows from a filled one, found on
 a random walk of its own over the bins (a start and an odd stride per bin). The low BITS
-bits of each bin are stored, one hexadecimal digit a bin; equal digits of two fingerprints
-estimate the Jaccard similarity once the chance agreement of 2**-BITS is taken out.
+bits of each bin's value, hashed once more with the bin so that a value borrowed by many
+bins is not one coin for them all, are stored as one hexadecimal digit a bin; equal digits
+of two fingerprints estimate the Jaccard similarity once the chance agreement of 2**-BITS is taken out.
 DataFrame functions only.
 """
 
@@ -82,8 +83,9 @@ def fingerprint(text: Column, size: int = SHINGLE) -> Column:
     """The fingerprint of a text as BINS hexadecimal digits; '' without words or text."""
     def digits(h: Column) -> Column:
         full = let(_minima(h), _all_bins)
-        low = F.transform(let(full, _densified), lambda x: F.substring(
-            F.lit("0123456789abcdef"), x.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int") + 1, F.lit(1)))
+        low = F.transform(let(full, _densified), lambda x, b: F.substring(
+            F.lit("0123456789abcdef"),
+            F.xxhash64(x, b).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int") + 1, F.lit(1)))
         return F.when(F.size(h) > 0, F.array_join(low, "")).otherwise(F.lit(""))
     return let(shingle_hashes(F.coalesce(text, F.lit("")), size), digits)
 

@@ -89,15 +89,16 @@ def _automaton(symbols: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    # a mismatch starts the next phrase: the root's own step, marked
-    restart = np.zeros(width, np.int64)
+    # a mismatch starts the next phrase: the root's own step, marked. A symbol that the text
+    # lacks is a phrase by itself; it leads to a last state where every symbol starts a phrase
+    restart = np.full(width, len(step), np.int64)
     for c, s in step[0].items():
         restart[c] = s
-    table = np.tile(2 * width * restart + 1, (len(step), 1))
+    table = np.tile(2 * width * restart + 1, (len(step) + 1, 1))
     for s, out in enumerate(step):
         if out:
             table[s, list(out)] = 2 * width * np.fromiter(out.values(), np.int64, len(out))
-    table[:, 0] = 2 * width * np.arange(len(step))  # padding stays where it is
+    table[:, 0] = 2 * width * np.arange(len(step) + 1)  # padding stays where it is
     return table.astype(np.int32).ravel()
 
 
@@ -167,7 +168,8 @@ def phrases(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.
     out = np.zeros((len(texts), len(model.languages)), np.int64)
     owner = np.repeat(np.arange(len(texts)), blocks)
     for k, table in enumerate(model.tables):
-        state, count = np.zeros(lanes, np.int32), np.ones(lanes, np.int32)
+        state = np.full(lanes, len(table) - model.width, np.int32)  # the last state
+        count = np.zeros(lanes, np.int32)
         for row in grid:
             state += row
             entry = table.take(state)

@@ -200,7 +200,10 @@ def cuts(tail: int, capacity: int, open_share: float) -> tuple[int, ...]:
         if capacity - k * tail <= open_share * capacity:
             out.append(tail)
             break
-        piece = capacity // (k + 1)  # the next class is filled by shorter pieces
+        k += 1  # the next class that shorter pieces fill well enough
+        while capacity - k * (capacity // k) > open_share * capacity:
+            k += 1
+        piece = capacity // k
         out.append(piece)
         tail -= piece
     return tuple(out)
