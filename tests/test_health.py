@@ -48,15 +48,15 @@ def test_an_empty_store_still_reports(spark):
 
 
 def test_the_window_over_a_week(spark):
-    """Open on weekdays from 10:00 to 18:35 Sao Paulo time, both included."""
+    """Open on weekdays from 09:55 to 18:35 Sao Paulo time, both included."""
     start = dt.datetime(2025, 9, 8, 0, 0)
     clocks = [start + dt.timedelta(days=d, minutes=m) for d in range(7)
-              for m in (0, 779, 780, 900, 1295, 1296, 1439)]
+              for m in (0, 774, 775, 900, 1295, 1296, 1439)]
     got = spark.range(1).select(*[market_window_open(utc_literal(c)).alias(f"c{k}") for k, c in enumerate(clocks)]).first()
     for k, c in enumerate(clocks):
         local = c - 3 * HOUR
         minute = local.hour * 60 + local.minute
-        assert got[k] == (local.weekday() < 5 and 600 <= minute <= 1115), c
+        assert got[k] == (local.weekday() < 5 and 595 <= minute <= 1115), c
 
 
 def test_the_window_does_not_follow_the_session_zone(spark):
@@ -76,5 +76,5 @@ def test_calendar_is_sorted_and_has_weekdays_only(spark):
     assert rows == sorted(rows)
     for run, day in rows:
         assert day.weekday() < 5 and 0 < (run - day).days <= 9
-    assert sum(run == dt.date(2025, 9, 15) for run, _ in rows) == 6
+    assert sum(run == dt.date(2025, 9, 15) for run, _ in rows) == 5
     assert runs.select(F.count("*")).first()[0] == 2
