@@ -49,27 +49,30 @@ class Scratch:
 
     ``keep`` writes a frame to the shared folder and reads it back: lineage ends there, a
     lost executor costs only the tasks that read the files, and both sides of a later join
-    get exchanges of their own, which AQE can split when a key is hot. ``close`` deletes
-    every table but those that the operator's result still reads.
+    get exchanges of their own, which AQE can split when a key is hot. ``drop`` deletes
+    tables that nothing reads any more, ``close`` all but those that the operator's result
+    still reads.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.paths: dict[int, str] = {}
+        self.tables: list[tuple[DataFrame, str]] = []
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        self.tables.append((out, path))
         return out
 
+    def drop(self, *unread: DataFrame) -> None:
+        gone = [path for df, path in self.tables if any(df is x for x in unread)]
+        self.tables = [(df, path) for df, path in self.tables if path not in gone]
+        for path in gone:
+            drop_path(self.spark, path)
+
     def close(self, *still_read: DataFrame) -> None:
-        left = {id(df) for df in still_read}
-        for key, path in list(self.paths.items()):
-            if key not in left:
-                drop_path(self.spark, path)
-                del self.paths[key]
+        self.drop(*[df for df, _ in self.tables if not any(df is x for x in still_read)])
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

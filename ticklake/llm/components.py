@@ -14,20 +14,24 @@ def _smallest(sym: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """Every larger neighbour of a node is tied to the node's smallest neighbour."""
+    """Every larger neighbour of a node is tied to the node's smallest neighbour (written)."""
     sym = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     m = scratch.keep(_smallest(sym), "large-min")
     # ``m`` is read from a table, so a hub's rows can be split over tasks in this join
-    return (sym.where("v > u").join(m, "u").where("v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+    out = scratch.keep(sym.where("v > u").join(m, "u").where("v <> m")
+                       .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+    scratch.drop(m)
+    return out
 
 
 def _small_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """A node and its smaller neighbours are tied to the smallest of them."""
+    """A node and its smaller neighbours are tied to the smallest of them (written)."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     m = scratch.keep(_smallest(down), "small-min")
     tied = down.join(m, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return tied.union(m.where("u <> m").select("u", F.col("m").alias("v"))).distinct()
+    out = scratch.keep(tied.union(m.where("u <> m").select("u", F.col("m").alias("v"))).distinct(), "small")
+    scratch.drop(m)
+    return out
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -47,5 +51,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return cur.select("u", F.col("v").alias("component")).union(
                 cur.select(F.col("v").alias("u"), F.col("v").alias("component"))).distinct()
         seen = mark
-        large = scratch.keep(_large_star(cur, scratch), "large")
-        cur = scratch.keep(_small_star(large, scratch), "small")
+        large = _large_star(cur, scratch)
+        small = _small_star(large, scratch)
+        scratch.drop(cur, large)
+        cur = small

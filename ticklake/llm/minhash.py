@@ -219,18 +219,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     node = scratch.keep(
         real.join(classes.withColumnRenamed("rep", "id"), ["d1", "d2", "n", "id"])
         .select("id", "n", "d1", "d2", "sig").distinct().select("id", "n", "sig"), "node")
+    counted = scratch.keep(signed.select("id", "n"), "counted")
+    scratch.drop(signed, classes)  # what is not read again goes at once: signatures are large
     links = _links(rows, node, scratch, shingle, percent)
     # rows that share an id but not a text tie their classes together
     several = member.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
     ties = member.join(several.select("id"), "id", "left_semi").select(
         F.col("id").alias("u"), F.col("rep").alias("v"))
-    found = scratch.keep(components(links.unionByName(ties), scratch), "components")
+    found = components(links.unionByName(ties), scratch)
     # a document follows the representative of its class
     label = scratch.keep(
         member.groupBy("id").agg(F.min("rep").alias("rep")).join(
             found.withColumnRenamed("u", "rep"), "rep", "left")
         .select("id", F.coalesce("component", "rep").alias("component")), "label")
-    out = (signed.select("id", F.col("n").alias("n_shingles"))
+    out = (counted.select("id", F.col("n").alias("n_shingles"))
            .join(label, "id", "left")
            .select(F.col("id").alias(id_col), "n_shingles",
                    F.coalesce("component", "id").alias("component_id"))
@@ -251,6 +253,7 @@ def _links(rows: DataFrame, node: DataFrame, scratch: Scratch, shingle: int, per
         buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("top"))
         .where("hub <> top").select("bucket", "hub"), "hubs")
     met = scratch.keep(buckets.join(hubs, "bucket"), "met")  # members of shared buckets
+    scratch.drop(buckets, hubs)
     star = scratch.keep(
         met.where("id <> hub").select(F.col("hub").alias("u"), F.col("id").alias("v")).distinct(), "star")
     sets: list[DataFrame] = []
@@ -262,6 +265,7 @@ def _links(rows: DataFrame, node: DataFrame, scratch: Scratch, shingle: int, per
                 star.select(F.col("v").alias("id"))).distinct(), "wanted")
             made = rows.join(wanted, "id", "left_semi").mapInArrow(_sets(shingle), "id long, s array<long>")
             sets.append(scratch.keep(made, "sets"))
+            scratch.drop(wanted)
         return sets[0]
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
@@ -279,11 +283,14 @@ def _links(rows: DataFrame, node: DataFrame, scratch: Scratch, shingle: int, per
                 .select("u", "v", F.size(F.array_intersect("a", "b")).cast("long").alias("x"),
                         F.size("a").cast("long").alias("na"), F.size("b").cast("long").alias("nb"))
                 .where(F.expr(f"100 * x >= {percent} * (na + nb - x)")))
-        return scratch.keep(both.select("u", "v").distinct(), name)
+        out = scratch.keep(both.select("u", "v").distinct(), name)
+        scratch.drop(close)
+        return out
 
     # each member against the smallest class that any of its buckets holds
     nearest = scratch.keep(star.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "nearest")
     links = verified(nearest, "first")
+    scratch.drop(star)
     labels = scratch.keep(components(links, scratch), "labels")
     # members of one bucket that lie in different components
     c, d = labels.toDF("id", "c"), labels.toDF("hub", "d")
@@ -292,6 +299,7 @@ def _links(rows: DataFrame, node: DataFrame, scratch: Scratch, shingle: int, per
         .join(node.select("id", "n"), "id").select(
             "bucket", "id", "n", F.coalesce("c", "id").alias("c"), F.coalesce("d", "hub").alias("d"),
             (F.col("near") == F.col("hub")).alias("checked")), "tagged")
+    scratch.drop(met, labels, nearest, node)
     # buckets with the same members need one look; of a bucket of two, the pair may be checked already
     open_ = F.when(F.col("c") != F.col("d"), F.col("n")).otherwise(0)
     split = tagged.groupBy("bucket").agg(
@@ -305,6 +313,7 @@ def _links(rows: DataFrame, node: DataFrame, scratch: Scratch, shingle: int, per
     split = scratch.keep(split, "split")
     mixed = scratch.keep(tagged.join(split, "bucket").select(
         "bucket", "id", "c", (F.col("c") != F.col("d")).alias("query"), "blocks", "parts"), "mixed")
+    scratch.drop(tagged, split)
     mixed = mixed.join(text_sets(), "id")
     deal = F.xxhash64("id")
     members = mixed.withColumn("block", F.pmod(deal, "blocks")).withColumn(
@@ -314,4 +323,6 @@ def _links(rows: DataFrame, node: DataFrame, scratch: Scratch, shingle: int, per
     cols = ["bucket", "block", "part", "id", "c", "query", "s"]
     blocks = members.withColumn("query", F.lit(False)).select(cols).union(queries.select(cols))
     rest = blocks.groupBy("bucket", "block", "part").applyInArrow(_block_links(percent), "u long, v long")
-    return scratch.keep(links.union(rest.distinct()), "links")
+    found = scratch.keep(links.union(rest.distinct()), "links")
+    scratch.drop(text_sets())
+    return found
