@@ -178,7 +178,8 @@ def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", source_col:
     """The rows of ``docs``, each as often as the mix takes it."""
     once = mixed.where("copies > 0").groupBy(id_col, source_col).agg(F.max("copies").alias("_copies"))
     once = once.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), "_copies")
-    joined = docs.join(once, docs[id_col].eqNullSafe(once["_id"])
+    # what the mix takes grows with the corpus: a shuffle join at every size, never a broadcast
+    joined = docs.join(once.hint("merge"), docs[id_col].eqNullSafe(once["_id"])
                        & docs[source_col].eqNullSafe(once["_source"]))
     return (joined.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
             .select(*[docs[c] for c in docs.columns]))
