@@ -35,7 +35,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near-duplicates: that with the smallest id."""
     found = minhash.near_duplicates(docs)
     gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    # what goes grows with the corpus: a shuffle join at every size, never a broadcast
+    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

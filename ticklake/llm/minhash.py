@@ -263,7 +263,8 @@ def _links(rows: DataFrame, node: DataFrame, scratch: Scratch, shingle: int, per
         if not sets:
             wanted = scratch.keep(star.select(F.col("u").alias("id")).union(
                 star.select(F.col("v").alias("id"))).distinct(), "wanted")
-            made = rows.join(wanted, "id", "left_semi").mapInArrow(_sets(shingle), "id long, s array<long>")
+            # grows with the corpus, as ``mixed`` does: a shuffle join at every size, never a broadcast
+            made = rows.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets(shingle), "id long, s array<long>")
             sets.append(scratch.keep(made, "sets"))
             scratch.drop(wanted)
         return sets[0]
@@ -314,7 +315,7 @@ def _links(rows: DataFrame, node: DataFrame, scratch: Scratch, shingle: int, per
     mixed = scratch.keep(tagged.join(split, "bucket").select(
         "bucket", "id", "c", (F.col("c") != F.col("d")).alias("query"), "blocks", "parts"), "mixed")
     scratch.drop(tagged, split)
-    mixed = mixed.join(text_sets(), "id")
+    mixed = mixed.hint("merge").join(text_sets(), "id")
     deal = F.xxhash64("id")
     members = mixed.withColumn("block", F.pmod(deal, "blocks")).withColumn(
         "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
