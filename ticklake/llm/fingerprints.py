@@ -101,14 +101,15 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _range_of(key: Column, cuts: list[int]) -> Column:
-    """How many of the sorted cuts lie below the key, found in two steps; -1 for null."""
+    """How many of the sorted cuts lie below the key, found in two steps; -1 for null. A long:
+    joins on it then meet the partitioning that a window over it has."""
     if not cuts:
-        return F.when(key.isNull(), F.lit(-1)).otherwise(F.lit(0))
+        return F.when(key.isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long")
     m = math.isqrt(len(cuts)) + 1
     whole, heads = constant(cuts), constant(cuts[::m])
     fine = let(F.size(F.filter(heads, lambda c: c < key)), lambda i: F.when(i == 0, F.lit(0)).otherwise(
         (i - 1) * m + F.size(F.filter(F.slice(whole, (i - 1) * m + 1, F.lit(m)), lambda c: c < key))))
-    return F.when(key.isNull(), F.lit(-1)).otherwise(fine)
+    return F.when(key.isNull(), F.lit(-1)).otherwise(fine).cast("long")
 
 
 def with_next(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str,
