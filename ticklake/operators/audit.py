@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.operators import cursor, parse
 from ticklake.operators import dividends as dv
-from ticklake.schemas import BACKFILL_CALENDAR_DAYS, STATUS_PAID
+from ticklake.schemas import ACTION_CANCELLED, BACKFILL_CALENDAR_DAYS, STATUS_PAID
 
 
 def publish_audit(marked: DataFrame) -> DataFrame:
@@ -41,6 +42,28 @@ def backfill_progress(audit_rows: DataFrame, files: DataFrame) -> DataFrame:
             .withColumn("sessions_total", sessions))
 
 
+def backfill_sweep(lines: DataFrame, calendar: DataFrame, before: DataFrame) -> DataFrame:
+    """The landed files of the calendar's sessions, published above the cursor and then
+    swept again with the moved cursor.
+
+    One row per landed file, also without a good line: trades parsed, published (with
+    cancellations, which always pass), and trades that the second sweep would publish, which
+    is 0 unless the cursor failed to move.
+    """
+    file = ["file_ticker", "session_date", "filename"]
+    swept = lines.join(calendar.select("session_date").distinct(), "session_date", "left_semi")
+    trades = parse.good_rows(parse.parse_lines(swept))
+    marked = cursor.mark_new(trades, before)
+    moved = cursor.advance(before, cursor.updates(marked.filter("is_new").drop("is_new")))
+    again = cursor.mark_new(marked.withColumnRenamed("is_new", "_first"), moved)
+    counts = again.groupBy(*file).agg(
+        F.count(F.lit(1)).alias("parsed"), F.count_if("_first").alias("published"),
+        F.count_if(F.col("is_new") & (F.col("action") != ACTION_CANCELLED)).alias("published_again"))
+    return (swept.select(*file).distinct().join(counts, file, "left")
+            .fillna(0, ["parsed", "published", "published_again"])
+            .withColumnRenamed("file_ticker", "ticker"))
+
+
 def action_audit(cash: DataFrame, stock: DataFrame, as_of) -> DataFrame:
     """Per ticker: cash events, stock events, cash events not yet paid (full status)."""
     today = dv.market_today(as_of)

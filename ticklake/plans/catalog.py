@@ -13,15 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.operators import audit, cursor, dividends, parse, radar, serving, views
-from ticklake.plans.oracle import AS_OF, PREV_AS_OF, SYNCED_AT
+from ticklake.plans.oracle import AS_OF, FIRST_SYNC, PREV_AS_OF, SYNCED_AT
 from ticklake.schemas import KEYS, NOT_NULL, TRADE_COLUMNS, TRADE_EVENT_COLUMNS
 from ticklake.session import shared_dir
+from ticklake.sinks import corporate_actions
+from ticklake.sinks.keyed import replace_partitions
 from ticklake.sources import derived, events
 from ticklake.sources.archives import ARCHIVE_SCHEMA, land_archives
 from ticklake.sources.events import read_event_log
 from ticklake.sources.tables import gold
-from ticklake.streaming import ingest
-from ticklake.streaming.replay import run_cursor_over_drops, run_serve_over_drops
+from ticklake.streaming import ingest, serve
+from ticklake.streaming.replay import run_counts_over_drops, run_cursor_over_drops, run_serve_over_drops
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -301,10 +303,6 @@ def q_download_classes(spark, sf_dir):
     return audit.classify_downloads(derived.download_manifest(derived.trade_lines(spark, sf_dir)))
 
 
-def F_col(name):
-    return F.col(name)
-
-
 QUERIES.update({
     "latest_session": q_latest_session,
     "ticker_documents": q_ticker_documents,
@@ -325,18 +323,37 @@ QUERIES.update({
 })
 
 
+_SUMMARY_COLUMNS = ["ticker", "trade_date", "open", "high", "low", "close", "quantity",
+                    "financial_volume", "trades"]
+
+
+def _delivered(spark, sf_dir):
+    """The trade events with the drop they arrive in: re-deliveries of a trade differ in
+    quantity and so come in other drops, and the last drop also cancels line 1 of every
+    third order."""
+    trades = derived.trade_events(spark, sf_dir).withColumn(
+        "_drop", F.coalesce(F.col("quantity") % 4, F.lit(0)).cast("int"))
+    late = trades.filter(F.col("trade_id") % 30 == 1).withColumns({"action": F.lit(2), "_drop": F.lit(3)})
+    return trades.unionByName(late)
+
+
 def _stream_paths(spark, sf_dir):
-    """The lineitem events split into 4 drops by order key, each drop served by
-    an availableNow run of the streaming job; gold must equal the batch views."""
-    trade_events = derived.trade_events(spark, sf_dir)
-    return run_serve_over_drops(spark, trade_events, (F.col("trade_id") / 10).cast("bigint") % 4, 4)
+    """The events come in 4 drops, each served by an availableNow run of the
+    streaming job; gold must equal the batch views."""
+    return run_serve_over_drops(spark, _delivered(spark, sf_dir), F.col("_drop"), 4)
 
 
 def q_stream_session_summary(spark, sf_dir):
-    paths = _stream_paths(spark, sf_dir)
-    return gold(spark, paths.summary).select(
-        "ticker", "trade_date", "open", "high", "low", "close", "quantity", "financial_volume",
-        "trades")
+    return gold(spark, _stream_paths(spark, sf_dir).summary).select(*_SUMMARY_COLUMNS)
+
+
+def q_rebuild_gold(spark, sf_dir):
+    """All gold tables from bronze alone, where no gold exists."""
+    paths = serve.ServePaths(shared_dir(spark, f"rebuild-{uuid.uuid4().hex[:12]}"))
+    landed = _delivered(spark, sf_dir).withColumnRenamed("_drop", "batch_id")
+    replace_partitions(landed, paths.bronze, ["trade_date", "batch_id"], cluster=False)
+    serve.rebuild(spark, paths)
+    return gold(spark, paths.summary).select(*_SUMMARY_COLUMNS)
 
 
 def q_stream_last_price(spark, sf_dir):
@@ -347,6 +364,41 @@ def q_stream_last_price(spark, sf_dir):
 QUERIES.update({
     "stream_session_summary": q_stream_session_summary,
     "stream_last_price": q_stream_last_price,
+    "rebuild_gold": q_rebuild_gold,
+})
+
+
+def q_backfill_sweep(spark, sf_dir):
+    """The landed files of the calendar's sessions, published twice."""
+    runs = derived.trade_events(spark, sf_dir).select(F.col("reference_date").alias("run_date")).distinct()
+    return audit.backfill_sweep(derived.trade_lines(spark, sf_dir), audit.trading_calendar(runs),
+                                _cursor0(spark, sf_dir))
+
+
+def q_corporate_actions_sync(spark, sf_dir):
+    """K6: the supplement documents come in two rounds; in the second the fetches of two
+    issuers fail, so their tickers keep what the first round stored."""
+    docs = derived.supplement_documents(spark, sf_dir).withColumn("_round", F.floor(F.col("doc_id") / 2) % 2)
+    failed = F.col("issuing_company").isin("CO04", "CO14")
+    watchlist = derived.tracked_tickers(spark, sf_dir)
+    base = shared_dir(spark, f"actions-{uuid.uuid4().hex[:12]}")
+    first = docs.filter("_round = 0").drop("_round")
+    second = docs.filter("_round = 1").drop("_round").withColumn(
+        "body", F.when(failed, F.lit("")).otherwise(F.col("body")))
+    corporate_actions.sync(first, watchlist, base, FIRST_SYNC)
+    corporate_actions.sync(second, watchlist, base, SYNCED_AT)
+
+    def stored(name, amount):
+        return gold(spark, f"{base}/{name}_dividends", live_only=False).select(
+            F.lit(name).alias("table_name"), "ticker", "isin", "label", F.col(amount).alias("amount"),
+            "approved_on", "synced_at", "is_marker")
+
+    return stored("cash", "rate").unionByName(stored("stock", "factor"))
+
+
+QUERIES.update({
+    "backfill_sweep": q_backfill_sweep,
+    "corporate_actions_sync": q_corporate_actions_sync,
 })
 
 
@@ -377,10 +429,10 @@ QUERIES["ingest_events"] = q_ingest_events
 
 
 def q_stream_event_counts(spark, sf_dir):
-    """A1 streaming: native stateful count (update mode) over 4 drops of the event log."""
-    from ticklake.streaming.replay import run_counts_over_drops
-    out = run_counts_over_drops(spark, derived.trade_events(spark, sf_dir),
-                                (F.col("trade_id") / 10).cast("bigint") % 4, 4)
+    """A1 streaming: native stateful count (update mode) over 4 drops of the event log, in
+    each of which some events have no ticker."""
+    known = F.when(F.col("trade_id") % 97 != 5, F.col("ticker"))
+    out = run_counts_over_drops(spark, _delivered(spark, sf_dir).withColumn("ticker", known), F.col("_drop"), 4)
     return gold(spark, out).select("ticker", "trade_date", "events")
 
 

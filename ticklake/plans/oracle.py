@@ -46,29 +46,31 @@ trades_clean AS (
 
 LAST_PRICE = """
 last_price AS (
-  SELECT ticker, price, traded_at FROM (
-    SELECT ticker, price, traded_at,
-           row_number() OVER (PARTITION BY ticker
-                              ORDER BY traded_at DESC NULLS FIRST, trade_id DESC,
-                                       trade_date DESC) AS rn
-    FROM trades_clean WHERE NOT cancelled) ranked
-  WHERE rn = 1
+  SELECT newest.ticker, newest.price, newest.traded_at
+  FROM (SELECT arg_max({'ticker': ticker, 'price': price, 'traded_at': traded_at},
+                       {'t': coalesce(traded_at, TIMESTAMP 'infinity'), 'id': trade_id, 'd': trade_date})
+                 AS newest
+        FROM trades_clean WHERE NOT cancelled GROUP BY ticker)
 )"""
 
 SESSION_SUMMARY = """
-session_summary AS (
-  SELECT ticker, trade_date,
-         first(price ORDER BY traded_at ASC NULLS LAST, trade_id)
-           FILTER (WHERE session_type = 1) AS "open",
-         max(price) FILTER (WHERE session_type = 1) AS high,
-         min(price) FILTER (WHERE session_type = 1) AS low,
-         last(price ORDER BY traded_at ASC NULLS LAST, trade_id)
-           FILTER (WHERE session_type = 1) AS "close",
-         CAST(sum(quantity) AS BIGINT) AS quantity,
-         CAST(sum(price * quantity) AS DECIMAL(38,3)) AS financial_volume,
-         count(*) AS trades
+live AS (
+  SELECT *, {'t': coalesce(traded_at, TIMESTAMP 'infinity'), 'id': trade_id} AS nth
   FROM trades_clean WHERE NOT cancelled
-  GROUP BY ticker, trade_date
+),
+regular AS (
+  SELECT ticker, trade_date, min(price) AS low, max(price) AS high,
+         arg_min({'p': price}, nth).p AS "open", arg_max({'p': price}, nth).p AS "close"
+  FROM live WHERE session_type = 1 GROUP BY ALL
+),
+volume AS (
+  SELECT ticker, trade_date, CAST(sum(quantity) AS BIGINT) AS quantity,
+         CAST(sum(price * quantity) AS DECIMAL(38,3)) AS financial_volume, count(*) AS trades
+  FROM live GROUP BY ALL
+),
+session_summary AS (
+  SELECT ticker, trade_date, "open", high, low, "close", quantity, financial_volume, trades
+  FROM volume LEFT JOIN regular USING (ticker, trade_date)
 )"""
 
 
@@ -260,12 +262,12 @@ WITH log AS (
          CAST(user_id % 12 AS INTEGER) AS "partition", event_id AS "offset"
   FROM events
 ),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY "key" ORDER BY "partition" DESC, "offset" DESC) AS rn
-  FROM log
+newest AS (
+  SELECT "key", arg_max({'v': "value"}, {'p': "partition", 'o': "offset"}).v AS "value"
+  FROM log GROUP BY "key"
 )
 SELECT "key", CAST(json_extract("value", '$.max_trade_id') AS BIGINT) AS max_trade_id
-FROM ranked WHERE rn = 1 AND "value" IS NOT NULL"""
+FROM newest WHERE "value" IS NOT NULL"""
 
 ORACLE["replay_counts"] = with_ctes(TRADES_RAW, TRADE_LINES, PARSED_LINES, CURSOR0, body="""
 , upd AS (
@@ -663,8 +665,73 @@ SELECT ticker, session_date, http_status,
        END AS reason
 FROM c""")
 
-ORACLE["stream_session_summary"] = ORACLE["session_summary"]
-ORACLE["stream_last_price"] = ORACLE["last_price"]
+# The delivered events and late cancellations of line 1 of every third order.
+TRADES_LATE = TRADES_RAW.replace("trades_raw AS (", "delivered AS (", 1) + """,
+trades_raw AS (
+  SELECT * FROM delivered
+  UNION ALL
+  SELECT * REPLACE (2 AS "action") FROM delivered WHERE trade_id % 30 = 1
+)"""
+
+ORACLE["stream_session_summary"] = with_ctes(TRADES_LATE, TRADES_CLEAN, SESSION_SUMMARY,
+                                             body="SELECT * FROM session_summary")
+ORACLE["rebuild_gold"] = ORACLE["stream_session_summary"]
+ORACLE["stream_last_price"] = with_ctes(TRADES_LATE, TRADES_CLEAN, LAST_PRICE, body="SELECT * FROM last_price")
+
+ORACLE["backfill_sweep"] = with_ctes(TRADES_RAW, TRADE_LINES, PARSED_LINES, CURSOR0, body="""
+, cal AS (
+  SELECT DISTINCT CAST(day AS DATE) AS session_date
+  FROM (SELECT DISTINCT reference_date AS r FROM trades_raw),
+       LATERAL (SELECT unnest(generate_series(CAST(r - 28 AS TIMESTAMP), CAST(r - 1 AS TIMESTAMP),
+                                              INTERVAL 1 DAY)) AS day)
+  WHERE isodow(day) <= 5
+),
+swept AS (
+  SELECT g.*, coalesce(c.max_trade_id, 0) AS before
+  FROM good g SEMI JOIN cal USING (session_date) LEFT JOIN cursor0 c USING (ticker, trade_date)
+),
+after AS (
+  SELECT ticker, trade_date, greatest(max(before), max(trade_id) FILTER (WHERE "action" <> 2)) AS moved
+  FROM swept GROUP BY ALL
+),
+counted AS (
+  SELECT file_ticker AS ticker, session_date, filename, count(*) AS parsed,
+         count(*) FILTER (WHERE "action" = 2 OR trade_id > before) AS published,
+         count(*) FILTER (WHERE "action" <> 2 AND trade_id > moved) AS published_again
+  FROM swept JOIN after USING (ticker, trade_date) GROUP BY ALL
+)
+SELECT f.ticker, f.session_date, f.filename, coalesce(parsed, 0) AS parsed,
+       coalesce(published, 0) AS published, coalesce(published_again, 0) AS published_again
+FROM (SELECT DISTINCT ticker, session_date, filename FROM trade_lines SEMI JOIN cal USING (session_date)) f
+     LEFT JOIN counted USING (ticker, session_date, filename)""")
+
+FIRST_SYNC = "2001-06-01 08:00:00"
+
+ORACLE["corporate_actions_sync"] = with_ctes(ORDERS_DIV, body=f"""
+, fetched AS (
+  SELECT *, (o_orderkey // 2) % 2 AS round FROM ord
+  WHERE {WATCHED} AND NOT ((o_orderkey // 2) % 2 = 1 AND ticker IN ('TK04', 'TK14'))
+),
+mirrored AS (
+  SELECT ticker, max(round) AS round, arg_max(o_orderkey, {{'r': round, 'k': o_orderkey}}) AS o_orderkey
+  FROM fetched GROUP BY ticker
+),
+held AS (
+  SELECT f.*, CASE f.round WHEN 0 THEN TIMESTAMP '{FIRST_SYNC}' ELSE TIMESTAMP '{SYNCED_AT}' END AS synced_at
+  FROM fetched f JOIN mirrored USING (ticker, o_orderkey)
+  WHERE {CLASS_MATCH}
+),
+live AS (
+  SELECT DISTINCT 'cash' AS table_name, ticker, isin, label, rate AS amount, d AS approved_on, synced_at FROM held
+  UNION ALL
+  SELECT DISTINCT 'stock', ticker, isin, stock_label, factor, d, synced_at FROM held
+  WHERE o_orderpriority = '5-LOW'
+)
+SELECT *, false AS is_marker FROM live
+UNION ALL
+SELECT t.table_name, m.ticker, NULL, NULL, NULL, NULL, NULL, true
+FROM mirrored m, (VALUES ('cash'), ('stock')) t(table_name)
+WHERE NOT EXISTS (SELECT 1 FROM live l WHERE l.ticker = m.ticker AND l.table_name = t.table_name)""")
 
 ORACLE["stream_cursor"] = with_ctes(TRADE_LINES, PARSED_LINES, body="""
 , good AS (SELECT * FROM parsed WHERE error IS NULL),
@@ -685,4 +752,6 @@ SELECT 1 AS schema_version, ticker, trade_id, "action", CAST(price AS VARCHAR) A
        traded_at, trade_date, reference_date, session_type, 'eod_file' AS source
 FROM parsed WHERE error IS NULL""")
 
-ORACLE["stream_event_counts"] = ORACLE["session_event_counts"]
+ORACLE["stream_event_counts"] = with_ctes(TRADES_LATE, body="""
+SELECT CASE WHEN trade_id % 97 <> 5 THEN ticker END AS ticker, trade_date, count(*) AS events
+FROM trades_raw GROUP BY ALL""")

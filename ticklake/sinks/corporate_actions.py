@@ -25,9 +25,19 @@ def synced_tickers(unwrapped: DataFrame, watchlist: DataFrame) -> DataFrame:
     return ok.join(dv.issuer_tickers(watchlist), "issuing_company").select("ticker")
 
 
+def newest_documents(unwrapped: DataFrame) -> DataFrame:
+    """The newest document (highest ``doc_id``) of each issuer that decodes. Only ids are
+    aggregated; the documents meet them in a semi join."""
+    newest = (unwrapped.filter(F.col("doc_error").isNull()).groupBy("issuing_company")
+              .agg(F.max("doc_id").alias("doc_id")))
+    return unwrapped.join(newest, ["issuing_company", "doc_id"], "left_semi")
+
+
 def sync(docs: DataFrame, watchlist: DataFrame, base: str, synced_at) -> None:
-    """Decode, filter and replace both tables for every successfully fetched ticker."""
-    unwrapped = dv.unwrap_supplement(docs).persist()
+    """Decode, filter and replace both tables for every successfully fetched ticker; of
+    several documents of an issuer the newest that decodes counts."""
+    decoded = dv.unwrap_supplement(docs).persist()
+    unwrapped = newest_documents(decoded).persist()
     try:
         tickers = synced_tickers(unwrapped, watchlist)
         stamp = utc_literal(synced_at).alias("synced_at")
@@ -39,3 +49,4 @@ def sync(docs: DataFrame, watchlist: DataFrame, base: str, synced_at) -> None:
         replace_partitions(with_markers(tickers, stock, ["ticker"]), f"{base}/stock_dividends", ["ticker"])
     finally:
         unwrapped.unpersist()
+        decoded.unpersist()
