@@ -181,6 +181,14 @@ def test_licence_cosine_matches_brute_force(spark):
         assert r["score"] == pytest.approx(best, abs=1e-8)
 
 
+def test_repeated_rows_do_not_raise_the_coverage(spark):
+    body = "Released under the MIT License.\n" + "word " * 7  # 5 of 12 terms: no licence file
+    df = spark.createDataFrame([(1, "p/x.txt", body), (1, "p/x.txt", body), (2, "p/y.txt", "plain")],
+                               "doc_id long, path string, text string")
+    got = sorted((r["doc_id"], r["own_license"], r["license"]) for r in licenses.scan(df).collect())
+    assert got == [(1, "MIT", "MIT"), (1, "MIT", "MIT"), (2, None, None)]
+
+
 # ---- fingerprints
 
 def brute_edited(rows):

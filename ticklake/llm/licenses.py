@@ -91,14 +91,16 @@ def own_licenses(files: DataFrame, scratch: Scratch, threshold: float = THRESHOL
     total = F.size(_terms("text"))
     lines = files.select("key", F.filter(F.split("text", "\n"), lambda x: x.rlike(MARK)).alias("l"), "text").where(
         F.size("l") > 0).select("key", total.alias("total"), F.posexplode("l").alias("line", "body"))
-    # one row per marked line and term; templates and their terms are fixed tables
-    counts = lines.select("key", "total", "line", F.explode(_terms("body")).alias("term")).groupBy(
-        "key", "total", "line", "term").agg(F.count("*").alias("tf"))
+    # one row per marked line and term; templates and their terms are fixed tables. Repeated
+    # rows share a key: they scale tf, which the cosine takes out, and not the line's words.
+    counts = lines.select("key", "total", "line", F.size(_terms("body")).alias("words"),
+                          F.explode(_terms("body")).alias("term")).groupBy(
+        "key", "total", "line", "words", "term").agg(F.count("*").alias("tf"))
     counts = scratch.keep(counts, "license-terms")
     weighed = counts.join(F.broadcast(weight), "term", "left").withColumn(
         "x", F.col("tf") * F.coalesce("idf", F.lit(idf[""])))
     norms = weighed.groupBy("key", "line").agg(
-        F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"), F.sum("tf").alias("words"))
+        F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"), F.max("words").alias("words"))
     dots = weighed.join(F.broadcast(template), "term").groupBy("key", "total", "line", "spdx", "template").agg(
         F.sum(F.col("x") * F.col("w")).alias("dot"))
     scored = dots.join(norms, ["key", "line"]).select(
