@@ -133,6 +133,16 @@ def test_importance_is_one_minus_mean_entropy(spark):
     assert got[0]["pages"] == 8 and got[0]["importance"] == pytest.approx(html_text.GAMMA * want)
 
 
+def test_layouts_of_a_parent_never_lower_a_leaf(spark):
+    # 1000 pages of a host in 25 layouts, one of them dominant; no page marks an article
+    pages = []
+    for k in range(1000):
+        extra = "".join(f"<div class=x{j}></div>" for j in range(k % 25 if k % 4 == 0 else 0))
+        pages.append((f"http://hot.example/{k}", f"<body><div class=top>Welcome to us</div>{extra}<p>own text {k}</p></body>"))
+    got = text_of(spark, pages)
+    assert all(got[k] == f"own text {k}" for k in range(1000))
+
+
 def test_repeated_and_null_ids_are_pages_of_their_own(spark):
     df = spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>b"), (None, "u", "<p>c")], PAGE_SCHEMA)
     assert sorted(r["text"] for r in html_text.extract(df).collect()) == ["a", "b", "c"]
