@@ -143,6 +143,17 @@ def test_layouts_of_a_parent_never_lower_a_leaf(spark):
     assert all(got[k] == f"own text {k}" for k in range(1000))
 
 
+def test_tree_judges_pages_with_an_article(spark):
+    def page(k):
+        return (f"http://cards.example/{k}", f"<body><div class=top>Welcome to us</div><div class=content><p>own text {k}</p>"
+                f"</div><article class=card><p>teaser {k}</p><div class=more>Read more here</div></article></body>")
+    copy = ("http://copies.example/", "<body><p>about</p><article><p>same text</p></article></body>")
+    got = text_of(spark, [page(k) for k in range(20)] + [copy] * 20)
+    for k in range(20):
+        assert got[k] == f"own text {k}\n\nteaser {k}"
+        assert got[20 + k] == "same text"  # copies of one page are no template
+
+
 def test_repeated_and_null_ids_are_pages_of_their_own(spark):
     df = spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>b"), (None, "u", "<p>c")], PAGE_SCHEMA)
     assert sorted(r["text"] for r in html_text.extract(df).collect()) == ["a", "b", "c"]
