@@ -154,6 +154,14 @@ def test_tree_judges_pages_with_an_article(spark):
         assert got[20 + k] == "same text"  # copies of one page are no template
 
 
+def test_slugs_are_no_furniture():
+    body = ('<section id="related-work"><h2 id="share-of-market">A</h2>B</section><div id="social-impact">C</div>'
+            '<h2 id="menu-design">D</h2><h3 id="comments">E</h3>')
+    gone = '<div id="share-buttons">x</div><div class="wide ad">x</div><div id=comments>x</div>'
+    for page in (f"<article>{body}<div class=menu-design>F</div>{gone}</article>", f"<div>{body}<p>F</p>{gone}</div>"):
+        assert [b[1] for b in html_text.parse(page)[0]] == list("ABCDEF")
+
+
 def test_repeated_and_null_ids_are_pages_of_their_own(spark):
     df = spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>b"), (None, "u", "<p>c")], PAGE_SCHEMA)
     assert sorted(r["text"] for r in html_text.extract(df).collect()) == ["a", "b", "c"]
