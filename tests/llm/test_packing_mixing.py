@@ -44,6 +44,21 @@ def test_word_table_gives_the_tokenizers_ids(tokenizer, documents, monkeypatch):
     assert table.encode(data, offsets)[0].tolist() == tokenizer.encode(long, add_special_tokens=False).ids
 
 
+def test_added_tokens_keep_their_ids(tokenizer, monkeypatch):
+    table = packing.WordTable(*tokenizer_files())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y <|endoftext", "|> plain", "< a", "<|endoftext|> <|endoftext|>"]
+
+    def ids(rows):
+        flat, n = table.encode(*utf8(pa.array(rows)))
+        return [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])]
+
+    assert ids(texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids(texts[:1]) == [[64, 220, 50256, 275]]
+    monkeypatch.setattr(packing, "SLICE_BYTES", 16)  # also in a long text
+    long = "word " * 99 + texts[0]
+    assert ids([long]) == [tokenizer.encode(long, add_special_tokens=False).ids]
+
+
 def check(rows, want, capacity=2048, open_share=packing.OPEN_SHARE):
     """want: the ids of each document, by its key."""
     by_doc, by_seq = defaultdict(list), defaultdict(list)

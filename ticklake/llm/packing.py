@@ -11,6 +11,7 @@ full sequences, then sequences whose length is a power of two, which need no pad
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from functools import lru_cache
 
@@ -46,8 +47,8 @@ class WordTable:
     The vocabulary's splitting rule never joins what a blank separates, and a single blank
     goes to the word after it; so the ids of a text are those of its spans, cut before each
     blank. That holds but where a blank with white space before it is followed by white
-    space or the end: such texts (and those with white space beyond ASCII) go to the
-    tokenizer whole. The table has one place for each hash value, so its memory is bounded;
+    space or the end: such texts (and those with white space beyond ASCII, or with a token
+    that the vocabulary adds to its merges) go to the tokenizer whole. The table has one place for each hash value, so its memory is bounded;
     a word that lost its place is looked up again. Words are looked up in the same
     vocabulary given as merge ranks, which is faster; a probe makes sure that both agree.
     """
@@ -57,6 +58,8 @@ class WordTable:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            self.added = [t["content"].encode() for t in json.load(f).get("added_tokens") or []]
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.ranks = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -66,6 +69,11 @@ class WordTable:
         for token, k in ranks.items():
             self.id_bytes[k] = len(token)
         self.clear()
+        for token in self.added:
+            probe = f"{PROBE}{token.decode()} x"
+            if self.tokenizer.encode(probe, add_special_tokens=False).ids != self.encode(
+                    *utf8(pa.array([probe])))[0].tolist():
+                raise ValueError("an added token does not reach the tokenizer")
 
     def clear(self) -> None:
         self.keys = np.zeros(1 << TABLE_BITS, np.uint64)
@@ -137,7 +145,7 @@ class WordTable:
         """All ids of the rows in order, and the number of ids of each row."""
         if self.used > POOL_IDS:
             self.clear()
-        if len(offsets) == 2 and len(data) > 8 * SLICE_BYTES and not odd_rows(data, offsets)[0]:
+        if len(offsets) == 2 and len(data) > 8 * SLICE_BYTES and not odd_rows(data, offsets, self.added)[0]:
             parts, at = [], 0  # one long text, cut before blanks
             while at < len(data):
                 blank = np.flatnonzero(data[at + SLICE_BYTES:] == 32) if at + SLICE_BYTES < len(data) else []
@@ -146,7 +154,7 @@ class WordTable:
                 at = to
             ids = np.concatenate(parts)
             return ids, np.array([len(ids)])
-        odd = odd_rows(data, offsets)
+        odd = odd_rows(data, offsets, self.added)
         if not odd.any():
             return self._flat(data, offsets)
         out = []
@@ -160,9 +168,9 @@ class WordTable:
         return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
 
 
-def odd_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows that cannot be cut before each blank: white space beyond ASCII anywhere, or a
-    blank with white space before it and white space or the end after it."""
+def odd_rows(data: np.ndarray, offsets: np.ndarray, added: list[bytes] = ()) -> np.ndarray:
+    """Rows that cannot be cut before each blank: white space beyond ASCII or an ``added``
+    token anywhere, or a blank with white space before it and white space or the end after it."""
     n = len(data)
     if not n:
         return np.zeros(len(offsets) - 1, bool)
@@ -176,8 +184,8 @@ def odd_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     before[1:] = space[:-1]
     before[offsets[:-1][np.diff(offsets) > 0]] = False
     bad = blank & before & after
-    for lead in WIDE_SPACES:
-        hits = np.flatnonzero(data[:n - len(lead) + 1] == lead[0])
+    for lead in [*WIDE_SPACES, *added]:
+        hits = np.flatnonzero(data[:max(0, n - len(lead) + 1)] == lead[0])
         for k in range(1, len(lead)):
             hits = hits[data[hits + k] == lead[k]] if k < len(lead) else hits
         bad[hits] = True
