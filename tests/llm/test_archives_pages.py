@@ -218,6 +218,20 @@ def test_repeated_rows_do_not_raise_the_coverage(spark):
     assert got == [(1, "MIT", "MIT"), (1, "MIT", "MIT"), (2, None, None)]
 
 
+BESIDE = ["Copyright 2021 Acme Inc. Licensed under the Apache License, Version 2.0.",
+          "This article is licensed under CC BY-SA 4.0, see the footer."]
+
+
+def test_words_beside_a_statement_do_not_sink_it_at_any_size(spark, monkeypatch):
+    files = [(k, f"d{k}/f", t) for k, t in enumerate([*BESIDE, "w " * 300 + BESIDE[0] + " v" * 300, "licensed under x 4.0"])]
+    df = spark.createDataFrame(files, "doc_id long, path string, text string")
+    for n in (10 ** 3, 10 ** 8):  # a licence term in 1 % of the files
+        idf = {t: math.log((n + 1) / (n // 100 + 1)) + 1 for t in licenses.VOCABULARY} | {"": math.log(n + 1) + 1}
+        monkeypatch.setattr(licenses, "inverse_frequency", lambda *_, idf=idf: idf)
+        got = {r["doc_id"]: r["own_license"] for r in licenses.scan(df).collect()}
+        assert got == {0: "Apache-2.0", 1: "CC-BY-SA-4.0", 2: "Apache-2.0", 3: None}, n
+
+
 # ---- fingerprints
 
 def brute_edited(rows):

@@ -1,8 +1,11 @@
 """Licence scan: sparse TF-IDF cosine to templates, inheritance from ancestor directories.
 
 Every line of a file that bears a mark of a licence statement is a vector of TF-IDF term
-weights, compared with a template's by cosine. The best template at or above a threshold is
-the file's own licence. A licence file speaks for its directory: a file without a licence
+weights, compared with a template's by cosine. A statement may also stand among other words
+or run over lines: a window of a template's length slides over the file's terms, and words
+that are not the template's weigh in it what they displace, however large the table is. The
+longest statement found, else the best line at or above a threshold, is the file's own
+licence. A licence file speaks for its directory: a file without a licence
 of its own takes that of the nearest ancestor directory with one. Directories and their
 ancestors meet in joins on paths, of distinct directories only.
 """
@@ -12,6 +15,8 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +57,10 @@ LICENSE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([._-].*)?$"
 #: file to be a licence file whatever its name.
 THRESHOLD = 0.6
 COVERAGE = 0.5
+#: Least share of a template in a window of its length; one of fewer than LONG terms must
+#: be there whole.
+STATEMENT = 0.9
+LONG = 20
 
 
 def terms(text: str) -> list[str]:
@@ -62,7 +71,8 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"([a-z0-9]+(?:[.-][a-z0-9]+)*)"), F.lit(1))
 
 
-VOCABULARY = sorted({t for _, text in TEMPLATES for t in terms(text)})
+STATEMENTS = TEMPLATES
+VOCABULARY = sorted({t for _, text in STATEMENTS for t in terms(text)})
 
 
 def inverse_frequency(files: DataFrame, text_col: str = "text") -> dict[str, float]:
@@ -77,6 +87,59 @@ def inverse_frequency(files: DataFrame, text_col: str = "text") -> dict[str, flo
     return idf | {"": math.log(n + 1) + 1}
 
 
+def prepare(idf: dict[str, float]) -> list[tuple[str, int, list[tuple[str, int, float]]]]:
+    """(spdx, number of terms, (term, count, weight of one)) of the statements; the weights of a
+    statement add up to 1, as the products of its cosine with itself do."""
+    out = []
+    for spdx, text in STATEMENTS:
+        own = terms(text)
+        tf = {t: own.count(t) for t in own}
+        norm = sum((c * idf[t]) ** 2 for t, c in tf.items())
+        out.append((spdx, len(own), [(t, c, c * idf[t] ** 2 / norm) for t, c in sorted(tf.items())]))
+    return out
+
+
+def statement(words: list[str], prepared: list) -> tuple[str, float, int] | None:
+    """(spdx, share, number of terms) of the longest statement in a file's terms."""
+    at: dict[str, list[int]] = {}
+    known = {t for _, _, own in prepared for t, _, _ in own}
+    for i, t in enumerate(words):
+        if t in known:
+            at.setdefault(t, []).append(i)
+    n, best = len(words), None
+    for k, (spdx, size, own) in enumerate(prepared):
+        need = (STATEMENT if size >= LONG else 1.0) - 1e-9
+        share = sum(w * min(len(at.get(t, ())), c) for t, c, w in own)
+        if share >= need and n > size:  # the whole file has it: is it in one window?
+            got = np.zeros(n - size + 1)
+            for t, c, w in own:
+                seen = np.zeros(n + 1, np.int64)
+                seen[np.array(at.get(t, ()), np.int64) + 1] = 1
+                seen = np.cumsum(seen)
+                got += w * np.minimum(seen[size:] - seen[:n - size + 1], c)
+            share = float(got.max())
+        if share >= need and (best is None or (share * size, share) > best[0]):
+            best = (share * size, share), (spdx, round(min(share, 1.0), 9), size)
+    return best and best[1]
+
+
+def _find_statements(idf: dict[str, float]):
+    def find(batches):
+        prepared = prepare(idf)
+        for batch in batches:
+            keys, rows = [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                words = terms(text.as_py())
+                got = statement(words, prepared)
+                if got:
+                    keys.append(key)
+                    rows.append((*got[:2], min(1.0, got[2] / len(words))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(
+                    (pa.string(), pa.float64(), pa.float64())))], ["key", "spdx", "share", "part"])
+    return find
+
+
 def own_licenses(files: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
     """(key, license, score, coverage) of the files (key, text) with a licence of their own."""
     idf = inverse_frequency(files)
@@ -107,8 +170,15 @@ def own_licenses(files: DataFrame, scratch: Scratch, threshold: float = THRESHOL
         "key", "spdx", "template", "line", F.round(F.col("dot") / F.col("norm"), 9).alias("score"),
         (F.col("words") / F.col("total")).alias("coverage")).where(F.col("score") >= threshold)
     best = F.max(F.struct("score", (-F.col("template")).alias("t"), (-F.col("line")).alias("n"), "spdx", "coverage"))
-    return scored.groupBy("key").agg(best.alias("b")).select(
-        "key", F.col("b.spdx").alias("license"), F.col("b.score").alias("score"), F.col("b.coverage").alias("coverage"))
+    line = scored.groupBy("key").agg(best.alias("b")).select("key", "b.spdx", "b.score", "b.coverage")
+    found = files.where(F.col("text").rlike(MARK)).select("key", "text").mapInArrow(
+        _find_statements(idf), "key long, spdx string, share double, part double").groupBy("key").agg(
+        F.max(F.struct("share", "spdx", "part")).alias("s")).select(
+        "key", F.col("s.spdx").alias("stated"), "s.share", "s.part")
+    return line.join(found, "key", "full").select(
+        "key", F.coalesce("stated", "spdx").alias("license"), F.coalesce("score", "share").alias("score"),
+        F.coalesce("share", "score").alias("match"),
+        F.greatest("part", "coverage").alias("coverage"))
 
 
 def parent(path: Column) -> Column:
@@ -120,10 +190,12 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", id_co
          threshold: float = THRESHOLD, coverage: float = COVERAGE) -> DataFrame:
     """(id, path, own_license, score, license, license_dir) per row of ``files``.
 
-    A file is a licence file when its name says so or its licence line holds at least
-    ``coverage`` of its terms. ``license`` is the file's own licence or that of the nearest
+    ``own_license`` is that of the longest statement in the file, else that of its best line;
+    ``score`` is the best line's cosine, or the statement's share where no line reaches the
+    threshold. A file is a licence file when its name says so or its licence line or statement
+    holds at least ``coverage`` of its terms. ``license`` is the file's own licence or that of the nearest
     ancestor directory with a licence file (``license_dir``, null for its own); of several in
-    one directory the best score wins, then the least name. Null and empty texts have no
+    one directory the best match (a statement's share, else the cosine) wins, then the least name. Null and empty texts have no
     licence of their own, but inherit; a null path is no directory and inherits nothing. Ties
     between templates go to the earlier one. Repeated rows get equal results. An empty table
     gives an empty result. Other columns are not read.
@@ -137,7 +209,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", id_co
     known = scratch.keep(narrow.join(own, "key", "left"), "known")
     speaks = known.where("license is not null and path is not null").where(
         (F.col("coverage") >= coverage) | F.regexp_extract("path", "[^/]*$", 0).rlike(LICENSE_FILE))
-    spoken = speaks.groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b")).select(
+    spoken = speaks.groupBy("dir").agg(F.min(F.struct((-F.col("match")).alias("s"), "license")).alias("b")).select(
         F.col("dir").alias("up"), F.col("b.license").alias("given"))
     spoken = scratch.keep(spoken, "spoken")
     # each distinct directory with its ancestors, itself and the root included
