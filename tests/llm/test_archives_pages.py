@@ -232,6 +232,28 @@ def test_words_beside_a_statement_do_not_sink_it_at_any_size(spark, monkeypatch)
         assert got == {0: "Apache-2.0", 1: "CC-BY-SA-4.0", 2: "Apache-2.0", 3: None}, n
 
 
+GPL = """# This file is part of it. It is free software; you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation; either version {} of the License, or
+# (at your option) any later version."""
+
+
+def test_headers_wrapped_in_one_line_and_as_tags(spark):
+    bsd = licenses._BSD.replace(". ", ".\n").replace(", ", ",\n * ")
+    cases = [("// SPDX-License-Identifier: MIT\nint x;", "MIT"), ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+             ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("SPDX-License-Identifier: FooBar-1.0", None),
+             (GPL.format(2), "GPL-2.0"), (GPL.format(3), "GPL-3.0"), ("code " * 400 + GPL.format(2).replace("\n#", "") + " more" * 400, "GPL-2.0"),
+             ("modify it under the terms of the GNU\nLesser General Public License as published", None),
+             (bsd, "BSD-2-Clause"), (bsd + licenses._NO_NAME, "BSD-3-Clause"),
+             ("made available under the\nterms of the Eclipse Public License 2.0. This program and the accompanying materials are\n"
+              "made available under the terms of the\nEclipse Public License 2.0", "EPL-2.0"),
+             ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\n Everyone is permitted", "GPL-3.0"),
+             ("free software: you can redistribute it under our licence", None)]
+    df = spark.createDataFrame([(k, f"d{k}/f.c", t) for k, (t, _) in enumerate(cases)], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r["own_license"] for r in licenses.scan(df).collect()}
+    assert got == {k: want for k, (_, want) in enumerate(cases)}
+
+
 # ---- fingerprints
 
 def brute_edited(rows):

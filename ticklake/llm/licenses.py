@@ -32,8 +32,8 @@ TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0; you may not use this file except in "
                    "compliance with the License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of "
-                "the GNU General Public License"),
+    ("GPL-1.0-or-later", "This program is free software: you can redistribute it and/or modify it under the "
+                         "terms of the GNU General Public License"),
     ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
@@ -71,7 +71,69 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"([a-z0-9]+(?:[.-][a-z0-9]+)*)"), F.lit(1))
 
 
-STATEMENTS = TEMPLATES
+_GRANT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+          "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+          "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+          "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+          "following conditions: The above copyright notice and this permission notice shall be included in all "
+          "copies or substantial portions of the Software.")
+_AS_IS = ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+          "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution.")
+_NO_NAME = (" 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+            "promote products derived from this software without specific prior written permission.")
+
+
+def _gnu(kind: str, version: str) -> str:
+    """The standard header of a GNU licence."""
+    return (f"is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public "
+            "License as published by the Free Software Foundation, either version "
+            f"{version} of the License, or (at your option) any later version.")
+
+
+#: Standard headers, short licence texts, openings of long ones and SPDX tags.
+#: They count as whole statements only; lines are compared with TEMPLATES.
+HEADERS = [
+    ("MIT", _GRANT), ("MIT", f"{_GRANT} {_AS_IS}"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
+                   "in compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    *[(f"{name}GPL-{version if '.' in version else version + '.0'}", _gnu(kind, version)) for name, kind, version in (
+        ("", "General", "2"), ("", "General", "3"), ("L", "Lesser General", "2.1"), ("L", "Lesser General", "3"),
+        ("A", "Affero General", "3"))],
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-2-Clause", _BSD), ("BSD-3-Clause", _BSD + _NO_NAME),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+                "MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"), ("EPL-1.0", "Eclipse Public License - v 1.0"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, "
+             "and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("BSL-1.0", "Boost Software License - Version 1.0"),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+                  "source code form or as a compiled binary, for any purpose"),
+    *[(spdx, f"SPDX-License-Identifier: {spdx}{end}") for spdx, ends in {
+        **dict.fromkeys(("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "ISC", "EPL-1.0", "EPL-2.0",
+                         "Unlicense", "Zlib", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+                         "CC-BY-ND-4.0"), ("",)),
+        **dict.fromkeys(("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"), ("", "-only", "-or-later")),
+        "GPL-1.0-or-later": ("",)}.items() for end in ends],
+]
+STATEMENTS = TEMPLATES + HEADERS
 VOCABULARY = sorted({t for _, text in STATEMENTS for t in terms(text)})
 
 
