@@ -149,9 +149,12 @@ def test_shards_in_small_automata_and_pieces(monkeypatch):
     rows = [(LAST if i is None else i, t or "") for i, t in passages(7)]
     ids = {x: k for k, x in enumerate(sorted({i for i, _ in rows}))}
     rows = [(ids[i], t) for i, t in rows]
-    segments = [(0, 0, i, t) for i, t in rows if len(WORD.findall(t)) >= 13]
-    docs = [(0, 1, i, t) for i, t in rows]
-    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*segments, *docs, strict=True)], list("abcd"))
+    segments = []
+    for i, t in rows:
+        w = WORD.findall(t)
+        segments += [(0, 0, i, " ".join(w[a:a + 76]), -1) for a in range(0, len(w) - 12, 64)]
+    docs = [(0, 1, i, t, 0) for i, t in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*segments, *docs, strict=True)], list("abcde"))
     out = [r for b in repeats._clean(13)([batch.slice(0, 40), batch.slice(40)]) for r in b.to_pylist()]
     assert sorted((r["id"], r["n_words"], r["n_removed"], r["text"]) for r in out) == cleaned(rows)
 

@@ -17,8 +17,8 @@ document with a smaller id also holds is removed, judged on the input.
 from __future__ import annotations
 
 import gc
-from array import array
 from collections.abc import Iterator
+from itertools import compress, repeat
 
 import ahocorasick
 import numpy as np
@@ -29,12 +29,14 @@ from pyspark.sql import functions as F
 from ticklake.llm.common import Scratch, byte_slices, mix, spans, utf8, word_hashes
 
 SIZE = 13
-#: Words of an anchor; windows of a segment.
+#: Words of an anchor; windows of a segment (a power of two, at most the bits of a long).
 GRAM = 6
 SEGMENT = 64
-#: Bytes of text in a shard of documents, windows in an automaton, bytes of a shard's documents held at once.
-SHARD = 4 << 20
-MACHINE = 50_000
+#: Bytes of text in a shard of documents; windows and different words of an automaton beyond which
+#: the next begins (numbers of words fit in 16 bits); bytes of a shard's documents held at once.
+SHARD = 1 << 19
+MACHINE = 100_000
+NUMBERS = 60_000
 HELD = 8 << 20
 #: Bytes and words handled at once.
 PIECE = 1 << 20
@@ -42,6 +44,7 @@ WORDS = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = (1 << 63) - 1
+_NOT = bytes([1, 0]) + bytes(254)
 
 
 def _runs(words: np.ndarray, size: int) -> np.ndarray:
@@ -90,72 +93,88 @@ def _anchors(size: int, gram: int):
 
 
 def _segments(size: int, gram: int):
-    """Passages whose anchors recur, in segments: (id, start, text)."""
+    """Passages whose anchors recur, in segments: (id, start, text), cut where the number of the
+    first word is a multiple of SEGMENT."""
     def run(batches):
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            out: list[tuple[int, int, str]] = []
-            for i, doc in enumerate(batch.column(0).to_pylist()):
-                raw = data[offsets[i]:offsets[i + 1]]
-                words, counts = word_hashes(raw, np.array([0, len(raw)]), lower=False)
-                known = np.sort(batch.column(2)[i].values.to_numpy().view(np.uint64))
-                held = np.zeros(len(words) + 2, np.int8)
-                for first, anchor, _ in windows(words, counts, size, gram):
-                    at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
-                    held[first[known[at] == anchor] + 1] = 1
-                edge = np.flatnonzero(np.diff(held))
-                if not len(edge):
+            ids = batch.column(0).to_pylist()
+            known = batch.column(2)
+            sizes = known.value_lengths().to_numpy()
+            # a row's anchors and those of other rows must not meet
+            apart = mix(np.arange(len(ids), dtype=np.uint64))
+            known = np.sort(known.flatten().to_numpy().view(np.uint64) ^ np.repeat(apart, sizes))
+            for i, j in byte_slices(offsets, PIECE):
+                raw, at = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+                words, counts = word_hashes(raw, at, lower=False)
+                row, base = np.repeat(np.arange(i, j), counts), np.cumsum(counts) - counts
+                first = np.concatenate([np.zeros(0, np.int64)] + [
+                    w[_among(anchor ^ apart[row[w]], known)] for w, anchor, _ in windows(words, counts, size, gram)])
+                if not len(first):
                     continue
-                starts, ends = spans(raw, np.zeros(1, np.int64))
-                for a, b in zip(edge[::2], edge[1::2], strict=True):
-                    for s in range(a, b, SEGMENT):
-                        e = min(s + SEGMENT, b) + size - 1
-                        out.append((doc, int(s), raw[starts[s]:ends[e - 1]].tobytes().decode()))
-                if len(out) > 5000:
-                    yield _rows(out)
-                    out = []
-            if out:
-                yield _rows(out)
+                place = first - base[row[first] - i]
+                new = np.flatnonzero(np.concatenate([[True], (np.diff(first) > 1) | (np.diff(row[first]) > 0)
+                                                     | (place[1:] % SEGMENT == 0)]))
+                last = np.concatenate([new[1:], [len(first)]]) - 1
+                starts, ends = spans(raw, at[:-1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids[k] for k in row[first[new]]], pa.int64()), pa.array(place[new]),
+                     pa.array([raw[x:y].tobytes().decode() for x, y in zip(
+                         starts[first[new]], ends[first[last] + size - 1], strict=True)], pa.string())],
+                    ["id", "start", "text"])
     return run
 
 
-def _rows(out):
-    ids, starts, texts = zip(*out, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(texts)],
-                                      ["id", "start", "text"])
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
 def _window_hashes(size: int, gram: int):
-    """(window, id, start) of all windows of segments."""
+    """(window, id, at) of all windows of segments, ``at`` the number of the first word."""
     def run(batches):
         for batch in batches:
             data, offsets = utf8(batch.column(2))
             ids, starts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for i, j in byte_slices(offsets, PIECE):
                 words, counts = word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], lower=False)
-                row = np.repeat(np.arange(i, j), counts)
+                row, base = np.repeat(np.arange(i, j), counts), np.cumsum(counts) - counts
                 for first, _, window in windows(words, counts, size, gram):
-                    at = row[first]
-                    yield pa.RecordBatch.from_arrays([_signed(window), pa.array(ids[at]), pa.array(starts[at])],
-                                                     ["window", "id", "start"])
+                    of = row[first]
+                    yield pa.RecordBatch.from_arrays(
+                        [_signed(window), pa.array(ids[of]), pa.array(starts[of] + first - base[of - i])],
+                        ["window", "id", "at"])
     return run
 
 
-def _machine(segments: list[tuple[int, str]], size: int):
-    """(numbers of words, automaton): the windows of segments, each with its smallest document."""
+def _letters(numbers: np.ndarray) -> str:
+    """Two letters a word, the first below 256 and the second above: an automaton walks a node's
+    edges one by one, so a node must not have one for every word. Windows match whole words only."""
+    out = np.empty(2 * len(numbers), np.uint16)
+    out[::2], out[1::2] = numbers >> 8, 256 + (numbers & 255)
+    return out.tobytes().decode("utf-16-le")
+
+
+def _machines(segments: list[tuple[int, int, str]], size: int):
+    """(numbers of words, automaton) of the wanted windows of segments, each window with its smallest
+    document; automata of bounded size, built one after the other."""
     numbers: dict[bytes, int] = {}
-    least: dict[tuple[int, ...], int] = {}
-    for doc, text in segments:
-        seq = [numbers.setdefault(w, len(numbers) + 1) for w in text.encode().split()]
-        for i in range(len(seq) - size + 1):
-            key = tuple(seq[i:i + size])
-            if doc < least.get(key, _LAST):
-                least[key] = doc
-    machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for key, doc in least.items():
-        machine.add_word(key, doc)
-    machine.make_automaton()
-    return numbers, machine
+    least: dict[str, int] = {}
+    for k, (doc, wanted, text) in enumerate(segments, 1):
+        words = text.encode().split()
+        seq = _letters(np.array([numbers.setdefault(w, len(numbers) + 1) for w in words], np.uint32))
+        for i in range(len(words) - size + 1):
+            if wanted >> i & 1:
+                key = seq[2 * i:2 * (i + size)]
+                if doc < least.get(key, _LAST):
+                    least[key] = doc
+        if k == len(segments) or len(least) > MACHINE or len(numbers) > NUMBERS:
+            machine = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+            for key, doc in least.items():
+                machine.add_word(key, doc)
+            if least:
+                machine.make_automaton()
+                yield numbers, machine
+            numbers, least = {}, {}
 
 
 def _cut(raw: bytes) -> Iterator[list[bytes]]:
@@ -169,74 +188,76 @@ def _cut(raw: bytes) -> Iterator[list[bytes]]:
         at = cut
 
 
-def _mark(machine, raw: bytes, doc: int, size: int, gone: bytearray) -> None:
+def _pieces(raw: bytes):
+    """The words of a text in pieces: a short one's are kept, a long one's split again each time."""
+    return [raw.split()] if len(raw) <= PIECE else None
+
+
+def _mark(machine, pieces, doc: int, size: int, gone: bytearray) -> None:
     """Flag the words of a text that lie in a window of a smaller document."""
     numbers, automaton = machine
-    seq = array("I")
-    for words in _cut(raw):
-        seq.extend([numbers.get(w, 0) for w in words])
     hit = b"\1" * size
-    for lo in range(0, len(seq), WORDS):
-        part = tuple(seq[max(0, lo - size + 1):lo + WORDS])
-        base = max(0, lo - size + 1)
-        for end, least in automaton.iter(part):
+    at, before = 0, np.zeros(0, np.uint32)  # place of the piece; last words of the one before
+    for words in pieces:
+        seq = np.concatenate([before, np.array(list(map(numbers.get, words, repeat(0))), np.uint32)])
+        start = at - len(before)
+        for end, least in automaton.iter(_letters(seq)):
             if least < doc:
-                gone[base + end - size + 1:base + end + 1] = hit
+                first = start + end // 2 - size + 1
+                gone[first:first + size] = hit
+        at += len(words)
+        before = seq[-(size - 1):]
 
 
 def _clean(size: int):
-    """Rows of a shard, segments (kind 0) before documents: (id, n_words, n_removed, text)."""
+    """Rows of a shard, segments (kind 0, their wanted windows as bits) before documents:
+    (id, n_words, n_removed, text)."""
     def flush(segments, built, docs):
-        raws = [text.encode() for _, _, text in docs]
-        gone = [bytearray(sum(len(w) for w in _cut(raw))) for raw in raws]
-        groups, n = [[]], 0
-        for segment in segments:
-            if n > MACHINE:
-                groups, n = [*groups, []], 0
-            groups[-1].append(segment)
-            n += SEGMENT
-        for group in groups if segments else []:
-            machine = built.get(0) or _machine(group, size)
-            if len(groups) == 1:
-                built[0] = machine
-            for (_, doc, _), raw, flags in zip(docs, raws, gone, strict=True):
-                _mark(machine, raw, doc, size, flags)
-        ids, texts = [], []
-        for (kind, doc, _), raw, flags in zip(docs, raws, gone, strict=True):
-            kept, at = [], 0
-            for words in _cut(raw):
-                kept.append(b" ".join(w for w, x in zip(words, flags[at:at + len(words)], strict=True) if not x))
+        texts = [(kind, doc, raw, _pieces(raw)) for kind, doc, raw in docs]
+        gone = [bytearray(sum(map(len, pieces or _cut(raw)))) for _, _, raw, pieces in texts]
+        used = 0
+        for used, machine in enumerate(built or _machines(segments, size), 1):
+            for (_, doc, raw, pieces), flags in zip(texts, gone, strict=True):
+                if len(flags) >= size:
+                    _mark(machine, pieces or _cut(raw), doc, size, flags)
+        if not built and used == 1:
+            built.append(machine)  # the shard's only automaton serves its next documents too
+        kept = []
+        for (_, _, raw, pieces), flags in zip(texts, gone, strict=True):
+            parts, at = [], 0
+            for words in pieces or _cut(raw):
+                parts += compress(words, flags[at:at + len(words)].translate(_NOT)) if 1 in flags else words
                 at += len(words)
-            ids.append(doc if kind == 1 else None)
-            texts.append(b" ".join(k for k in kept if k).decode())
+            kept.append(b" ".join(parts).decode())
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array([len(g) for g in gone], pa.int64()),
-             pa.array([sum(g) for g in gone], pa.int64()), pa.array(texts, pa.string())],
-            ["id", "n_words", "n_removed", "text"])
+            [pa.array([doc if kind == 1 else None for kind, doc, _, _ in texts], pa.int64()),
+             pa.array([len(g) for g in gone], pa.int64()), pa.array([g.count(1) for g in gone], pa.int64()),
+             pa.array(kept, pa.string())], ["id", "n_words", "n_removed", "text"])
 
     def run(batches):
-        shard, segments, built, docs, n = None, [], {}, [], 0
+        shard, segments, built, docs, n = None, [], [], [], 0
         for batch in batches:
-            for at, kind, doc, text in zip(*(batch.column(c) for c in range(4)), strict=True):
-                at, kind, doc, text = at.as_py(), kind.as_py(), doc.as_py(), text.as_py()
+            for at, kind, doc, text, wanted in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
                 if at != shard or n > HELD:
                     if docs:
                         yield flush(segments, built, docs)
                     docs, n = [], 0
                     if at != shard:
-                        shard, segments, built = at, [], {}
+                        shard, segments, built = at, [], []
                 if kind:
-                    docs.append((kind, doc, text))
+                    docs.append((kind, doc, text.encode()))
                     n += len(text) + 100
                 else:
-                    segments.append((doc, text))
+                    segments.append((doc, wanted, text))
         if docs:
             yield flush(segments, built, docs)
     return run
 
 
 def _let_go(docs: DataFrame) -> None:
-    """Spark deletes the shuffle files of finished steps when their plans are garbage."""
+    """Spark deletes the shuffle files of finished steps when their plans are garbage; its
+    scheduler holds the last plan until another job has run."""
+    docs.sparkSession.range(1).count()
     gc.collect()
     docs.sparkSession._jvm.System.gc()
 
@@ -264,27 +285,36 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = scratch.keep(anchors().groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b"))
                           .where("a < b").select("anchor"), "anchors")
     _let_go(docs)
-    marked = scratch.keep(anchors().join(shared, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors")), "marked")
+    # the hashed sides have one small row a key, so their partitions are even; the others need no sort
+    marked = scratch.keep(anchors().join(shared.hint("shuffle_hash"), "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors")), "marked")
     _let_go(docs)
-    segments = scratch.keep(known.join(marked, "id").select("id", "text", "anchors").mapInArrow(
+    segments = scratch.keep(known.join(marked.hint("shuffle_hash"), "id").select("id", "text", "anchors").mapInArrow(
         _segments(size, gram), "id long, start long, text string"), "segments")
     scratch.drop(shared, marked)
     _let_go(docs)
-    found = segments.mapInArrow(_window_hashes(size, gram), "window long, id long, start long")
+    found = segments.mapInArrow(_window_hashes(size, gram), "window long, id long, at long")
     recur = scratch.keep(found.groupBy("window").agg(
-        F.min("id").alias("least"), F.max("id").alias("most"), F.min_by("start", "id").alias("at"))
-        .where("least < most").select("window", "least", "at"), "windows")
+        F.min("id").alias("least"), F.max("id").alias("most"), F.min_by("at", "id").alias("place"))
+        .where("least < most").select("window", "least", "place"), "windows")
     _let_go(docs)
     total = rows.agg(F.sum(F.octet_length("text") + 100)).first()[0] or 0
     shard = F.pmod(F.xxhash64(F.coalesce("id", F.lit(_LAST))), F.lit(max(1, -(-total // SHARD))))
-    wanted = found.join(recur, "window").where("id > least").select(shard.alias("shard"), "least", "at").distinct()
+
+    def segment(place):
+        return F.floor(F.col(place) / SEGMENT)
+
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % SEGMENT).cast("int"))
+    wanted = found.join(recur.hint("shuffle_hash"), "window").where("id > least").groupBy(
+        shard.alias("shard"), "least", segment("place").alias("segment")).agg(F.bit_or(bit).alias("wanted"))
     wanted = scratch.keep(wanted, "wanted")
     scratch.drop(recur)
     _let_go(docs)
-    compiled = wanted.join(segments, (F.col("least") == F.col("id")) & (F.col("at") == F.col("start"))).select(
-        "shard", F.lit(0).alias("kind"), "id", "text")
+    first = (F.col("start") % SEGMENT).cast("int")
+    compiled = wanted.join(segments, (F.col("least") == F.col("id")) & (F.col("segment") == segment("start"))).select(
+        "shard", F.lit(0).alias("kind"), "id", "text",
+        F.call_function("shiftrightunsigned", F.col("wanted"), first).alias("wanted"))
     streamed = rows.select(shard.alias("shard"), F.when(F.col("id").isNull(), 2).otherwise(1).alias("kind"),
-                           F.coalesce("id", F.lit(_LAST)).alias("id"), "text")
+                           F.coalesce("id", F.lit(_LAST)).alias("id"), "text", F.lit(0).cast("long").alias("wanted"))
     out = compiled.unionByName(streamed).repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(
         _clean(size), "id long, n_words long, n_removed long, text string")
     out = scratch.keep(out.withColumnRenamed("id", id_col), "kept")
