@@ -64,10 +64,11 @@ def value_json(df: DataFrame) -> DataFrame:
     return df.select("key", F.to_json(F.struct("max_trade_id")).alias("value"))
 
 
-def fold_log(log: DataFrame) -> DataFrame:
+def fold_log(log: DataFrame, *also: str) -> DataFrame:
     """Replay a compacted key/value log; the last record per key wins and a NULL
-    value (tombstone) deletes the key. Order = (partition, offset)."""
-    last = (log.groupBy("key")
+    value (tombstone) deletes the key. Order = (partition, offset). ``also``: columns that
+    the key determines and that are kept."""
+    last = (log.groupBy("key", *also)
             .agg(F.max_by("value", F.struct("partition", "offset")).alias("value")))
     return (last.filter(F.col("value").isNotNull())
-            .select("key", F.from_json("value", CURSOR_VALUE)["max_trade_id"].alias("max_trade_id")))
+            .select("key", *also, F.from_json("value", CURSOR_VALUE)["max_trade_id"].alias("max_trade_id")))

@@ -16,13 +16,13 @@ from ticklake.operators import audit, cursor, dividends, parse, radar, serving,
 from ticklake.plans.oracle import AS_OF, FIRST_SYNC, PREV_AS_OF, SYNCED_AT
 from ticklake.schemas import KEYS, NOT_NULL, TRADE_COLUMNS, TRADE_EVENT_COLUMNS
 from ticklake.session import shared_dir
-from ticklake.sinks import corporate_actions
+from ticklake.sinks import corporate_actions, cursor_log, pointer
 from ticklake.sinks.keyed import replace_partitions
 from ticklake.sources import derived, events
 from ticklake.sources.archives import ARCHIVE_SCHEMA, land_archives
 from ticklake.sources.events import read_event_log
 from ticklake.sources.tables import gold
-from ticklake.streaming import ingest, serve
+from ticklake.streaming import counts, ingest, serve
 from ticklake.streaming.replay import run_counts_over_drops, run_cursor_over_drops, run_serve_over_drops
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -352,7 +352,7 @@ def q_rebuild_gold(spark, sf_dir):
     paths = serve.ServePaths(shared_dir(spark, f"rebuild-{uuid.uuid4().hex[:12]}"))
     landed = _delivered(spark, sf_dir).withColumnRenamed("_drop", "batch_id")
     replace_partitions(landed, paths.bronze, ["trade_date", "batch_id"], cluster=False)
-    serve.rebuild(spark, paths)
+    paths = serve.rebuild(spark, paths)
     return gold(spark, paths.summary).select(*_SUMMARY_COLUMNS)
 
 
@@ -388,12 +388,14 @@ def q_corporate_actions_sync(spark, sf_dir):
     corporate_actions.sync(first, watchlist, base, FIRST_SYNC)
     corporate_actions.sync(second, watchlist, base, SYNCED_AT)
 
-    def stored(name, amount):
-        return gold(spark, f"{base}/{name}_dividends", live_only=False).select(
+    cash, stock = corporate_actions.read(spark, base, live_only=False)
+
+    def stored(rows, name, amount):
+        return rows.select(
             F.lit(name).alias("table_name"), "ticker", "isin", "label", F.col(amount).alias("amount"),
             "approved_on", "synced_at", "is_marker")
 
-    return stored("cash", "rate").unionByName(stored("stock", "factor"))
+    return stored(cash, "cash", "rate").unionByName(stored(stock, "stock", "factor"))
 
 
 QUERIES.update({
@@ -437,3 +439,59 @@ def q_stream_event_counts(spark, sf_dir):
 
 
 QUERIES["stream_event_counts"] = q_stream_event_counts
+
+
+def q_recover_event_counts(spark, sf_dir):
+    """A1 after a loss: every third day's partition of the counts is deleted and restored from
+    the streaming state in the checkpoint."""
+    run_dir = shared_dir(spark, f"recover-{uuid.uuid4().hex[:12]}")
+    out = run_counts_over_drops(spark, _delivered(spark, sf_dir), F.col("_drop"), 4, run_dir)
+    for folder in sorted(pointer.subfolders(spark, out))[::3]:
+        pointer.delete(spark, folder)
+    counts.heal(spark, out, f"{run_dir}/_checkpoints/counts")
+    return gold(spark, out).select("ticker", "trade_date", "events")
+
+
+def q_rebuild_vanished_day(spark, sf_dir):
+    """T7 with teeth: gold is served, then the newest day of bronze vanishes and gold is rebuilt.
+    Some trades have no time, so sessions whose latest trade is incomplete are violations.
+    One row per session of the summary, per last price and per violation."""
+    timed = F.when(F.col("trade_id") % 211 != 7, F.col("traded_at"))
+    landed = _delivered(spark, sf_dir).withColumn("traded_at", timed)
+    paths = serve.ServePaths(shared_dir(spark, f"vanish-{uuid.uuid4().hex[:12]}"))
+    serve.process_batch(paths, landed.where("_drop < 2").drop("_drop"), 0)
+    serve.process_batch(paths, landed.where("_drop >= 2").drop("_drop"), 1)
+    serve.compact(spark, paths, 1)
+    pointer.delete(spark, max(pointer.subfolders(spark, paths.bronze)))
+    serve.rebuild(spark, paths)
+    now = serve.current(spark, paths.base)
+
+    def rows(name, df, price, time):
+        return df.select(F.lit(name).alias("table_name"), "ticker", "trade_date", price.alias("price"),
+                         time.cast("timestamp_ntz").alias("traded_at"))
+
+    none = F.lit(None)
+    return (rows("session_summary", gold(spark, now.summary), F.col("close"), none)
+            .unionByName(rows("last_price", gold(spark, now.last_price).withColumn("trade_date", none.cast("date")),
+                              F.col("price"), F.col("traded_at")))
+            .unionByName(rows("violations", gold(spark, now.violations), F.col("price"), F.col("traded_at"))))
+
+
+def q_cursor_compacted(spark, sf_dir):
+    """The cursor log arrives in four batches and is folded after each; what base and tail
+    give in the end is the fold of the whole log."""
+    log = derived.cursor_log(spark, sf_dir)
+    end = log.select(F.max("offset") + 1).scalar()
+    tagged = log.withColumn("_batch", F.floor(F.col("offset") * 4 / end).cast("int"))
+    kept = cursor_log.CursorLog(f"{shared_dir(spark, f'cursor-{uuid.uuid4().hex[:12]}')}/log")
+    for k in range(4):
+        kept.append(tagged.where(F.col("_batch") == k), k)
+        kept.compact(spark)
+    return cursor.fold_log(kept.records(spark))
+
+
+QUERIES.update({
+    "recover_event_counts": q_recover_event_counts,
+    "rebuild_vanished_day": q_rebuild_vanished_day,
+    "cursor_compacted": q_cursor_compacted,
+})

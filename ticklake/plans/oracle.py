@@ -755,3 +755,33 @@ FROM parsed WHERE error IS NULL""")
 ORACLE["stream_event_counts"] = with_ctes(TRADES_LATE, body="""
 SELECT CASE WHEN trade_id % 97 <> 5 THEN ticker END AS ticker, trade_date, count(*) AS events
 FROM trades_raw GROUP BY ALL""")
+
+ORACLE["recover_event_counts"] = with_ctes(TRADES_LATE, body="""
+SELECT ticker, trade_date, count(*) AS events FROM trades_raw GROUP BY ALL""")
+
+ORACLE["cursor_compacted"] = ORACLE["cursor_fold"]
+
+# Some trades without a time; the newest day is lost.
+TRADES_LEFT = TRADES_RAW.replace("trades_raw AS (", "landed AS (", 1) + """,
+delivered AS (
+  SELECT * REPLACE (CASE WHEN trade_id % 211 <> 7 THEN traded_at END AS traded_at) FROM landed
+  WHERE trade_date < (SELECT max(trade_date) FROM landed)
+),
+trades_raw AS (
+  SELECT * FROM delivered
+  UNION ALL
+  SELECT * REPLACE (2 AS "action") FROM delivered WHERE trade_id % 30 = 1
+)"""
+
+ORACLE["rebuild_vanished_day"] = with_ctes(TRADES_LEFT, TRADES_CLEAN, SESSION_SUMMARY, body="""
+, newest AS (
+  SELECT ticker, arg_max({'p': price, 't': traded_at}, {'t': traded_at, 'id': trade_id, 'd': trade_date}) AS x
+  FROM live WHERE price IS NOT NULL AND traded_at IS NOT NULL GROUP BY ticker
+),
+latest AS (
+  SELECT ticker, trade_date, arg_max({'p': price, 't': traded_at}, nth) AS x FROM live GROUP BY ALL
+)
+SELECT 'session_summary' AS table_name, ticker, trade_date, "close" AS price, NULL::TIMESTAMP AS traded_at
+FROM session_summary
+UNION ALL SELECT 'last_price', ticker, NULL, x.p, x.t FROM newest
+UNION ALL SELECT 'violations', ticker, trade_date, x.p, x.t FROM latest WHERE x.p IS NULL OR x.t IS NULL""")

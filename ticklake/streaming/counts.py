@@ -6,6 +6,9 @@ keeps them: ``update`` mode emits just the keys a micro-batch changed, with thei
 totals. Each micro-batch then rewrites the touched day partitions of the gold table,
 carrying over the untouched keys of those days. No watermark: late events are never
 dropped, as in the source views (state grows with the number of sessions, not events).
+
+The totals live in the query's checkpoint; ``heal`` reads them back with Spark's state data
+source and rewrites the days of the gold table that differ, lost partitions included.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 from ticklake.operators import views
 from ticklake.session import shared_dir
 from ticklake.sinks.keyed import exists, replace_partitions
+from ticklake.sinks.pointer import subfolders
 from ticklake.sources.tables import gold
 
 
@@ -37,6 +41,38 @@ def _apply(path: str, changed: DataFrame, batch_id: int) -> None:
     replace_partitions(out.checkpoint(eager=True), path, ["trade_date"])
 
 
+def totals(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(ticker, trade_date, events) as the streaming state of the last committed batch holds them."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select("key.ticker", "key.trade_date", F.col("value.count").alias("events"))
+
+
+def heal(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
+    """Rewrite the days of the gold table that differ from the state; returns these days.
+
+    Run it while the query is stopped. A day is rewritten whole; days that only gold holds
+    (which the state never counted) get a marker row and so read as empty.
+    """
+    shared_dir(spark, "lineage")
+    held = totals(spark, checkpoint)
+    seen = gold(spark, path) if _has_rows(spark, path) else held.limit(0)
+    columns = ["trade_date", "ticker", "events"]
+    wrong = held.select(columns).exceptAll(seen.select(columns)).union(
+        seen.select(columns).exceptAll(held.select(columns)))
+    days = wrong.select("trade_date").distinct().checkpoint(eager=True)
+    right = held.join(days.withColumnRenamed("trade_date", "_day"), F.col("trade_date").eqNullSafe(F.col("_day")),
+                      "left_semi").withColumn("is_marker", F.lit(False))
+    gone = days.join(held.select(F.col("trade_date").alias("_day")), F.col("trade_date").eqNullSafe(F.col("_day")),
+                     "left_anti").withColumn("is_marker", F.lit(True))
+    replace_partitions(right.unionByName(gone, allowMissingColumns=True).checkpoint(eager=True), path, ["trade_date"])
+    return days
+
+
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether the table has a partition left; without one its files tell no schema."""
+    return any("=" in folder.rpartition("/")[2] for folder in subfolders(spark, path))
+
+
 def start(spark: SparkSession, events: DataFrame, path: str, checkpoint: str,
           available_now: bool = True):
     counts = views.session_event_counts(events)

@@ -12,7 +12,8 @@ One ``foreachBatch`` query over newly landed zip archives. Per micro-batch:
      (key, JSON value) records of a compacted log.
 Every output is partitioned by ``batch_id`` and written with dynamic overwrite. Batch N
 reads only cursor records of batches below N, so a batch that is delivered again, at
-whatever step it broke off, sees the same cursor and rewrites the same rows.
+whatever step it broke off, sees the same cursor and rewrites the same rows. The cursor's log
+is folded by ``cursor_log(paths).compact``.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from ticklake.operators import audit, cursor, parse
 from ticklake.schemas import ACTION_CANCELLED
 from ticklake.session import shared_dir
-from ticklake.sinks.keyed import exists, replace_partitions
+from ticklake.sinks.cursor_log import CursorLog
+from ticklake.sinks.keyed import replace_partitions
 from ticklake.sources.archives import archive_lines
 
 
@@ -58,15 +60,15 @@ class IngestPaths:
         return f"{self.base}/_checkpoints/ingest"
 
 
+def cursor_log(paths: IngestPaths) -> CursorLog:
+    """The cursor's log; ``cursor_log(paths).compact(spark)`` folds it (any time, by one job)."""
+    return CursorLog(paths.cursor, {"trade_date": "date", "ticker": "string"})
+
+
 def cursor_before(spark: SparkSession, paths: IngestPaths, batch_id: int, days: DataFrame) -> DataFrame:
     """The cursor of the sessions of ``days`` (one column ``trade_date``) before a batch."""
-    if not exists(spark, paths.cursor):
-        return spark.createDataFrame([], "ticker string, trade_date date, max_trade_id long")
-    log = (spark.read.parquet(paths.cursor).where(F.col("batch_id") < batch_id)
-           .join(days, "trade_date", "left_semi"))
-    folded = cursor.fold_log(log.withColumn("partition", F.lit(0)).withColumn("offset", F.col("batch_id")))
-    return folded.join(log.select("key", "ticker", "trade_date").distinct(), "key").select(
-        "ticker", "trade_date", "max_trade_id")
+    log = cursor_log(paths).records(spark, before=batch_id).join(days, "trade_date", "left_semi")
+    return cursor.fold_log(log, *cursor.KEYS).select(*cursor.KEYS, "max_trade_id")
 
 
 def mark_new_by_file(trades: DataFrame, before: DataFrame) -> DataFrame:
@@ -125,8 +127,8 @@ def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
         # K3: the cursor moves only after the events are durable
         after = cursor.updates(published)
         record = cursor.value_json(after).join(after.select("key", *cursor.KEYS), "key")
-        record = record.withColumn("batch_id", bid)
-        replace_partitions(record, paths.cursor, ["trade_date", "batch_id"])
+        record = record.withColumns({"partition": F.lit(0), "offset": bid.cast("long")})
+        cursor_log(paths).append(record, batch_id)
         marked.unpersist()
     finally:
         parsed.unpersist()
