@@ -14,11 +14,17 @@ from ticklake.sources.tables import gold
 from ticklake.streaming import ingest, serve
 from ticklake.streaming.replay import run_serve_over_drops
 
-L10 = "2026-07-14;PETR4;0;41,200;5500;100719126;10;1;2026-07-14;85;8"
-L20 = "2026-07-14;PETR4;0;41,120;300;101602106;20;1;2026-07-14;85;120"
-L30 = "2026-07-14;PETR4;0;41,500;100;111602106;30;1;2026-07-14;85;120"
-C10 = "2026-07-14;PETR4;2;41,200;5500;100719126;10;1;2026-07-14;85;8"
-AM = "2026-07-14;ITUB4;0;43,390;200;020118304;205660;6;2026-07-13;3;1618"
+
+
+def line(trade_id, price="30,500", action=0, ticker="NOVA4", quantity=400, clock="113005250", session=1,
+         day="2026-07-14", traded=None):
+    """A trade line as the exchange writes it."""
+    return ";".join(map(str, (day, ticker, action, price, quantity, clock, trade_id, session, traded or day, 3, 27)))
+
+
+L10, L20, L30 = line(10), line(20, "30,250", clock="121500000"), line(30, "31,000", clock="150000900")
+C10 = line(10, action=2)
+AM = line(7005, "12,750", ticker="QUAL3", clock="021500001", session=6, traded="2026-07-13")
 
 
 def _land(root, ticker, session, name, lines):
@@ -30,24 +36,24 @@ def _land(root, ticker, session, name, lines):
 
 def test_unzip_udtf_drops_header_and_flags_bad_archives(spark):
     root = shared_dir(spark, f"arch-{uuid.uuid4().hex[:8]}")
-    _land(root, "PETR4", "2026-07-14", "1046", [L10, L20])
+    _land(root, "NOVA4", "2026-07-14", "1046", [L10, L20])
     bad = os.path.join(root.removeprefix("file:"), "ticker=VALE3", "session_date=2026-07-14")
     os.makedirs(bad)
     open(os.path.join(bad, "x.zip"), "wb").write(b"not a zip")
     rows = archive_lines(read_archives(spark, root)).orderBy("file_ticker", "line_no").collect()
     assert [(r.file_ticker, r.line_no, r.raw_line) for r in rows[:2]] == [
-        ("PETR4", 1, L10), ("PETR4", 2, L20)]
-    assert rows[0].filename == "14-07-2026_NEGOCIOSAVISTA_PETR4_1046.txt"
+        ("NOVA4", 1, L10), ("NOVA4", 2, L20)]
+    assert rows[0].filename == "14-07-2026_NEGOCIOSAVISTA_NOVA4_1046.txt"
     assert rows[2].file_ticker == "VALE3" and rows[2].archive_error.startswith("bad archive")
 
 
 def test_cumulative_snapshots_publish_only_new_trades(spark):
     paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
-    _land(paths.landing, "PETR4", "2026-07-14", "1046", [L10, L20, "garbage"])
-    _land(paths.landing, "ITUB4", "2026-07-14", "1046", [AM])
+    _land(paths.landing, "NOVA4", "2026-07-14", "1046", [L10, L20, "garbage"])
+    _land(paths.landing, "QUAL3", "2026-07-14", "1046", [AM])
     ingest.start(spark, paths, ARCHIVE_SCHEMA).awaitTermination()
     # later snapshot of the same session: everything again, plus one trade and a cancel
-    _land(paths.landing, "PETR4", "2026-07-14", "1106", [L10, L20, L30, C10])
+    _land(paths.landing, "NOVA4", "2026-07-14", "1106", [L10, L20, L30, C10])
     ingest.start(spark, paths, ARCHIVE_SCHEMA).awaitTermination()
 
     log = spark.read.parquet(paths.event_log)
@@ -62,14 +68,19 @@ def test_cumulative_snapshots_publish_only_new_trades(spark):
     days = spark.sql("SELECT explode(array(date'2026-07-13', date'2026-07-14')) AS trade_date")
     cur = {(r.ticker, r.trade_date): r.max_trade_id
            for r in ingest.cursor_before(spark, paths, 2, days).collect()}
-    assert cur == {("PETR4", dt.date(2026, 7, 14)): 30, ("ITUB4", dt.date(2026, 7, 13)): 205660}
+    assert cur == {("NOVA4", dt.date(2026, 7, 14)): 30, ("QUAL3", dt.date(2026, 7, 13)): 7005}
 
     [dl] = spark.read.parquet(paths.dead_letters).collect()
-    assert '"raw_line":"garbage"' in dl.value and dl.key == "PETR4"
+    assert '"raw_line":"garbage"' in dl.value and dl.key == "NOVA4"
 
     audit = {(r.filename, r.batch_id): (r.total, r.published, r.last_price)
              for r in spark.read.parquet(paths.audit).collect()}
-    assert audit[("14-07-2026_NEGOCIOSAVISTA_PETR4_1106.txt", 1)] == (4, 2, Decimal("41.200"))
+    assert audit[("14-07-2026_NEGOCIOSAVISTA_NOVA4_1106.txt", 1)] == (4, 2, Decimal("30.500"))
+
+    # folding the cursor's log changes nothing for the next batch
+    assert ingest.cursor_log(paths).compact(spark) == 0
+    assert cur == {(r.ticker, r.trade_date): r.max_trade_id
+                   for r in ingest.cursor_before(spark, paths, 2, days).collect()}
 
     # the event log feeds the serve job; the cancellation retracts trade 10
     serve_paths = serve.ServePaths(shared_dir(spark, f"serve-{uuid.uuid4().hex[:8]}"))
@@ -77,8 +88,8 @@ def test_cumulative_snapshots_publish_only_new_trades(spark):
     decoded = events.drop("batch_id")
     run_serve_over_drops(spark, decoded, F.lit(0), 1, serve_paths.base)
     s = {r.ticker: r for r in gold(spark, serve_paths.summary).collect()}
-    assert s["PETR4"].trades == 2 and s["PETR4"].open == Decimal("41.120")
-    assert s["ITUB4"].trades == 1 and s["ITUB4"].open is None  # after-market only
+    assert s["NOVA4"].trades == 2 and s["NOVA4"].open == Decimal("30.250")
+    assert s["QUAL3"].trades == 1 and s["QUAL3"].open is None  # after-market only
 
 
 def _table(spark, path):
@@ -87,10 +98,10 @@ def _table(spark, path):
 
 def test_a_batch_delivered_again_changes_nothing(spark):
     paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
-    _land(paths.landing, "PETR4", "2026-07-14", "1046", [L10, L20, C10])
+    _land(paths.landing, "NOVA4", "2026-07-14", "1046", [L10, L20, C10])
     ingest.process_batch(paths, read_archives(spark, paths.landing), 0)
     second = shared_dir(spark, f"second-{uuid.uuid4().hex[:8]}")
-    _land(second, "PETR4", "2026-07-14", "1106", [L10, L20, L30, C10])
+    _land(second, "NOVA4", "2026-07-14", "1106", [L10, L20, L30, C10])
     for _ in range(2):  # the cursor of batch 1 is written when it is delivered again
         ingest.process_batch(paths, read_archives(spark, second), 1)
         state = [_table(spark, p) for p in (paths.event_log, paths.audit, paths.cursor)]
@@ -104,18 +115,18 @@ def test_a_batch_delivered_again_changes_nothing(spark):
 def test_cumulative_snapshots_in_one_batch_publish_a_trade_once(spark):
     paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
     for k, lines in enumerate(([L10], [L10, L20], [L10, L20, L30])):
-        _land(paths.landing, "PETR4", "2026-07-14", f"10{k}0", lines)
+        _land(paths.landing, "NOVA4", "2026-07-14", f"10{k}0", lines)
     ingest.process_batch(paths, read_archives(spark, paths.landing), 0)
     assert spark.read.parquet(paths.event_log).count() == 3
 
 
 def test_every_landed_file_has_an_audit_row_and_the_watchlist_decides(spark):
     paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
-    _land(paths.landing, "PETR4", "2026-07-14", "good", [L10])
-    _land(paths.landing, "PETR4", "2026-07-14", "bad", ["x", "y;z"])
-    _land(paths.landing, "PETR4", "2026-07-14", "none", [])
+    _land(paths.landing, "NOVA4", "2026-07-14", "good", [L10])
+    _land(paths.landing, "NOVA4", "2026-07-14", "bad", ["x", "y;z"])
+    _land(paths.landing, "NOVA4", "2026-07-14", "none", [])
     _land(paths.landing, "ABCD3", "2026-07-14", "other", [L10])
-    tracked = spark.createDataFrame([("PETR4",)], "ticker string")
+    tracked = spark.createDataFrame([("NOVA4",)], "ticker string")
     ingest.process_batch(paths, read_archives(spark, paths.landing), 0, tracked=tracked)
     got = {r.filename.split("_")[-1]: (r.total, r.published) for r in spark.read.parquet(paths.audit).collect()}
     assert got == {"good.txt": (1, 1), "bad.txt": (0, 0), "none.txt": (0, 0)}

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ticklake.operators import views
 from ticklake.session import shared_dir
 from ticklake.sources.tables import gold
-from ticklake.streaming.replay import run_serve_over_drops
+from ticklake.sinks import pointer
+from ticklake.streaming import counts, serve
+from ticklake.streaming.replay import run_counts_over_drops, run_serve_over_drops
 
 SCHEMA = ("schema_version int, ticker string, trade_id long, action int, price string, "
           "quantity long, traded_at timestamp_ntz, trade_date date, reference_date date, "
@@ -116,3 +118,96 @@ def test_replayed_batch_leaves_gold_unchanged(spark):
     assert sorted(gold(spark, paths.summary).select(*cols).collect()) == before
     assert sorted(gold(spark, paths.last_price).collect()) == lp_before
     assert spark.read.parquet(paths.bronze).count() == 4
+
+
+SUMMARY = ["ticker", "trade_date", "open", "high", "low", "close", "quantity", "financial_volume", "trades"]
+
+
+def _gold(spark, paths):
+    return [sorted(map(str, gold(spark, p).select(*c).collect())) for p, c in (
+        (paths.summary, SUMMARY), (paths.last_price, ["ticker", "price", "traded_at"]),
+        (paths.violations, ["ticker", "trade_date", "price", "traded_at"]))]
+
+
+def _serve(spark, batches, slots=8):
+    paths = serve.ServePaths(shared_dir(spark, f"serve-{uuid.uuid4().hex[:8]}"))
+    figures = [serve.process_batch(paths, spark.createDataFrame([r[:-1] for r in rows], SCHEMA.rpartition(",")[0]), k, slots)
+               for k, rows in enumerate(batches)]
+    return paths, figures
+
+
+def _many(n, seed=0):
+    """Trades of one day of a few tickers, some without a time, with cancellations."""
+    rows = [ev(0, f"TK{k % 5}", k // 2, 2 if k % 7 == seed % 7 else 0, f"{40 + (k * 37 + seed) % 11}.000", 10 + k % 8) for k in range(n)]
+    return [r if k % 13 else (*r[:6], None, *r[7:]) for k, r in enumerate(rows)]
+
+
+def test_a_batch_reads_its_own_slots(spark):
+    paths, figures = _serve(spark, [_many(2000), [ev(0, "TK1", 3, 2, "1.000", 9)], _many(6, 1)], slots=64)
+    assert figures[0]["read"] == figures[0]["trades"] > 900
+    assert figures[1]["trades"] == 1 and figures[1]["read"] < 2 * 1000 / 64 + 20  # a slot of the day
+    assert figures[2]["trades"] <= 6 and figures[2]["read"] < 6 * (1000 / 64 + 20)
+
+
+def test_batches_equal_the_views_over_all_events(spark):
+    batches = [_many(300), _many(40, 3), [ev(0, "TK2", 4, 2, "99.000", 9, d=D + dt.timedelta(1))], _many(25, 5)]
+    paths, _ = _serve(spark, batches)
+    events = spark.createDataFrame([r[:-1] for rows in batches for r in rows], SCHEMA.rpartition(",")[0])
+    want = sorted(map(str, views.session_summary(views.trades_clean(events)).select(*SUMMARY).collect()))
+    assert _gold(spark, paths)[0] == want
+    state = _gold(spark, paths)
+    serve.compact(spark, paths, 2)  # batch 3 stays as a delta
+    assert {r[0] for r in spark.read.parquet(paths.trades).select("batch_id").distinct().collect()} == {-3, 3}
+    for k in (3, 0):  # a batch again, also one that is folded
+        serve.process_batch(paths, spark.createDataFrame([r[:-1] for r in batches[k]], SCHEMA.rpartition(",")[0]), k, 8)
+        assert _gold(spark, paths) == state
+    serve.compact(spark, paths, 3)
+    more = [ev(0, "TK0", 900, 0, "77.000", 17)]
+    serve.process_batch(paths, spark.createDataFrame([r[:-1] for r in more], SCHEMA.rpartition(",")[0]), 4, 8)
+    events = events.union(spark.createDataFrame([r[:-1] for r in more], SCHEMA.rpartition(",")[0]))
+    assert _gold(spark, paths)[0] == sorted(map(str, views.session_summary(views.trades_clean(events)).select(*SUMMARY).collect()))
+
+
+def test_rebuild_after_a_day_vanished(spark):
+    day = D + dt.timedelta(1)
+    batches = [[ev(0, "A", 1, 0, "41.000", 13), (1, "A", 2, 0, "42.000", 5, None, D, D, 1, "x", 0)],
+               [ev(0, "B", 1, 0, "50.000", 13, d=day), (1, "B", 2, 0, "51.000", 5, None, day, day, 1, "x", 0)],
+               [ev(0, "C", 1, 0, "60.000", 13)]]
+    paths, _ = _serve(spark, batches)
+    listed = [(r.ticker, r.trade_date) for r in gold(spark, paths.violations).collect()]
+    assert sorted(listed) == [("A", D), ("B", day)]  # once each, though batch 2 touched A's day again
+    first = serve.rebuild(spark, paths)
+    assert _gold(spark, first) == _gold(spark, paths)
+    pointer.delete(spark, f"{paths.bronze}/trade_date={day}")
+    now = serve.rebuild(spark, first)
+    assert serve.current(spark, paths.base) == now
+    assert {r.ticker for r in gold(spark, now.summary).collect()} == {"A", "C"}
+    assert {r.ticker for r in gold(spark, now.last_price).collect()} == {"A", "C"}
+    assert [(r.ticker, r.trade_date) for r in gold(spark, now.violations).collect()] == [("A", D)]
+    assert len(_gold(spark, first)[0]) == 3  # readers of the old folder still read it whole
+    serve.process_batch(now, spark.createDataFrame([r[:-1] for r in batches[1]], SCHEMA.rpartition(",")[0]), 3, 8)
+    assert _gold(spark, now) == _gold(spark, first)
+
+
+def test_counts_heal_from_the_state(spark):
+    days = [D + dt.timedelta(k) for k in range(4)]
+    rows = [ev(k % 2, ["PETR4", "VALE3", None][k % 3], k, 0, "1.000", 13, d=days[k % 4]) for k in range(40)]
+    run_dir = shared_dir(spark, f"counts-{uuid.uuid4().hex[:8]}")
+    out = run_counts_over_drops(spark, spark.createDataFrame(rows, SCHEMA), F.col("drop"), 2, run_dir)
+    checkpoint = f"{run_dir}/_checkpoints/counts"
+
+    def held():
+        return sorted(map(str, gold(spark, out).select("ticker", "trade_date", "events").collect()))
+
+    right = held()
+    assert counts.heal(spark, out, checkpoint).count() == 0 and held() == right
+    pointer.delete(spark, f"{out}/trade_date={days[1]}")
+    wrong = gold(spark, out).where(F.col("trade_date") == days[2]).withColumns({"events": F.col("events") + 1, "is_marker": F.lit(False)})
+    stray = spark.createDataFrame([("XX", days[0] - dt.timedelta(9), 3, False)], "ticker string, trade_date date, events long, is_marker boolean")
+    from ticklake.sinks.keyed import replace_partitions
+    replace_partitions(wrong.unionByName(stray).checkpoint(), out, ["trade_date"])
+    assert held() != right
+    assert counts.heal(spark, out, checkpoint).count() == 3 and held() == right
+    for folder in pointer.subfolders(spark, out):
+        pointer.delete(spark, folder)
+    assert counts.heal(spark, out, checkpoint).count() == 4 and held() == right
