@@ -148,3 +148,58 @@ def test_damaged_archives_are_one_error_row_each(spark):
     rows = archive_lines(read_archives(spark, root)).collect()
     assert sum(r.archive_error is not None for r in rows) == 3
     assert sum(r.raw_line is not None for r in rows) == 500
+
+
+def test_a_trade_listed_again_by_another_sessions_file_is_published_once(spark):
+    paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
+    _land(paths.landing, "NOVA4", "2026-07-14", "a", [L10, L20])
+    _land(paths.landing, "NOVA4", "2026-07-15", "b", [L20, line(5, day="2026-07-15")])
+    ingest.process_batch(paths, read_archives(spark, paths.landing), 0)
+    got = sorted((r.trade_id, str(r.trade_date)) for r in read_event_log(spark, paths.event_log).collect())
+    assert got == [(5, "2026-07-15"), (10, "2026-07-14"), (20, "2026-07-14")]
+
+
+def test_ids_that_the_cursor_holds_back_are_listed(spark):
+    paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
+    _land(paths.landing, "NOVA4", "2026-07-14", "a", [L10, L30])
+    ingest.process_batch(paths, read_archives(spark, paths.landing), 0)
+    second = shared_dir(spark, f"second-{uuid.uuid4().hex[:8]}")
+    _land(second, "NOVA4", "2026-07-14", "b", [L10, L20, L30, line(31), C10])  # 20 comes after 30
+    for _ in range(2):
+        ingest.process_batch(paths, read_archives(spark, second), 1)
+        assert [(r.ticker, r.trade_id, r.batch_id) for r in spark.read.parquet(paths.late).collect()] == [("NOVA4", 20, 1)]
+
+
+def test_large_archives_are_streamed_and_give_the_same_rows(spark):
+    root = shared_dir(spark, f"arch-{uuid.uuid4().hex[:8]}")
+    many = [line(k) for k in range(1, 25_000)]
+    for k, (name, lines) in enumerate((("a", many), ("b", []), ("c", ["caf\u00e9"]), ("d", [L10]))):
+        _land(root, "NOVA4", f"2026-07-1{k}", name, lines)
+    with open(os.path.join(root.removeprefix("file:"), "ticker=NOVA4", "session_date=2026-07-13", "e.zip"), "wb") as f:
+        f.write(b"not a zip")
+    both = [sorted((r.archive, r.line_no or 0, str(r.raw_line), r.filename, r.file_ticker, r.session_date, r.landed_at,
+                    str(r.archive_error)[:11]) for r in archive_lines(read_archives(spark, root), inline=n).collect())
+            for n in (1 << 26, 0)]
+    assert both[0] == both[1] and len(both[0]) == len(many) + 4
+
+
+def test_an_archive_larger_than_the_memory_is_read(spark):
+    """A worker that may take 150 MB reads a member of 400 MB."""
+    import subprocess
+    import sys
+    import zipfile
+    path = os.path.join(shared_dir(spark, f"big-{uuid.uuid4().hex[:8]}").removeprefix("file:"), "big.zip")
+    block = "".join(line(k) + "\n" for k in range(20_000))
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z, z.open("m.txt", "w") as member:
+        member.write(b"header\n")
+        for _ in range(400_000_000 // len(block)):
+            member.write(block.encode())
+    code = ("import resource, sys; sys.path.insert(0, '.'); import pyarrow, pyarrow.fs, numpy\n"
+            "from ticklake.sources.archives import _stream_paths\n"
+            "base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+            f"batch = pyarrow.RecordBatch.from_pydict({{'path': ['file://{path}']}})\n"
+            "n = sum(b.num_rows for b in _stream_paths([batch]))\n"
+            "print(n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base) // 1024)")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300,
+                         cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), check=True).stdout.split()
+    assert int(out[0]) == 20_000 * (400_000_000 // len(block)) and int(out[1]) < 150

@@ -211,3 +211,9 @@ def test_counts_heal_from_the_state(spark):
     for folder in pointer.subfolders(spark, out):
         pointer.delete(spark, folder)
     assert counts.heal(spark, out, checkpoint).count() == 4 and held() == right
+
+
+def test_a_batch_without_trades(spark):
+    paths, figures = _serve(spark, [[], [ev(0, None, 1, 0, "1.000", 13)], [ev(0, "A", 1, 0, "41.000", 13)]])
+    assert [f["trades"] for f in figures] == [0, 0, 1]
+    assert [r.ticker for r in gold(spark, paths.summary).collect()] == ["A"]

@@ -8,17 +8,18 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.operators import audit, cursor, dividends, parse, radar, serving, views
+from ticklake.operators import audit, cursor, dividends, intervals, parse, radar, serving, views
 from ticklake.plans.oracle import AS_OF, FIRST_SYNC, PREV_AS_OF, SYNCED_AT
 from ticklake.schemas import KEYS, NOT_NULL, TRADE_COLUMNS, TRADE_EVENT_COLUMNS
 from ticklake.session import shared_dir
-from ticklake.sinks import corporate_actions, cursor_log, pointer
+from ticklake.sinks import contracts, corporate_actions, cursor_log, pointer, snapshots
 from ticklake.sinks.keyed import replace_partitions
-from ticklake.sources import derived, events
+from ticklake.sources import archives, derived, events
 from ticklake.sources.archives import ARCHIVE_SCHEMA, land_archives
 from ticklake.sources.events import read_event_log
 from ticklake.sources.tables import gold
@@ -495,3 +496,68 @@ QUERIES.update({
     "rebuild_vanished_day": q_rebuild_vanished_day,
     "cursor_compacted": q_cursor_compacted,
 })
+
+
+def q_text_line_scan(spark, sf_dir):
+    """S3: the trade lines land as plain text files, one per ticker and session, and are read back
+    with their number in the file."""
+    root = shared_dir(spark, f"text-{uuid.uuid4().hex[:12]}") + "/lines"
+    lines = derived.trade_lines(spark, sf_dir).select(
+        F.col("file_ticker").alias("ticker"), "session_date", "line_no", F.col("raw_line").alias("value"))
+    header = lines.select("ticker", "session_date").distinct().select(
+        "ticker", "session_date", F.lit(-1).cast("long").alias("line_no"), F.lit("DataReferencia;CodigoInstrumento").alias("value"))
+    order = ["ticker", "session_date", "line_no", "value"]
+    files = lines.unionByName(header).repartition("ticker", "session_date").sortWithinPartitions(*order)
+    files.drop("line_no").write.partitionBy("ticker", "session_date").text(root)
+    return archives.read_line_files(spark, root).select("file_ticker", "session_date", "line_no", "raw_line")
+
+
+def q_late_ids(spark, sf_dir):
+    """Line numbers 1-3 of every order were published; what the full files bring below the
+    cursor and was never published, as intervals per session."""
+    first = derived.trade_events(spark, sf_dir).filter((F.col("trade_id") % 10 <= 3) & (F.col("action") != 2))
+    marked = cursor.mark_new(_good_trades(spark, sf_dir), cursor.updates(first))
+    return intervals.merged(intervals.islands(intervals.late(marked, intervals.islands(first))))
+
+
+def q_document_changes(spark, sf_dir):
+    """the documents' digests are stored in three versions; some tickers are not served in the
+    first, others no longer in the third. The feed of each version."""
+    r = _rollup(spark, sf_dir)
+    base = shared_dir(spark, f"digests-{uuid.uuid4().hex[:12]}")
+    feeds = []
+    for as_of, absent in ((PREV_AS_OF, "TK03"), (AS_OF, ""), (AS_OF, "TK11")):
+        docs = serving.document_etags(_documents(spark, sf_dir, as_of, r)).where(F.col("ticker") != absent)
+        version = snapshots.store(docs, base)
+        feeds.append(snapshots.changes(spark, base, version).select(F.lit(version).alias("version"), F.col("key").alias("ticker"),
+                                                                   "change", "digest_before", "digest_now"))
+    return reduce(DataFrame.unionByName, feeds)
+
+
+def q_contract_violations(spark, sf_dir):
+    """K7 on write: cash dividends with missing fields, wrong rates and repeated keys are checked as
+    they are written; violations per rule, and what the quarantine and the good rows hold."""
+    cash = _cash(spark, sf_dir)
+    faulty = cash.withColumns({
+        "label": F.when(F.col("approved_on").cast("string").endswith("7"), None).otherwise(F.col("label")),
+        "related_to": F.when(F.month("approved_on") == 2, None).otherwise(F.col("related_to")),
+        "rate": F.when(F.dayofmonth("approved_on") == 13, -F.col("rate")).otherwise(F.col("rate"))})
+    path = shared_dir(spark, f"contract-{uuid.uuid4().hex[:12]}") + "/cash_dividends"
+    broken = contracts.write(faulty.drop("synced_at"), path, ["ticker", "label", "related_to"], {
+        "rate above 0": F.col("rate") > 0, "last day after approval": F.col("last_date_prior") > F.col("approved_on")})
+    found = spark.createDataFrame(sorted(broken.items()), "rule string, violations long")
+    keys = ["ticker", "approved_on"]
+    repeated = contracts.repeated_keys(spark, path, keys).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"))
+    total = contracts.quarantine(spark, path).agg(F.count(F.lit(1)).alias("violations"))
+    good = contracts.read(spark, path).agg(F.count(F.lit(1)).alias("violations"))
+    return (found.unionByName(repeated.select(F.lit("duplicate key (ticker,approved_on)").alias("rule"), "violations"))
+            .unionByName(total.select(F.lit("quarantined").alias("rule"), "violations"))
+            .unionByName(good.select(F.lit("kept").alias("rule"), "violations")))
+
+
+QUERIES.update({
+    "text_line_scan": q_text_line_scan,
+    "late_ids": q_late_ids,
+    "document_changes": q_document_changes,
+    "contract_violations": q_contract_violations,
+})

@@ -785,3 +785,62 @@ SELECT 'session_summary' AS table_name, ticker, trade_date, "close" AS price, NU
 FROM session_summary
 UNION ALL SELECT 'last_price', ticker, NULL, x.p, x.t FROM newest
 UNION ALL SELECT 'violations', ticker, trade_date, x.p, x.t FROM latest WHERE x.p IS NULL OR x.t IS NULL""")
+
+ORACLE["text_line_scan"] = with_ctes(TRADE_LINES, body="""
+SELECT ticker AS file_ticker, session_date,
+       row_number() OVER (PARTITION BY ticker, session_date ORDER BY line_no, raw_line) AS line_no, raw_line
+FROM trade_lines""")
+
+ORACLE["late_ids"] = with_ctes(TRADES_RAW, TRADE_LINES, PARSED_LINES, CURSOR0, body="""
+, sent AS (SELECT DISTINCT ticker, trade_date, trade_id FROM trades_raw WHERE trade_id % 10 <= 3 AND "action" <> 2),
+late AS (
+  SELECT DISTINCT g.ticker, g.trade_date, g.trade_id
+  FROM good g JOIN cursor0 c USING (ticker, trade_date)
+  WHERE g."action" <> 2 AND g.trade_id <= c.max_trade_id
+    AND NOT EXISTS (SELECT 1 FROM sent s WHERE s.ticker = g.ticker AND s.trade_date = g.trade_date
+                    AND s.trade_id = g.trade_id)
+),
+grouped AS (
+  SELECT *, trade_id - row_number() OVER (PARTITION BY ticker, trade_date ORDER BY trade_id) AS island FROM late
+)
+SELECT ticker, trade_date, min(trade_id) AS first_id, max(trade_id) AS last_id, count(*) AS ids
+FROM grouped GROUP BY ticker, trade_date, island""")
+
+ORACLE["document_changes"] = with_ctes(*SERVING, body=f"""
+, snap AS (
+  SELECT 1 AS version, ticker, etag FROM ({_etags(PREV_AS_OF)}) WHERE ticker <> 'TK03'
+  UNION ALL SELECT 2, ticker, etag FROM ({_etags(AS_OF)})
+  UNION ALL SELECT 3, ticker, etag FROM ({_etags(AS_OF)}) WHERE ticker <> 'TK11'
+),
+pairs AS (
+  SELECT n.v AS version, b.ticker AS before_ticker, b.etag AS digest_before, a.ticker AS now_ticker, a.etag AS digest_now,
+         coalesce(b.ticker, a.ticker) AS ticker
+  FROM (VALUES (1), (2), (3)) n(v), (SELECT DISTINCT ticker FROM snap) t
+  LEFT JOIN snap b ON b.ticker = t.ticker AND b.version = n.v - 1
+  LEFT JOIN snap a ON a.ticker = t.ticker AND a.version = n.v
+)
+SELECT version, ticker, CASE WHEN before_ticker IS NULL THEN 'added' WHEN now_ticker IS NULL THEN 'gone' ELSE 'changed' END AS change,
+       digest_before, digest_now
+FROM pairs WHERE ticker IS NOT NULL AND digest_before IS DISTINCT FROM digest_now""")
+
+ORACLE["contract_violations"] = with_ctes(ORDERS_DIV, body="""
+, faulty AS (
+  SELECT ticker, approved_on, last_date_prior,
+         CASE WHEN NOT suffix(CAST(approved_on AS VARCHAR), '7') THEN label END AS label,
+         CASE WHEN month(approved_on) <> 2 THEN related_to END AS related_to,
+         CASE WHEN day(approved_on) = 13 THEN -rate ELSE rate END AS rate
+  FROM cash_dividends
+),
+checked AS (
+  SELECT *, ticker IS NULL AS a, label IS NULL AS b, related_to IS NULL AS c, NOT coalesce(rate > 0, false) AS d,
+         NOT coalesce(last_date_prior > approved_on, false) AS e FROM faulty
+)
+SELECT 'rows' AS rule, count(*) AS violations FROM checked
+UNION ALL SELECT 'not null ticker', count(*) FILTER (WHERE a) FROM checked
+UNION ALL SELECT 'not null label', count(*) FILTER (WHERE b) FROM checked
+UNION ALL SELECT 'not null related_to', count(*) FILTER (WHERE c) FROM checked
+UNION ALL SELECT 'rate above 0', count(*) FILTER (WHERE d) FROM checked
+UNION ALL SELECT 'last day after approval', count(*) FILTER (WHERE e) FROM checked
+UNION ALL SELECT 'quarantined', count(*) FILTER (WHERE a OR b OR c OR d OR e) FROM checked
+UNION ALL SELECT 'kept', count(*) FILTER (WHERE NOT (a OR b OR c OR d OR e)) FROM checked
+UNION ALL SELECT 'duplicate key (ticker,approved_on)', count(*) - count(DISTINCT (ticker, approved_on)) FROM faulty""")

@@ -12,7 +12,7 @@ from __future__ import annotations
 import io
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
@@ -57,14 +57,84 @@ class UnzipLines:
                         yield name, i, line.rstrip("\n"), None
 
 
-def archive_lines(archives: DataFrame, source: str = SOURCE_EOD) -> DataFrame:
+#: Lines and characters of a batch that a streamed archive gives to Spark at once; the largest line.
+BATCH_LINES = 10_000
+BATCH_CHARS = 1 << 22
+LARGEST_LINE = 1 << 26
+
+
+def member_lines(source, start: int = 1):
+    """(member, first line number, lines) of an open archive, batch by batch, header dropped; the
+    member is read as a stream, so the archive may be larger than memory. A line beyond
+    LARGEST_LINE characters is an error of the archive."""
+    with zipfile.ZipFile(source) as archive:
+        name = archive.namelist()[0]
+        with io.TextIOWrapper(archive.open(name), "ascii") as member:
+            member.readline(LARGEST_LINE)
+            at, lines, size = start, [], 0
+            while line := member.readline(LARGEST_LINE):
+                if len(line) == LARGEST_LINE:
+                    raise ValueError("line too long")
+                lines.append(line.rstrip("\n"))
+                size += len(line)
+                if len(lines) >= BATCH_LINES or size >= BATCH_CHARS:
+                    yield name, at, lines
+                    at, lines, size = at + len(lines), [], 0
+            if lines or at == start:
+                yield name, at, lines
+
+
+def _stream_paths(batches):
+    """Rows (path, ...) -> the rows of UnzipLines for the archive at each path, which is opened
+    through pyarrow's file systems and read twice: once to be sure of it, once for its lines."""
+    import pyarrow as pa
+    import pyarrow.fs as pafs
+
+    def rows(batch, i, member, numbers, lines, error):
+        n = len(lines)
+        same = [pa.repeat(batch.column(c)[i], n) for c in range(batch.num_columns)]
+        return pa.RecordBatch.from_arrays(
+            [*same, pa.array([member] * n, pa.string()), pa.array(numbers, pa.int32()),
+             pa.array(lines, pa.string()), pa.array([error] * n, pa.string())],
+            [*batch.schema.names, "member", "line_no", "raw_line", "archive_error"])
+
+    for batch in batches:
+        for i, path in enumerate(batch.column(0).to_pylist()):
+            try:
+                fs, name = pafs.FileSystem.from_uri(_uri(path))
+                with fs.open_input_file(name) as source:
+                    member, at, lines = None, 1, []
+                    for member, at, lines in member_lines(source):  # noqa: B007
+                        pass
+            except Exception as exc:  # whatever the decoders raise concerns this archive alone
+                yield rows(batch, i, None, [None], [None], f"bad archive: {type(exc).__name__}: {exc}")
+                continue
+            if at == 1 and not lines:
+                yield rows(batch, i, member, [None], [None], None)
+                continue
+            with fs.open_input_file(name) as source:
+                for member, at, lines in member_lines(source):
+                    yield rows(batch, i, member, list(range(at, at + len(lines))), lines, None)
+
+
+def archive_lines(archives: DataFrame, source: str = SOURCE_EOD, inline: int = 64 << 20) -> DataFrame:
     """binaryFile rows (with ``ticker``/``session_date`` partition columns) -> one row per
     trade line with its file context (``landed_at`` and ``archive`` order the files), one
-    error row per unreadable archive, one row without text per file without lines."""
-    out = archives.lateralJoin(UnzipLines(F.col("content").outer()))
+    error row per unreadable archive, one row without text per file without lines.
+
+    Archives of up to ``inline`` bytes come as Spark read them, from any store that Spark reads.
+    Larger ones, whose content Spark then does not load, are streamed from their path, one task
+    each; their store must be one that pyarrow opens (local, HDFS, object stores).
+    """
+    context = ["path", "modificationTime", "ticker", F.col("session_date").cast("date").alias("session_date")]
+    unzipped = archives.where(F.col("length") <= inline).select(*context, "content").lateralJoin(
+        UnzipLines(F.col("content").outer())).drop("content")
+    large = archives.where(F.col("length") > inline).select(*context)
+    streamed = large.mapInArrow(_stream_paths, T.StructType([*large.schema.fields, *T._parse_datatype_string(ARCHIVE_LINES).fields]))
+    out = unzipped.unionByName(streamed)
     return out.select(
         F.col("ticker").alias("file_ticker"),
-        F.col("session_date").cast("date").alias("session_date"),
+        "session_date",
         F.coalesce(F.col("member"), F.element_at(F.split(F.col("path"), "/"), -1)).alias("filename"),
         F.lit(source).alias("source"),
         F.col("line_no").cast("long").alias("line_no"),
@@ -73,21 +143,52 @@ def archive_lines(archives: DataFrame, source: str = SOURCE_EOD) -> DataFrame:
     )
 
 
-def read_line_files(spark: SparkSession, root: str, source: str = SOURCE_EOD) -> DataFrame:
-    """S3: plain text trade files (no zip) under ``ticker=/session_date=`` folders, one
-    row per line with the file name from the scan's metadata. The first line of each file
-    is its header; it is recognised by its line text and dropped. (Line order within a
-    file is not observable through the text source: use the archive scan when the file
-    order matters.)"""
+def _number_in_split(batches):
+    """(path, split, at, value): each line's place from 0 in its split of a file. Spark reads the
+    lines of a split in order, and a task its splits one after the other."""
+    import numpy as np
+    import pyarrow as pa
+
+    last, seen = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        path, split = batch.column(0).dictionary_encode(), batch.column(1).to_numpy()
+        code = path.indices.to_numpy()
+        new = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (split[1:] != split[:-1])]))
+        at = np.arange(batch.num_rows) - np.repeat(new, np.diff(np.append(new, batch.num_rows)))
+        if (batch.column(0)[0].as_py(), split[0]) == last:
+            at[:new[1] if len(new) > 1 else batch.num_rows] += seen
+        last, seen = (batch.column(0)[-1].as_py(), split[-1]), int(at[-1]) + 1
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at), batch.column(2)],
+                                         ["path", "split", "at", "value"])
+
+
+def read_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Text files below ``root``: their partition columns, ``filename``, ``line_no`` (from 0, in file
+    order) and ``raw_line``. Files are read in splits; lines are numbered in their split and the
+    lines of the splits before are added, from one row per split, so no line is shuffled."""
     df = spark.read.format("text").load(root)
-    return df.select(
-        F.col("ticker").alias("file_ticker"),
-        F.col("session_date").cast("date").alias("session_date"),
-        F.col("_metadata.file_name").alias("filename"),
-        F.lit(source).alias("source"),
-        F.lit(None).cast("long").alias("line_no"),
-        F.col("value").alias("raw_line"),
-    ).filter(~F.startswith(F.col("raw_line"), F.lit("DataReferencia")))
+    more = [c for c in df.columns if c != "value"]
+    where = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split")]
+    splits = df.select(*where).groupBy("path", "split").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("path").orderBy("split")) - F.col("_n")
+    splits = splits.withColumn("_before", before).drop("_n")
+    files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("filename"), *more)
+    files = files.groupBy("path").agg(F.any_value("filename").alias("filename"), *[F.any_value(c).alias(c) for c in more])
+    numbered = df.select(*where, "value").mapInArrow(_number_in_split, "path string, split long, at long, value string")
+    # a line whose split was not counted would be a plan that cut the files in two ways
+    known = F.coalesce("_before", F.raise_error(F.lit("a split of a text file was not counted")).cast("long"))
+    return numbered.join(splits, ["path", "split"], "left").join(files, "path").select(
+        *more, "filename", (known + F.col("at")).alias("line_no"), F.col("value").alias("raw_line"))
+
+
+def read_line_files(spark: SparkSession, root: str, source: str = SOURCE_EOD) -> DataFrame:
+    """S3: plain text trade files (no zip) under ``ticker=/session_date=`` folders, one row per
+    line with its file and its number in it; line 0 of a file is its header and is dropped."""
+    return read_lines(spark, root).where("line_no > 0").select(
+        F.col("ticker").alias("file_ticker"), F.col("session_date").cast("date").alias("session_date"), "filename",
+        F.lit(source).alias("source"), "line_no", "raw_line")
 
 
 def read_archives(spark: SparkSession, root: str) -> DataFrame:

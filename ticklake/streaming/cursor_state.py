@@ -1,62 +1,60 @@
-"""T3 as a stateful streaming operator: the publish cursor kept in Spark state.
-
-``groupBy(ticker, trade_date).transformWithState(CursorProcessor)`` holds one bigint per
-session (RocksDB state store, checkpointed with the query). For each micro-batch the rows
-of a session are compared with the cursor as it was *before* the batch (so duplicates
-inside one snapshot all pass and the dedup view collapses them), cancellations always
-pass, and the cursor then moves to the highest newly published non-cancel id.
-
-Rows of one session arrive as an iterator and are streamed out; nothing is buffered, so
-a large session costs time in one task, not memory. The batch/foreachBatch path
-(``operators.cursor.filter_new`` as a join) is the skew-proof alternative for bulk
-backfills.
+"""The publish cursor of a stream of trades, its state in two levels.
+
+Per micro-batch the trades meet the cursor as it was *before* the batch (so duplicates inside
+one snapshot all pass and the dedup view collapses them; cancellations always pass), and what
+passes is written. Then each task's highest published id per session is one row of a partial
+aggregate (the first level, as many rows of a hot session as tasks saw it), and their maximum
+is the session's one record of the batch in the cursor's log (the second). The log is folded
+every few batches, so the state a batch reads is one small row per session of its days.
+
+Trades never gather by session: the join with the one-row-per-session cursor broadcasts or
+splits, so a session that holds a third of all trades is spread over all tasks, and no row
+passes through Python. A batch delivered again reads the same cursor and rewrites its rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, Row
-from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from ticklake.operators import cursor
+from ticklake.session import shared_dir
+from ticklake.sinks.cursor_log import CursorLog
+from ticklake.sinks.keyed import replace_partitions
 
-from ticklake.schemas import ACTION_CANCELLED
+#: Batches after which the cursor's log is folded.
+FOLD_EVERY = 8
 
-STATE_SCHEMA = T.StructType([T.StructField("max_trade_id", T.LongType())])
 
+def published_path(base: str) -> str:
+    return f"{base}/published"
 
-class CursorProcessor(StatefulProcessor):
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cursor = handle.getValueState("cursor", STATE_SCHEMA)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = self.cursor.get()[0] if self.cursor.exists() else 0
-        highest = before
-        for row in rows:
-            if row.action == ACTION_CANCELLED or row.trade_id > before:
-                yield row
-                if row.action != ACTION_CANCELLED and row.trade_id > highest:
-                    highest = row.trade_id
-        if highest > before:
-            self.cursor.update((highest,))
+def state(base: str) -> CursorLog:
+    return CursorLog(f"{base}/cursor", {"trade_date": "date", "ticker": "string"})
 
-    def close(self) -> None:
-        pass
 
+def cursor_before(spark: SparkSession, base: str, batch_id: int | None = None) -> DataFrame:
+    """(ticker, trade_date, max_trade_id) before a batch, or after the last one."""
+    folded = cursor.fold_log(state(base).records(spark, before=batch_id), *cursor.KEYS)
+    return folded.select(*cursor.KEYS, "max_trade_id")
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-
-def publish_stream(trades: DataFrame) -> DataFrame:
-    """Streaming trades -> streaming published trades (same schema).
-
-    transformWithState needs the RocksDB state store; the provider is a per-query setting
-    recorded in the checkpoint, so it is set here when the session uses another one."""
+def process_batch(base: str, trades: DataFrame, batch_id: int) -> None:
     spark = trades.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return (trades.groupBy("ticker", "trade_date")
-            .transformWithState(statefulProcessor=CursorProcessor(),
-                                outputStructType=trades.schema,
-                                outputMode="Append",
-                                timeMode="None"))
+    shared_dir(spark, "lineage")
+    before = cursor_before(spark, base, batch_id)
+    passed = cursor.filter_new(trades, before).withColumn("batch_id", F.lit(batch_id))
+    replace_partitions(passed, published_path(base), ["batch_id"], cluster=False)
+    own = spark.read.schema(passed.schema).parquet(published_path(base)).where(F.col("batch_id") == batch_id)
+    highest = cursor.updates(own)
+    record = cursor.value_json(highest).join(highest.select("key", *cursor.KEYS), "key")
+    state(base).append(record.withColumns({"partition": F.lit(0), "offset": F.lit(batch_id).cast("long")}), batch_id)
+    if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
+        state(base).compact(spark)
+
+
+def start(trades: DataFrame, base: str, checkpoint: str):
+    """Publish a streaming frame of trades to ``published_path(base)``, partitioned by batch."""
+    return (trades.writeStream.foreachBatch(lambda df, bid: process_batch(base, df, bid))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

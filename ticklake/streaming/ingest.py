@@ -9,7 +9,9 @@ One ``foreachBatch`` query over newly landed zip archives. Per micro-batch:
      so cumulative snapshots of one session in one batch publish a trade once;
   4. one audit row per landed file is written, also for files without a good line (A13);
   5. only after the events are written, the batch's cursor records are (K3), as the
-     (key, JSON value) records of a compacted log.
+     (key, JSON value) records of a compacted log;
+  6. the published ids are kept as intervals, and ids below the cursor that no interval has
+     (which the cursor alone would let vanish) are listed (T6).
 Every output is partitioned by ``batch_id`` and written with dynamic overwrite. Batch N
 reads only cursor records of batches below N, so a batch that is delivered again, at
 whatever step it broke off, sees the same cursor and rewrites the same rows. The cursor's log
@@ -23,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ticklake.operators import audit, cursor, parse
+from ticklake.operators import audit, cursor, intervals, parse
 from ticklake.schemas import ACTION_CANCELLED
 from ticklake.session import shared_dir
 from ticklake.sinks.cursor_log import CursorLog
@@ -55,6 +57,14 @@ class IngestPaths:
     def audit(self) -> str:
         return f"{self.base}/publish_audit"
 
+    @property
+    def intervals(self) -> str:
+        return f"{self.base}/published_ids"
+
+    @property
+    def late(self) -> str:
+        return f"{self.base}/late_ids"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.base}/_checkpoints/ingest"
@@ -73,9 +83,10 @@ def cursor_before(spark: SparkSession, paths: IngestPaths, batch_id: int, days:
 
 def mark_new_by_file(trades: DataFrame, before: DataFrame) -> DataFrame:
     """``cursor.mark_new`` with the cursor moved after each snapshot of the batch: a file's
-    trades are compared with the highest id that the cursor or an earlier file landed for
-    the same session holds. The running maximum is taken over one row per (session, file)."""
-    keys = [*cursor.KEYS, "session_date"]
+    trades are compared with the highest id that the cursor or an earlier file holds for their
+    ticker and trade date, whatever session the file was landed for. The running maximum is
+    taken over one row per (ticker, trade date, file)."""
+    keys = cursor.KEYS
     files = trades.where(F.col("action") != ACTION_CANCELLED).groupBy(*keys, "landed_at", "archive").agg(
         F.max("trade_id").alias("_top"))
     earlier = Window.partitionBy(*keys).orderBy("landed_at", "archive").rowsBetween(
@@ -129,6 +140,14 @@ def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
         record = cursor.value_json(after).join(after.select("key", *cursor.KEYS), "key")
         record = record.withColumns({"partition": F.lit(0), "offset": bid.cast("long")})
         cursor_log(paths).append(record, batch_id)
+
+        # Ids below the cursor that were never published are listed, not lost
+        own = intervals.islands(published.where(F.col("action") != ACTION_CANCELLED)).withColumn("batch_id", bid)
+        replace_partitions(own, paths.intervals, ["trade_date", "batch_id"])
+        sent = spark.read.schema(own.schema).parquet(paths.intervals).where(F.col("batch_id") <= batch_id).join(
+            days, "trade_date", "left_semi")
+        missed = intervals.late(marked, sent).select(*cursor.KEYS, "trade_id", "filename").withColumn("batch_id", bid)
+        replace_partitions(missed, paths.late, ["batch_id"], cluster=False)
         marked.unpersist()
     finally:
         parsed.unpersist()

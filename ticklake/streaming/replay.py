@@ -36,9 +36,9 @@ def run_serve_over_drops(spark: SparkSession, events: DataFrame, drop_of, n_drop
 
 def run_cursor_over_drops(spark: SparkSession, trades: DataFrame, drop_of, n_drops: int,
                           run_dir: str | None = None) -> str:
-    """Land typed trades in ``n_drops`` drops and run the stateful cursor stream after each;
-    returns the path of the published-trades table (parquet file sink, exactly-once)."""
-    from ticklake.streaming.cursor_state import publish_stream
+    """Land typed trades in ``n_drops`` drops and run the cursor stream after each; returns the
+    path of the published trades."""
+    from ticklake.streaming import cursor_state
     run_dir = run_dir or shared_dir(spark, f"cursor-{uuid.uuid4().hex[:12]}")
     tagged = trades.withColumn("drop", drop_of)
     schema = tagged.schema
@@ -46,12 +46,8 @@ def run_cursor_over_drops(spark: SparkSession, trades: DataFrame, drop_of, n_dro
         tagged.filter(F.col("drop") == k).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("drop").parquet(f"{run_dir}/in")
         stream = spark.readStream.schema(schema).parquet(f"{run_dir}/in")
-        q = (publish_stream(stream).writeStream.format("parquet")
-             .option("path", f"{run_dir}/published")
-             .option("checkpointLocation", f"{run_dir}/_checkpoints/cursor")
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-    return f"{run_dir}/published"
+        cursor_state.start(stream, run_dir, f"{run_dir}/_checkpoints/cursor").awaitTermination()
+    return cursor_state.published_path(run_dir)
 
 
 def run_counts_over_drops(spark: SparkSession, events: DataFrame, drop_of, n_drops: int,

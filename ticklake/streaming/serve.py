@@ -35,7 +35,7 @@ from ticklake.operators import parts, views
 from ticklake.operators.views import SESSION_KEYS
 from ticklake.session import shared_dir
 from ticklake.sinks import pointer
-from ticklake.sinks.keyed import exists, replace_partitions, with_markers
+from ticklake.sinks.keyed import replace_partitions, with_markers
 from ticklake.sources.tables import gold
 
 #: Slots of the trade layer; on a cluster a day's trades divided by some hundred.
@@ -101,9 +101,11 @@ def _write_parts(state: DataFrame, paths: ServePaths, batch_id: int) -> None:
     replace_partitions(rows.sortWithinPartitions("trade_date"), paths.parts, ["batch_id"], cluster=False)
 
 
-def _write_trades(trades: DataFrame, paths: ServePaths, batch_id: int, slots: int) -> None:
+def _write_trades(trades: DataFrame, paths: ServePaths, batch_id: int, slots: int) -> DataFrame:
+    """Write a delta of the trade layer; returns the layer (whose files may hold no row yet)."""
     rows = trades.withColumns({"slot": parts.slot_of(slots), "batch_id": F.lit(batch_id)})
     replace_partitions(rows.sortWithinPartitions("slot", "trade_date"), paths.trades, ["slot", "batch_id"], cluster=False)
+    return rows.sparkSession.read.schema(rows.schema).parquet(paths.trades)
 
 
 def process_batch(paths: ServePaths, events: DataFrame, batch_id: int, slots: int = SLOTS) -> dict:
@@ -113,11 +115,8 @@ def process_batch(paths: ServePaths, events: DataFrame, batch_id: int, slots: in
     # Bronze is written straight from the producing tasks (no shuffle of the raw events).
     landed = events.withColumn("batch_id", F.lit(batch_id))
     replace_partitions(landed, paths.bronze, ["trade_date", "batch_id"], cluster=False)
-    own = spark.read.parquet(paths.bronze).where(F.col("batch_id") == batch_id)
-    _write_trades(parts.trade_versions(own), paths, batch_id, slots)
-    if not exists(spark, paths.trades):
-        return {"trades": 0, "read": 0}
-    layer = spark.read.parquet(paths.trades)
+    own = spark.read.schema(landed.schema).parquet(paths.bronze).where(F.col("batch_id") == batch_id)
+    layer = _write_trades(parts.trade_versions(own), paths, batch_id, slots)
     delta = layer.where(F.col("batch_id") == batch_id)
     # at most ``slots`` numbers and two dates
     reach = delta.agg(F.count(F.lit(1)).alias("n"), F.collect_set("slot").alias("slots"),
@@ -153,9 +152,8 @@ def rebuild(spark: SparkSession, paths: ServePaths, slots: int = SLOTS) -> Serve
     The old folder stays for readers that still use it; ``pointer.delete`` removes it."""
     shared_dir(spark, "lineage")
     new = replace(paths, version=f"v-{uuid.uuid4().hex[:12]}")
-    _write_trades(parts.trade_versions(spark.read.parquet(paths.bronze)), new, -1, slots)
-    if exists(spark, new.trades):
-        layer = spark.read.parquet(new.trades)
+    layer = _write_trades(parts.trade_versions(spark.read.parquet(paths.bronze)), new, -1, slots)
+    if not layer.isEmpty():
         _write_parts(layer, new, -1)
         _write_gold(spark, new, spark.read.parquet(new.parts), layer.select("trade_date").distinct(),
                     layer.select("ticker").distinct())
