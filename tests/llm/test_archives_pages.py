@@ -6,6 +6,8 @@ import base64
 import hashlib
 import math
 import random
+import time
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,6 +164,107 @@ def test_slugs_are_no_furniture():
         assert [b[1] for b in html_text.parse(page)[0]] == list("ABCDEF")
 
 
+def test_headings_that_a_host_repeats_stay(spark):
+    def page(k, outer):
+        return (f"http://{outer}.example/{k}", f"<body><{outer}><h1>Paper {k}</h1><section><h2>Introduction</h2><p>own {k}</p></section>"
+                f"<div class=part><h2>Results</h2></div><p>Thanks to all.</p><div class=end><p>Cite us</p></div></{outer}></body>")
+    got = text_of(spark, [page(k, outer) for outer in ("article", "div") for k in range(20)])
+    for k, outer in ((k, outer) for outer in ("article", "div") for k in range(20)):
+        want = [f"Paper {k}", "Introduction", f"own {k}", "Results", "Thanks to all."]
+        assert got[k + 20 * (outer == "div")].split("\n\n") == want
+
+
+def test_furniture_inside_articles():
+    names = ["notice", "promo", "related", "ad-slot", "menu", "social-links", "newsletter-box", "related-posts", "share-buttons"]
+    page = "<article><p>A</p>" + "".join(f'<div class="{n}"><p>x</p></div>' for n in names) + "<p class=menu-design>B</p></article>"
+    assert [b[1] for b in html_text.parse(page)[0]] == ["A", "B"]
+
+
+def test_names_outside_articles_are_whole_classes():
+    keeps = '<div class="article-header"><h1>A</h1></div><div class="share-prices"><p>B</p></div><div class="notice-period">C</div>'
+    gone = '<div class="site-header">x</div><div class="header">x</div><div class="wide share-bar">x</div><ul class="main-menu"><li>x</ul>'
+    assert [b[1] for b in html_text.parse(f"<body>{keeps}{gone}</body>")[0]] == ["A", "B", "C"]
+
+
+HOSTILE = {"unclosed tags": "<a " * 350_000, "open quotes": "<a '" * 250_000, "quoted ends": "<a '>' " * 150_000,
+           "nesting": "<div>" * 100_000 + "x", "odd ends": "<b>x" * 100_000 + "</i>" * 100_000, "rules": "<b>" * 50_000 + "<hr>x" * 50_000,
+           "attributes": "<p " + "x " * 500_000 + "y=1>t", "raw": "<script>" * 100_000 + "</script " * 10, "comments": "<!--" * 200_000,
+           "lists": "<b>" * 30_000 + "<li>" * 30_000 + "x"}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_pages_take_linear_time(name):
+    started = time.monotonic()
+    html_text.parse(HOSTILE[name])
+    assert time.monotonic() - started < 5
+
+
+def test_raw_elements_end_at_their_tag():
+    page = "<article><p>a<script>if(a<b && c=='x>y'){x<y;}</script>b</p><style>p>a{}</style ><p>c<textarea></p></textarea>d"
+    assert [b[1] for b in html_text.parse(page)[0]] == ["ab", "cd"]
+
+
+def brute_extract(sites, low, least):
+    """Texts of pages given as [(host, [(outside, [(branch, tag, text)])])], by the rules on the model."""
+    seen, placed = defaultdict(list), defaultdict(set)
+    trees = {(h, frozenset((not o, b, t, x) for o, blocks in g for b, t, x in blocks)) for h, g in sites}  # copies count once
+    for host, leaves in trees:
+        for inside, branch, tag, text in leaves:
+            seen[host, inside, branch, tag].append(text)
+            placed[host, inside, branch].add(tag)
+        for key in {x[:3] for x in leaves}:
+            seen[(host, *key, "pages")].append(1)
+
+    def faint(*key):
+        texts, m = seen[key], len(seen[(*key, "pages")])
+        if m < least:
+            return False
+        entropy = sum(c * math.log(c) for c in Counter(texts).values()) / len(texts) / math.log(max(m, 2))
+        return html_text.GAMMA * (1 - entropy) + (1 - html_text.GAMMA) * key[1] < low
+
+    def stays(host, inside, branch, tag, marked):
+        if inside or not marked:
+            mine = placed[host, inside, branch]
+            return not branch or not (all(faint(host, inside, branch, t) for t in mine) and any(t[0] != "h" for t in mine))
+        return len(seen[host, inside, branch, tag, "pages"]) >= least and not faint(host, inside, branch, tag)
+
+    out = []
+    for host, groups in sites:
+        marked = any(blocks for outside, blocks in groups if not outside)
+        every = [(not o, b, t, x) for o, blocks in groups for b, t, x in blocks]
+        kept = [x for i, b, t, x in every if stays(host, i, b, t, marked)]
+        out.append("\n\n".join(kept or [x for i, _, _, x in every if i]))
+    return out
+
+
+def test_extract_equals_brute_force(spark):
+    rng = random.Random(8)
+    sites = []
+    for k in range(120):
+        host = rng.choice(["a.example", "b.example", "few.example"] if k > 100 else ["a.example", "b.example"])
+        groups = []
+        for outside in rng.choice([[True], [False], [True, False], [True, False, True]]):
+            blocks = [(rng.choice(["", "one", "two", "three"]), rng.choice(["p", "h2", "blockquote"])) for _ in range(rng.randint(0, 4))]
+            groups.append((outside, [(b, t, rng.choice([f"Same {b or 'it'}", f"Same {b or 'it'}", f"Either {rng.randint(0, 1)}"]) if b in ("one", "two")
+                                      or t == "h2" else f"Own {k} {rng.randint(0, 99)}") for b, t in blocks]))
+        sites += [(host, groups)] * rng.choice([1, 1, 1, 3])
+
+    def html_of(groups):
+        def block(b, t, x):
+            return f"<div class='{b}'><{t}>{x}</{t}></div>" if b else f"<{t}>{x}</{t}>"
+        return "<body>" + "".join(("<main>{}</main>" if not o else "{}").format("".join(block(*x) for x in blocks))
+                                  for o, blocks in groups) + "</body>"
+    got = text_of(spark, [(f"http://{h}/{k}", html_of(g)) for k, (h, g) in enumerate(sites)])
+    want = brute_extract(sites, html_text.LOW, html_text.MIN_PAGES)
+    assert [got[k] for k in range(len(sites))] == want
+    assert sum(len(w) < sum(len(x) + 2 for _, bs in g for *_, x in bs) - 2 for w, (_, g) in zip(want, sites, strict=True)) > 10
+
+
+def test_clashing_columns_of_pages(spark):
+    df = spark.createDataFrame([(1, "http://h/", "<p>a", "x", [1], 2)], PAGE_SCHEMA + ", text string, blocks array<int>, key int")
+    assert [tuple(r) for r in html_text.extract(df).collect()] == [(1, "http://h/", "a")]
+
+
 def test_repeated_and_null_ids_are_pages_of_their_own(spark):
     df = spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>b"), (None, "u", "<p>c")], PAGE_SCHEMA)
     assert sorted(r["text"] for r in html_text.extract(df).collect()) == ["a", "b", "c"]
