@@ -13,7 +13,7 @@ from ticklake.llm import minhash, mixing
 def test_stages_are_in_order():
     assert [name for name, _ in P.STAGES] == ["language_id", "quality_rules", "near_duplicates", "mix_sources", "packing"]
     assert E.queries()["pipeline"] is P.run
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in E.queries() if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in E.queries() if q.startswith("op")}
 
 
 def test_stages_keep_the_columns_and_take_effect(spark):

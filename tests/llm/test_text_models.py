@@ -128,7 +128,7 @@ def test_base_rules_match_brute_force(spark):
     texts = ODD_TEXTS + ["a b c d e f a b c d e", "p q r s t " * 2 + "x y z", "# a\n* b\n# a\n\n \n# a",
                          "Größe ß 中 | <x>\r\n\x0b\x0cend", "a a a a a a a", "1 2 3 4 5 6 1 2 3 4 5 9 4 5 6 1 2"]
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
-    rows = quality_rules.judge(docs, [0.0] * 8).collect()
+    rows = quality_rules.judge(docs, quality_rules.Rules([0.0] * 8, -math.inf)).collect()
     for r in rows:
         got = (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"])
         want = base_rules(texts[r["doc_id"]])
@@ -139,7 +139,7 @@ def test_base_rules_match_brute_force(spark):
 
 def test_base_rules_of_the_table(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text")
-    for r in quality_rules.judge(docs, [0.0] * 8).collect():
+    for r in quality_rules.judge(docs, quality_rules.Rules([0.0] * 8, -math.inf)).collect():
         got = (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"])
         assert got == base_rules(r["text"]), r["doc_id"]
 
@@ -155,28 +155,50 @@ def test_likelihood_ratio_matches_counts(spark):
     total_raw, total_good = sum(raw.values()) + n, sum(good.values()) + n
     want = [math.log((good[b] + 1) / total_good) - math.log((raw[b] + 1) / total_raw) for b in range(n)]
     assert np.allclose(weights, want)
-    got = {r["doc_id"]: r["llr"] for r in quality_rules.judge(docs, weights).collect()}
+    got = {r["doc_id"]: r["llr"] for r in quality_rules.judge(docs, quality_rules.Rules(weights, 0.0)).collect()}
     assert got[3] is None
     for k in (1, 2, 4):
         assert got[k] == pytest.approx(np.mean([want[b] for b in grams[k]]), abs=1e-4)
 
 
 def test_quality_rules_on_odd_rows(spark):
-    weights = quality_rules.fit_weights(odd_docs(spark), spark.createDataFrame([], "doc_id long"))
-    assert set(weights) == {0.0}
-    out = quality_rules.judge(odd_docs(spark), weights)
+    rules = quality_rules.fit(odd_docs(spark), spark.createDataFrame([], "doc_id long"))
+    assert set(rules.weights) == {0.0}
+    out = quality_rules.judge(odd_docs(spark), rules)
+    assert out.where("kept = base_failed").count() == 0  # nobody to learn from: the base rules decide
     assert out.count() == len(ODD_TEXTS) + 3
     assert out.where("kept is null or base_failed is null").count() == 0
-    assert quality_rules.judge(spark.createDataFrame([], SCHEMA), weights).count() == 0
+    assert quality_rules.judge(spark.createDataFrame([], SCHEMA), rules).count() == 0
+    assert quality_rules.fit(spark.createDataFrame([], SCHEMA), spark.createDataFrame([(1,)], "doc_id long")).threshold == -math.inf
 
 
 def test_quality_rules_follow_labels(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
     labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
-    weights = quality_rules.fit_weights(docs, labels.where("quality = 1").select("doc_id"))
-    kept = quality_rules.judge(docs, weights).where("not base_failed").join(labels, "doc_id")
-    rate = {r["quality"]: r["k"] for r in kept.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
-    assert rate[1] > 0.97 and rate[0] < 0.4
+    rules = quality_rules.fit(docs, labels.where("quality = 1").select("doc_id"))
+    judged = quality_rules.judge(docs, rules).join(labels, "doc_id")
+    rate = {r["quality"]: r["k"] for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
+    assert rate[1] > 0.97 and rate[0] < 0.1
+
+
+def test_threshold_is_what_held_out_trusted_documents_reach(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text")
+    trusted = spark.read.parquet(f"{SF_CHECK}/labels.parquet").where("quality = 1").select("doc_id")
+    lost = 0.1
+    rules = quality_rules.fit(docs, trusted, lost=lost)
+    held = quality_rules.judge(docs, rules).join(trusted, "doc_id").where("pmod(xxhash64(doc_id, 41), 2) = 1 and n_words > 0")
+    z = sorted(round((r.llr + quality_rules.STRAY / math.sqrt(r.n_words)) / quality_rules.STEP, 6) for r in held.collect())
+    under = sum(math.floor(x) < round(rules.threshold / quality_rules.STEP) for x in z)
+    assert under <= lost * len(z) < under + sum(math.floor(x) == round(rules.threshold / quality_rules.STEP) for x in z)
+    monkeypatch.setattr(quality_rules, "BROADCAST_IDS", 0)  # the way beyond the checked size
+    assert quality_rules.fit(docs, trusted, lost=lost) == rules
+
+
+def test_buckets_grow_with_the_text(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    few, all_ = quality_rules.bucket_count(docs.limit(10)), quality_rules.bucket_count(docs)
+    assert few == 1 << quality_rules.BITS[0] and all_ > few
+    assert quality_rules.bucket_count(docs.limit(0)) == few
 
 
 def test_classifier_features_and_scores(spark):

@@ -8,12 +8,16 @@ after another is decided; of any three undecided documents one step decides at l
 
 Flights run independently in blocks of bounded size (a hash of the id deals a source over
 its blocks). At most two documents of a block stay undecided; they meet in the blocks of
-the next level, until each source has a landing problem of two documents at most.
+the next level, until each source has a landing problem of two documents at most. Equal small
+sizes leave the large documents undecided to the last, so the landing may be off by a share of
+the largest document; small decided documents are then turned over until the words fit. The
+words of a source count before its documents.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Sequence
 
 import numpy as np
@@ -83,7 +87,7 @@ def flight(prob: list[float], size: list[float], rng: np.random.Generator, land:
             k = min(open_, key=lambda k: min(prob[k], 1 - prob[k]))
             prob[k] = float(round(prob[k]))
             open_.remove(k)
-    if land and open_:
+    if land and open_:  # what the landing adds or takes away, ``repair`` makes good
         want = sum(prob[k] * size[k] for k in open_)
         count = sum(prob[k] for k in open_)
         best = min(range(1 << len(open_)), key=lambda x: (
@@ -96,7 +100,7 @@ def flight(prob: list[float], size: list[float], rng: np.random.Generator, land:
 
 def _fly(land: bool):
     def run(key, group: pd.DataFrame) -> pd.DataFrame:
-        # large documents first: what stays undecided at the end is small
+        # large documents first, among their like; what stays undecided goes on to the next level
         group = group.sort_values(["size", "h", "unit"], ascending=[False, True, True],
                                   kind="stable", na_position="last")
         seed = abs(int(group["h"].min())) ^ len(group)
@@ -106,6 +110,32 @@ def _fly(land: bool):
     return run
 
 
+def repair(excess: float, size: list[float], taken: list[bool]) -> list[int]:
+    """Which documents to turn over (take or leave) so that ``excess`` words too many (or, below 0,
+    too few) come near 0: each time the one that brings it nearest, until none does. ``size`` is
+    ascending; a document turns over once."""
+    free = {side: [i for i, t in enumerate(taken) if t == side and size[i] > 0] for side in (True, False)}
+    turned = []
+    while True:
+        side = free[excess > 0]  # taken ones go if it is too much
+        k = bisect_left(side, abs(excess), key=lambda i: size[i])
+        near = [j for j in (k - 1, k) if 0 <= j < len(side)]
+        best = min(near, key=lambda j: abs(abs(excess) - size[side[j]]), default=None)
+        if best is None or abs(abs(excess) - size[side[best]]) >= abs(excess):
+            return turned
+        i = side.pop(best)
+        excess -= size[i] if excess > 0 else -size[i]
+        turned.append(i)
+
+
+def _repair(key, group: pd.DataFrame) -> pd.DataFrame:
+    group = group.sort_values(["size", "h", "unit"], kind="stable", na_position="last")
+    excess = float(group["got"].iloc[0]) - float(group["want"].iloc[0])
+    turned = repair(excess, group["size"].astype(float).tolist(), group["hit"].astype(bool).tolist())
+    out = group.iloc[turned]
+    return out.assign(hit=~out["hit"].astype(bool))[["source", "unit", "hit"]]
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", weights: Sequence[float] = WEIGHTS,
                 share: float = SHARE, most: float = MOST, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -135,9 +165,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     plan = plan.withColumnRenamed("source", "s3")  # as many rows as there are sources
     units = (rows.groupBy("source", "unit").agg(F.sum("size").alias("size"))
              .withColumn("h", F.xxhash64(F.col("unit").cast("string"), "source"))
-             .join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("s3")))
-             .select("source", "unit", "size", F.col("f").alias("prob"), "h",
+             .join(plan, F.col("source").eqNullSafe(F.col("s3")))
+             .select("source", "unit", "size", "source_size", F.col("f").alias("prob"), "h",
                      F.pmod(F.xxhash64("h", F.lit(3)), "blocks").alias("block")))
+    units = scratch.keep(units, "units")
     level = units
     decided = []
     most_blocks = max([-(-r["n"] // block_rows) for r in known], default=1)
@@ -155,11 +186,25 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     chosen = decided[0]
     for d in decided[1:]:
         chosen = chosen.unionByName(d)
-    chosen = scratch.keep(chosen.where("prob = 1").select("source", "unit"), "chosen")
-    c = chosen.select(F.col("source").alias("s2"), F.col("unit").alias("u2"), F.lit(1).alias("hit"))
+    chosen = scratch.keep(chosen.where("prob = 1").select("source", "unit", "size"), "chosen")
+    hits = chosen.select(F.col("source").alias("s2"), F.col("unit").alias("u2"), F.lit(True).alias("_hit"))
+    # the landing may have rounded a large document: small ones of the source's first block, at most
+    # ``block_rows`` or so, make good what it added or took away
+    got = chosen.groupBy("source").agg(F.sum("size").alias("got")).withColumnRenamed("source", "s4")
+    pool = units.where("block = 0 and prob > 0 and prob < 1").join(
+        hits, F.col("source").eqNullSafe(hits["s2"]) & F.col("unit").eqNullSafe(hits["u2"]), "left").join(
+        got, F.col("source").eqNullSafe(F.col("s4")), "left").select(
+        "source", "unit", "size", "h", F.coalesce("_hit", F.lit(False)).alias("hit"),
+        F.coalesce("got", F.lit(0)).cast("double").alias("got"), (F.col("prob") * F.col("source_size")).alias("want"))
+    unit_type = rows.schema["unit"].dataType.simpleString()
+    turned = scratch.keep(pool.groupBy("source").applyInPandas(_repair, f"source string, unit {unit_type}, hit boolean"), "turned")
+    t = turned.select(F.col("source").alias("s5"), F.col("unit").alias("u5"), "hit")
+    c = hits.join(t, F.col("s2").eqNullSafe(t["s5"]) & F.col("u2").eqNullSafe(t["u5"]), "left").where(
+        "coalesce(hit, true)").select("s2", "u2", F.lit(1).alias("hit")).unionByName(
+        t.where("hit").select(F.col("s5").alias("s2"), F.col("u5").alias("u2"), F.lit(1).alias("hit")))
     out = rows.join(c, rows["source"].eqNullSafe(c["s2"]) & rows["unit"].eqNullSafe(c["u2"]), "left")
     out = out.drop("s2", "u2").join(
-        F.broadcast(plan), F.col("source").eqNullSafe(F.col("s3"))).select(
+        plan, F.col("source").eqNullSafe(F.col("s3"))).select(
         F.col("unit").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
         (F.col("base") + F.coalesce("hit", F.lit(0))).cast("long").alias("copies"))
     out = scratch.keep(out.withColumn("taken", F.col("copies") * F.col("size")), "mix")

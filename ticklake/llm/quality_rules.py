@@ -2,27 +2,35 @@
 
 The words and word pairs of a text are hashed into buckets. Two multinomials over the
 buckets are counted, one over all documents and one over trusted ones; a text's score is
-the mean of log(trusted / raw) over its n-grams, and a text is kept when the score reaches
-a fixed threshold. Everything is DataFrame functions; a text's own statistics are array
-functions on its row, and only bucket counts are shuffled.
+the mean of log(trusted / raw) over its n-grams. The number of buckets grows with the text;
+one half of the trusted documents teaches the counts, and the other half's scores set the
+threshold: the value that all but a small share of them reach. Neither drifts with the size
+of the corpus. Everything is DataFrame functions; a text's own statistics are array functions
+on its row, and only bucket counts are shuffled.
 """
 
 from __future__ import annotations
 
 import math
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import bucket_sample, let, words
+from ticklake.llm.common import let, words
 
-BUCKETS = 1 << 13
-#: Trusted documents, at most: one of each hash bucket.
-TRUSTED_ROWS = 20_000
-#: Mean log-likelihood ratio that a kept document reaches, and how much the mean of a text
-#: of one word may stray by chance (less with the root of the number of words).
-THRESHOLD = -0.025
+#: Bits of the number of buckets, at least and at most (the table of weights goes to every
+#: task: 8 MB at most), and bytes of text for each bucket in between.
+BITS = (13, 20)
+BYTES_PER_BUCKET = 64
+#: Share of the held-out trusted documents that may fall under the threshold, and how much the
+#: mean of a text of one word may stray by chance (less with the root of the number of words).
+LOST = 0.005
 STRAY = 0.2
+#: Steps of the threshold; ids of trusted documents up to which they are broadcast (a checked size).
+STEP = 0.001
+BROADCAST_IDS = 2_000_000
 #: Words of a window, fixed by the rule on repetition.
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -66,7 +74,7 @@ def base_columns(text: Column) -> dict[str, Column]:
     }
 
 
-def grams(text: Column, buckets: int = BUCKETS) -> Column:
+def grams(text: Column, buckets: int) -> Column:
     """Buckets of the words and word pairs of a text."""
     def of(h: Column) -> Column:
         rest = F.greatest(F.size(h) - 1, F.lit(0))
@@ -76,21 +84,33 @@ def grams(text: Column, buckets: int = BUCKETS) -> Column:
     return let(F.transform(words(text), lambda x: F.xxhash64(x)), of)
 
 
+def bucket_count(docs: DataFrame, text_col: str = "text") -> int:
+    """A power of two in proportion to the bytes of text."""
+    total = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
+    return 1 << min(max((total // BYTES_PER_BUCKET).bit_length(), BITS[0]), BITS[1])
+
+
+def _with_trusted(docs: DataFrame, trusted_ids: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
+    """(_t, _trusted) of ``docs``; ids of trusted documents are broadcast up to a checked number and
+    meet the documents in a shuffle join beyond it."""
+    ids = trusted_ids.select(F.col(id_col).alias("_trusted")).where("_trusted is not null").distinct()
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge")
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(
+        ids, F.col("_id") == F.col("_trusted"), how).drop("_id")
+
+
 def fit_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id",
-                text_col: str = "text", buckets: int = BUCKETS,
-                trusted_rows: int = TRUSTED_ROWS) -> list[float]:
+                text_col: str = "text", buckets: int | None = None) -> list[float]:
     """log(trusted / raw) of each bucket, both smoothed by one count.
 
-    The raw counts cover all documents. ``trusted_ids`` has a column ``id_col``; of it a
-    hash sample of at most ``trusted_rows`` ids teaches the trusted counts. Without trusted
-    documents all weights are 0 (nothing is rejected).
+    The raw counts cover all documents, the trusted counts all documents whose id is in the
+    column ``id_col`` of ``trusted_ids``. Without trusted documents all weights are 0 (nothing
+    is rejected).
     """
-    # at most trusted_rows ids: a proven bound
-    chosen = bucket_sample(trusted_ids.select(id_col), id_col, [], trusted_rows)
-    chosen = chosen.select(F.col(id_col).alias("_trusted"))
-    flagged = docs.select(F.col(id_col), F.col(text_col).alias("_t")).join(
-        F.broadcast(chosen), F.col(id_col) == F.col("_trusted"), "left").select(
+    buckets = buckets or bucket_count(docs, text_col)
+    flagged = _with_trusted(docs, trusted_ids, id_col, text_col, "left").select(
         F.col("_trusted").isNotNull().cast("long").alias("good"), grams(F.col("_t"), buckets).alias("g"))
+    # at most ``buckets`` rows
     counted = (flagged.select("good", F.explode("g").alias("bucket"))
                .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("good")).collect())
     raw, good = [1] * buckets, [1] * buckets
@@ -103,6 +123,39 @@ def fit_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id",
     return [math.log(g / r) + shift for g, r in zip(good, raw, strict=True)]
 
 
+@dataclass(frozen=True)
+class Rules:
+    """Weights of the buckets and the threshold of a text's mean weight."""
+
+    weights: list[float]
+    threshold: float
+
+
+def _adjusted(llr: Column, n_words: Column, stray: float) -> Column:
+    """The ratio in steps, with what a short text's mean may stray by chance."""
+    return F.floor(F.round((llr + stray / F.sqrt(n_words)) / STEP, 6)).cast("long")
+
+
+def fit(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        buckets: int | None = None, lost: float = LOST, stray: float = STRAY) -> Rules:
+    """Weights from one half of the trusted documents (by a hash of the id), the threshold from the
+    other half, of which at most a share ``lost`` is under it. Without that half nothing is
+    rejected."""
+    half = F.pmod(F.xxhash64(F.col(id_col), F.lit(41)), F.lit(2))
+    weights = fit_weights(docs, trusted_ids.where(half == 0), id_col, text_col, buckets)
+    judged = _with_trusted(docs, trusted_ids.where(half == 1), id_col, text_col, "inner").select(
+        score_column(F.col("_t"), weights).alias("llr"), F.size(words(F.col("_t"))).alias("n")).where("n > 0")
+    # one row per step of the score: some thousands
+    steps = judged.groupBy(_adjusted(F.col("llr"), F.col("n"), stray).alias("step")).count().orderBy("step").collect()
+    spare, threshold = math.floor(lost * sum(r["count"] for r in steps)), -math.inf
+    for r in steps:
+        if spare < r["count"]:
+            threshold = r["step"] * STEP
+            break
+        spare -= r["count"]
+    return Rules(weights, threshold)
+
+
 def score_column(text: Column, weights: list[float]) -> Column:
     """Mean weight of a text's n-grams; null without words."""
     # a foldable list: the optimizer makes one constant array of it
@@ -111,19 +164,20 @@ def score_column(text: Column, weights: list[float]) -> Column:
         g, F.lit(0.0), lambda a, b: a + table[b]) / F.size(g)))
 
 
-def judge(docs: DataFrame, weights: list[float], text_col: str = "text",
-          threshold: float = THRESHOLD, stray: float = STRAY, min_words: int = 10,
+def judge(docs: DataFrame, rules: Rules, text_col: str = "text", stray: float = STRAY, min_words: int = 10,
           most_repeat: int = 20) -> DataFrame:
     """``docs`` with the base columns, ``base_failed``, ``llr`` and ``kept``.
 
     ``base_failed``: fewer than ``min_words`` words, or over ``most_repeat`` percent of the
     words in repeated windows. ``kept``: not base_failed and
-    ``llr >= threshold - stray / sqrt(n_words)``. Null, empty and blank texts have no words, so they fail. Repeated rows get equal results. A
-    column of ``docs`` that is named like a result is replaced; others pass through.
+    ``llr + stray / sqrt(n_words) >= threshold``. Null, empty and blank texts have no words, so
+    they fail. Repeated rows get equal results. A column of ``docs`` that is named like a result
+    is replaced; others pass through.
     """
     text = F.col(text_col)
-    out = docs.withColumns({**base_columns(text), "llr": score_column(text, weights)})
+    out = docs.withColumns({**base_columns(text), "llr": score_column(text, rules.weights)})
     out = out.withColumn("base_failed", (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > most_repeat * F.col("n_words")))
+    least = round(rules.threshold / STEP) if rules.threshold > -math.inf else -(1 << 62)
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(
-        F.round("llr", 9) >= threshold - stray / F.sqrt("n_words"), F.lit(False)))
+        _adjusted(F.col("llr"), F.col("n_words"), stray) >= least, F.lit(False)))

@@ -67,8 +67,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    weights = quality_rules.fit_weights(docs, trusted)
-    return quality_rules.judge(docs.select("doc_id", "text"), weights).select(
+    rules = quality_rules.fit(docs, trusted)
+    return quality_rules.judge(docs.select("doc_id", "text"), rules).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "llr")
 
