@@ -26,9 +26,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the likelihood ratio keep."""
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    weights = quality_rules.fit_weights(docs, trusted)
+    rules = quality_rules.fit(docs, trusted)
     own = docs.select("*", F.struct(*docs.columns).alias("_row"))
-    return quality_rules.judge(own, weights).where("kept").select("_row.*")
+    return quality_rules.judge(own, rules).where("kept").select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
