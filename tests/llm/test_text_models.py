@@ -150,7 +150,7 @@ def test_likelihood_ratio_matches_counts(spark):
     trusted = spark.createDataFrame([(1,), (99,), (None,)], "doc_id long")
     n = 64
     weights = quality_rules.fit_weights(docs, trusted, buckets=n)
-    grams = {r["doc_id"]: r["g"] for r in docs.select("doc_id", quality_rules.grams(F.col("text"), n).alias("g")).collect()}
+    grams = {r["doc_id"]: r["g"] for r in docs.select("doc_id", quality_rules.grams(quality_rules.word_hashes(F.col("text")), n).alias("g")).collect()}
     raw, good = Counter(b for g in grams.values() for b in g), Counter(grams[1])
     total_raw, total_good = sum(raw.values()) + n, sum(good.values()) + n
     want = [math.log((good[b] + 1) / total_good) - math.log((raw[b] + 1) / total_raw) for b in range(n)]

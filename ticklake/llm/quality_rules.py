@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from ticklake.llm.common import let, words
 
-#: Bits of the number of buckets, at least and at most (the table of weights goes to every
-#: task: 8 MB at most), and bytes of text for each bucket in between.
-BITS = (13, 20)
+#: Bits of the number of buckets, at least and at most (the table of weights goes through the driver to every
+#: task: half a MB at most), and bytes of text for each bucket in between.
+BITS = (13, 16)
 BYTES_PER_BUCKET = 64
 #: Share of the held-out trusted documents that may fall under the threshold, and how much the
 #: mean of a text of one word may stray by chance (less with the root of the number of words).
@@ -36,12 +36,17 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 
 
-def _repeat_words(w: Column) -> Column:
-    """Words that lie in a five-word window found twice or more, first ones included."""
-    n = F.size(w)
-    hashes = let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: F.transform(
-        F.sequence(F.lit(0), n - WINDOW),
-        lambda i: F.xxhash64(h[i], h[i + 1], h[i + 2], h[i + 3], h[i + 4])))
+def word_hashes(text: Column) -> Column:
+    """The hashes of a text's words in order."""
+    return F.transform(words(text), lambda x: F.xxhash64(x))
+
+
+def _repeat_words(h: Column) -> Column:
+    """Words (given by their hashes) that lie in a five-word window found twice or more, first ones
+    included."""
+    n = F.size(h)
+    hashes = F.transform(F.sequence(F.lit(0), n - WINDOW),
+                         lambda i: F.xxhash64(h[i], h[i + 1], h[i + 2], h[i + 3], h[i + 4]))
 
     def covered(h: Column) -> Column:
         # equal windows stand together once sorted; their positions in order then cover
@@ -60,28 +65,28 @@ def _repeat_words(w: Column) -> Column:
     return F.when(n < WINDOW + 1, F.lit(0)).otherwise(counted).cast("long")
 
 
-def base_columns(text: Column) -> dict[str, Column]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text (null: none)."""
+def base_columns(text: Column, hashes: Column) -> dict[str, Column]:
+    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text (null: none) whose
+    words have ``hashes``."""
     text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike("[^ \\t-\\r]"))
-    w = words(text)
     return {
-        "n_words": F.size(w).cast("long"),
+        "n_words": F.size(hashes).cast("long"),
         "word_chars": F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long"),
         "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": let(w, _repeat_words),
+        "n_repeat_words": let(hashes, _repeat_words),
     }
 
 
-def grams(text: Column, buckets: int) -> Column:
-    """Buckets of the words and word pairs of a text."""
+def grams(hashes: Column, buckets: int) -> Column:
+    """Buckets of the words and word pairs of a text whose words have ``hashes``."""
     def of(h: Column) -> Column:
         rest = F.greatest(F.size(h) - 1, F.lit(0))
         pairs = F.zip_with(F.slice(h, F.lit(1), rest), F.slice(h, F.lit(2), rest),
                            lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"))
         return F.concat(F.transform(h, lambda x: F.pmod(x, F.lit(buckets)).cast("int")), pairs)
-    return let(F.transform(words(text), lambda x: F.xxhash64(x)), of)
+    return let(hashes, of)
 
 
 def bucket_count(docs: DataFrame, text_col: str = "text") -> int:
@@ -109,7 +114,7 @@ def fit_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id",
     """
     buckets = buckets or bucket_count(docs, text_col)
     flagged = _with_trusted(docs, trusted_ids, id_col, text_col, "left").select(
-        F.col("_trusted").isNotNull().cast("long").alias("good"), grams(F.col("_t"), buckets).alias("g"))
+        F.col("_trusted").isNotNull().cast("long").alias("good"), grams(word_hashes(F.col("_t")), buckets).alias("g"))
     # at most ``buckets`` rows
     counted = (flagged.select("good", F.explode("g").alias("bucket"))
                .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("good")).collect())
@@ -144,7 +149,8 @@ def fit(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_co
     half = F.pmod(F.xxhash64(F.col(id_col), F.lit(41)), F.lit(2))
     weights = fit_weights(docs, trusted_ids.where(half == 0), id_col, text_col, buckets)
     judged = _with_trusted(docs, trusted_ids.where(half == 1), id_col, text_col, "inner").select(
-        score_column(F.col("_t"), weights).alias("llr"), F.size(words(F.col("_t"))).alias("n")).where("n > 0")
+        word_hashes(F.col("_t")).alias("h")).select(
+        score_column(F.col("h"), weights).alias("llr"), F.size("h").alias("n")).where("n > 0")
     # one row per step of the score: some thousands
     steps = judged.groupBy(_adjusted(F.col("llr"), F.col("n"), stray).alias("step")).count().orderBy("step").collect()
     spare, threshold = math.floor(lost * sum(r["count"] for r in steps)), -math.inf
@@ -156,11 +162,11 @@ def fit(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_co
     return Rules(weights, threshold)
 
 
-def score_column(text: Column, weights: list[float]) -> Column:
-    """Mean weight of a text's n-grams; null without words."""
+def score_column(hashes: Column, weights: list[float]) -> Column:
+    """Mean weight of the n-grams of a text whose words have ``hashes``; null without words."""
     # a foldable list: the optimizer makes one constant array of it
     table = F.split(F.lit(",".join(f"{w:.5f}" for w in weights)), ",").cast("array<double>")
-    return let(grams(text, len(weights)), lambda g: F.when(F.size(g) > 0, F.aggregate(
+    return let(grams(hashes, len(weights)), lambda g: F.when(F.size(g) > 0, F.aggregate(
         g, F.lit(0.0), lambda a, b: a + table[b]) / F.size(g)))
 
 
@@ -175,7 +181,10 @@ def judge(docs: DataFrame, rules: Rules, text_col: str = "text", stray: float =
     is replaced; others pass through.
     """
     text = F.col(text_col)
-    out = docs.withColumns({**base_columns(text), "llr": score_column(text, rules.weights)})
+    # split and hashed once: a column that several others use stays a projection of its own
+    h = F.col("_word_hashes")
+    out = docs.withColumn("_word_hashes", word_hashes(text))
+    out = out.withColumns({**base_columns(text, h), "llr": score_column(h, rules.weights)}).drop("_word_hashes")
     out = out.withColumn("base_failed", (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > most_repeat * F.col("n_words")))
     least = round(rules.threshold / STEP) if rules.threshold > -math.inf else -(1 << 62)
