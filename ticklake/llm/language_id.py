@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ticklake.llm.common import bucket_sample
+from ticklake.llm.common import bucket_sample, byte_slices, utf8
 
 BLOCK = 256
-#: Characters laid out at once in a worker.
-LAYOUT_CHARS = 1 << 21
+#: Characters laid out, and bytes of text taken from a batch, at once in a worker.
+LAYOUT_CHARS = 1 << 19
+SLICE = 1 << 20
 UND = "und"
 
 
@@ -228,10 +229,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def run(batches):
         model = shared.value
         for batch in batches:
-            lang, score = classify(model, batch.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"])
+            for i, j in byte_slices(utf8(batch.column(at))[1], SLICE):
+                part = batch.slice(i, j - i)
+                lang, score = classify(model, part.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                    [*part.schema.names, "lang_pred", "score"])
 
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()),
                          StructField("score", DoubleType())])
