@@ -318,8 +318,9 @@ cash_dividends AS (
 ),
 stock_dividends AS (
   SELECT ticker, isin, stock_label AS label, factor, d AS approved_on, d + 10 AS last_date_prior,
-         TIMESTAMP '{SYNCED_AT}' AS synced_at
-  FROM ord WHERE o_orderpriority = '5-LOW'
+         TIMESTAMP '{SYNCED_AT}' AS synced_at,
+         o_orderpriority = '5-LOW' AS listed  -- in the supplement documents
+  FROM ord
 )"""
 
 # Share class kept: ticker digit 3 with ACNOR, digit 4 with ACNPR.
@@ -334,7 +335,7 @@ FROM cash_dividends WHERE coalesce({CLASS_MATCH}, false) AND {WATCHED}""")
 
 ORACLE["parse_stock_dividends"] = with_ctes(ORDERS_DIV, body=f"""
 SELECT DISTINCT ticker, isin, label, factor, approved_on, last_date_prior
-FROM stock_dividends WHERE coalesce({CLASS_MATCH}, false) AND {WATCHED}""")
+FROM stock_dividends WHERE listed AND coalesce({CLASS_MATCH}, false) AND {WATCHED}""")
 
 ORACLE["supplement_errors"] = """
 SELECT o_orderkey AS doc_id, 1 AS row_no,

@@ -149,8 +149,8 @@ def _factor() -> Column:
 
 
 def stock_dividends(spark: SparkSession, sf_dir: str, synced_at: str) -> DataFrame:
-    """Stored ``stock_dividends``: a split/grouping/bonus for every low-priority order."""
-    o = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "5-LOW")
+    """Stored ``stock_dividends``: a split/grouping/bonus for every order."""
+    o = table(spark, sf_dir, "orders")
     d = F.to_date(F.col("o_orderdate"))
     ticker = _dividend_ticker()
     return o.select(
