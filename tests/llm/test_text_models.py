@@ -186,7 +186,7 @@ def test_threshold_is_what_held_out_trusted_documents_reach(spark, monkeypatch):
     trusted = spark.read.parquet(f"{SF_CHECK}/labels.parquet").where("quality = 1").select("doc_id")
     lost = 0.1
     rules = quality_rules.fit(docs, trusted, lost=lost)
-    held = quality_rules.judge(docs, rules).join(trusted, "doc_id").where("pmod(xxhash64(doc_id, 41), 2) = 1 and n_words > 0")
+    held = quality_rules.judge(docs, rules).join(trusted, "doc_id").where("pmod(xxhash64(doc_id, 41), 4) = 1 and n_words > 0")
     z = sorted(round((r.llr + quality_rules.STRAY / math.sqrt(r.n_words)) / quality_rules.STEP, 6) for r in held.collect())
     under = sum(math.floor(x) < round(rules.threshold / quality_rules.STEP) for x in z)
     assert under <= lost * len(z) < under + sum(math.floor(x) == round(rules.threshold / quality_rules.STEP) for x in z)

@@ -3,7 +3,7 @@
 The words and word pairs of a text are hashed into buckets. Two multinomials over the
 buckets are counted, one over all documents and one over trusted ones; a text's score is
 the mean of log(trusted / raw) over its n-grams. The number of buckets grows with the text;
-one half of the trusted documents teaches the counts, and the other half's scores set the
+three quarters of the trusted documents teach the counts, and the others' scores set the
 threshold: the value that all but a small share of them reach. Neither drifts with the size
 of the corpus. Everything is DataFrame functions; a text's own statistics are array functions
 on its row, and only bucket counts are shuffled.
@@ -80,12 +80,14 @@ def base_columns(text: Column, hashes: Column) -> dict[str, Column]:
 
 
 def grams(hashes: Column, buckets: int) -> Column:
-    """Buckets of the words and word pairs of a text whose words have ``hashes``."""
+    """Buckets (a power of two) of the words and word pairs of a text whose words have ``hashes``."""
+    low = F.lit(buckets - 1).cast("long")
+
     def of(h: Column) -> Column:
         rest = F.greatest(F.size(h) - 1, F.lit(0))
         pairs = F.zip_with(F.slice(h, F.lit(1), rest), F.slice(h, F.lit(2), rest),
-                           lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"))
-        return F.concat(F.transform(h, lambda x: F.pmod(x, F.lit(buckets)).cast("int")), pairs)
+                           lambda a, b: F.xxhash64(a, b).bitwiseAND(low))
+        return F.concat(F.transform(h, lambda x: x.bitwiseAND(low)), pairs)
     return let(hashes, of)
 
 
@@ -143,12 +145,12 @@ def _adjusted(llr: Column, n_words: Column, stray: float) -> Column:
 
 def fit(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         buckets: int | None = None, lost: float = LOST, stray: float = STRAY) -> Rules:
-    """Weights from one half of the trusted documents (by a hash of the id), the threshold from the
-    other half, of which at most a share ``lost`` is under it. Without that half nothing is
-    rejected."""
-    half = F.pmod(F.xxhash64(F.col(id_col), F.lit(41)), F.lit(2))
-    weights = fit_weights(docs, trusted_ids.where(half == 0), id_col, text_col, buckets)
-    judged = _with_trusted(docs, trusted_ids.where(half == 1), id_col, text_col, "inner").select(
+    """Weights from three quarters of the trusted documents (by a hash of the id), the threshold from
+    the last quarter, of which at most a share ``lost`` is under it. Without that quarter nothing
+    is rejected."""
+    quarter = F.pmod(F.xxhash64(F.col(id_col), F.lit(41)), F.lit(4))
+    weights = fit_weights(docs, trusted_ids.where(quarter != 1), id_col, text_col, buckets)
+    judged = _with_trusted(docs, trusted_ids.where(quarter == 1), id_col, text_col, "inner").select(
         word_hashes(F.col("_t")).alias("h")).select(
         score_column(F.col("h"), weights).alias("llr"), F.size("h").alias("n")).where("n > 0")
     # one row per step of the score: some thousands
