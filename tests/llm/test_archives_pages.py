@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import math
 import random
@@ -75,6 +76,20 @@ def test_transactions_nest_request_and_metadata(spark):
             assert r["payload_digest"] == r["true_digest"] == sha32(html[r["capture_key"]])
 
 
+def test_archives_hold_a_bounded_number_of_records(spark):
+    pages = spark.range(100).select(
+        F.col("id").alias("capture_key"), F.col("id").alias("order_key"), F.when(F.col("id") > 3, "http://h/").alias("url"),
+        F.when(F.col("id") == 5, F.repeat(F.lit("\r\n\r\nWARC/1.1 é"), 400_000)).otherwise("one payload").alias("html"))
+    path = scratch_path(spark, "warc-bounded")
+    warc.write_archives(pages.coalesce(1), path, Scratch(spark), records_per_file=30)
+    files = spark.read.format("binaryFile").load(path).select("content").collect()
+    held = [sum(1 for _ in warc.records(gzip.decompress(bytes(f["content"])))) for f in files]
+    assert sum(held) == 300 and max(held) <= 30
+    whole = warc.assemble(warc.read_records(spark, path))
+    assert whole.count() == 100 and whole.where("metadata is null or request is null").count() == 0
+    assert whole.where("capture_key = 5 and payload_bytes = 15 * 400000").count() == 1
+
+
 def test_a_damaged_archive_is_an_error():
     good = b"WARC/1.1\r\nWARC-Type: request\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
     assert [bytes(b) for _, b in warc.records(good * 2)] == [b"ab", b"ab"]

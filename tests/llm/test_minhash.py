@@ -120,3 +120,19 @@ def test_signature_agreement_estimates_similarity():
     sig = minhash.signatures(x, n)
     assert abs((sig[0] == sig[1]).mean() - 299 / 499) < 0.15
     assert np.array_equal(minhash.band_keys(sig)[0], minhash.band_keys(sig[:1])[0])
+
+
+def test_bands_follow_the_similarity_asked_for(spark):
+    assert minhash.banding(80) == (25, 5) and minhash.banding(50) == (62, 2) and minhash.banding(100) == (1, 125)
+    with pytest.raises(ValueError):
+        minhash.banding(5)
+    rng = random.Random(8)
+    docs = []
+    for k in range(150):  # pairs of similarity about a half
+        w = [f"{k}-{rng.random()}" for _ in range(90)]
+        docs += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w[:61] + [f"{k}+{i}" for i in range(29)]))]
+    want = brute(docs, 1, 50)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, shingle=1, percent=50).collect()}
+    assert len(set(got.values())) == 150 == sum(2 * k == got[2 * k + 1] for k in range(150))
+    assert {k: v for (k, _), v in want.items()} == got

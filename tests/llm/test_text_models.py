@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import sys
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -13,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_CHECK
-from ticklake.llm import language_id, quality_classifier, quality_rules
+from ticklake.llm import common, language_id, quality_classifier, quality_rules
 from ticklake.llm.common import bucket_sample, remainder, utf8, word_hashes
 
 SCHEMA = "doc_id long, text string, lang string, source string, score double, kept string"
@@ -79,6 +81,43 @@ def test_pieces_of_a_long_text_add_up(monkeypatch):
     assert np.allclose(got[1], want[1], atol=0.02)
 
 
+def test_every_alphabet_is_whole_and_large_ones_take_two_symbols(spark):
+    rng = random.Random(5)
+    han = [chr(0x4E00 + k) for k in range(3000)]
+    words = [[rng.choice(han) for _ in range(rng.randint(1, 3))] for _ in range(4000)]
+    taught = {"zh": ["".join("".join(w) for w in words)], "en": ["the word is here and there " * 50]}
+    model = language_id.fit(taught, 32_000)
+    zh = model.languages.index("zh")
+    assert len(model.alphabets[zh].steps) == 2 and model.alphabets[zh].width < 130
+    assert len(model.taught[zh]) == 2 * (len(taught["zh"][0]) + 1)  # nothing of the sample is dropped
+    assert (model.taught[zh] != 2).all()
+    text = "".join("".join(w) for w in words[900:960])
+    assert language_id.classify(model, [text, "the word and here"])[0] == ["zh", "en"]
+    part = model.part(0, 2)
+    assert sum(t.nbytes for t in part.tables) <= sum(
+        8 * (len(t) + 1) * a.width + 8 * a.width for t, a in zip(model.taught, model.alphabets, strict=True))
+
+
+def test_a_hundred_languages_in_groups(spark):
+    rng = random.Random(9)
+    by = {}
+    for k in range(100):
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyz", 8)
+        vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(60)]
+        by[f"l{k:02d}"] = [" ".join(rng.choice(vocabulary) for _ in range(200))]
+    model = language_id.fit(by, 2000)
+    most = 1 << 20
+    groups = model.groups(most)
+    assert len(groups) > 3 and [k for a, b in groups for k in range(a, b)] == list(range(100))
+    assert all(sum(t.nbytes for t in model.part(*g).tables) <= 1.1 * most for g in groups)
+    docs = [(k, " ".join(by[f"l{k:02d}"][0].split()[20:60]), "clash") for k in range(100)]
+    df = spark.createDataFrame([*docs, (100, None, "x"), (101, "12 !", None)], "doc_id long, text string, _lang string")
+    whole = {r["doc_id"]: r for r in language_id.predict(df, model).collect()}
+    split = {r["doc_id"]: r for r in language_id.predict(df, model, group_bytes=most).collect()}
+    assert whole == split and [r["lang_pred"] for k, r in sorted(split.items())][-2:] == ["und", "und"]
+    assert sum(split[k]["lang_pred"] == f"l{k:02d}" for k in range(100)) >= 99
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
     model = language_id.learn(docs.where(remainder(F.col("doc_id")) != 1))
@@ -219,6 +258,31 @@ def test_classifier_features_and_scores(spark):
     assert quality_classifier.predict(spark.createDataFrame([], SCHEMA), model).count() == 0
 
 
+def test_features_of_long_texts_in_pieces(monkeypatch):
+    rng = random.Random(2)
+    words = ["alpha", "Beta#", "x", "#", "gamma!", "d" * 90, "ünï", "beta"]
+    for sep in (" ", "\n", "  \n\n"):
+        text = sep.join(rng.choice(words) for _ in range(900))
+        for t in (text, text + "\n", " " + text, "y" * 700, "\n" * 700, text + " " * 300 + "z" * 500):
+            data, offsets = utf8(pa.array([t], pa.string()))
+            want = quality_classifier.features(data, offsets)
+            for piece in (64, 97):
+                monkeypatch.setattr(quality_classifier, "PIECE", piece)
+                monkeypatch.setattr(common, "PIECE", piece)
+                assert np.array_equal(quality_classifier.features(data, offsets), want), (sep, piece, t[:20])
+                monkeypatch.undo()
+
+
+def test_features_of_fifty_megabytes_are_bounded():
+    line = np.frombuffer(b"some words of a very long text that goes on and on, line by line #1\n", np.uint8)
+    data = np.tile(line, 50_000_000 // len(line))
+    tracemalloc.start()
+    x = quality_classifier.features(data, np.array([0, len(data)]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.isfinite(x).all() and most < 600 << 20
+
+
 def test_classifier_without_labels_is_undecided(spark):
     none = spark.createDataFrame([(1, None)], "doc_id long, quality int")
     model = quality_classifier.learn(odd_docs(spark), none)

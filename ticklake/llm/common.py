@@ -184,6 +184,39 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
                + (ends - starts).astype(np.uint64))
 
 
+def piece_hashes(data: np.ndarray, cut: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]],
+                 ended_by_break: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Hashes (those of ``span_hashes``), sizes and last bytes of the spans of one long text,
+    PIECE bytes at a time. ``cut`` gives the spans of a piece; a span at a piece's end goes on
+    in the next one, unless (``ended_by_break``) its last byte is a line break or (else) the
+    next piece begins with white space."""
+    held, length, byte = 0, 0, 0  # the span that is open
+    for at in range(0, len(data), PIECE):
+        d = data[at:at + PIECE]
+        starts, ends = cut(d)
+        power, inverse = _powers(len(d))
+        total = np.zeros(len(d) + 1, np.uint64)
+        np.cumsum((d.astype(np.uint64) + np.uint64(1)) * power[:len(d)], out=total[1:])
+        raw = (total[ends] - total[starts]) * inverse[starts]
+        size, last = (ends - starts).astype(np.int64), d[ends - 1]
+        if length:
+            if len(starts) and starts[0] == 0:
+                step = pow(int(_BASE), length, 1 << 64) * int(raw[0])
+                raw[0] = np.uint64((held + step) & ((1 << 64) - 1))
+                size[0] += length
+            else:
+                raw = np.concatenate([[np.uint64(held)], raw])
+                size, last = np.concatenate([[length], size]), np.concatenate([[np.uint8(byte)], last])
+            length = 0
+        if len(ends) and ends[-1] == len(d) and not (ended_by_break and d[-1] == 10):
+            held, length, byte = int(raw[-1]), int(size[-1]), int(last[-1])
+            raw, size, last = raw[:-1], size[:-1], last[:-1]
+        yield mix(raw + size.astype(np.uint64)), size, last
+    if length:
+        yield (mix(np.array([held], np.uint64) + np.uint64(length)), np.array([length]),
+               np.array([byte], np.uint8))
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True
                 ) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the rows in order, and the number of words of each row."""

@@ -1,8 +1,8 @@
 """MinHash near-duplicate detection.
 
-Signatures of BANDS * ROWS universal hash minima over the distinct word shingles of each
-whole text; documents with equal shingle sets are one class; classes meet in band buckets,
-pairs pass a check of their signatures and then an exact one of their full shingle sets,
+Signatures of MINIMA universal hash minima over the distinct word shingles of each whole
+text; documents with equal shingle sets are one class; classes meet in band buckets, whose
+rows follow from the similarity asked for; pairs pass a check of their signatures and then an exact one of their full shingle sets,
 and links become components by large-star and small-star.
 
 Within a bucket no pairs are listed. A member is first checked against one class, the
@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from ticklake.llm.common import Scratch, byte_slices, mix, utf8, word_hashes
 from ticklake.llm.components import components
 
-BANDS, ROWS = 25, 5
+MINIMA = 125
+#: Greatest probability that a pair at the least similarity meets in no bucket.
+MISS = 1e-4
 #: Agreeing minima (a share) below which two signatures cannot belong to a link: 4.5
 #: standard deviations under the threshold.
 SLACK = 4.5
@@ -31,8 +33,8 @@ BLOCK_SHINGLES = 1 << 16
 QUERY_SHINGLES = 1 << 18
 
 _rng = np.random.default_rng(20240229)
-_A = _rng.integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2)
+_A = _rng.integers(1, 1 << 63, MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _rng.integers(0, 1 << 63, MINIMA, np.uint64) * np.uint64(2)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int
@@ -69,7 +71,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int
 
 
 def signatures(x: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """uint32 minima (rows x BANDS*ROWS) of multiply-shift hashes; all ones for no shingle."""
+    """uint32 minima (rows x MINIMA) of multiply-shift hashes; all ones for no shingle."""
     out = np.full((len(counts), len(_A)), 0xFFFFFFFF, np.uint32)
     full = np.flatnonzero(counts)
     if len(full):
@@ -103,23 +105,32 @@ def _sign(size: int):
     return run
 
 
-_BAND_WEIGHTS = np.random.default_rng(5).integers(0, 1 << 63, (BANDS, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows a band: the most rows with which a pair of similarity ``percent`` / 100 is
+    missed with a probability of at most MISS (25 x 5 at 80, 62 x 2 at 50)."""
+    for rows in range(MINIMA, 0, -1):
+        if (1 - (percent / 100) ** rows) ** (MINIMA // rows) <= MISS:
+            return MINIMA // rows, rows
+    raise ValueError(f"{MINIMA} minima do not find pairs of {percent} percent")
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
+def band_keys(sig: np.ndarray, bands: int = 25, rows: int = 5) -> np.ndarray:
     """One 64-bit key per row and band."""
-    cut = (sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64) * _BAND_WEIGHTS).sum(2)
-    return mix(cut + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    weights = np.random.default_rng(5).integers(0, 1 << 63, (bands, rows), np.uint64) * np.uint64(2) + np.uint64(1)
+    cut = (sig[:, :bands * rows].reshape(len(sig), bands, rows).astype(np.uint64) * weights).sum(2)
+    return mix(cut + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _bands(batches):
-    for batch in batches:
-        if batch.num_rows:
-            raw, rows = _fixed(batch.column(1))
-            key = band_keys(raw.reshape(rows, -1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)),
-                 pa.array(key.ravel().view(np.int64))], ["id", "bucket"])
+def _bands(bands: int, rows: int):
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                raw, n = _fixed(batch.column(1))
+                key = band_keys(raw.reshape(n, -1), bands, rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), bands)),
+                     pa.array(key.ravel().view(np.int64))], ["id", "bucket"])
+    return run
 
 
 def _fixed(col: pa.Array) -> tuple[np.ndarray, int]:
@@ -197,11 +208,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. Two documents are
     linked when ``100 * intersection >= percent * union`` of their shingle sets; a
-    component's id is its smallest document id, and that document is kept.
+    component's id is its smallest document id, and that document is kept. ``percent`` under
+    about 8 is an error: the signatures are too short for it.
 
     Null or blank texts have no shingle, are linked with nothing and kept. A row with a
     null id has its shingles counted, is linked with nothing, has a null component and is
-    kept. Rows sharing an id are one node: links of any of their texts count. An empty
+    kept. Rows sharing an id are one node: links of any of their texts count,
+    and repeated rows of a kept id are all kept. An empty
     table gives an empty result. Other columns of ``docs`` are not read.
     """
     spark = docs.sparkSession
@@ -246,9 +259,9 @@ def _links(rows: DataFrame, node: DataFrame, scratch: Scratch, shingle: int, per
     """Verified links (u, v) between class representatives, enough to connect all of them."""
     spark = rows.sparkSession
     share = percent / 100
-    least = share - SLACK * (share * (1 - share) / (BANDS * ROWS)) ** 0.5
+    least = share - SLACK * (share * (1 - share) / MINIMA) ** 0.5
     buckets = scratch.keep(
-        node.select("id", "sig").mapInArrow(_bands, "id long, bucket long"), "buckets")
+        node.select("id", "sig").mapInArrow(_bands(*banding(percent)), "id long, bucket long"), "buckets")
     hubs = scratch.keep(
         buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("top"))
         .where("hub <> top").select("bucket", "hub"), "hubs")

@@ -3,9 +3,9 @@
 A capture is three records: the request, the response (or a revisit, when an equal payload
 is already the response of another capture) and metadata; request and metadata name the
 response in WARC-Concurrent-To. Archives are written by Spark's text writer, whose line
-separator is the blank lines that end a record, as gzip files, and read as binary files
-(plain or gzip) whose records are cut by their Content-Length, so a payload may hold
-anything.
+separator is the blank lines that end a record, as gzip files of at most RECORDS_PER_FILE
+records, and read as binary files (plain or gzip, unpacked as they are read) whose records
+are cut by their Content-Length, so a payload may hold anything.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
 
@@ -25,6 +26,8 @@ from ticklake.llm.common import Scratch, drop_path, scratch_path
 #: Fixed value: the archives' date, so that reruns write the same bytes.
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Records of one archive, at most: a reader holds one packed archive and one record.
+RECORDS_PER_FILE = 12_000
 RECORD = ("record_id string, type string, concurrent_to string, refers_to string, target_uri string, "
           "payload_digest string, payload binary, payload_bytes long, true_digest string, capture_key long")
 
@@ -77,12 +80,14 @@ def _compose(batches):
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
 
-def write_archives(captures: DataFrame, path: str, scratch: Scratch, min_bytes: int = 0) -> None:
+def write_archives(captures: DataFrame, path: str, scratch: Scratch, min_bytes: int = 0,
+                   records_per_file: int = RECORDS_PER_FILE) -> None:
     """Write (capture_key, order_key, url, html) as archives under ``path``.
 
     Of captures with equal payloads of at least ``min_bytes`` bytes the one with the least
     ``order_key`` (ties: ``capture_key``) is the response and the others revisit it. Keys
-    are unique.
+    are unique. A null url is an empty target. An archive holds at most ``records_per_file``
+    records.
     """
     rows = captures.withColumns({
         "html": F.coalesce("html", F.lit("")), "size": F.octet_length(F.coalesce("html", F.lit("")))})
@@ -94,37 +99,45 @@ def write_archives(captures: DataFrame, path: str, scratch: Scratch, min_bytes:
     told = rows.join(first, "sha", "left").withColumn("first_key", F.when(
         F.col("size") >= min_bytes, F.col("first_key")).otherwise(F.col("capture_key")))
     (told.select("capture_key", "first_key", "url", "html", "size", "sha")
-     .mapInArrow(_compose, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path))
-
-
-def records(content: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
-    """Header fields (lower-case names) and block of each record of an archive."""
-    view, at = memoryview(content), 0
-    while at < len(content):
-        if content[at:at + 5] != b"WARC/":
-            raise ValueError(f"no record at byte {at}")
-        end = content.index(b"\r\n\r\n", at)
-        head = content[at:end].decode("utf-8").split("\r\n")[1:]
-        fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head)}
+     .mapInArrow(_compose, "value string").write.option("maxRecordsPerFile", records_per_file)
+     .option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path))
+
+
+def records(content: bytes | io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields (lower-case names) and block of each record of an archive, given as
+    bytes or as a stream."""
+    stream = io.BytesIO(content) if isinstance(content, bytes) else content
+    while first := stream.readline():
+        if not first.startswith(b"WARC/"):
+            raise ValueError(f"no record begins with {first[:40]!r}")
+        fields = {}
+        while line := stream.readline().rstrip(b"\r\n"):
+            name, _, value = line.decode("utf-8").partition(":")
+            fields[name.strip().lower()] = value.strip()
+        if "content-length" not in fields:
+            raise ValueError("a record has no length")
         size = int(fields["content-length"])
-        yield fields, view[end + 4:end + 4 + size]
-        at = end + 4 + size
-        if content[at:at + 4] != b"\r\n\r\n":
-            raise ValueError(f"a record does not end at byte {at}")
-        at += 4
+        block = stream.read(size)
+        if len(block) < size or stream.read(4) != b"\r\n\r\n":
+            raise ValueError(f"a record of {size} bytes does not end there")
+        yield fields, block
+
+
+def _unpacked(content: bytes) -> io.BufferedIOBase:
+    raw = io.BytesIO(content)
+    return io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 18) if content[:2] == b"\x1f\x8b" else raw
 
 
 def _parse(with_payload: bool):
-    def row(fields: dict[str, str], block: memoryview) -> tuple:
+    def row(fields: dict[str, str], block: bytes) -> tuple:
         kind = fields["warc-type"]
         payload, key, digest, size = None, None, None, None
         if kind == "response":
-            raw = bytes(block)
-            body = raw[raw.index(b"\r\n\r\n") + 4:]
+            body = block[block.index(b"\r\n\r\n") + 4:]
             digest, size = base64.b32encode(hashlib.sha1(body).digest()).decode(), len(body)
             payload = body if with_payload else None
         elif kind == "metadata":
-            key = int(bytes(block).decode().partition("capture-key:")[2].strip())
+            key = int(block.decode().partition("capture-key:")[2].strip())
         return (fields["warc-record-id"], kind, fields.get("warc-concurrent-to"),
                 fields.get("warc-refers-to"), fields.get("warc-target-uri"),
                 fields.get("warc-payload-digest", "").removeprefix("sha1:") or None,
@@ -137,10 +150,7 @@ def _parse(with_payload: bool):
         for batch in batches:
             for content in batch.column(0):
                 held, size = [], 0
-                content = content.as_py()
-                if content[:2] == b"\x1f\x8b":
-                    content = gzip.decompress(content)
-                for fields, block in records(content):
+                for fields, block in records(_unpacked(content.as_py())):
                     held.append(row(fields, block))
                     size += len(block) if with_payload else 200
                     if size > 4_000_000:
