@@ -212,14 +212,15 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     scratch.close(keys)
     flat = read_records(spark, path, with_payload=False)
     got = scratch.keep(assemble(scratch.keep(flat, "records")).drop("payload", "request", "metadata"), "got")
-    own = got.join(keys, "capture_key")
+    # keys and sources grow with the pages: shuffle joins at every size, never broadcasts
+    own = got.join(keys.hint("merge"), "capture_key")
     # the responses that some revisit refers to
     cited = scratch.keep(got.where("refers_to is not null").select(F.col("refers_to").alias("record_id"))
                          .distinct(), "cited")
-    source = scratch.keep(own.join(cited, "record_id", "left_semi").select(
+    source = scratch.keep(own.join(cited.hint("merge"), "record_id", "left_semi").select(
         F.col("record_id").alias("refers_to"), F.col("id").alias("refers_id"),
         F.col("payload_bytes").alias("b"), F.col("true_digest").alias("d")), "source")
-    out = own.join(source, "refers_to", "left").select(
+    out = own.join(source.hint("merge"), "refers_to", "left").select(
         F.col("id").alias(id_col), F.coalesce("payload_bytes", "b").alias("payload_bytes"),
         F.coalesce("true_digest", "d").alias("payload_digest"), "record_type",
         F.when(F.col("record_type") == "revisit", F.col("refers_id")).alias("refers_to"))
