@@ -21,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import Scratch, drop_path, scratch_path
+from ticklake.llm.common import Scratch, byte_slices, drop_path, scratch_path, utf8
 
 #: Fixed value: the archives' date, so that reruns write the same bytes.
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Bytes of payloads that a worker composes at once.
+SLICE_BYTES = 1 << 20
 #: Records of one archive, at most: a reader holds one packed archive and one record.
 RECORDS_PER_FILE = 12_000
 RECORD = ("record_id string, type string, concurrent_to string, refers_to string, target_uri string, "
@@ -53,31 +55,36 @@ def _uri(url: str | None) -> str:
     return "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url or "")
 
 
+def _transaction(r: dict) -> Iterator[str]:
+    """The three records of a capture."""
+    first = r["first_key"] == r["capture_key"]
+    own = _urn("capture", r["capture_key"])
+    uri = [("WARC-Target-URI", _uri(r["url"]))]
+    sha = [("WARC-Payload-Digest", "sha1:" + digest32(r["sha"]))]
+    http = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+            f"Content-Length: {r['size']}\r\n\r\n")
+    kind = [("Content-Type", "application/http; msgtype=response")]
+    if first:
+        yield _record("response", own, uri + sha + kind, http + r["html"])
+    else:
+        yield _record("revisit", own, uri + sha + kind + [
+            ("WARC-Profile", PROFILE),
+            ("WARC-Refers-To", _urn("capture", r["first_key"]))], http)
+    host, _, path = _uri(r["url"]).partition("://")[2].partition("/")
+    yield _record("request", _urn("request", r["capture_key"]), uri + [
+        ("WARC-Concurrent-To", own), ("Content-Type", "application/http; msgtype=request")],
+        f"GET /{path} HTTP/1.1\r\nHost: {host}\r\n\r\n")
+    yield _record("metadata", _urn("metadata", r["capture_key"]), uri + [
+        ("WARC-Concurrent-To", own), ("Content-Type", "application/warc-fields")],
+        f"capture-key: {r['capture_key']}\r\n")
+
+
 def _compose(batches):
     for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            first = r["first_key"] == r["capture_key"]
-            own = _urn("capture", r["capture_key"])
-            uri = [("WARC-Target-URI", _uri(r["url"]))]
-            sha = [("WARC-Payload-Digest", "sha1:" + digest32(r["sha"]))]
-            http = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-                    f"Content-Length: {r['size']}\r\n\r\n")
-            kind = [("Content-Type", "application/http; msgtype=response")]
-            if first:
-                out.append(_record("response", own, uri + sha + kind, http + r["html"]))
-            else:
-                out.append(_record("revisit", own, uri + sha + kind + [
-                    ("WARC-Profile", PROFILE),
-                    ("WARC-Refers-To", _urn("capture", r["first_key"]))], http))
-            host, _, path = _uri(r["url"]).partition("://")[2].partition("/")
-            out.append(_record("request", _urn("request", r["capture_key"]), uri + [
-                ("WARC-Concurrent-To", own), ("Content-Type", "application/http; msgtype=request")],
-                f"GET /{path} HTTP/1.1\r\nHost: {host}\r\n\r\n"))
-            out.append(_record("metadata", _urn("metadata", r["capture_key"]), uri + [
-                ("WARC-Concurrent-To", own), ("Content-Type", "application/warc-fields")],
-                f"capture-key: {r['capture_key']}\r\n"))
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+        # a megabyte of payloads at a time: a batch is never held as Python strings whole
+        for i, j in byte_slices(utf8(batch.column("html"))[1], SLICE_BYTES):
+            out = [record for r in batch.slice(i, j - i).to_pylist() for record in _transaction(r)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
 
 def write_archives(captures: DataFrame, path: str, scratch: Scratch, min_bytes: int = 0,
@@ -98,6 +105,8 @@ def write_archives(captures: DataFrame, path: str, scratch: Scratch, min_bytes:
         .select("sha", F.col("f.capture_key").alias("first_key")), "first")
     told = rows.join(first, "sha", "left").withColumn("first_key", F.when(
         F.col("size") >= min_bytes, F.col("first_key")).otherwise(F.col("capture_key")))
+    # a revisit carries no payload to the worker
+    told = told.withColumn("html", F.when(F.col("first_key") == F.col("capture_key"), F.col("html")))
     (told.select("capture_key", "first_key", "url", "html", "size", "sha")
      .mapInArrow(_compose, "value string").write.option("maxRecordsPerFile", records_per_file)
      .option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path))
