@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 SLOW = {"stream_session_summary", "stream_last_price", "stream_cursor", "ingest_events",
-        "stream_event_counts", "rebuild_gold", "recover_event_counts", "rebuild_vanished_day"}
+        "stream_event_counts", "rebuild_gold", "recover_event_counts", "rebuild_vanished_day",
+        "backfill_ingest", "fetched_files"}
 
 
 @pytest.fixture(scope="module")

@@ -159,6 +159,28 @@ def test_a_trade_listed_again_by_another_sessions_file_is_published_once(spark):
     assert got == [(5, "2026-07-15"), (10, "2026-07-14"), (20, "2026-07-14")]
 
 
+def test_files_of_one_batch_may_split_a_sessions_ids(spark):
+    paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
+    _land(paths.landing, "NOVA4", "2026-07-14", "a", [L10, L30])
+    _land(paths.landing, "NOVA4", "2026-07-15", "b", [L20, L30])
+    ingest.process_batch(paths, read_archives(spark, paths.landing), 0)
+    assert sorted(r.trade_id for r in read_event_log(spark, paths.event_log).collect()) == [10, 20, 30]
+
+
+def test_backfill_publishes_what_a_poll_missed_as_eod_file(spark):
+    paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
+    _land(paths.landing, "NOVA4", "2026-07-14", "a", [L10])
+    ingest.process_batch(paths, read_archives(spark, paths.landing), 0, source="intraday_poll")
+    final = shared_dir(spark, f"final-{uuid.uuid4().hex[:8]}")
+    _land(final, "NOVA4", "2026-07-14", "a", [L10, L20])
+    _land(final, "NOVA4", "2026-07-18", "w", [line(40, day="2026-07-18")])  # no session of the calendar
+    calendar = spark.sql("SELECT date'2026-07-14' AS session_date")
+    for batch in (1, 1, 2):
+        ingest.backfill(spark, paths, read_archives(spark, final), calendar, batch)
+    got = [(r.batch_id, r.source, r.trade_id) for r in read_event_log(spark, paths.event_log).collect()]
+    assert sorted(got) == [(0, "intraday_poll", 10), (1, "eod_file", 20)]
+
+
 def test_ids_that_the_cursor_holds_back_are_listed(spark):
     paths = ingest.IngestPaths(shared_dir(spark, f"ingest-{uuid.uuid4().hex[:8]}"))
     _land(paths.landing, "NOVA4", "2026-07-14", "a", [L10, L30])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ticklake.operators import audit, cursor, dividends, intervals, parse, radar, serving, views
 from ticklake.plans.oracle import AS_OF, FIRST_SYNC, PREV_AS_OF, SYNCED_AT
-from ticklake.schemas import KEYS, NOT_NULL, TRADE_COLUMNS, TRADE_EVENT_COLUMNS
+from ticklake.schemas import KEYS, NOT_NULL, SOURCE_INTRADAY, TRADE_COLUMNS, TRADE_EVENT_COLUMNS
 from ticklake.session import shared_dir
 from ticklake.sinks import contracts, corporate_actions, cursor_log, pointer, snapshots
 from ticklake.sinks.keyed import replace_partitions
@@ -561,3 +561,38 @@ QUERIES.update({
     "document_changes": q_document_changes,
     "contract_violations": q_contract_violations,
 })
+
+
+def _backfilled(spark, sf_dir):
+    """T8 through ingest: snapshots with line numbers 1-3 of every order are polled, then the
+    backfill sweeps the final files of the calendar's sessions, is delivered again, and sweeps
+    once more. Only files of tracked tickers are taken (J9)."""
+    paths = ingest.IngestPaths(shared_dir(spark, f"backfill-{uuid.uuid4().hex[:12]}"))
+    lines = derived.trade_lines(spark, sf_dir)
+    runs = derived.trade_events(spark, sf_dir).select(F.col("reference_date").alias("run_date")).distinct()
+    calendar, tracked = audit.trading_calendar(runs), derived.tracked_tickers(spark, sf_dir)
+    polled, final = f"{paths.base}/polled", f"{paths.base}/final"
+    land_archives(lines.where(F.col("line_no") % 10 <= 3), polled).count()
+    land_archives(lines, final).count()
+    ingest.process_batch(paths, archives.read_archives(spark, polled), 0, SOURCE_INTRADAY, tracked)
+    for batch in (1, 1, 2):
+        ingest.backfill(spark, paths, archives.read_archives(spark, final), calendar, batch, tracked)
+    return paths
+
+
+def q_backfill_ingest(spark, sf_dir):
+    """The event log of a poll and its backfill, with the source of every event."""
+    log = read_event_log(spark, _backfilled(spark, sf_dir).event_log)
+    return log.select("batch_id", "source", "ticker", "trade_id", "action", "trade_date", "traded_at")
+
+
+def q_fetched_files(spark, sf_dir):
+    """One audit row per fetched file of the poll and the sweeps, also without a good line."""
+    return spark.read.parquet(_backfilled(spark, sf_dir).audit).select(
+        "batch_id", "ticker", "session_date", "filename", "total", "published", "last_price", "last_traded_at")
+
+
+QUERIES.update({
+    "backfill_ingest": q_backfill_ingest,
+    "fetched_files": q_fetched_files,
+})

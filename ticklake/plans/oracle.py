@@ -845,3 +845,48 @@ UNION ALL SELECT 'last day after approval', count(*) FILTER (WHERE e) FROM check
 UNION ALL SELECT 'quarantined', count(*) FILTER (WHERE a OR b OR c OR d OR e) FROM checked
 UNION ALL SELECT 'kept', count(*) FILTER (WHERE NOT (a OR b OR c OR d OR e)) FROM checked
 UNION ALL SELECT 'duplicate key (ticker,approved_on)', count(*) - count(DISTINCT (ticker, approved_on)) FROM faulty""")
+
+
+# A poll of line numbers 1-3 (batch 0), then two sweeps over the calendar's sessions.
+SWEPT = f"""
+, cal AS (
+  SELECT DISTINCT CAST(day AS DATE) AS session_date
+  FROM (SELECT DISTINCT reference_date AS r FROM trades_raw),
+       LATERAL (SELECT unnest(generate_series(CAST(r - 28 AS TIMESTAMP), CAST(r - 1 AS TIMESTAMP),
+                                              INTERVAL 1 DAY)) AS day)
+  WHERE isodow(day) <= 5
+),
+own AS (SELECT ticker AS file_ticker, session_date, filename, line_no FROM trade_lines WHERE {WATCHED}),
+fetched AS (
+  SELECT DISTINCT 0 AS batch_id, file_ticker, session_date, filename FROM own WHERE line_no % 10 <= 3
+  UNION ALL
+  SELECT DISTINCT b, file_ticker, session_date, filename FROM own SEMI JOIN cal USING (session_date), (VALUES (1), (2)) v(b)
+),
+listed AS (
+  SELECT f.batch_id, g.* FROM fetched f
+       JOIN parsed g USING (file_ticker, session_date, filename)
+  WHERE g.error IS NULL AND (f.batch_id > 0 OR g.line_no % 10 <= 3)
+),
+top AS (
+  SELECT b AS batch_id, ticker, trade_date, max(trade_id) AS held
+  FROM listed, (VALUES (1), (2)) v(b) WHERE "action" <> 2 AND listed.batch_id < b GROUP BY ALL
+),
+published AS (
+  SELECT l.* FROM listed l LEFT JOIN top USING (batch_id, ticker, trade_date)
+  WHERE l."action" = 2 OR l.trade_id > coalesce(held, 0)
+)"""
+ORACLE["backfill_ingest"] = with_ctes(TRADES_RAW, TRADE_LINES, PARSED_LINES, body=SWEPT + """
+SELECT batch_id, CASE batch_id WHEN 0 THEN 'intraday_poll' ELSE 'eod_file' END AS source, ticker, trade_id,
+       "action", trade_date, traded_at
+FROM published""")
+ORACLE["fetched_files"] = with_ctes(TRADES_RAW, TRADE_LINES, PARSED_LINES, body=SWEPT + """
+, last AS (
+  SELECT batch_id, file_ticker, session_date, filename, count(*) AS published,
+         arg_max(price, (line_no, raw_line)) AS last_price, arg_max(traded_at, (line_no, raw_line)) AS last_traded_at
+  FROM published GROUP BY ALL
+),
+totals AS (SELECT batch_id, file_ticker, session_date, filename, count(*) AS total FROM listed GROUP BY ALL)
+SELECT batch_id, file_ticker AS ticker, session_date, filename, coalesce(total, 0) AS total,
+       coalesce(published, 0) AS published, last_price, last_traded_at
+FROM fetched LEFT JOIN totals USING (batch_id, file_ticker, session_date, filename)
+     LEFT JOIN last USING (batch_id, file_ticker, session_date, filename)""")

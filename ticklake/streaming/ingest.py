@@ -5,8 +5,8 @@ One ``foreachBatch`` query over newly landed zip archives. Per micro-batch:
      malformed and the unreadable branches read them;
   2. dead letters (and unreadable archives) go to the dead-letter log (K2);
   3. trades above their session's cursor (cancellations always) are published to the
-     event log as compact JSON keyed by ticker (K1/P9); the cursor moves after each file,
-     so cumulative snapshots of one session in one batch publish a trade once;
+     event log as compact JSON keyed by ticker (K1/P9); a trade that several files of the
+     batch list is published once, so cumulative snapshots may share a batch;
   4. one audit row per landed file is written, also for files without a good line (A13);
   5. only after the events are written, the batch's cursor records are (K3), as the
      (key, JSON value) records of a compacted log;
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticklake.operators import audit, cursor, intervals, parse
-from ticklake.schemas import ACTION_CANCELLED
+from ticklake.schemas import ACTION_CANCELLED, SOURCE_EOD
 from ticklake.session import shared_dir
 from ticklake.sinks.cursor_log import CursorLog
 from ticklake.sinks.keyed import replace_partitions
@@ -82,21 +82,13 @@ def cursor_before(spark: SparkSession, paths: IngestPaths, batch_id: int, days:
 
 
 def mark_new_by_file(trades: DataFrame, before: DataFrame) -> DataFrame:
-    """``cursor.mark_new`` with the cursor moved after each snapshot of the batch: a file's
-    trades are compared with the highest id that the cursor or an earlier file holds for their
-    ticker and trade date, whatever session the file was landed for. The running maximum is
-    taken over one row per (ticker, trade date, file)."""
-    keys = cursor.KEYS
-    files = trades.where(F.col("action") != ACTION_CANCELLED).groupBy(*keys, "landed_at", "archive").agg(
-        F.max("trade_id").alias("_top"))
-    earlier = Window.partitionBy(*keys).orderBy("landed_at", "archive").rowsBetween(
-        Window.unboundedPreceding, -1)
-    files = files.select(*keys, "archive", F.max("_top").over(earlier).alias("_earlier"))
-    c = before.select(*cursor.KEYS, F.col("max_trade_id").alias("_cursor"))
-    seen = F.greatest(F.coalesce("_cursor", F.lit(0)), F.coalesce("_earlier", F.lit(0)))
-    return (trades.join(c, cursor.KEYS, "left").join(files, [*keys, "archive"], "left")
-            .withColumn("is_new", (F.col("action") == ACTION_CANCELLED) | (F.col("trade_id") > seen))
-            .drop("_cursor", "_earlier"))
+    """``cursor.mark_new`` where a trade that several files of the batch list is new in the first
+    of them only (by landing time), whatever session they were landed for. Ids are compared one
+    by one, so no trade is lost when the files of a batch split a session's ids between them."""
+    known = F.when(F.col("action") != ACTION_CANCELLED, F.struct("landed_at", "archive"))
+    first = F.min(known).over(Window.partitionBy(*cursor.KEYS, "trade_id"))
+    marked = cursor.mark_new(trades, before).withColumn("_relisted", F.coalesce(known > first, F.lit(False)))
+    return marked.withColumn("is_new", F.col("is_new") & ~F.col("_relisted")).drop("_relisted")
 
 
 def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
@@ -154,6 +146,16 @@ def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
         lines.unpersist()
 
 
+def backfill(spark: SparkSession, paths: IngestPaths, landed: DataFrame, calendar: DataFrame, batch_id: int,
+             tracked: DataFrame | None = None) -> None:
+    """The final files of the calendar's sessions (``session_date``) go through ingest as
+    ``eod_file``: what an earlier poll missed is published, what it published is not. The same
+    batch id again, after a failure, writes the same rows; a later one publishes no new trade."""
+    days = calendar.select("session_date").distinct()
+    files = landed.withColumn("session_date", F.col("session_date").cast("date"))
+    process_batch(paths, files.join(days, "session_date", "left_semi"), batch_id, SOURCE_EOD, tracked)
+
+
 def start(spark: SparkSession, paths: IngestPaths, archive_schema, source: str = "eod_file",
           available_now: bool = True, tracked: DataFrame | None = None):
     from ticklake.sources.archives import stream_archives
