@@ -300,3 +300,27 @@ def test_classifier_held_out_accuracy(spark):
 
 
 assert sys.version_info >= (3, 10)
+
+
+def test_every_labelled_document_teaches_quality(spark, monkeypatch):
+    """More rows of a label than a block holds, the other rare: mean, weights and threshold are those
+    of all rows, whatever the blocks."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["oak", "elm", "ash", "fir"], rng.integers(3, 30))) + (" ##" if k % 40 == 0 else ".")
+             for k in range(5000)]
+    y = [0 if k % 40 == 0 or k % 97 == 0 else 1 for k in range(5000)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, q) for k, q in enumerate(y)], "doc_id long, quality int")
+    monkeypatch.setattr(quality_classifier, "BLOCK_ROWS", 500)
+    model = quality_classifier.learn(docs, labels)
+    x = quality_classifier.features(*utf8(pa.array(texts)))
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, np.where(x.std(0) > 1e-9, x.std(0), 1))
+    whole = quality_classifier.fit(x, np.array(y), y.count(0) / len(y), pairs=200_000)
+    u = np.sort(np.clip((x - model.mean) / model.scale, -8, 8) @ model.weights)
+    assert model.threshold == pytest.approx((u[y.count(0) - 1] + u[y.count(0)]) / 2)
+    assert np.corrcoef(model.score(x), whole.score(x))[0, 1] > 0.99
+    # every row of each label is in a pair
+    z = rng.normal(size=(9, quality_classifier.N_FEATURES))
+    d = quality_classifier._differences(0, z[:2], z[2:])
+    pairs = {(i, j) for r in d for i in range(2) for j in range(2, 9) if np.allclose(r, z[j] - z[i])}
+    assert {i for i, _ in pairs} == {0, 1} and {j for _, j in pairs} == set(range(2, 9))

@@ -5,6 +5,10 @@ one beats the other is the logistic function of the difference of their scores,
 weights are fitted by logistic loss on feature differences. The score's threshold is its
 quantile at the share of worse documents among the labelled ones; a document's quality is
 the logistic function of its distance to that threshold.
+
+All labelled documents teach. Their feature vectors are dealt into blocks that hold both labels
+(the rarer label's rows in several, if it needs be), every row is paired in each of its blocks,
+and a Newton step adds up the blocks' gradients and curvatures.
 """
 
 from __future__ import annotations
@@ -17,12 +21,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ticklake.llm.common import PIECE, bucket_sample, byte_slices, piece_hashes, span_hashes, spans, utf8
+from ticklake.llm.common import PIECE, Scratch, byte_slices, piece_hashes, span_hashes, spans, utf8
 
 SLICE_BYTES = 1 << 18
-#: Labelled documents of each label, at most, and preference pairs drawn among them.
-ROWS_PER_LABEL = 4096
+#: Preference pairs drawn among vectors that are at hand together.
 PAIRS = 60_000
+#: Rows of the commoner label in a block, of the rarer one at least (where there are so many),
+#: and pairs in which a row of the commoner label stands.
+BLOCK_ROWS = 2048
+LEAST_ROWS = 256
+DRAWS = 8
+#: Newton steps at most, and ranges that a pass of the threshold's search counts.
+STEPS = 25
+RANGES = 4096
 #: Classes of bytes (all others are 0).
 CLASSES = ["other", "lower", "upper", "digit", "blank", "newline", "symbol", "bang", "stop", "quote"]
 _CLASS = np.zeros(256, np.int64)
@@ -154,29 +165,45 @@ class Model:
     threshold: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        u = np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights
+        u = _standard(x, self.mean, self.scale) @ self.weights
         return 1 / (1 + np.exp(-np.clip(u - self.threshold, -30, 30)))
 
 
+def _standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.clip((x - mean) / scale, -8, 8)
+
+
+def _sums(d: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Of pair differences: their number, gradient and curvature of the logistic loss, flat."""
+    p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
+    return np.concatenate([[len(d)], d.T @ (1 - p), ((d * (p * (1 - p))[:, None]).T @ d).ravel()])
+
+
+def _newton(sums, k: int, ridge: float) -> np.ndarray:
+    """Weights of least logistic loss; ``sums(w)`` gives ``_sums`` over all pairs."""
+    w = np.zeros(k)
+    for _ in range(STEPS):
+        total = sums(w)
+        grad = total[1:k + 1] / total[0] - ridge * w
+        hess = total[k + 1:].reshape(k, k) / total[0] + ridge * np.eye(k)
+        step = np.linalg.solve(hess, grad)
+        w += step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
 def fit(x: np.ndarray, y: np.ndarray, share_worse: float, pairs: int = PAIRS, ridge: float = 1e-3) -> Model:
     """Bradley-Terry weights of features ``x`` and labels ``y`` (1: better)."""
     mean, scale = (x.mean(0), x.std(0)) if len(x) else (np.zeros(N_FEATURES), np.ones(N_FEATURES))
     scale = np.where(scale > 1e-9, scale, 1.0)
-    z = np.clip((x - mean) / scale, -8, 8)
+    z = _standard(x, mean, scale)
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     if not len(good) or not len(bad):  # nothing to prefer: every score is 0.5
         return Model(mean, scale, np.zeros(N_FEATURES), 0.0)
     rng = np.random.default_rng(11)
     d = z[rng.choice(good, pairs)] - z[rng.choice(bad, pairs)]
-    w = np.zeros(d.shape[1])
-    for _ in range(25):  # Newton steps of the logistic loss on differences
-        p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
-        grad = d.T @ (1 - p) / pairs - ridge * w
-        hess = (d * (p * (1 - p))[:, None]).T @ d / pairs + ridge * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
-        w += step
-        if np.abs(step).max() < 1e-6:
-            break
+    w = _newton(lambda w: _sums(d, w), d.shape[1], ridge)
     # the quantile of the scores at the share of worse documents, each label by its share
     u = np.concatenate([z[bad] @ w, z[good] @ w])
     mass = np.concatenate([np.full(len(bad), share_worse / len(bad)),
@@ -196,25 +223,144 @@ def _vectors(batches):
             flat = pa.array(x.ravel())
             at = pa.array(np.arange(0, x.size + 1, N_FEATURES, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(at, flat)], ["y", "x"])
+                [batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(at, flat)], ["_id", "x"])
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """A column of feature lists as rows x features."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
+
+
+def _blocks(rows: DataFrame, n: dict[int, int]) -> DataFrame:
+    """(block, bad, good): the vectors of ``rows`` by label, float64. A row of the commoner label
+    is in one block; one of the rarer label in as many as give each block LEAST_ROWS of it, so
+    that far more rows than BLOCK_ROWS never meet."""
+    rare = 0 if n[0] <= n[1] else 1
+    count = -(-n[1 - rare] // BLOCK_ROWS)
+    times = min(count, -(-count * LEAST_ROWS // n[rare]))
+    first = F.pmod(F.xxhash64("_id", "x", F.lit(17)), F.lit(count))
+    dealt = rows.withColumn("block", F.explode(F.when(F.col("_y") == rare, F.transform(
+        F.sequence(F.lit(0), F.lit(times - 1)), lambda k: F.pmod(first + k, F.lit(count)))).otherwise(F.array(first))))
+
+    def pack(key, table):
+        x = _matrix(table["x"].combine_chunks())
+        y = table["_y"].to_numpy()
+        x, y = (v[np.lexsort(x.T)] for v in (x, y))  # the same block whatever the order of its rows
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()),
+                         **{c: pa.array([x[y == k].tobytes()], pa.binary()) for k, c in enumerate(("bad", "good"))}})
+
+    return dealt.select("block", "_y", "x").groupBy("block").applyInArrow(pack, "block long, bad binary, good binary")
+
+
+def _differences(block: int, bad: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """Good less bad vectors of a block's pairs; every row stands in a pair, in about as many as
+    the others of its label."""
+    rng = np.random.default_rng([11, block])
+    pairs = DRAWS * max(len(bad), len(good)) if len(bad) and len(good) else 0
+
+    def side(z):
+        return z[np.concatenate([rng.permutation(len(z)) for _ in range(-(-pairs // len(z)))])[:pairs]] if pairs else z[:0]
+
+    return side(good) - side(bad)
+
+
+def _block_sums(blocks: DataFrame, mean: np.ndarray, scale: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``_sums`` over the pairs of all blocks; a task gives one row of a fixed size."""
+    def run(batches):
+        total = np.zeros(1 + N_FEATURES + N_FEATURES ** 2)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                bad, good = (_standard(np.frombuffer(batch.column(c)[k].as_buffer()).reshape(-1, N_FEATURES), mean, scale)
+                             for c in (1, 2))
+                total += _sums(_differences(batch.column(0)[k].as_py(), bad, good), w)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+    got = blocks.select("block", "bad", "good").mapInArrow(run, "sums array<double>").collect()
+    return np.sum([r["sums"] for r in got], 0)
+
+
+def _moments(rows: DataFrame) -> tuple[dict[int, int], np.ndarray, np.ndarray]:
+    """Number of rows of each label, mean and scale of the features; a task gives one row."""
+    def run(batches):
+        n, mean, m2 = [0, 0], np.zeros(N_FEATURES), np.zeros(N_FEATURES)
+        for batch in batches:
+            x, y = _matrix(batch.column(1)), batch.column(0).to_numpy()
+            if len(x):
+                mean, m2 = _merge(sum(n), mean, m2, len(x), x.mean(0), x.var(0) * len(x))
+                n = [n[0] + int((y == 0).sum()), n[1] + int((y == 1).sum())]
+        yield pa.RecordBatch.from_arrays([pa.array([v], pa.list_(pa.float64())) for v in ([*map(float, n)], mean, m2)],
+                                         ["n", "mean", "m2"])
+
+    n, mean, m2 = np.zeros(2), np.zeros(N_FEATURES), np.zeros(N_FEATURES)
+    for r in rows.select("_y", "x").mapInArrow(run, "n array<double>, mean array<double>, m2 array<double>").collect():
+        if sum(r["n"]):
+            mean, m2 = _merge(n.sum(), mean, m2, sum(r["n"]), np.array(r["mean"]), np.array(r["m2"]))
+            n += r["n"]
+    scale = np.sqrt(m2 / max(n.sum(), 1))
+    return {k: int(n[k]) for k in (0, 1)}, mean, np.where(scale > 1e-9, scale, 1.0)
+
+
+def _merge(n, mean, m2, n_more, mean_more, m2_more):
+    """Mean and sum of squared deviations of two sets together."""
+    step = mean_more - mean
+    both = n + n_more
+    return mean + step * n_more / both, m2 + m2_more + step ** 2 * n * n_more / both
+
+
+def _quantile(scores: DataFrame, n: dict[int, int], share: float) -> float:
+    """The exact quantile at ``share`` of (``_y``, ``u``), the mass of label 0 being ``share``: halfway
+    between the value that reaches it and the next. A pass counts RANGES ranges of the values
+    and the next one looks into one of them, so no list of values leaves the executors."""
+    mass = [share / n[0], (1 - share) / n[1]]
+    low, high = scores.agg(F.min("u"), F.max("u")).first()
+    below = 0.0
+    while True:
+        place = F.least(F.floor((F.col("u") - low) / (high - low) * RANGES), F.lit(RANGES - 1)) if low < high else F.lit(0)
+        ranges = scores.where(F.col("u").between(low, high)).groupBy(place.alias("r")).agg(
+            F.count_if(F.col("_y") == 0).alias("bad"), F.count_if(F.col("_y") == 1).alias("good"),
+            F.min("u").alias("low"), F.max("u").alias("high")).collect()
+        for k, r in enumerate(sorted(ranges, key=lambda r: r["r"]), 1):
+            reached = below + r["bad"] * mass[0] + r["good"] * mass[1]
+            if reached >= share - 1e-12 or k == len(ranges):
+                break
+            below = reached
+        low, high = r["low"], r["high"]
+        if low == high:
+            break
+    last = mass[1] if r["good"] else mass[0]
+    above = scores.where(F.col("u") > high).agg(F.min("u")).first()[0] if reached - last < share - 1e-12 else None
+    return (high + (high if above is None else above)) / 2
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", rows_per_label: int = ROWS_PER_LABEL) -> Model:
-    """Fit on a bounded sample: at most ``rows_per_label`` documents of each label 0 and 1,
-    chosen by hashes of their ids among the ids that are in ``docs``."""
+          label_col: str = "quality", ridge: float = 1e-3) -> Model:
+    """Fit on all documents of ``docs`` that ``labels`` marks 0 or 1. Texts are not shuffled: their
+    vectors meet the labels, are written once and read by every Newton step."""
+    scratch = Scratch(docs.sparkSession)
     known = labels.where(F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
-    n = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count("*").alias("n")).collect()}
-    # two labels of rows_per_label ids: a proven bound
-    chosen = bucket_sample(known, "_id", ["_y"], rows_per_label)
-    rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
-            .join(F.broadcast(chosen), "_id").select("_y", "_t"))
-    got = rows.mapInArrow(_vectors, "y int, x array<double>").collect()
-    got.sort(key=lambda r: (r["y"], r["x"]))
-    x = np.array([r["x"] for r in got], np.float64).reshape(len(got), N_FEATURES)
-    y = np.array([r["y"] for r in got], np.int64)
-    return fit(x, y, n.get(0, 0) / max(1, sum(n.values())))
+    listed = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count("*").alias("n")).collect()}
+    kind = docs.schema[id_col].dataType.simpleString()
+    vectors = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).where("_id is not null").mapInArrow(
+        _vectors, f"_id {kind}, x array<double>")
+    # a shuffle join at every size: labels grow with the documents
+    rows = scratch.keep(vectors.join(known.distinct().hint("merge"), "_id"), "vectors")
+    n, mean, scale = _moments(rows)
+    if not n[0] or not n[1]:  # nothing to prefer: every score is 0.5
+        scratch.close()
+        return Model(mean, scale, np.zeros(N_FEATURES), 0.0)
+    blocks = scratch.keep(_blocks(rows, n), "blocks")
+    w = _newton(lambda w: _block_sums(blocks, mean, scale, w), N_FEATURES, ridge)
+
+    def score(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(_standard(_matrix(batch.column(1)), mean, scale) @ w)], ["_y", "u"])
+
+    scores = rows.select("_y", "x").mapInArrow(score, "_y int, u double")
+    threshold = _quantile(scores, n, listed[0] / (listed[0] + listed[1]))
+    scratch.close()
+    return Model(mean, scale, w, float(threshold))
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
