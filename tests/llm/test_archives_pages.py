@@ -275,6 +275,54 @@ def test_extract_equals_brute_force(spark):
     assert sum(len(w) < sum(len(x) + 2 for _, bs in g for *_, x in bs) - 2 for w, (_, g) in zip(want, sites, strict=True)) > 10
 
 
+def test_a_branch_above_text_of_its_own_stays(spark):
+    """What pages repeat in a branch stays where a branch below it has text of its own."""
+    def page(k):
+        return (f"http://deep.example/{k}", "<body><div class=content><p>By our staff</p><ul class=list><li class=x><div class=body>"
+                f"<p>own text {k}</p></div></li></ul></div><div class=end><p>Terms</p><div class=more><p>Privacy</p></div></div></body>")
+    got = text_of(spark, [page(k) for k in range(20)])
+    assert all(got[k] == f"By our staff\n\nown text {k}" for k in range(20))
+
+
+def test_a_branch_that_pages_lay_out_in_their_own_ways_stays(spark):
+    """Repeated leaves, but another choice of them on every page: the layouts are of importance."""
+    def page(k):
+        picks = "".join(f"<p class=f{j}>Feature {j}</p>" for j in range(6) if (k + 1) >> j & 1)
+        return f"http://picks.example/{k}", f"<body><div class=picks>{picks}</div><div class=end>Terms</div><p>own {k}</p></body>"
+    got = text_of(spark, [page(k) for k in range(60)])
+    for k in range(60):
+        assert got[k].split("\n\n") == [*(f"Feature {j}" for j in range(6) if (k + 1) >> j & 1), f"own {k}"]
+
+
+def test_composite_importance_equals_recursion(spark):
+    rng = random.Random(4)
+    above = {k: rng.randrange(k) for k in range(1, 14)}  # branch 0 is the root
+    pages = []
+    for _ in range(12):
+        for b in range(14):
+            children = [(f"b{c}", False) for c, up in above.items() if up == b] + [(f"l{b}{j}", True) for j in range(3)]
+            kept = [c for c in children if not c[1] or rng.random() < 0.7] or children[-1:]
+            pages.append((b, html_text._shares(html_text.Layout(b, f"b{b}", False, f"b{above[b]}" if b else "", kept))))
+    leaves = {f"l{b}{j}": rng.random() for b in range(14) for j in range(3)}
+    df = spark.createDataFrame([("h", [a]) for _, a in pages], "host string, " + html_text.LAYOUTS).selectExpr("host", "inline(layouts)")
+    known = spark.createDataFrame([("h", k, False, v) for k, v in leaves.items()], "host string, path string, inside boolean, importance double")
+    got = {r["path"]: r for r in html_text.composite(Scratch(spark), df, known).collect()}
+
+    def want(b):
+        mine = [a for k, a in pages if k == b]
+        n = Counter(a["h"] for a in mine)
+        entropy = -sum(c / len(mine) * math.log(c / len(mine), len(mine)) for c in n.values())
+        below = {f"b{c}": want(c) for c, up in above.items() if up == b}
+        mean = sum(x["share"] * (leaves[x["path"]] if x["leaf"] else below[x["path"]][0]) for a in mine for x in a["children"]) / len(mine)
+        less = html_text.GAMMA ** len(n)
+        value = (1 - less) * entropy + less * mean
+        return value, max([value, *(v[1] for v in below.values()), *(leaves[x["path"]] for a in mine for x in a["children"] if x["leaf"])])
+
+    assert len(got) == 14
+    for b in range(14):
+        assert (got[f"b{b}"]["importance"], got[f"b{b}"]["highest"]) == pytest.approx(want(b))
+
+
 def test_clashing_columns_of_pages(spark):
     df = spark.createDataFrame([(1, "http://h/", "<p>a", "x", [1], 2)], PAGE_SCHEMA + ", text string, blocks array<int>, key int")
     assert [tuple(r) for r in html_text.extract(df).collect()] == [(1, "http://h/", "a")]
