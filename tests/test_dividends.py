@@ -148,3 +148,28 @@ def test_pending_edges(spark):
     [worthless] = _pending(spark, price="0.000")
     assert worthless.yield_on_last_price is None
     assert _pending(spark, paid=dt.date(2024, 3, 4)) == []  # paid today
+
+
+def test_errors_come_from_one_decode(spark):
+    docs = _docs(spark, json.dumps({"cashDividends": [event(), {"rate": "1"}], "stockDividends": [{"factor": "x"}]}), "")
+    errors = dv.supplement_errors(dv.unwrap_supplement(docs))
+    plan = errors._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and "Union" not in plan
+    assert sorted((r.row_no is None, r.row_no, r.error.split(":")[0]) for r in errors.collect()) == [
+        (False, 0, "bad stock dividend row"), (False, 1, "bad cash dividend row"), (True, None, "empty body")]
+
+
+def test_dates_are_read_as_the_formatter_reads_them(spark):
+    from pyspark.sql import functions as F
+
+    from ticklake.functions.timefmt import br_date, iso_date
+    days = [f"{d}/{m}/{y}" for y in ("2023", "2024", "0000", "1582", "9999") for m in ("0", "1", "02", "2", "4", "12", "13")
+            for d in ("0", "00", "1", "01", "05", "28", "29", "30", "31", "32")] + ["", "1/2", "1/2/24", " 1/2/2024", "1/2/2024 ", "a/b/cccc", None]
+    isos = ["{2}-{1:0>2}-{0:0>2}".format(*d.split("/")) for d in days if d and d.count("/") == 2] + ["2024-1-01", "2024-01-01 ", "20240230", "20240229"]
+    df = spark.createDataFrame([(x,) for x in days + isos], "t string")
+    t = F.col("t")
+    got = df.select("t", br_date(t).cast("string").alias("br"), iso_date(t).cast("string").alias("iso"),
+                    F.when(t.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(t, "d/M/yyyy")).cast("string").alias("br0"),
+                    F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(t, "yyyy-MM-dd"))
+                     .when(t.rlike(r"^\d{8}$"), F.try_to_date(t, "yyyyMMdd")).cast("string").alias("iso0")).collect()
+    assert [r for r in got if (r.br, r.iso) != (r.br0, r.iso0)] == []

@@ -69,3 +69,23 @@ def test_kafka_path_is_gated_on_the_connector(spark):
     if not kafka.available(spark):
         import pytest
         pytest.skip("Kafka connector not on the classpath")
+
+
+def test_few_row_groups_are_spread(spark, tmp_path):
+    """As many splits as cores, but one row group: all rows would be in one of them."""
+    from ticklake.sources.tables import spread
+    want = spark.sparkContext.defaultParallelism
+    path = str(tmp_path / "t")
+    spark.range(400_000).coalesce(1).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(-(-size // want)))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = spark.read.parquet(path)
+        assert want <= df.rdd.getNumPartitions() < 2 * want
+        held = spread(df).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert min(held) > 0 and sum(held) == 400_000
