@@ -121,3 +121,11 @@ def test_cursor_log_is_the_same_before_and_after_compaction(spark, base, extra):
     assert log._tail(spark).selectExpr("min(batch_id)").first()[0] == 3
     with pytest.raises(ValueError, match="folded"):
         log.records(spark, before=1)
+
+
+def test_newest_documents_come_undecoded(spark, tmp_path):
+    rows = [("CO1", 1, '{"cashDividends":[]}'), ("CO1", 3, "no json"), ("CO1", 2, '{"stockDividends":[]}'), ("CO2", 9, "")]
+    docs = spark.createDataFrame(rows, "issuing_company string, doc_id long, body string")
+    got = corporate_actions.newest_documents(docs, str(tmp_path / "newest"))
+    assert [tuple(r) for r in got.collect()] == [rows[2]]
+    assert got.columns == docs.columns
