@@ -76,3 +76,23 @@ def test_records_round_trip_through_the_log(spark):
 def test_keys_name_ticker_and_session(spark):
     row = spark.createDataFrame([("RAIL3", DAYS[1])], "t string, d date").select(cursor_key(F.col("t"), F.col("d")))
     assert row.first()[0] == "RAIL3:2025-04-02"
+
+
+def test_stream_cursor_parses_its_lines_once(spark, monkeypatch):
+    from tests.conftest import SF_SMALL
+    from ticklake.plans import catalog
+    seen = []
+
+    class Done(Exception):
+        pass
+
+    def take(spark, trades, *_):
+        seen.append(trades._jdf.queryExecution().optimizedPlan().toString())
+        raise Done
+
+    monkeypatch.setattr(catalog, "run_cursor_over_drops", take)
+    try:
+        catalog.q_stream_cursor(spark, SF_SMALL)
+    except Done:
+        pass
+    assert seen and "split(" not in seen[0]

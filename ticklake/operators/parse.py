@@ -33,7 +33,7 @@ def parse_lines(lines: DataFrame, line_col: str = "raw_line") -> DataFrame:
     line = F.col(line_col)
     c = F.col
     base = [x for x in lines.columns
-            if x not in TRADE_COLUMNS and x not in ("error", "parsed_ok", "_n", "_price_lossy")]
+            if x not in TRADE_COLUMNS and x not in ("error", "parsed_ok", "_n", "_price")]
     # Staged so that each step references columns produced below it. The single-row
     # generators are evaluation barriers: the split is computed once per line, and a
     # filter on ``parsed_ok`` stays above the parse instead of being pushed below it by
@@ -57,19 +57,19 @@ def parse_lines(lines: DataFrame, line_col: str = "raw_line") -> DataFrame:
         iso_date(g(0)).alias("reference_date"),
         _integer(g(7), "int").alias("session_type"),
         F.size(f).alias("_n"),
-        comma_decimal_is_lossy(g(3), PRICE).alias("_price_lossy"),
+        g(3).alias("_price"),
     )
     ok = (c("_n") == TRADE_LINE_FIELDS) & line.isNotNull()
     for name in TRADE_COLUMNS:
         ok = ok & c(name).isNotNull()
-    row = F.struct(*TRADE_COLUMNS, "_n", "_price_lossy", ok.alias("parsed_ok"))
+    row = F.struct(*TRADE_COLUMNS, "_n", "_price", ok.alias("parsed_ok"))
     keep = base
     parsed = typed.select(*base, F.inline(F.array(row)))
     c = F.col
     reason = (F.when(c("trade_date").isNull(), F.lit("bad_trade_date"))
                .when(c("trade_id").isNull(), F.lit("bad_trade_id"))
                .when(c("action").isNull(), F.lit("bad_action"))
-               .when(c("price").isNull() & c("_price_lossy"), F.lit("price_scale"))
+               .when(c("price").isNull() & comma_decimal_is_lossy(c("_price"), PRICE), F.lit("price_scale"))
                .when(c("price").isNull(), F.lit("bad_price"))
                .when(c("quantity").isNull(), F.lit("bad_quantity"))
                .when(c("traded_at").isNull(), F.lit("bad_time"))
