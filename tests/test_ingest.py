@@ -225,3 +225,23 @@ def test_an_archive_larger_than_the_memory_is_read(spark):
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300,
                          cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), check=True).stdout.split()
     assert int(out[0]) == 20_000 * (400_000_000 // len(block)) and int(out[1]) < 150
+
+
+def test_audit_and_ids_need_no_sort(spark):
+    """The batch's widest steps hold numbers only: no row with its line is sorted or windowed."""
+    import datetime as dt
+
+    from ticklake.operators import audit
+    at, day = dt.datetime(2026, 7, 14, 9), dt.date(2026, 7, 14)
+    rows = [("PETR4", day, 1, 0, "a", at, "f", 5, "x", True, 1), ("PETR4", day, 1, 0, "b", at, "f", 5, "y", True, 2),
+            ("PETR4", day, 2, 0, "a", at, "f", 6, "z", False, 3), ("PETR4", day, 3, 2, "b", at, "g", 7, "z", False, 4)]
+    df = spark.createDataFrame(rows, "ticker string, trade_date date, trade_id long, action int, archive string, landed_at timestamp, "
+                                     "filename string, line_no long, raw_line string, is_new boolean, price int").selectExpr(
+        "*", "ticker as file_ticker", "trade_date as session_date", "landed_at as traded_at")
+    counts, ids = audit.file_counts(df), ingest.listed_ids(df)
+    for frame in (counts, ids):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "Sort" not in plan and "Window" not in plan
+    assert {(r.trade_id, r.several) for r in ids.collect()} == {(1, True), (2, False)}
+    two = sorted(map(tuple, audit.publish_audit_of(df, counts).collect()))
+    assert two == sorted(map(tuple, audit.publish_audit(df).collect())) and two[0][5] == 2

@@ -13,6 +13,9 @@ from ticklake.operators import dividends as dv
 from ticklake.schemas import ACTION_CANCELLED, BACKFILL_CALENDAR_DAYS, STATUS_PAID
 
 
+FILE = ["file_ticker", "session_date", "filename"]
+
+
 def publish_audit(marked: DataFrame) -> DataFrame:
     """Per landed file: trades parsed, trades newly published, and price/time of the
     last published trade in file order (``line_no``, ties broken by the line text).
@@ -20,7 +23,7 @@ def publish_audit(marked: DataFrame) -> DataFrame:
     Input: parsed good trades flagged ``is_new`` (``cursor.mark_new``), so the file is
     parsed and joined once and a single aggregation produces every figure.
     """
-    keys = ["file_ticker", "session_date", "filename"]
+    keys = FILE
     new = F.col("is_new")
     last = F.max_by(F.struct("price", "traded_at"), F.when(new, F.struct("line_no", "raw_line")))
     return (marked.groupBy(*keys)
@@ -31,6 +34,25 @@ def publish_audit(marked: DataFrame) -> DataFrame:
                     F.col("_l.traded_at").alias("last_traded_at")))
 
 
+def file_counts(marked: DataFrame) -> DataFrame:
+    """Per landed file: trades parsed, newly published, and the last published line's number. Plain
+    numbers, so partial aggregates go through a hash table."""
+    new = F.col("is_new")
+    return marked.groupBy(*FILE).agg(F.count(F.lit(1)).alias("total"), F.count_if(new).alias("published"),
+                                     F.max(F.when(new, F.col("line_no"))).alias("_at"))
+
+
+def publish_audit_of(marked: DataFrame, counts: DataFrame) -> DataFrame:
+    """``publish_audit`` in two passes over trades that are at hand; ``counts``: ``file_counts`` of
+    them, one row per file. Only the lines that may be a file's last are compared by text."""
+    lasts = marked.where("is_new").join(
+        counts.select(*FILE, F.col("_at").alias("line_no")), [*FILE, "line_no"]).groupBy(*FILE).agg(
+        F.max_by(F.struct("price", "traded_at"), "raw_line").alias("_l"))
+    return counts.join(lasts, FILE, "left").select(
+        F.col("file_ticker").alias("ticker"), "session_date", "filename", "total", "published",
+        F.col("_l.price").alias("last_price"), F.col("_l.traded_at").alias("last_traded_at"))
+
+
 def backfill_progress(audit_rows: DataFrame, files: DataFrame) -> DataFrame:
     """Per swept session: files swept, trades parsed and published, and the number
     of sessions in the sweep (a scalar subquery)."""

@@ -21,10 +21,11 @@ def _block(trade_id: str):
     return F.shiftright(trade_id, BLOCK_BITS)
 
 
-def islands(ids: DataFrame) -> DataFrame:
+def islands(ids: DataFrame, once: bool = False) -> DataFrame:
     """(ticker, trade_date, block, first_id, last_id): the ids of each session as intervals of
-    consecutive ids, cut at block ends."""
-    ids = ids.select(*KEYS, "trade_id").where("trade_id is not null").distinct().withColumn("block", _block("trade_id"))
+    consecutive ids, cut at block ends. ``once``: no id of a session is listed twice."""
+    ids = ids.select(*KEYS, "trade_id").where("trade_id is not null")
+    ids = (ids if once else ids.distinct()).withColumn("block", _block("trade_id"))
     place = F.row_number().over(Window.partitionBy(*KEYS, "block").orderBy("trade_id"))
     return ids.withColumn("_gap", F.col("trade_id") - place).groupBy(*KEYS, "block", "_gap").agg(
         F.min("trade_id").alias("first_id"), F.max("trade_id").alias("last_id")).drop("_gap")

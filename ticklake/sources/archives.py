@@ -2,7 +2,7 @@
 
 Archives land as ``<root>/ticker=<T>/session_date=<D>/<name>.zip``: one zip per fetched
 (ticker, session) holding one text member, a header line and then the trade lines. The
-scan is Spark's ``binaryFile`` source; a small Python UDTF unzips one archive into its
+scan is Spark's ``binaryFile`` source; a small Python function unzips one archive into its
 lines. Each archive is one task's worth of work (a single exchange file), the lines are
 then partitioned and parsed by Spark like any other rows.
 """
@@ -14,7 +14,6 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 
 from pyspark.sql import types as T
 
@@ -29,34 +28,6 @@ ARCHIVE_SCHEMA = T.StructType([
 ARCHIVE_LINES = "member string, line_no int, raw_line string, archive_error string"
 
 
-@udtf(returnType=ARCHIVE_LINES)
-class UnzipLines:
-    """First member of a zip, decoded as ASCII, split into lines, header dropped.
-
-    An archive that cannot be read whole (damaged, encrypted, unsupported, not ASCII) yields
-    one row with ``archive_error`` and no line, so one bad file never stops the other
-    tickers. The member is read twice as a stream, once to be sure of it and once for its
-    lines, so no archive is held as text. A file without lines yields one row without text.
-    """
-
-    def eval(self, content: bytes):
-        try:
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                name = archive.namelist()[0]
-                with io.TextIOWrapper(archive.open(name), "ascii") as member:
-                    count = sum(1 for _ in member)
-        except Exception as exc:  # whatever the decoders raise concerns this archive alone
-            yield None, None, None, f"bad archive: {type(exc).__name__}: {exc}"
-            return
-        if count < 2:
-            yield name, None, None, None
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            with io.TextIOWrapper(archive.open(name), "ascii") as member:
-                for i, line in enumerate(member):
-                    if i:
-                        yield name, i, line.rstrip("\n"), None
-
-
 #: Lines and characters of a batch that a streamed archive gives to Spark at once; the largest line.
 BATCH_LINES = 10_000
 BATCH_CHARS = 1 << 22
@@ -84,21 +55,58 @@ def member_lines(source, start: int = 1):
                 yield name, at, lines
 
 
+def _rows(batch, columns, i, member, numbers, lines, error):
+    """Lines of the archive in row ``i``, each with the first ``columns`` of that row."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    n = len(lines)
+    same = [pa.repeat(batch.column(c)[i], n) for c in range(columns)]
+    return pa.RecordBatch.from_arrays(
+        [*same, pa.array([member] * n, pa.string()), pa.array(numbers, pa.int32()),
+         pc.utf8_rtrim(pa.array(lines, pa.string()), "\n"), pa.array([error] * n, pa.string())],
+        [*batch.schema.names[:columns], "member", "line_no", "raw_line", "archive_error"])
+
+
+def _unzip_contents(batches):
+    """Rows (..., content) -> one row per line of the first member, decoded as ASCII, header dropped.
+
+    An archive that cannot be read whole (damaged, encrypted, unsupported, not ASCII) yields
+    one row with ``archive_error`` and no line, so one bad file never stops the other
+    tickers. The member is read twice as a stream, once to be sure of it and once for its
+    lines, so no archive is held as text. A file without lines yields one row without text.
+    """
+    for batch in batches:
+        columns = batch.num_columns - 1
+        for i in range(batch.num_rows):
+            content = batch.column(columns)[i].as_py() or b""
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    name = archive.namelist()[0]
+                    with io.TextIOWrapper(archive.open(name), "ascii") as member:
+                        while member.read(BATCH_CHARS):
+                            pass
+            except Exception as exc:  # whatever the decoders raise concerns this archive alone
+                yield _rows(batch, columns, i, None, [None], [None], f"bad archive: {type(exc).__name__}: {exc}")
+                continue
+            with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                with io.TextIOWrapper(archive.open(name), "ascii") as member:
+                    member.readline()
+                    at = 1
+                    while lines := member.readlines(BATCH_CHARS):
+                        yield _rows(batch, columns, i, name, range(at, at + len(lines)), lines, None)
+                        at += len(lines)
+            if at == 1:
+                yield _rows(batch, columns, i, name, [None], [None], None)
+
+
 def _stream_paths(batches):
-    """Rows (path, ...) -> the rows of UnzipLines for the archive at each path, which is opened
+    """Rows (path, ...) -> the rows of ``_unzip_contents`` for the archive at each path, which is opened
     through pyarrow's file systems and read twice: once to be sure of it, once for its lines."""
-    import pyarrow as pa
     import pyarrow.fs as pafs
 
-    def rows(batch, i, member, numbers, lines, error):
-        n = len(lines)
-        same = [pa.repeat(batch.column(c)[i], n) for c in range(batch.num_columns)]
-        return pa.RecordBatch.from_arrays(
-            [*same, pa.array([member] * n, pa.string()), pa.array(numbers, pa.int32()),
-             pa.array(lines, pa.string()), pa.array([error] * n, pa.string())],
-            [*batch.schema.names, "member", "line_no", "raw_line", "archive_error"])
-
     for batch in batches:
+        columns = batch.num_columns
         for i, path in enumerate(batch.column(0).to_pylist()):
             try:
                 fs, name = pafs.FileSystem.from_uri(_uri(path))
@@ -107,14 +115,14 @@ def _stream_paths(batches):
                     for member, at, lines in member_lines(source):  # noqa: B007
                         pass
             except Exception as exc:  # whatever the decoders raise concerns this archive alone
-                yield rows(batch, i, None, [None], [None], f"bad archive: {type(exc).__name__}: {exc}")
+                yield _rows(batch, columns, i, None, [None], [None], f"bad archive: {type(exc).__name__}: {exc}")
                 continue
             if at == 1 and not lines:
-                yield rows(batch, i, member, [None], [None], None)
+                yield _rows(batch, columns, i, member, [None], [None], None)
                 continue
             with fs.open_input_file(name) as source:
                 for member, at, lines in member_lines(source):
-                    yield rows(batch, i, member, list(range(at, at + len(lines))), lines, None)
+                    yield _rows(batch, columns, i, member, range(at, at + len(lines)), lines, None)
 
 
 def archive_lines(archives: DataFrame, source: str = SOURCE_EOD, inline: int = 64 << 20) -> DataFrame:
@@ -127,10 +135,10 @@ def archive_lines(archives: DataFrame, source: str = SOURCE_EOD, inline: int = 6
     each; their store must be one that pyarrow opens (local, HDFS, object stores).
     """
     context = ["path", "modificationTime", "ticker", F.col("session_date").cast("date").alias("session_date")]
-    unzipped = archives.where(F.col("length") <= inline).select(*context, "content").lateralJoin(
-        UnzipLines(F.col("content").outer())).drop("content")
     large = archives.where(F.col("length") > inline).select(*context)
-    streamed = large.mapInArrow(_stream_paths, T.StructType([*large.schema.fields, *T._parse_datatype_string(ARCHIVE_LINES).fields]))
+    schema = T.StructType([*large.schema.fields, *T._parse_datatype_string(ARCHIVE_LINES).fields])
+    unzipped = archives.where(F.col("length") <= inline).select(*context, "content").mapInArrow(_unzip_contents, schema)
+    streamed = large.mapInArrow(_stream_paths, schema)
     out = unzipped.unionByName(streamed)
     return out.select(
         F.col("ticker").alias("file_ticker"),
@@ -219,26 +227,25 @@ def land_archives(lines: DataFrame, root: str) -> DataFrame:
     """Write trade lines as landed archives: one zip per file, as the exchange serves them,
     under ``root/ticker=/session_date=``. Written through pyarrow's filesystem layer, so
     ``root`` may be any shared filesystem URI. Returns one row per archive (path, lines)."""
-    import pandas as pd
-
     uri = _uri(root)
 
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+    def write(key, table):
         import posixpath
 
+        import pyarrow as pa
         import pyarrow.fs as pafs
         fs, base = pafs.FileSystem.from_uri(uri)
-        pdf = pdf.sort_values(["line_no", "raw_line"])
-        first = pdf.iloc[0]
-        folder = posixpath.join(base, f"ticker={first.file_ticker}", f"session_date={first.session_date}")
+        ticker, session_date, filename = (k.as_py() for k in key)
+        folder = posixpath.join(base, f"ticker={ticker}", f"session_date={session_date}")
         fs.create_dir(folder, recursive=True)
-        name = f"{first.filename.rsplit('.', 1)[0]}.zip"
+        name = f"{filename.rsplit('.', 1)[0]}.zip"
         path = posixpath.join(folder, name)
+        lines = table.sort_by([("line_no", "ascending"), ("raw_line", "ascending")])["raw_line"]
         with fs.open_output_stream(path) as out:
-            out.write(zip_bytes(first.filename, list(pdf.raw_line)))
-        return pd.DataFrame({"path": [path], "lines": [len(pdf)]})
+            out.write(zip_bytes(filename, lines.to_pylist()))
+        return pa.table({"path": [path], "lines": pa.array([len(lines)], pa.int64())})
 
     files = lines.select("file_ticker", F.col("session_date").cast("string").alias("session_date"),
                          "filename", "line_no", "raw_line")
-    return files.groupBy("file_ticker", "session_date", "filename").applyInPandas(
+    return files.groupBy("file_ticker", "session_date", "filename").applyInArrow(
         write, schema="path string, lines long")

@@ -1,8 +1,8 @@
 """Ingest job: landed archives -> parsed trades -> cursor filter -> event log.
 
 One ``foreachBatch`` query over newly landed zip archives. Per micro-batch:
-  1. unzip (UDTF) and parse every line once; both are persisted because the good, the
-     malformed and the unreadable branches read them;
+  1. unzip and parse every line once; the parsed lines are written to the shared folder, as the
+     good, the malformed and the unreadable branches read columns of them;
   2. dead letters (and unreadable archives) go to the dead-letter log (K2);
   3. trades above their session's cursor (cancellations always) are published to the
      event log as compact JSON keyed by ticker (K1/P9); a trade that several files of the
@@ -20,14 +20,16 @@ is folded by ``cursor_log(paths).compact``.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.operators import audit, cursor, intervals, parse
 from ticklake.schemas import ACTION_CANCELLED, SOURCE_EOD
 from ticklake.session import shared_dir
+from ticklake.sinks import pointer
 from ticklake.sinks.cursor_log import CursorLog
 from ticklake.sinks.keyed import replace_partitions
 from ticklake.sources.archives import archive_lines
@@ -81,30 +83,56 @@ def cursor_before(spark: SparkSession, paths: IngestPaths, batch_id: int, days:
     return cursor.fold_log(log, *cursor.KEYS).select(*cursor.KEYS, "max_trade_id")
 
 
-def mark_new_by_file(trades: DataFrame, before: DataFrame) -> DataFrame:
+def listed_ids(trades: DataFrame) -> DataFrame:
+    """(ticker, trade_date, trade_id, several): each id that trades (not cancellations) list, and
+    whether several files do. Files are told apart by 64-bit hashes, so the partial
+    aggregates hold numbers only and no trade is sorted or shuffled whole."""
+    file = F.xxhash64("landed_at", "archive")
+    return trades.where(F.col("action") != ACTION_CANCELLED).groupBy(*cursor.KEYS, "trade_id").agg(
+        (F.min(file) < F.max(file)).alias("several"))
+
+
+def mark_new_by_file(trades: DataFrame, before: DataFrame, first: DataFrame | None = None) -> DataFrame:
     """``cursor.mark_new`` where a trade that several files of the batch list is new in the first
     of them only (by landing time), whatever session they were landed for. Ids are compared one
-    by one, so no trade is lost when the files of a batch split a session's ids between them."""
+    by one, so no trade is lost when the files of a batch split a session's ids between them.
+    ``first``: ``first_listed`` of the ids that several files list (None: there are none)."""
+    marked = cursor.mark_new(trades, before)
+    if first is None:
+        return marked
     known = F.when(F.col("action") != ACTION_CANCELLED, F.struct("landed_at", "archive"))
-    first = F.min(known).over(Window.partitionBy(*cursor.KEYS, "trade_id"))
-    marked = cursor.mark_new(trades, before).withColumn("_relisted", F.coalesce(known > first, F.lit(False)))
-    return marked.withColumn("is_new", F.col("is_new") & ~F.col("_relisted")).drop("_relisted")
+    marked = marked.join(first, [*cursor.KEYS, "trade_id"], "left")
+    relisted = F.coalesce(known > F.col("_first"), F.lit(False))
+    return marked.withColumn("is_new", F.col("is_new") & ~relisted).drop("_first")
+
+
+def first_listed(trades: DataFrame, ids: DataFrame) -> DataFrame:
+    """Of ids (ticker, trade_date, trade_id), the first file that lists a trade (no cancellation)."""
+    keys = [*cursor.KEYS, "trade_id"]
+    return trades.where(F.col("action") != ACTION_CANCELLED).join(ids.select(*keys), keys).groupBy(*keys).agg(
+        F.min(F.struct("landed_at", "archive")).alias("_first"))
 
 
 def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
                   source: str = "eod_file", tracked: DataFrame | None = None) -> None:
     """``tracked``: the watchlist (J9); archives of other tickers are then left out."""
     spark = archives.sparkSession
-    shared_dir(spark, "lineage")  # checkpoint() below needs the shared folder
+    work = shared_dir(spark, f"ingest-batch-{uuid.uuid4().hex[:12]}")
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        """``df``, written: its readers take the columns they need, and small tables have a known size."""
+        df.write.parquet(f"{work}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{work}/{name}")
+
     if tracked is not None:
         archives = archives.join(tracked.select("ticker").distinct(), "ticker", "left_semi")
-    lines = archive_lines(archives, source).persist()
-    parsed = parse.parse_lines(lines.filter(F.col("raw_line").isNotNull()).drop("archive_error")).persist()
     try:
         bid = F.lit(batch_id)
+        # unzipped and parsed once; the rows without a line are those of unreadable and of empty archives
+        parsed = keep(parse.parse_lines(archive_lines(archives, source)), "parsed")
         # K2: malformed lines and unreadable archives
-        bad = parse.dead_letters(parse.bad_rows(parsed))
-        broken = lines.filter(F.col("archive_error").isNotNull()).select(
+        bad = parse.dead_letters(parse.bad_rows(parsed.where("raw_line is not null").drop("archive_error")))
+        broken = parsed.filter(F.col("archive_error").isNotNull()).select(
             F.lit(1).alias("schema_version"), F.col("file_ticker").alias("ticker"), "session_date",
             "filename", "source", F.col("archive_error").alias("error"),
             F.lit(None).cast("string").alias("raw_line"))
@@ -112,18 +140,25 @@ def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
         replace_partitions(dlq, paths.dead_letters, ["batch_id"], cluster=False)
 
         # P9 + K1: publish above the cursor as it was before this batch
-        good = parse.good_rows(parsed)
-        days = good.select("trade_date").distinct()
-        before = cursor_before(spark, paths, batch_id, days)
-        marked = mark_new_by_file(good, before).persist()
+        good = parse.good_rows(parsed.drop("archive_error"))
+        days = keep(good.select("trade_date").distinct(), "days")
+        before = keep(cursor_before(spark, paths, batch_id, days), "before")
+        ids = keep(listed_ids(good), "ids")
+        several = ids.where("several")
+        if several.isEmpty():
+            marked = mark_new_by_file(good, before)
+        else:
+            first = keep(first_listed(good, keep(several, "several")), "first")
+            marked = keep(mark_new_by_file(good, before, first), "marked")
         published = marked.filter("is_new").drop("is_new", "landed_at", "archive")
         events = parse.trade_event_json(published, F.col("source")).withColumn("batch_id", bid)
         replace_partitions(events, paths.event_log, ["batch_id"], cluster=False)
 
         # One row per landed file of the batch, with zeros where it holds no good line
-        every = lines.filter(F.col("archive_error").isNull()).select(
+        every = parsed.filter(F.col("archive_error").isNull()).select(
             F.col("file_ticker").alias("ticker"), "session_date", "filename").distinct()
-        rows = every.join(audit.publish_audit(marked), ["ticker", "session_date", "filename"], "left").fillna(
+        told = audit.publish_audit_of(marked, keep(audit.file_counts(marked), "counts"))
+        rows = every.join(told, ["ticker", "session_date", "filename"], "left").fillna(
             0, ["total", "published"]).withColumn("batch_id", bid)
         replace_partitions(rows, paths.audit, ["batch_id"], cluster=False)
 
@@ -133,17 +168,17 @@ def process_batch(paths: IngestPaths, archives: DataFrame, batch_id: int,
         record = record.withColumns({"partition": F.lit(0), "offset": bid.cast("long")})
         cursor_log(paths).append(record, batch_id)
 
-        # Ids below the cursor that were never published are listed, not lost
-        own = intervals.islands(published.where(F.col("action") != ACTION_CANCELLED)).withColumn("batch_id", bid)
+        # Ids below the cursor that were never published are listed, not lost. Every id above the
+        # cursor was published, by the first file that lists it
+        above = cursor.mark_new(ids.withColumn("action", F.lit(0)), before).where("is_new")
+        own = intervals.islands(above, once=True).withColumn("batch_id", bid)
         replace_partitions(own, paths.intervals, ["trade_date", "batch_id"])
         sent = spark.read.schema(own.schema).parquet(paths.intervals).where(F.col("batch_id") <= batch_id).join(
             days, "trade_date", "left_semi")
         missed = intervals.late(marked, sent).select(*cursor.KEYS, "trade_id", "filename").withColumn("batch_id", bid)
         replace_partitions(missed, paths.late, ["batch_id"], cluster=False)
-        marked.unpersist()
     finally:
-        parsed.unpersist()
-        lines.unpersist()
+        pointer.delete(spark, work)
 
 
 def backfill(spark: SparkSession, paths: IngestPaths, landed: DataFrame, calendar: DataFrame, batch_id: int,
