@@ -476,3 +476,58 @@ def test_ranges_of_ids_keep_the_order(spark):
     order = sorted(ids, reverse=True)
     want = {k: order[(i + 1) % len(order)] for i, k in enumerate(order)}
     assert {r["id"]: int(r["next_text"].split()[-1]) for r in rows} == want
+
+
+def test_empty_bins_borrow_from_the_first_filled_on_their_walk(spark):
+    rnd = random.Random(8)
+    texts = ["", " ", "one", "a b c d", "a b c d e", "ab " * 900, "x y " * 700]
+    texts += [" ".join(rnd.choices("abcdefghijklmnopq", k=n)) for n in (5, 6, 9, 14, 18, 19, 20, 21, 24, 40, 90, 300, 3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    rows = fingerprints.with_fingerprint(df.withColumn("h", fingerprints.shingle_hashes(F.col("text"))), "text", "fp").withColumn(
+        "in_one", fingerprints.fingerprint(F.col("text"))).collect()
+    bins, low = fingerprints.BINS, fingerprints._LOW
+    pairs = []
+    for r in rows:
+        least = {}
+        for x in sorted(r["h"], reverse=True):
+            least[(x >> low) + bins // 2] = x & fingerprints._EMPTY
+        for b in range(bins if least else 0):
+            walk = [b, *((fingerprints._START[b] + t * fingerprints._STRIDE[b]) % bins for t in range(bins))]
+            pairs.append((r["k"], b, least[next(w for w in walk if w in least)]))
+    digits = spark.createDataFrame(pairs, "k long, b int, x long").select("k", "b", F.xxhash64("x", "b").bitwiseAND(F.lit(15)).alias("d"))
+    want = {k: "" for k in range(len(texts))}
+    for k, _, d in sorted(map(tuple, digits.collect())):
+        want[k] += f"{d:x}"
+    assert {r["k"]: r["fp"] for r in rows} == want == {r["k"]: r["in_one"] for r in rows}
+
+
+def test_likeness_counts_equal_digits(spark):
+    rnd = random.Random(9)
+    a = "".join(rnd.choices("0123456789abcdef", k=256))
+    cases = [(a, a), ("", ""), ("", a), (a, ""), ("0" * 256, "f" * 256), ("80" * 128, "7f" * 128), ("f" * 256, "e" * 256), (
+        "8" + "0" * 255, "0" * 256)] + [(a, "".join(x if rnd.random() < p else rnd.choice("0123456789abcdef") for x in a)) for p in (0.1, 0.5, 0.9)]
+    got = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "k int, a string, b string").select(
+        "k", fingerprints.likeness(F.col("a"), F.col("b")).alias("x")).collect()
+    for k, x in got:
+        a, b = cases[k]
+        same = sum(i == j for i, j in zip(a, b)) / 256
+        assert x == (1.0 if a == b else 0.0 if not a or not b else max(0.0, (same - 1 / 16) / (1 - 1 / 16)))
+
+
+def test_short_texts_cost_no_more_than_long_ones(spark):
+    """Most bins of a short text are empty; laying out a whole walk for each made it cost more than a long text."""
+    words = [f"w{k}" for k in range(1000)]
+
+    def seconds(n):
+        df = spark.createDataFrame([(i, " ".join(words[i % 50:i % 50 + n])) for i in range(400)], "k long, text string").coalesce(1).cache()
+        df.count()
+        best = []
+        for _ in range(3):
+            began = time.perf_counter()
+            df.select(fingerprints.fingerprint(F.col("text"))).write.format("noop").mode("overwrite").save()
+            best.append(time.perf_counter() - began)
+        df.unpersist()
+        print(n, best)
+        return min(best)
+
+    assert seconds(24) < seconds(800)

@@ -12,6 +12,7 @@ DataFrame functions only.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -22,8 +23,10 @@ from ticklake.llm.common import Scratch, let, words
 BINS = 256
 BITS = 4
 SHINGLE = 5
-#: Bins tried one by one before a walk over all bins is laid out.
-TRIES = 6
+#: Bins tried one by one, from tables, before blocks of a walk are laid out.
+TRIES = 24
+#: Under so many filled bins an empty one looks at them instead of walking.
+FEW = 10
 #: Documents of one range of ids, about.
 RANGE_ROWS = 1000
 
@@ -46,55 +49,92 @@ def shingle_hashes(text: Column, size: int = SHINGLE) -> Column:
         n = F.size(h)
         windows = F.transform(F.sequence(F.lit(0), F.greatest(n - size, F.lit(0))),
                               lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)]))
-        return F.when(n >= size, windows).when(n > 0, F.array(F.xxhash64(h))).otherwise(
-            F.array().cast("array<bigint>"))
+        return F.when(n >= size, windows).otherwise(F.transform(F.slice(h, 1, 1), lambda x: F.xxhash64(h)))
     return let(F.transform(words(F.lower(text)), lambda x: F.xxhash64(x)), of)
 
 
-def _minima(h: Column) -> Column:
-    """The smallest hash of each bin that has one, in the order of the bins."""
-    return let(F.sort_array(h), lambda s: F.filter(s, lambda x, k: (k == 0) | (
-        F.shiftright(x, _LOW) != F.shiftright(F.get(s, k - 1), _LOW))))
+def _sorted(text: Column, size: int = SHINGLE) -> Column:
+    """The shingles' hashes and each bin's largest value, _EMPTY, in order: of all bins, signed.
+    No element can be null, so compiled code sorts plain longs."""
+    half = BINS // 2
+    largest = F.array(*[F.lit(b << _LOW | _EMPTY).cast("bigint") for b in range(-half, half)])
+    return F.sort_array(F.concat(shingle_hashes(F.coalesce(text, F.lit("")), size), largest))
 
 
-def _all_bins(m: Column) -> Column:
-    """One value for each bin, the bits under the bin's number; _EMPTY where none fell."""
-    half = BINS // 2  # bins in the order of signed hashes
-    filled = F.transform(m, lambda x: F.shiftright(x, _LOW))
-    gaps = F.transform(F.array_except(constant(list(range(-half, half))), filled),
-                       lambda b: F.shiftleft(b, _LOW).bitwiseOR(F.lit(_EMPTY)))
-    return F.transform(F.sort_array(F.concat(m, gaps)), lambda x: x.bitwiseAND(F.lit(_EMPTY)))
+def _all_bins(s: Column) -> Column:
+    """The smallest hash of each bin, without the bin's number; null where none fell."""
+    least = F.filter(s, lambda x, k: ~F.shiftright(x, _LOW).eqNullSafe(F.shiftright(F.get(s, k - 1), _LOW)))
+    return F.transform(least, lambda x: F.when(
+        x.bitwiseAND(F.lit(_EMPTY)) != _EMPTY, x.bitwiseAND(F.lit(_EMPTY))))
 
 
-def _densified(v: Column) -> Column:
-    def borrowed(b: Column, start: Column, stride: Column) -> Column:
-        def at(t):
-            x = F.get(v, ((F.get(start, b) + F.lit(t) * F.get(stride, b)) % BINS).cast("int"))
-            return F.when(x != _EMPTY, x)
-        walk = F.filter(F.transform(F.sequence(F.lit(TRIES), F.lit(BINS - 1)), lambda t: F.get(
-            v, ((F.get(start, b) + t * F.get(stride, b)) % BINS).cast("int"))), lambda x: x != _EMPTY)
-        return F.coalesce(*[at(t) for t in range(TRIES)], F.get(walk, F.lit(0)))
+def _densified(v: Column, use: Callable[[Column, Column], Column]) -> Column:
+    """``use(value, bin)`` of each bin, an empty one with the value of the first filled bin on its walk."""
+    def of(start: Column, stride: Column, turn: Column, filled: Column) -> Column:
+        def at(b: Column, t: Column) -> Column:
+            return F.get(v, (F.get(start, b) + t * F.get(stride, b)).bitwiseAND(F.lit(BINS - 1)))
 
-    return let(constant(_START), lambda start: let(constant(_STRIDE), lambda stride: F.transform(
-        v, lambda x, b: F.when(x != _EMPTY, x).otherwise(borrowed(b, start, stride)))))
+        def stepped(x: Column, b: Column) -> Column:
+            # tries one by one, then in blocks of doubling size: about BINS / size(filled) are needed
+            ends = [TRIES]
+            while ends[-1] < BINS:
+                ends.append(min(2 * ends[-1], BINS))
+            tries = [F.get(v, F.get(integers([(i + t * s) % BINS for i, s in zip(_START, _STRIDE)]), b)) for t in range(TRIES)]
+            blocks = [F.get(F.filter(F.transform(F.sequence(F.lit(i), F.lit(j - 1)), lambda t: at(b, t)),
+                                     lambda y: y.isNotNull()), F.lit(0)) for i, j in zip(ends, ends[1:])]
+            return use(F.coalesce(x, *tries, *blocks), b)
+
+        def ranked(x: Column, b: Column) -> Column:
+            # the step at which the walk meets each filled bin; the least counts
+            steps = F.transform(filled, lambda f: (
+                (f - F.get(start, b)) * F.get(turn, b)).bitwiseAND(F.lit(BINS - 1)))
+            return use(F.coalesce(x, at(b, F.array_min(steps))), b)
+
+        return F.when(F.size(filled) < FEW, F.transform(v, ranked)).otherwise(F.transform(v, stepped))
+
+    def integers(values: list[int]) -> Column:
+        return constant(values).cast("array<int>")
+
+    filled = F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.get(v, b).isNotNull())
+    return let(integers(_START), lambda start: let(integers(_STRIDE), lambda stride: let(
+        integers([pow(s, -1, BINS) for s in _STRIDE]), lambda turn: let(filled, lambda f: of(start, stride, turn, f)))))
+
+
+def _digits(s: Column) -> Column:
+    """The fingerprint from what ``_sorted`` gives."""
+    hexadecimal = F.split(F.lit(",".join("0123456789abcdef")), ",")
+
+    def of(v: Column) -> Column:
+        return _densified(v, lambda x, b: F.get(
+            hexadecimal, F.xxhash64(x, b).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")))
+    return F.when(F.size(s) > BINS, F.array_join(let(let(s, _all_bins), of), "")).otherwise(F.lit(""))
 
 
 def fingerprint(text: Column, size: int = SHINGLE) -> Column:
     """The fingerprint of a text as BINS hexadecimal digits; '' without words or text."""
-    def digits(h: Column) -> Column:
-        full = let(_minima(h), _all_bins)
-        low = F.transform(let(full, _densified), lambda x, b: F.substring(
-            F.lit("0123456789abcdef"),
-            F.xxhash64(x, b).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int") + 1, F.lit(1)))
-        return F.when(F.size(h) > 0, F.array_join(low, "")).otherwise(F.lit(""))
-    return let(shingle_hashes(F.coalesce(text, F.lit("")), size), digits)
+    return let(_sorted(text, size), _digits)
+
+
+def with_fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
+    """``df`` with the fingerprint of a text column. In two steps, as two uses of a column keep
+    the optimizer from joining them: the sort is then compiled, inside a lambda it is not."""
+    return (df.withColumn(f"{name}_sorted", _sorted(F.col(text_col)))
+            .withColumn(name, _digits(F.col(f"{name}_sorted"))).drop(f"{name}_sorted"))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated Jaccard similarity of two fingerprints, chance agreement taken out; of two
     empty ones 1, of an empty and another 0."""
-    same = F.size(F.filter(F.sequence(F.lit(1), F.lit(BINS)), lambda i: F.substring(
-        a, i, F.lit(1)) == F.substring(b, i, F.lit(1)))) / F.lit(float(BINS))
+    def bits(fp: Column, i: Column) -> Column:
+        return F.conv(F.substring(fp, i, F.lit(16)), 16, -10).cast("bigint")
+
+    def unlike(x: Column) -> Column:  # digits that are not zero: their bits meet in the lowest
+        return let(x.bitwiseOR(F.shiftright(x, 1)), lambda y: F.bit_count(
+            y.bitwiseOR(F.shiftright(y, 2)).bitwiseAND(F.lit(0x1111111111111111))))
+
+    differ = F.aggregate(F.sequence(F.lit(1), F.lit(BINS), F.lit(16)), F.lit(0), lambda n, i: n + let(
+        bits(a, i).bitwiseXOR(bits(b, i)), unlike))
+    same = (F.lit(BINS) - differ) / F.lit(float(BINS))
     chance = 2.0 ** -BITS
     return (F.when(a == b, F.lit(1.0)).when((a == "") | (b == ""), F.lit(0.0))
             .otherwise(F.greatest(F.lit(0.0), (same - chance) / (1 - chance))))
@@ -126,8 +166,9 @@ def with_next(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str,
     ranges = min(1_000_000, max(1, ids.count() // range_rows))
     cuts: list[int] = []
     if ranges > 1:
+        # ranges differ by a tenth of their rows at most; one task merges what this keeps
         at = ids.agg(F.percentile_approx("id", [k / ranges for k in range(1, ranges)],
-                                           min(100 * ranges, 10_000_000))).first()[0]
+                                           min(10 * ranges, 10_000_000))).first()[0]
         cuts = sorted(set(at or []))
     dealt = rows.withColumn("g", _range_of(F.col("id"), cuts))
     # one row for each range
@@ -140,9 +181,9 @@ def with_next(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str,
     link = spark.createDataFrame(after, "g long, top_g long, top long")
     head = (dealt.join(F.broadcast(link), (dealt["g"] == link["top_g"]) & dealt["id"].eqNullSafe(link["top"]))
             .groupBy(link["g"]).agg(F.min("text").alias("head_text")))
-    head = scratch.keep(head.withColumn("head_fp", fingerprint(F.col("head_text"))), "heads")
+    head = scratch.keep(with_fingerprint(head, "head_text", "head_fp"), "heads")
     order = Window.partitionBy("g").orderBy(F.desc_nulls_last("id"), "text")
-    return (dealt.withColumn("fp", fingerprint(F.col("text")))
+    return (with_fingerprint(dealt, "text", "fp")
             .withColumn("own_next", F.lead("text").over(order))
             .withColumn("own_fp", F.lead("fp").over(order))
             .join(head, "g", "left")
@@ -162,11 +203,10 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     scratch = Scratch(docs.sparkSession)
     pairs = with_next(docs, scratch, id_col, text_col)
     half = F.expr("n_chars div 2").cast("int")
-    out = (pairs.withColumn("n_chars", F.length("text").cast("long"))
-           .withColumn("edited", F.concat(
-               F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half),
-               F.substring("next_text", F.lit(1), half)))
-           .withColumn("edited_fp", fingerprint(F.col("edited"))))
+    out = with_fingerprint(pairs.withColumn("n_chars", F.length("text").cast("long"))
+                           .withColumn("edited", F.concat(
+                               F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half),
+                               F.substring("next_text", F.lit(1), half))), "edited", "edited_fp")
     return out.select(
         F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         F.col("fp").alias("fingerprint"), F.col("edited_fp").alias("edited_fingerprint"),
