@@ -516,18 +516,17 @@ def test_likeness_counts_equal_digits(spark):
 
 def test_short_texts_cost_no_more_than_long_ones(spark):
     """Most bins of a short text are empty; laying out a whole walk for each made it cost more than a long text."""
-    words = [f"w{k}" for k in range(1000)]
+    words = [f"w{k}" for k in range(2100)]
 
     def seconds(n):
-        df = spark.createDataFrame([(i, " ".join(words[i % 50:i % 50 + n])) for i in range(400)], "k long, text string").coalesce(1).cache()
+        df = spark.createDataFrame([(i, " ".join(words[i % 50:i % 50 + n])) for i in range(600)], "k long, text string").coalesce(1).cache()
         df.count()
-        best = []
+        out, best = df.select(fingerprints.fingerprint(F.col("text"))), []
         for _ in range(3):
             began = time.perf_counter()
-            df.select(fingerprints.fingerprint(F.col("text"))).write.format("noop").mode("overwrite").save()
+            out.write.format("noop").mode("overwrite").save()
             best.append(time.perf_counter() - began)
         df.unpersist()
-        print(n, best)
         return min(best)
 
-    assert seconds(24) < seconds(800)
+    assert seconds(24) < seconds(2000)
